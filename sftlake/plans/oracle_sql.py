@@ -65,3 +65,89 @@ def with_(*ctes: str) -> str:
 
 PREP = with_(A2, conv("a2", "kept"), split_ctes("kept"))
 PREP_DIRTY = with_(A3, conv("a3", "kept"), split_ctes("kept"))
+
+
+# ---------------------------------------------------------------- chat / tokens
+
+IM_S, IM_E = "<|im_start|>", "<|im_end|>"
+DEFAULT_SYSTEM = "You are Qwen, created by Alibaba Cloud. You are a helpful assistant."
+TOKEN_RE = r"(\p{Han}|[^\x{9}-\x{d}\x{20}\p{Han}]+)"
+NL = "chr(10)"
+
+
+def toks(expr: str) -> str:
+    return f"regexp_extract_all(lower({expr}), '{TOKEN_RE}', 1)"
+
+
+def two_turn_chat(prompt: str, response: str) -> str:
+    return (
+        f"'{IM_S}system' || {NL} || '{DEFAULT_SYSTEM}{IM_E}' || {NL} || '{IM_S}user' || {NL} || {prompt} || "
+        f"'{IM_E}' || {NL} || '{IM_S}assistant' || {NL} || {response} || '{IM_E}' || {NL}"
+    )
+
+
+def generation_chat(prompt: str) -> str:
+    return (
+        f"'{IM_S}system' || {NL} || '{DEFAULT_SYSTEM}{IM_E}' || {NL} || '{IM_S}user' || {NL} || {prompt} || "
+        f"'{IM_E}' || {NL} || '{IM_S}assistant' || {NL}"
+    )
+
+
+A6_RENDER = f"""firsts AS (
+  SELECT conv_id, arg_min(role, turn) AS r0, arg_min(text, turn) AS t0, min(turn) AS turn0
+  FROM conversations GROUP BY conv_id),
+segs AS (
+  SELECT c.conv_id, c.turn, c.role,
+         CASE WHEN c.turn = f.turn0 AND c.role = 'system' THEN '{IM_S}system' || {NL} || c.text || '{IM_E}' || {NL}
+              WHEN c.role = 'user' OR c.role = 'assistant' OR (c.role = 'system' AND c.turn <> f.turn0)
+              THEN '{IM_S}' || c.role || {NL} || c.text || '{IM_E}' || {NL} ELSE '' END AS seg
+  FROM conversations c JOIN firsts f USING (conv_id)),
+rendered AS (
+  SELECT s.conv_id,
+         CASE WHEN f.r0 = 'system' THEN '' ELSE '{IM_S}system' || {NL} || '{DEFAULT_SYSTEM}{IM_E}' || {NL} END
+         || string_agg(s.seg, '' ORDER BY s.turn) AS text
+  FROM segs s JOIN firsts f USING (conv_id) GROUP BY s.conv_id, f.r0)"""
+
+
+def scoring_ctes(lams: tuple[float, ...] = (0.5,), max_length: int = 1024) -> str:
+    """On top of PREP: per-lam model tables m_<i>(token, p_base, p_tuned), unk scalars and
+    eval sums sums_<i>(texts, tokens, sb, st) for English test texts."""
+    parts = [
+        f"""rtexts AS (SELECT row_id, kind, split, {two_turn_chat('prompt', 'response')} AS text FROM labeled),
+rtoks AS (SELECT row_id, kind, split, {toks('text')} AS t FROM rtexts),
+base_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{max_length}]) AS tok FROM rtoks WHERE kind NOT LIKE 'en/%') GROUP BY tok),
+dom_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{max_length}]) AS tok FROM rtoks WHERE kind LIKE 'en/%' AND split = 'train') GROUP BY tok),
+bt AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM base_c),
+dt AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM dom_c),
+pm AS (
+  SELECT coalesce(b.token, d.token) AS token,
+         coalesce((b.n + 1)::DOUBLE / bt.den, 1.0 / bt.den) AS p_base,
+         coalesce((d.n + 1)::DOUBLE / dt.den, 1.0 / dt.den) AS p_dom
+  FROM base_c b FULL OUTER JOIN dom_c d ON b.token = d.token CROSS JOIN bt CROSS JOIN dt),
+ecnt AS (SELECT tok AS token, count(*)::BIGINT AS cnt FROM (SELECT unnest(t[2:{max_length}]) AS tok FROM rtoks WHERE kind LIKE 'en/%' AND split = 'test') GROUP BY tok),
+ntexts AS (SELECT count(*)::BIGINT AS texts FROM rtoks WHERE kind LIKE 'en/%' AND split = 'test')"""
+    ]
+    for i, lam in enumerate(lams):
+        parts.append(
+            f"""m_{i} AS (SELECT token, p_base, {lam}::DOUBLE * p_dom + {1.0 - lam}::DOUBLE * p_base AS p_tuned FROM pm),
+unk_{i} AS (SELECT 1.0 / bt.den AS ub, {lam}::DOUBLE * (1.0 / dt.den) + {1.0 - lam}::DOUBLE * (1.0 / bt.den) AS ut FROM bt CROSS JOIN dt),
+sums_{i} AS (
+  SELECT (SELECT texts FROM ntexts) AS texts, coalesce(sum(e.cnt), 0)::BIGINT AS tokens,
+         coalesce(sum(e.cnt * -ln(coalesce(m.p_base, u.ub))), 0) AS sb,
+         coalesce(sum(e.cnt * -ln(coalesce(m.p_tuned, u.ut))), 0) AS st
+  FROM ecnt e LEFT JOIN m_{i} m USING (token) CROSS JOIN unk_{i} u),
+metrics_{i} AS (
+  SELECT 'base' AS model, texts AS num_texts, tokens AS num_tokens, sb / greatest(tokens, 1) AS mean_nll FROM sums_{i}
+  UNION ALL
+  SELECT 'tuned', texts, tokens, st / greatest(tokens, 1) FROM sums_{i}),
+metrics2_{i} AS (
+  SELECT *, CASE WHEN mean_nll < 20 THEN exp(mean_nll) ELSE 'Infinity'::DOUBLE END AS perplexity FROM metrics_{i}),
+cmp_{i} AS (
+  SELECT max(num_texts) FILTER (WHERE model = 'base') AS num_samples,
+         max(mean_nll) FILTER (WHERE model = 'base') AS base_nll,
+         max(mean_nll) FILTER (WHERE model = 'tuned') AS tuned_nll,
+         max(perplexity) FILTER (WHERE model = 'base') AS base_ppl,
+         max(perplexity) FILTER (WHERE model = 'tuned') AS tuned_ppl
+  FROM metrics2_{i})"""
+        )
+    return ",\n".join(parts)

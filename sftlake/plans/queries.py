@@ -177,3 +177,225 @@ def q_test_slice(spark, sf_dir):
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: documents -> records -> normalise/filter -> stratified split -> audit."""
     return q_split_audit(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- chat rendering
+
+
+def rendered_conversations(spark, sf_dir):
+    from sftlake.functions.chat import render_chat
+
+    return A.conversation_messages(spark, sf_dir).select("conv_id", "messages", render_chat("messages").alias("text"))
+
+
+@register("render_chat", O.with_(O.A6_RENDER) + "SELECT conv_id, text FROM rendered")
+def q_render_chat(spark, sf_dir):
+    return rendered_conversations(spark, sf_dir).select("conv_id", "text")
+
+
+@register(
+    "generation_prompts",
+    f"SELECT CAST(item_id AS VARCHAR) AS id, {O.generation_chat('text')} AS text FROM benchmark",
+)
+def q_generation_prompts(spark, sf_dir):
+    from sftlake.functions.chat import render_chat
+
+    p = A.benchmark_prompts(spark, sf_dir)
+    return p.select("id", render_chat(rec.user_turn("prompt"), add_generation_prompt=True).alias("text"))
+
+
+@register(
+    "prompt_groups",
+    "SELECT 'g' || CAST(item_id % 5 AS VARCHAR) AS \"group\", count(*)::BIGINT AS n FROM benchmark GROUP BY 1",
+)
+def q_prompt_groups(spark, sf_dir):
+    from sftlake.operators.align import prompt_groups
+
+    return prompt_groups(A.benchmark_prompts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- tokens
+
+MAXLEN_SHORT = 128
+
+
+@register(
+    "token_counts",
+    O.with_(O.A6_RENDER) + f"SELECT conv_id, len({O.toks('text')})::BIGINT AS n_tokens FROM rendered",
+)
+def q_token_counts(spark, sf_dir):
+    from sftlake.functions.tokens import tokenize
+
+    r = rendered_conversations(spark, sf_dir)
+    return r.select("conv_id", F.size(tokenize("text")).cast("long").alias("n_tokens"))
+
+
+@register(
+    "truncate_tokens",
+    O.with_(O.A6_RENDER)
+    + f"""SELECT conv_id, len(t[1:{MAXLEN_SHORT}])::BIGINT AS n_kept, t[1:{MAXLEN_SHORT}][-1] AS last_token
+FROM (SELECT conv_id, {O.toks('text')} AS t FROM rendered)""",
+)
+def q_truncate_tokens(spark, sf_dir):
+    from sftlake.functions.tokens import tokenize, truncate
+
+    r = rendered_conversations(spark, sf_dir).select("conv_id", truncate(tokenize("text"), MAXLEN_SHORT).alias("t"))
+    return r.select("conv_id", F.size("t").cast("long").alias("n_kept"), F.get("t", F.size("t") - 1).alias("last_token"))
+
+
+@register(
+    "valid_tokens",
+    O.with_(O.A6_RENDER)
+    + f"SELECT conv_id, greatest(least(len({O.toks('text')}), {MAXLEN_SHORT}) - 1, 0)::BIGINT AS n_valid FROM rendered",
+)
+def q_valid_tokens(spark, sf_dir):
+    from sftlake.functions.tokens import tokenize, valid_token_count
+
+    r = rendered_conversations(spark, sf_dir)
+    return r.select("conv_id", valid_token_count(F.size(tokenize("text")), MAXLEN_SHORT).cast("long").alias("n_valid"))
+
+
+# ---------------------------------------------------------------- bundled model and scoring
+
+MAXLEN = 1024
+
+
+def scoring_inputs(spark, sf_dir):
+    """Rendered chats of the prepared split; base model = non-English records, domain =
+    English train records; evaluation texts = English test records."""
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.model import fit_token_model
+
+    _, _, _, split = prepared(spark, sf_dir)
+    texts = split.select("row_id", "kind", "split", render_chat("messages").alias("text"))
+    en = F.col("kind").startswith("en/")
+    base = fit_token_model(texts.where(~en), "text", MAXLEN)
+    dom = fit_token_model(texts.where(en & (F.col("split") == "train")), "text", MAXLEN)
+    eval_texts = texts.where(en & (F.col("split") == "test"))
+    return texts, base, dom, eval_texts
+
+
+def _r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+def _scored(spark, sf_dir, lam=0.5):
+    from sftlake.operators.model import adapt_token_model
+    from sftlake.operators.score import score_models
+
+    texts, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    adapted = adapt_token_model(base, dom, lam)
+    return score_models(eval_texts, "text", adapted, MAXLEN), (texts, base, dom, eval_texts, adapted)
+
+
+@register(
+    "token_model",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + f""",
+train_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{MAXLEN}]) AS tok FROM rtoks WHERE split = 'train') GROUP BY tok)
+SELECT token, n FROM train_c""",
+)
+def q_token_model(spark, sf_dir):
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.model import fit_token_model
+
+    _, _, _, split = prepared(spark, sf_dir)
+    train = split.where(F.col("split") == "train").select(render_chat("messages").alias("text"))
+    return fit_token_model(train, "text", MAXLEN).counts
+
+
+@register(
+    "adapted_model",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + "\nSELECT token, round(-ln(p_base), 6) AS nll_base, round(-ln(p_tuned), 6) AS nll_tuned FROM m_0",
+)
+def q_adapted_model(spark, sf_dir):
+    from sftlake.operators.model import adapt_token_model
+
+    _, base, dom, _ = scoring_inputs(spark, sf_dir)
+    t = adapt_token_model(base, dom, 0.5).table
+    return t.select(
+        "token",
+        F.round(-F.log("p_base"), 6).alias("nll_base"),
+        F.round(-F.log("p_tuned"), 6).alias("nll_tuned"),
+    )
+
+
+@register(
+    "token_nll",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + "\nSELECT model, num_texts, num_tokens, round(mean_nll, 6) AS mean_nll, round(perplexity, 6) AS perplexity FROM metrics2_0",
+)
+def q_token_nll(spark, sf_dir):
+    m, _ = _scored(spark, sf_dir)
+    return m.select("model", "num_texts", "num_tokens", _r6("mean_nll"), _r6("perplexity"))
+
+
+@register(
+    "score_compare",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + """
+SELECT num_samples, round(base_nll, 6) AS base_nll, round(tuned_nll, 6) AS tuned_nll,
+       round(tuned_nll - base_nll, 6) AS delta_mean_nll FROM cmp_0""",
+)
+def q_score_compare(spark, sf_dir):
+    from sftlake.operators.score import compare
+
+    m, _ = _scored(spark, sf_dir)
+    c = compare(m)
+    return c.select("num_samples", _r6("base_nll"), _r6("tuned_nll"), _r6("delta_mean_nll"))
+
+
+@register(
+    "relative_change",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + """
+SELECT round(100.0 * (tuned_nll / base_nll - 1), 6) AS nll_pct, round(100.0 * (tuned_ppl / base_ppl - 1), 6) AS ppl_pct
+FROM cmp_0""",
+)
+def q_relative_change(spark, sf_dir):
+    from sftlake.operators.score import compare, relative_change
+
+    m, _ = _scored(spark, sf_dir)
+    return relative_change(compare(m)).select(_r6("nll_pct"), _r6("ppl_pct"))
+
+
+@register(
+    "score_plugin",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes()
+    + "\nSELECT model, num_tokens, round(mean_nll, 6) AS mean_nll FROM metrics2_0",
+)
+def q_score_plugin(spark, sf_dir):
+    """The same comparison through the scorer plug-in (mapInPandas): each worker loads the
+    model table from the shared folder once; the table size is checked first."""
+    from sftlake.operators.model import adapt_token_model
+    from sftlake.operators.score import TableScorerFactory, plugin_metrics, score_with_plugin
+    from sftlake.sources.scratch import fresh_dir
+
+    _, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    adapted = adapt_token_model(base, dom, 0.5)
+    path = fresh_dir(spark, "token-table")
+    adapted.table.coalesce(1).write.parquet(path)  # vocabulary-sized; one file keeps worker loads simple
+    n_rows = spark.read.parquet(path).count()
+    max_rows = 5_000_000
+    if n_rows > max_rows:
+        raise ValueError(f"model table has {n_rows} rows; score it with score_models instead")
+    outs = []
+    for name, col, unk in (("base", "p_base", adapted.unk_base), ("tuned", "p_tuned", adapted.unk_tuned)):
+        fac = TableScorerFactory(path, col, unk, MAXLEN, max_rows)
+        per_text = score_with_plugin(eval_texts, "row_id", "text", fac, cache_key=f"{path}:{col}")
+        outs.append(plugin_metrics(per_text, name))
+    m = outs[0].unionByName(outs[1])
+    return m.select("model", "num_tokens", _r6("mean_nll"))
