@@ -399,3 +399,289 @@ def q_score_plugin(spark, sf_dir):
         outs.append(plugin_metrics(per_text, name))
     m = outs[0].unionByName(outs[1])
     return m.select("model", "num_tokens", _r6("mean_nll"))
+
+
+# ---------------------------------------------------------------- before / after
+
+
+def _rule_rows(prompts):
+    from sftlake.operators.align import base_rule_output, tuned_rule_output
+
+    return prompts.select(
+        "pos", "id", "group", "prompt",
+        base_rule_output("prompt").alias("base_output"),
+        tuned_rule_output("prompt").alias("tuned_output"),
+    )
+
+
+def tuned_sql(p: str) -> str:
+    return O.norm(f"lower(regexp_replace({p}, '[\\x{{9}}-\\x{{d}}\\x{{20}}]+', ' ', 'g'))")
+
+
+A5_UNIQUE = f"""p AS (
+  SELECT item_id AS pos, CAST(item_id AS VARCHAR) AS id, 'g' || CAST(item_id % 5 AS VARCHAR) AS "group", text AS prompt,
+         {O.norm('text')} AS base_output, {tuned_sql('text')} AS tuned_output
+  FROM benchmark)"""
+
+
+@register(
+    "before_after",
+    O.with_(A5_UNIQUE) + 'SELECT pos, id, "group", prompt, base_output, tuned_output FROM p',
+)
+def q_before_after(spark, sf_dir):
+    from sftlake.operators.align import before_after
+
+    return before_after(_rule_rows(A.benchmark_prompts(spark, sf_dir)))
+
+
+@register(
+    "before_after_dup",
+    O.with_(
+        f"""p AS (
+  SELECT doc_id AS pos, CASE WHEN doc_id % 50 <> 0 THEN CAST(doc_id % 50 AS VARCHAR) END AS id,
+         {tuned_sql('text')} AS tuned_output
+  FROM documents)""",
+        "g AS (SELECT id, min(pos) AS first_pos, arg_max(tuned_output, pos) AS last_tuned FROM p GROUP BY id)",
+    )
+    + """SELECT p.pos, p.id, coalesce(g.last_tuned, '') AS tuned_output
+FROM p LEFT JOIN g ON p.id IS NOT DISTINCT FROM g.id AND p.pos = g.first_pos""",
+)
+def q_before_after_dup(spark, sf_dir):
+    from sftlake.operators.align import before_after
+
+    out = before_after(_rule_rows(A.document_prompts(spark, sf_dir)))
+    return out.select("pos", "id", "tuned_output")
+
+
+@register(
+    "report_blocks",
+    O.with_(A5_UNIQUE)
+    + """SELECT pos, '## ' || id || ' - ' || "group" || chr(10) || chr(10) || '**Prompt**' || chr(10) || chr(10) || prompt
+       || chr(10) || chr(10) || '**Base Model Output**' || chr(10) || chr(10) || base_output || chr(10) || chr(10)
+       || '**OFT Output**' || chr(10) || chr(10) || tuned_output || chr(10) || chr(10) AS block
+FROM p""",
+)
+def q_report_blocks(spark, sf_dir):
+    from sftlake.operators.align import before_after, report_block
+
+    aligned = before_after(_rule_rows(A.benchmark_prompts(spark, sf_dir)))
+    return aligned.select("pos", report_block().alias("block"))
+
+
+@register(
+    "generate_plugin",
+    f"SELECT CAST(item_id AS VARCHAR) AS id, {tuned_sql('text')} AS output FROM benchmark",
+)
+def q_generate_plugin(spark, sf_dir):
+    from sftlake.operators.align import TunedRuleGenerator, generate
+
+    p = A.benchmark_prompts(spark, sf_dir)
+    return generate(p, "id", "prompt", TunedRuleGenerator(), cache_key="tuned-rule")
+
+
+# ---------------------------------------------------------------- curves
+
+RUNS = ("r0", "r1", "r2")
+CURVE_LABELS = ["main", "ablation"]
+
+A4_POINTS = """ev AS (
+  SELECT event_id, event_type, value, 'r' || CAST(user_id % 3 AS VARCHAR) AS run,
+         row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) * 10 AS step
+  FROM events),
+pts AS (
+  SELECT run, 'train' AS series, step, value AS loss FROM ev WHERE event_type IN ('purchase', 'click')
+  UNION ALL
+  SELECT run, 'eval' AS series, step, value AS loss FROM ev WHERE event_type IN ('view', 'click'))"""
+
+
+def log_points(spark, sf_dir):
+    """events -> trainer-log lines in the shared folder -> read back -> loss points."""
+    from sftlake.operators.curves import loss_points
+    from sftlake.sources.jsonl import read_log_lines, write_log_lines
+    from sftlake.sources.scratch import fresh_dir
+
+    entries = A.event_log_entries(spark, sf_dir).drop("event_id")
+    path = fresh_dir(spark, "trainer-log")
+    write_log_lines(entries, path)
+    return loss_points(read_log_lines(spark, path))
+
+
+@register("loss_curves", O.with_(A4_POINTS) + "SELECT run, series, step::BIGINT AS step, round(loss, 6) AS loss FROM pts")
+def q_loss_curves(spark, sf_dir):
+    return log_points(spark, sf_dir).select("run", "series", "step", F.round("loss", 6).alias("loss"))
+
+
+@register(
+    "curve_compare",
+    O.with_(A4_POINTS)
+    + """SELECT CASE run WHEN 'r0' THEN 'main' WHEN 'r1' THEN 'ablation' ELSE run END AS label, series,
+       count(*)::BIGINT AS n, round(arg_min(loss, step), 6) AS first_loss, round(arg_max(loss, step), 6) AS last_loss
+FROM pts GROUP BY ALL""",
+)
+def q_curve_compare(spark, sf_dir):
+    from sftlake.operators.curves import curve_compare, label_runs, resolve_labels
+
+    # Run directories are <root>/<run>/trainer_state; the label rule pads with that name.
+    paths = [f"runs/{r}/trainer_state.json" for r in RUNS]
+    mapping = dict(zip(RUNS, resolve_labels(paths, CURVE_LABELS)))
+    c = curve_compare(label_runs(log_points(spark, sf_dir), mapping))
+    return c.select("label", "series", "n", _r6("first_loss"), _r6("last_loss"))
+
+
+@register(
+    "run_summary",
+    O.with_(A4_POINTS)
+    + """, agg AS (
+  SELECT run,
+         avg(loss) FILTER (WHERE series = 'train') AS train_loss,
+         count(*) FILTER (WHERE series = 'train')::DOUBLE AS train_points,
+         arg_max(loss, step) FILTER (WHERE series = 'eval') AS eval_loss,
+         count(*) FILTER (WHERE series = 'eval')::DOUBLE AS eval_points
+  FROM pts GROUP BY run)
+SELECT run, 'train_loss' AS metric, round(train_loss, 6) AS value FROM agg
+UNION ALL SELECT run, 'train_points', round(train_points, 6) FROM agg
+UNION ALL SELECT run, 'eval_loss', round(eval_loss, 6) FROM agg
+UNION ALL SELECT run, 'eval_points', round(eval_points, 6) FROM agg""",
+)
+def q_run_summary(spark, sf_dir):
+    from sftlake.operators.curves import run_summary
+
+    return run_summary(log_points(spark, sf_dir)).select("run", "metric", _r6("value"))
+
+
+# ---------------------------------------------------------------- metric documents
+
+METRIC_RUNS = ((0.5, "lam_0.5"), (0.25, "lam_0.25"))
+
+
+@register(
+    "metric_table",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes(tuple(l for l, _ in METRIC_RUNS))
+    + """
+SELECT 'Base' AS label, 'mean_nll' AS metric, round(mean_nll, 6) AS value FROM metrics2_0 WHERE model = 'base'
+UNION ALL SELECT 'Base', 'perplexity', round(perplexity, 6) FROM metrics2_0 WHERE model = 'base'
+UNION ALL SELECT 'lam_0.5', 'mean_nll', round(mean_nll, 6) FROM metrics2_0 WHERE model = 'tuned'
+UNION ALL SELECT 'lam_0.5', 'perplexity', round(perplexity, 6) FROM metrics2_0 WHERE model = 'tuned'
+UNION ALL SELECT 'lam_0.25', 'mean_nll', round(mean_nll, 6) FROM metrics2_1 WHERE model = 'tuned'
+UNION ALL SELECT 'lam_0.25', 'perplexity', round(perplexity, 6) FROM metrics2_1 WHERE model = 'tuned'""",
+)
+def q_metric_table(spark, sf_dir):
+    """Two tuned runs scored, each summary written as a document, read back, tabulated."""
+    from sftlake.operators.curves import metric_table
+    from sftlake.operators.model import adapt_token_model
+    from sftlake.operators.score import score_models, summary_document
+    from sftlake.sources.jsonl import read_metric_docs, write_metric_doc
+    from sftlake.sources.scratch import fresh_dir
+
+    _, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    root = fresh_dir(spark, "metric-docs")
+    paths = []
+    for i, (lam, _) in enumerate(METRIC_RUNS):
+        m = score_models(eval_texts, "text", adapt_token_model(base, dom, lam), MAXLEN)
+        p = f"{root}/run-{i}"
+        write_metric_doc(summary_document(m), p)
+        paths.append(p)
+    docs = read_metric_docs(spark, paths).withColumn(
+        "idx", F.regexp_extract("path", r"/run-(\d+)/", 1).cast("int")
+    )
+    t = metric_table(docs, {i: label for i, (_, label) in enumerate(METRIC_RUNS)})
+    return t.select("label", "metric", _r6("value"))
+
+
+# ---------------------------------------------------------------- JSONL sinks and scans
+
+
+@register("jsonl_roundtrip", O.with_(O.A2, O.conv("a2", "kept")) + "SELECT row_id, kind, prompt, response FROM kept")
+def q_jsonl_roundtrip(spark, sf_dir):
+    from sftlake.sources.jsonl import SFT_SCHEMA, read_jsonl, write_jsonl
+    from sftlake.sources.scratch import fresh_dir
+
+    kept = rec.convert_records(A.documents_raw(spark, sf_dir))
+    path = fresh_dir(spark, "jsonl")
+    write_jsonl(kept.select("kind", "prompt", "response", "messages", "row_id"), path)
+    return read_jsonl(spark, path, SFT_SCHEMA).select("row_id", "kind", "prompt", "response")
+
+
+@register(
+    "split_scan",
+    O.PREP
+    + "SELECT split, count(*)::BIGINT AS n, sum(length(prompt) + length(response))::BIGINT AS chars FROM labeled GROUP BY split",
+)
+def q_split_scan(spark, sf_dir):
+    from sftlake.sources.jsonl import read_splits, write_splits
+    from sftlake.sources.scratch import fresh_dir
+
+    _, _, _, split = prepared(spark, sf_dir)
+    path = fresh_dir(spark, "splits")
+    write_splits(split.withColumn("order_hash", spl.seeded_hash(SEED, "row_id", "order")), path)
+    s = read_splits(spark, path)
+    return s.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("prompt") + F.length("response")).cast("long").alias("chars"),
+    )
+
+
+# ---------------------------------------------------------------- packing, masks, budget
+
+PACK_LEN = 128
+
+
+@register(
+    "pack_sequences",
+    O.with_(
+        O.A6_RENDER,
+        f"""lens AS (SELECT conv_id % 8 AS shard, conv_id, len({O.toks('text')})::BIGINT AS n FROM rendered),
+spans AS (
+  SELECT shard, (sum(n) OVER (PARTITION BY shard ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n)::BIGINT AS s,
+         (sum(n) OVER (PARTITION BY shard ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS e
+  FROM lens WHERE n > 0),
+blocks AS (SELECT shard, s, e, unnest(range(s // {PACK_LEN}, (e - 1) // {PACK_LEN} + 1)) AS block FROM spans)""",
+    )
+    + f"""SELECT shard::BIGINT AS shard, block::BIGINT AS block,
+       sum(least(e, (block + 1) * {PACK_LEN}) - greatest(s, block * {PACK_LEN}))::BIGINT AS n_tokens
+FROM blocks GROUP BY shard, block""",
+)
+def q_pack_sequences(spark, sf_dir):
+    from sftlake.functions.tokens import tokenize
+    from sftlake.operators.packing import pack_sequences
+
+    r = rendered_conversations(spark, sf_dir)
+    lengths = r.select(
+        (F.col("conv_id") % 8).alias("shard"), "conv_id", F.size(tokenize("text")).cast("long").alias("n")
+    )
+    return pack_sequences(lengths, "shard", "conv_id", "n", PACK_LEN, buckets=16).select(
+        F.col("shard").cast("long"), F.col("block").cast("long"), "n_tokens"
+    )
+
+
+@register(
+    "assistant_mask",
+    O.with_(
+        O.A6_RENDER,
+        f"""seg_n AS (SELECT conv_id, role, len({O.toks('seg')}) AS n FROM segs),
+hdr AS (SELECT conv_id, CASE WHEN r0 = 'system' THEN 0 ELSE len({O.toks(f"'{O.IM_S}system' || {O.NL} || '{O.DEFAULT_SYSTEM}{O.IM_E}' || {O.NL}")}) END AS n FROM firsts)""",
+    )
+    + """SELECT h.conv_id, (h.n + sum(s.n))::BIGINT AS n_tokens,
+       sum(CASE WHEN s.role = 'assistant' THEN s.n ELSE 0 END)::BIGINT AS n_assistant
+FROM hdr h JOIN seg_n s USING (conv_id) GROUP BY h.conv_id, h.n""",
+)
+def q_assistant_mask(spark, sf_dir):
+    from sftlake.operators.packing import assistant_mask_counts
+
+    return assistant_mask_counts(A.conversation_messages(spark, sf_dir), "conv_id")
+
+
+@register(
+    "train_budget",
+    O.PREP
+    + """SELECT 38400::BIGINT AS samples, count(*)::BIGINT AS train_rows, round(38400.0 / count(*), 6) AS share
+FROM labeled WHERE split = 'train'""",
+)
+def q_train_budget(spark, sf_dir):
+    from sftlake.operators.packing import train_budget
+
+    _, _, _, split = prepared(spark, sf_dir)
+    b = train_budget(split.where(F.col("split") == "train"))
+    return b.select("samples", "train_rows", _r6("share"))

@@ -119,7 +119,7 @@ def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3, buckets:
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     e = e.withColumn("run", F.concat(F.lit("r"), (F.col("user_id") % runs).cast("string")))
-    e = e.withColumn("_tsn", F.unix_micros("ts").cast("double"))
+    e = e.withColumn("_tsn", F.unix_micros(F.col("ts").cast("timestamp")).cast("double"))
     e = quantile_bucket(e, "_tsn", "_b", buckets)
     ranked = ordered_running_total(e, by=["run"], bucket="_b", order=["ts", "event_id"], out="rn")
     et = F.col("event_type")
