@@ -31,7 +31,7 @@ def _col(c) -> Column:
 
 
 def _first_system(m: Column) -> Column:
-    first = F.try_element_at(m, F.lit(1))
+    first = F.get(m, 0)  # null for an empty array (try_element_at trips codegen on built arrays)
     return F.coalesce(first["role"] == "system", F.lit(False)), first
 
 
@@ -107,8 +107,8 @@ def render_chat_tools(messages, tools, add_generation_prompt: bool = False) -> C
             call_text,
             F.lit(IM_END + "\n"),
         )
-        prev_role = F.try_element_at(m, F.greatest(i, F.lit(1)))["role"]  # 1-based: message i-1 (i > 0)
-        next_role = F.try_element_at(m, i + 2)["role"]
+        prev_role = F.get(m, i - 1)["role"]  # null outside the array
+        next_role = F.get(m, i + 1)["role"]
         opens = (i == 0) | F.coalesce(prev_role != "tool", F.lit(True))
         closes = (i == n - 1) | F.coalesce(next_role != "tool", F.lit(True))
         tool_text = F.concat(

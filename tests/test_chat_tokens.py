@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sftlake.functions.chat import DEFAULT_SYSTEM, render_chat, render_chat_tools
+from sftlake.functions.tokens import py_tokenize, tokenize, truncate, valid_token_count
+
+S, E = "<|im_start|>", "<|im_end|>"
+MSG = "array<struct<role:string,content:string>>"
+
+
+def _render(spark, messages, gen=False):
+    df = spark.createDataFrame([(messages,)], f"m {MSG}")
+    return df.select(render_chat("m", add_generation_prompt=gen).alias("t")).first().t
+
+
+def test_without_system(spark):
+    t = _render(spark, [("user", "hi"), ("assistant", "yo")])
+    assert t == f"{S}system\n{DEFAULT_SYSTEM}{E}\n{S}user\nhi{E}\n{S}assistant\nyo{E}\n"
+
+
+def test_with_system_first(spark):
+    t = _render(spark, [("system", "be brief"), ("user", "hi")])
+    assert t == f"{S}system\nbe brief{E}\n{S}user\nhi{E}\n"
+
+
+def test_system_not_first_is_printed_in_place(spark):
+    t = _render(spark, [("user", "a"), ("system", "s2"), ("assistant", "b")])
+    assert t == f"{S}system\n{DEFAULT_SYSTEM}{E}\n{S}user\na{E}\n{S}system\ns2{E}\n{S}assistant\nb{E}\n"
+
+
+def test_empty_content_and_generation_prompt(spark):
+    t = _render(spark, [("user", "")], gen=True)
+    assert t == f"{S}system\n{DEFAULT_SYSTEM}{E}\n{S}user\n{E}\n{S}assistant\n"
+
+
+def test_empty_messages(spark):
+    assert _render(spark, []) == f"{S}system\n{DEFAULT_SYSTEM}{E}\n"
+
+
+TOOL_MSG = "array<struct<role:string,content:string,tool_calls:array<struct<name:string,arguments:string>>>>"
+
+
+def test_tools_rendering(spark):
+    msgs = [
+        ("user", "weather?", None),
+        ("assistant", "", [("get_weather", '{"city": "Paris"}')]),
+        ("tool", "sunny", None),
+        ("tool", "20C", None),
+        ("assistant", "It is sunny.", None),
+    ]
+    tools = ['{"name": "get_weather"}']
+    df = spark.createDataFrame([(msgs, tools)], f"m {TOOL_MSG}, tools array<string>")
+    t = df.select(render_chat_tools("m", "tools").alias("t")).first().t
+    expect = (
+        f"{S}system\n{DEFAULT_SYSTEM}\n\n# Tools\n\nYou may call one or more functions to assist with the user query.\n\n"
+        "You are provided with function signatures within <tools></tools> XML tags:\n<tools>\n"
+        '{"name": "get_weather"}\n</tools>\n\nFor each function call, return a json object with function name and '
+        "arguments within <tool_call></tool_call> XML tags:\n<tool_call>\n"
+        '{"name": <function-name>, "arguments": <args-json-object>}\n</tool_call>' + E + "\n"
+        f"{S}user\nweather?{E}\n"
+        f'{S}assistant\n<tool_call>\n{{"name": "get_weather", "arguments": {{"city": "Paris"}}}}\n</tool_call>{E}\n'
+        f"{S}user\n<tool_response>\nsunny\n</tool_response>\n<tool_response>\n20C\n</tool_response>{E}\n"
+        f"{S}assistant\nIt is sunny.{E}\n"
+    )
+    assert t == expect
+
+
+def test_tools_absent_equals_plain(spark):
+    msgs = [("system", "s", None), ("user", "u", None), ("assistant", "a", [])]
+    df = spark.createDataFrame([(msgs, None)], f"m {TOOL_MSG}, tools array<string>")
+    t = df.select(render_chat_tools("m", "tools", True).alias("t")).first().t
+    assert t == f"{S}system\ns{E}\n{S}user\nu{E}\n{S}assistant\na{E}\n{S}assistant\n"
+
+
+def test_tokenize_han_and_words(spark):
+    df = spark.createDataFrame([("Hello  世界 abc,def\tX",)], "t string")
+    toks = df.select(tokenize("t").alias("k")).first().k
+    assert toks == ["hello", "世", "界", "abc,def", "x"]
+    assert py_tokenize("Hello  世界 abc,def\tX") == toks
+
+
+def test_truncate_and_valid_counts(spark):
+    rows = [("",), ("one",), (" ".join(["w"] * 8),), (" ".join(["w"] * 20),)]
+    df = spark.createDataFrame(rows, "t string")
+    out = df.select(
+        F.size(truncate(tokenize("t"), 8)).alias("kept"),
+        valid_token_count(F.size(tokenize("t")), 8).alias("valid"),
+    ).collect()
+    assert [(r.kept, r.valid) for r in out] == [(0, 0), (1, 0), (8, 7), (8, 7)]
