@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 #   U+0009 U+000A U+000B U+000C U+000D U+001C U+001D U+001E U+001F U+0020 U+0085 U+00A0
 #   U+1680 U+2000 U+2001 U+2002 U+2003 U+2004 U+2005 U+2006 U+2007 U+2008 U+2009 U+200A
 #   U+2028 U+2029 U+202F U+205F U+3000
-# Java's Unicode-aware \s (flag ?U) covers all of them except U+001C..U+001F, so the
-# class adds that range explicitly. Spark's own trim() handles only U+0020.
-EDGE_WHITESPACE = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+\z"
+# Spark's one-argument trim() handles only U+0020, so btrim() gets the whole set. btrim
+# looks only at the two ends of a string; a regular expression would scan all of it.
+STRIP_CHARS = (
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c) -> Column:
@@ -20,7 +24,7 @@ def _col(c) -> Column:
 
 def normalize_text(c) -> Column:
     """null -> '', otherwise the string with leading/trailing whitespace removed."""
-    return F.regexp_replace(F.coalesce(_col(c), F.lit("")), EDGE_WHITESPACE, "")
+    return F.btrim(F.coalesce(_col(c), F.lit("")), F.lit(STRIP_CHARS))
 
 
 def kind_or_unknown(c) -> Column:

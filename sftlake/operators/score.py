@@ -45,6 +45,26 @@ def score_models(
     """Long-form metrics, one row per model: model, num_texts, num_tokens, mean_nll, perplexity.
 
     Both models of an AdaptedModel are scored in the same pass."""
+    cnt = valid_token_counts(texts, text_col, max_length)
+    per_text = texts.select(
+        F.lit(1).cast("long").alias("texts"),
+        F.lit(0).cast("long").alias("tokens"),
+        F.lit(0.0).alias("s_base"),
+        F.lit(0.0).alias("s_tuned"),
+    )
+    return _score(cnt, per_text, model)
+
+
+def score_token_counts(counts: DataFrame, num_texts: int, model: AdaptedModel | TokenModel) -> DataFrame:
+    """Same metrics from pre-aggregated (token, cnt) scored-token counts and a text count."""
+    spark = counts.sparkSession
+    per_text = spark.createDataFrame(
+        [(int(num_texts), 0, 0.0, 0.0)], "texts long, tokens long, s_base double, s_tuned double"
+    )
+    return _score(counts, per_text, model)
+
+
+def _score(cnt: DataFrame, per_text: DataFrame, model: AdaptedModel | TokenModel) -> DataFrame:
     if isinstance(model, TokenModel):
         table = model.table().select("token", F.col("p").alias("p_base"), F.col("p").alias("p_tuned"))
         unk_b = unk_t = model.unk_p
@@ -52,20 +72,14 @@ def score_models(
     else:
         table, unk_b, unk_t = model.table, model.unk_base, model.unk_tuned
         names = ("base", "tuned")
-    cnt = valid_token_counts(texts, text_col, max_length)
+    # Both sides hold one row per distinct token: no key is hot, whatever the token frequencies.
     j = cnt.join(table, "token", "left")
     per_token = j.select(
         F.lit(0).cast("long").alias("texts"),
-        F.col("cnt").alias("tokens"),
+        F.col("cnt").cast("long").alias("tokens"),
         (F.col("cnt") * -F.log(F.coalesce(F.col("p_base"), F.lit(unk_b)))).alias("s_base"),
         (F.col("cnt") * -F.log(F.coalesce(F.col("p_tuned"), F.lit(unk_t)))).alias("s_tuned"),
     )
-    per_text = texts.select(
-        F.lit(1).cast("long").alias("texts"),
-        F.lit(0).cast("long").alias("tokens"),
-        F.lit(0.0).alias("s_base"),
-        F.lit(0.0).alias("s_tuned"),
-    )
     tot = per_token.unionByName(per_text).agg(
         F.sum("texts").alias("texts"),
         F.sum("tokens").alias("tokens"),

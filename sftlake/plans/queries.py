@@ -260,19 +260,29 @@ def q_valid_tokens(spark, sf_dir):
 MAXLEN = 1024
 
 
-def scoring_inputs(spark, sf_dir):
-    """Rendered chats of the prepared split; base model = non-English records, domain =
-    English train records; evaluation texts = English test records."""
+def scoring_texts(spark, sf_dir):
+    """Rendered chats of the prepared split, tagged: 'base' = non-English records,
+    'domain' = English train records, 'eval' = English test records."""
     from sftlake.functions.chat import render_chat
-    from sftlake.operators.model import fit_token_model
 
     _, _, _, split = prepared(spark, sf_dir)
-    texts = split.select("row_id", "kind", "split", render_chat("messages").alias("text"))
     en = F.col("kind").startswith("en/")
-    base = fit_token_model(texts.where(~en), "text", MAXLEN)
-    dom = fit_token_model(texts.where(en & (F.col("split") == "train")), "text", MAXLEN)
-    eval_texts = texts.where(en & (F.col("split") == "test"))
-    return texts, base, dom, eval_texts
+    tag = (
+        F.when(~en, "base")
+        .when(F.col("split") == "train", "domain")
+        .when(F.col("split") == "test", "eval")
+    )
+    return split.select("row_id", render_chat("messages").alias("text"), tag.alias("tag"))
+
+
+def scoring_inputs(spark, sf_dir):
+    """Both models and the evaluation counts from one tokenize pass (checkpointed)."""
+    from sftlake.operators.model import tagged_model, tagged_text_count, tagged_token_counts, tagged_valid_counts
+
+    texts = scoring_texts(spark, sf_dir)
+    tagged = tagged_token_counts(texts, "text", "tag", MAXLEN)
+    base, dom = tagged_model(tagged, "base"), tagged_model(tagged, "domain")
+    return texts, base, dom, (tagged_valid_counts(tagged, "eval"), tagged_text_count(tagged, "eval"))
 
 
 def _r6(c):
@@ -281,11 +291,11 @@ def _r6(c):
 
 def _scored(spark, sf_dir, lam=0.5):
     from sftlake.operators.model import adapt_token_model
-    from sftlake.operators.score import score_models
+    from sftlake.operators.score import score_token_counts
 
-    texts, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    texts, base, dom, (eval_counts, n_eval) = scoring_inputs(spark, sf_dir)
     adapted = adapt_token_model(base, dom, lam)
-    return score_models(eval_texts, "text", adapted, MAXLEN), (texts, base, dom, eval_texts, adapted)
+    return score_token_counts(eval_counts, n_eval, adapted), (texts, base, dom, adapted)
 
 
 @register(
@@ -384,7 +394,8 @@ def q_score_plugin(spark, sf_dir):
     from sftlake.operators.score import TableScorerFactory, plugin_metrics, score_with_plugin
     from sftlake.sources.scratch import fresh_dir
 
-    _, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    texts, base, dom, _ = scoring_inputs(spark, sf_dir)
+    eval_texts = texts.where(F.col("tag") == "eval")
     adapted = adapt_token_model(base, dom, 0.5)
     path = fresh_dir(spark, "token-table")
     adapted.table.coalesce(1).write.parquet(path)  # vocabulary-sized; one file keeps worker loads simple
@@ -571,15 +582,15 @@ def q_metric_table(spark, sf_dir):
     """Two tuned runs scored, each summary written as a document, read back, tabulated."""
     from sftlake.operators.curves import metric_table
     from sftlake.operators.model import adapt_token_model
-    from sftlake.operators.score import score_models, summary_document
+    from sftlake.operators.score import score_token_counts, summary_document
     from sftlake.sources.jsonl import read_metric_docs, write_metric_doc
     from sftlake.sources.scratch import fresh_dir
 
-    _, base, dom, eval_texts = scoring_inputs(spark, sf_dir)
+    _, base, dom, (eval_counts, n_eval) = scoring_inputs(spark, sf_dir)
     root = fresh_dir(spark, "metric-docs")
     paths = []
     for i, (lam, _) in enumerate(METRIC_RUNS):
-        m = score_models(eval_texts, "text", adapt_token_model(base, dom, lam), MAXLEN)
+        m = score_token_counts(eval_counts, n_eval, adapt_token_model(base, dom, lam))
         p = f"{root}/run-{i}"
         write_metric_doc(summary_document(m), p)
         paths.append(p)
