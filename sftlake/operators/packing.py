@@ -36,6 +36,40 @@ def pack_sequences(
     return spans.groupBy(shard, "block").agg(F.sum(piece).cast("long").alias("n_tokens"))
 
 
+def segment_token_stats(segments: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Per conversation from rendered segments: n_tokens and n_assistant (partial aggregate)."""
+    n = F.size(tokenize("seg"))
+    return segments.groupBy(key).agg(
+        F.sum(n).cast("long").alias("n_tokens"),
+        F.sum(F.when(F.col("role") == "assistant", n).otherwise(0)).cast("long").alias("n_assistant"),
+    )
+
+
+def truncated_tail(segments: DataFrame, max_length: int, key: str = "conv_id", buckets: int = 16) -> DataFrame:
+    """Per conversation: n_kept = min(tokens, max_length) and the last kept token.
+
+    Segment start offsets are a two-level running sum within the conversation; the last kept
+    token is either the token at position max_length - 1 (in the one segment spanning it) or,
+    for shorter conversations, the last token of the last non-empty segment."""
+    d = segments.select(key, "turn", tokenize("seg").alias("toks")).withColumn("len", F.size("toks").cast("long"))
+    d = quantile_bucket(d.withColumn("__t", F.col("turn").cast("double")), "__t", "__b", buckets)
+    r = ordered_running_total(d, by=[key], bucket="__b", order=["turn"], out="end", value="len")
+    L = int(max_length)
+    start = F.col("end") - F.col("len")
+    at_limit = F.when((start <= L - 1) & (F.col("end") > L - 1), F.get("toks", (F.lit(L - 1) - start).cast("int")))
+    seg_last = F.when(F.col("len") > 0, F.get("toks", (F.col("len") - 1).cast("int")))
+    agg = r.groupBy(key).agg(
+        F.sum("len").alias("n"),
+        F.max(at_limit).alias("at_limit"),
+        F.max_by(seg_last, F.when(F.col("len") > 0, F.col("end"))).alias("tail"),
+    )
+    return agg.select(
+        key,
+        F.least(F.col("n"), F.lit(L)).cast("long").alias("n_kept"),
+        F.coalesce(F.col("at_limit"), F.col("tail")).alias("last_token"),
+    )
+
+
 def assistant_mask_counts(convs: DataFrame, key: str, messages: str = "messages") -> DataFrame:
     """Per conversation: tokens of the rendered chat and tokens inside assistant turns.
 

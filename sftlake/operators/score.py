@@ -207,7 +207,8 @@ class TableScorerFactory:
 
         from sftlake.functions.tokens import py_tokenize
 
-        tbl = pq.read_table(self.path.replace("file:", ""), columns=["token", self.prob_col])
+        path = self.path[len("file:"):] if self.path.startswith("file:") else self.path
+        tbl = pq.read_table(path, columns=["token", self.prob_col])  # a directory of part files
         if tbl.num_rows > self.max_rows:
             raise ValueError(f"token table has {tbl.num_rows} rows > {self.max_rows}; use the join path")
         probs = dict(zip(tbl.column("token").to_pylist(), tbl.column(self.prob_col).to_pylist()))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftlake.operators.ranking import hash_bucket, ordered_running_total
+from sftlake.operators.ranking import hash_bucket, ordered_running_total, quantile_bucket
 from sftlake.sources.scratch import checkpointed
 
 SPLITS = ("train", "val", "test")
@@ -170,8 +170,23 @@ def split_metadata(normalized_all: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def head_rows(df: DataFrame, n: int | None, order: list) -> DataFrame:
-    """The first n rows in ``order`` (None or 0 = all rows). A top-k, never a full sort."""
+TOPK_MAX = 1_000_000
+
+
+def head_rows(df: DataFrame, n: int | None, order: list, topk_max: int = TOPK_MAX, buckets: int = 1024) -> DataFrame:
+    """The first n rows in ``order`` (None or 0 = all rows).
+
+    Up to ``topk_max`` rows this is a top-k (each task keeps n rows, one merge). Beyond that a
+    single merging task would hold the whole head, so rows are ranked exactly with the
+    two-level running count instead (quantile buckets on the first, numeric, order column)
+    and filtered by rank."""
     if not n:
         return df
-    return df.orderBy(*order).limit(int(n))
+    if n <= topk_max:
+        return df.orderBy(*order).limit(int(n))
+    first = order[0] if isinstance(order[0], str) else None
+    if first is None or dict(df.dtypes).get(first) not in ("bigint", "int", "smallint", "tinyint", "double", "float"):
+        raise ValueError("a large head slice needs a numeric first order column")
+    d = quantile_bucket(df.withColumn("__hk", F.col(first).cast("double")), "__hk", "__hb", buckets)
+    r = ordered_running_total(d, by=[], bucket="__hb", order=list(order), out="__hrn")
+    return r.where(F.col("__hrn") <= int(n)).drop("__hk", "__hb", "__hrn")

@@ -224,10 +224,9 @@ MAXLEN_SHORT = 128
     O.with_(O.A6_RENDER) + f"SELECT conv_id, len({O.toks('text')})::BIGINT AS n_tokens FROM rendered",
 )
 def q_token_counts(spark, sf_dir):
-    from sftlake.functions.tokens import tokenize
+    from sftlake.operators.packing import segment_token_stats
 
-    r = rendered_conversations(spark, sf_dir)
-    return r.select("conv_id", F.size(tokenize("text")).cast("long").alias("n_tokens"))
+    return segment_token_stats(A.conversation_segments(spark, sf_dir)).select("conv_id", "n_tokens")
 
 
 @register(
@@ -237,10 +236,9 @@ def q_token_counts(spark, sf_dir):
 FROM (SELECT conv_id, {O.toks('text')} AS t FROM rendered)""",
 )
 def q_truncate_tokens(spark, sf_dir):
-    from sftlake.functions.tokens import tokenize, truncate
+    from sftlake.operators.packing import truncated_tail
 
-    r = rendered_conversations(spark, sf_dir).select("conv_id", truncate(tokenize("text"), MAXLEN_SHORT).alias("t"))
-    return r.select("conv_id", F.size("t").cast("long").alias("n_kept"), F.get("t", F.size("t") - 1).alias("last_token"))
+    return truncated_tail(A.conversation_segments(spark, sf_dir), MAXLEN_SHORT)
 
 
 @register(
@@ -249,10 +247,11 @@ def q_truncate_tokens(spark, sf_dir):
     + f"SELECT conv_id, greatest(least(len({O.toks('text')}), {MAXLEN_SHORT}) - 1, 0)::BIGINT AS n_valid FROM rendered",
 )
 def q_valid_tokens(spark, sf_dir):
-    from sftlake.functions.tokens import tokenize, valid_token_count
+    from sftlake.functions.tokens import valid_token_count
+    from sftlake.operators.packing import segment_token_stats
 
-    r = rendered_conversations(spark, sf_dir)
-    return r.select("conv_id", valid_token_count(F.size(tokenize("text")), MAXLEN_SHORT).cast("long").alias("n_valid"))
+    n = segment_token_stats(A.conversation_segments(spark, sf_dir))
+    return n.select("conv_id", valid_token_count(F.col("n_tokens"), MAXLEN_SHORT).cast("long").alias("n_valid"))
 
 
 # ---------------------------------------------------------------- bundled model and scoring
@@ -397,12 +396,13 @@ def q_score_plugin(spark, sf_dir):
     texts, base, dom, _ = scoring_inputs(spark, sf_dir)
     eval_texts = texts.where(F.col("tag") == "eval")
     adapted = adapt_token_model(base, dom, 0.5)
-    path = fresh_dir(spark, "token-table")
-    adapted.table.coalesce(1).write.parquet(path)  # vocabulary-sized; one file keeps worker loads simple
-    n_rows = spark.read.parquet(path).count()
+    # Every worker loads the table, so its size is checked before anything is written.
     max_rows = 5_000_000
+    n_rows = adapted.table.count()
     if n_rows > max_rows:
-        raise ValueError(f"model table has {n_rows} rows; score it with score_models instead")
+        raise ValueError(f"model table has {n_rows} rows; score it with score_token_counts instead")
+    path = fresh_dir(spark, "token-table")
+    adapted.table.write.parquet(path)
     outs = []
     for name, col, unk in (("base", "p_base", adapted.unk_base), ("tuned", "p_tuned", adapted.unk_tuned)):
         fac = TableScorerFactory(path, col, unk, MAXLEN, max_rows)
@@ -655,13 +655,10 @@ blocks AS (SELECT shard, s, e, unnest(range(s // {PACK_LEN}, (e - 1) // {PACK_LE
 FROM blocks GROUP BY shard, block""",
 )
 def q_pack_sequences(spark, sf_dir):
-    from sftlake.functions.tokens import tokenize
-    from sftlake.operators.packing import pack_sequences
+    from sftlake.operators.packing import pack_sequences, segment_token_stats
 
-    r = rendered_conversations(spark, sf_dir)
-    lengths = r.select(
-        (F.col("conv_id") % 8).alias("shard"), "conv_id", F.size(tokenize("text")).cast("long").alias("n")
-    )
+    n = segment_token_stats(A.conversation_segments(spark, sf_dir))
+    lengths = n.select((F.col("conv_id") % 8).alias("shard"), "conv_id", F.col("n_tokens").alias("n"))
     return pack_sequences(lengths, "shard", "conv_id", "n", PACK_LEN, buckets=16).select(
         F.col("shard").cast("long"), F.col("block").cast("long"), "n_tokens"
     )
@@ -679,9 +676,9 @@ hdr AS (SELECT conv_id, CASE WHEN r0 = 'system' THEN 0 ELSE len({O.toks(f"'{O.IM
 FROM hdr h JOIN seg_n s USING (conv_id) GROUP BY h.conv_id, h.n""",
 )
 def q_assistant_mask(spark, sf_dir):
-    from sftlake.operators.packing import assistant_mask_counts
+    from sftlake.operators.packing import segment_token_stats
 
-    return assistant_mask_counts(A.conversation_messages(spark, sf_dir), "conv_id")
+    return segment_token_stats(A.conversation_segments(spark, sf_dir))
 
 
 @register(

@@ -130,3 +130,31 @@ def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3, buckets:
         F.when(et.isin(*TRAIN_KEY_EVENTS), F.col("value")).alias("loss"),
         F.when(et.isin(*EVAL_KEY_EVENTS), F.col("value")).alias("eval_loss"),
     )
+
+
+def conversation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 without gathering a conversation: one rendered block per turn, plus one default
+    system header row for each conversation whose first turn is not a system turn.
+
+    Output: conv_id, turn, role, seg. Concatenating ``seg`` in turn order gives the rendered
+    chat; every block ends in a newline, so token counts add up over segments. The per-turn
+    blocks are a projection and the header rows come from a partial aggregate (first role by
+    turn), so no conversation is ever collected into one row."""
+    from sftlake.functions.chat import DEFAULT_SYSTEM, IM_END, IM_START
+
+    c = table(spark, sf_dir, "conversations")
+    printed = F.col("role").isin("user", "system", "assistant")
+    blocks = c.select(
+        "conv_id", "turn", "role",
+        F.when(
+            printed, F.concat(F.lit(IM_START), F.col("role"), F.lit("\n"), F.coalesce(F.col("text"), F.lit("")), F.lit(IM_END + "\n"))
+        ).otherwise(F.lit("")).alias("seg"),
+    )
+    firsts = c.groupBy("conv_id").agg(F.min("turn").alias("turn0"), F.min_by("role", "turn").alias("role0"))
+    headers = firsts.where(F.col("role0") != "system").select(
+        "conv_id",
+        (F.col("turn0") - 1).alias("turn"),
+        F.lit("system").alias("role"),
+        F.lit(f"{IM_START}system\n{DEFAULT_SYSTEM}{IM_END}\n").alias("seg"),
+    )
+    return blocks.unionByName(headers)

@@ -161,3 +161,10 @@ def test_head_rows_is_topk(spark):
     assert spl.head_rows(df, 1000, ["row_id"]).count() == 100
     plan = spl.head_rows(df, 5, ["row_id"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_head_rows_large_path_equals_topk(spark):
+    df = spark.range(3000).select(((F.col("id") * 7919) % 3000).alias("row_id"), F.col("id").alias("v"))
+    small = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"]).collect()}
+    big = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"], topk_max=10, buckets=17).collect()}
+    assert small == big == set(range(1234))
