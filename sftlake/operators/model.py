@@ -122,3 +122,68 @@ def tagged_valid_counts(tagged: DataFrame, tag: str) -> DataFrame:
     """token, cnt: scored occurrences of each token in the texts of ``tag``."""
     t = tagged.where((F.col("tag") == tag) & F.col("token").isNotNull() & (F.col("n_valid") > 0))
     return t.select("token", F.col("n_valid").alias("cnt"))
+
+
+# ---------------------------------------------------------------- count matrix (join-free path)
+
+
+@dataclass
+class CountMatrix:
+    """token x tag count matrix: one row per distinct token with ``n_<tag>`` (occurrences in
+    the truncated sequence) and ``v_<tag>`` (occurrences at scored positions) for every tag.
+    The row with a null token holds the number of texts of each tag. Checkpointed."""
+
+    table: DataFrame
+    tags: tuple[str, ...]
+    totals: dict[str, int]
+    vocab: dict[str, int]
+    texts: dict[str, int]
+
+    def denom(self, tag: str) -> float:
+        return float(self.totals[tag] + self.vocab[tag] + 1)
+
+    def prob(self, tag: str) -> Column:
+        n = F.col(f"n_{tag}")
+        d = F.lit(self.denom(tag))
+        return F.when(n > 0, (n.cast("double") + F.lit(1.0)) / d).otherwise(F.lit(1.0) / d)
+
+    def tuned_prob(self, base: str, domain: str, lam: float) -> Column:
+        return F.lit(float(lam)) * self.prob(domain) + F.lit(1.0 - float(lam)) * self.prob(base)
+
+    def model_table(self, base: str, domain: str, lam: float) -> DataFrame:
+        """token, p_base, p_tuned over the union of both vocabularies."""
+        t = self.table.where(F.col("token").isNotNull() & ((F.col(f"n_{base}") > 0) | (F.col(f"n_{domain}") > 0)))
+        return t.select("token", self.prob(base).alias("p_base"), self.tuned_prob(base, domain, lam).alias("p_tuned"))
+
+
+def token_count_matrix(
+    texts: DataFrame, text_col: str, tag_col: str, tags: tuple[str, ...], max_length: int | None = DEFAULT_MAX_LENGTH
+) -> CountMatrix:
+    """One tokenize/explode pass and one ``groupBy(token)`` (partial aggregation folds hot
+    tokens map-side) for all tags at once; a null sentinel per text carries text counts."""
+    toks = tokenize(text_col)
+    if max_length:
+        toks = truncate(toks, max_length)
+    seq = F.concat(F.array(F.lit(None).cast("string")), toks)
+    ex = texts.where(F.col(tag_col).isin(*tags)).select(
+        F.col(tag_col).alias("__tag"), F.posexplode(seq).alias("pos", "token")
+    )
+    aggs = []
+    for t in tags:
+        is_t = F.col("__tag") == t
+        aggs.append(F.count(F.when(is_t, F.lit(1))).alias(f"n_{t}"))
+        aggs.append(F.count(F.when(is_t & (F.col("pos") >= 2), F.lit(1))).alias(f"v_{t}"))
+    table = checkpointed(ex.groupBy("token").agg(*aggs))
+    real = F.col("token").isNotNull()
+    stats = table.agg(
+        *[F.sum(F.when(real, F.col(f"n_{t}"))).alias(f"tot_{t}") for t in tags],
+        *[F.count(F.when(real & (F.col(f"n_{t}") > 0), F.lit(1))).alias(f"voc_{t}") for t in tags],
+        *[F.sum(F.when(~real, F.col(f"n_{t}"))).alias(f"txt_{t}") for t in tags],
+    ).first()
+    return CountMatrix(
+        table,
+        tuple(tags),
+        {t: int(stats[f"tot_{t}"] or 0) for t in tags},
+        {t: int(stats[f"voc_{t}"] or 0) for t in tags},
+        {t: int(stats[f"txt_{t}"] or 0) for t in tags},
+    )

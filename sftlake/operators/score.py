@@ -222,3 +222,26 @@ class TableScorerFactory:
             return out
 
         return score
+
+
+def score_count_matrix(matrix, eval_tag: str, base_tag: str, domain_tag: str, lam: float) -> DataFrame:
+    """Base and adapted model metrics straight from the count matrix: each token row already
+    holds its base, domain and evaluation counts, so scoring is one aggregate with no join."""
+    v = F.col(f"v_{eval_tag}")
+    rows = matrix.table.where(F.col("token").isNotNull() & (v > 0))
+    tot = rows.agg(
+        F.sum(v).alias("tokens"),
+        F.sum(v * -F.log(matrix.prob(base_tag))).alias("s_base"),
+        F.sum(v * -F.log(matrix.tuned_prob(base_tag, domain_tag, lam))).alias("s_tuned"),
+    )
+    long = tot.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("base").alias("model"), F.col("s_base").alias("s")),
+                F.struct(F.lit("tuned").alias("model"), F.col("s_tuned").alias("s")),
+            )
+        ).alias("m"),
+        F.lit(int(matrix.texts[eval_tag])).cast("long").alias("num_texts"),
+        F.coalesce(F.col("tokens"), F.lit(0)).cast("long").alias("num_tokens"),
+    )
+    return metrics_from_sums(long, "m.model", "m.s")

@@ -274,14 +274,14 @@ def scoring_texts(spark, sf_dir):
     return split.select("row_id", render_chat("messages").alias("text"), tag.alias("tag"))
 
 
-def scoring_inputs(spark, sf_dir):
-    """Both models and the evaluation counts from one tokenize pass (checkpointed)."""
-    from sftlake.operators.model import tagged_model, tagged_text_count, tagged_token_counts, tagged_valid_counts
+SCORING_TAGS = ("base", "domain", "eval")
 
-    texts = scoring_texts(spark, sf_dir)
-    tagged = tagged_token_counts(texts, "text", "tag", MAXLEN)
-    base, dom = tagged_model(tagged, "base"), tagged_model(tagged, "domain")
-    return texts, base, dom, (tagged_valid_counts(tagged, "eval"), tagged_text_count(tagged, "eval"))
+
+def scoring_matrix(spark, sf_dir):
+    """Base, domain and evaluation token counts from one tokenize pass: a token x tag matrix."""
+    from sftlake.operators.model import token_count_matrix
+
+    return token_count_matrix(scoring_texts(spark, sf_dir), "text", "tag", SCORING_TAGS, MAXLEN)
 
 
 def _r6(c):
@@ -289,12 +289,10 @@ def _r6(c):
 
 
 def _scored(spark, sf_dir, lam=0.5):
-    from sftlake.operators.model import adapt_token_model
-    from sftlake.operators.score import score_token_counts
+    from sftlake.operators.score import score_count_matrix
 
-    texts, base, dom, (eval_counts, n_eval) = scoring_inputs(spark, sf_dir)
-    adapted = adapt_token_model(base, dom, lam)
-    return score_token_counts(eval_counts, n_eval, adapted), (texts, base, dom, adapted)
+    mx = scoring_matrix(spark, sf_dir)
+    return score_count_matrix(mx, "eval", "base", "domain", lam), mx
 
 
 @register(
@@ -323,10 +321,7 @@ def q_token_model(spark, sf_dir):
     + "\nSELECT token, round(-ln(p_base), 6) AS nll_base, round(-ln(p_tuned), 6) AS nll_tuned FROM m_0",
 )
 def q_adapted_model(spark, sf_dir):
-    from sftlake.operators.model import adapt_token_model
-
-    _, base, dom, _ = scoring_inputs(spark, sf_dir)
-    t = adapt_token_model(base, dom, 0.5).table
+    t = scoring_matrix(spark, sf_dir).model_table("base", "domain", 0.5)
     return t.select(
         "token",
         F.round(-F.log("p_base"), 6).alias("nll_base"),
@@ -389,22 +384,24 @@ def q_relative_change(spark, sf_dir):
 def q_score_plugin(spark, sf_dir):
     """The same comparison through the scorer plug-in (mapInPandas): each worker loads the
     model table from the shared folder once; the table size is checked first."""
-    from sftlake.operators.model import adapt_token_model
     from sftlake.operators.score import TableScorerFactory, plugin_metrics, score_with_plugin
     from sftlake.sources.scratch import fresh_dir
 
-    texts, base, dom, _ = scoring_inputs(spark, sf_dir)
+    texts = scoring_texts(spark, sf_dir)
+    mx = scoring_matrix(spark, sf_dir)
+    table = mx.model_table("base", "domain", 0.5)
+    unk_base = 1.0 / mx.denom("base")
+    unk_tuned = 0.5 * (1.0 / mx.denom("domain")) + 0.5 * unk_base
     eval_texts = texts.where(F.col("tag") == "eval")
-    adapted = adapt_token_model(base, dom, 0.5)
     # Every worker loads the table, so its size is checked before anything is written.
     max_rows = 5_000_000
-    n_rows = adapted.table.count()
+    n_rows = table.count()
     if n_rows > max_rows:
-        raise ValueError(f"model table has {n_rows} rows; score it with score_token_counts instead")
+        raise ValueError(f"model table has {n_rows} rows; score it with score_count_matrix instead")
     path = fresh_dir(spark, "token-table")
-    adapted.table.write.parquet(path)
+    table.write.parquet(path)
     outs = []
-    for name, col, unk in (("base", "p_base", adapted.unk_base), ("tuned", "p_tuned", adapted.unk_tuned)):
+    for name, col, unk in (("base", "p_base", unk_base), ("tuned", "p_tuned", unk_tuned)):
         fac = TableScorerFactory(path, col, unk, MAXLEN, max_rows)
         per_text = score_with_plugin(eval_texts, "row_id", "text", fac, cache_key=f"{path}:{col}")
         outs.append(plugin_metrics(per_text, name))
@@ -581,16 +578,15 @@ UNION ALL SELECT 'lam_0.25', 'perplexity', round(perplexity, 6) FROM metrics2_1
 def q_metric_table(spark, sf_dir):
     """Two tuned runs scored, each summary written as a document, read back, tabulated."""
     from sftlake.operators.curves import metric_table
-    from sftlake.operators.model import adapt_token_model
-    from sftlake.operators.score import score_token_counts, summary_document
+    from sftlake.operators.score import score_count_matrix, summary_document
     from sftlake.sources.jsonl import read_metric_docs, write_metric_doc
     from sftlake.sources.scratch import fresh_dir
 
-    _, base, dom, (eval_counts, n_eval) = scoring_inputs(spark, sf_dir)
+    mx = scoring_matrix(spark, sf_dir)
     root = fresh_dir(spark, "metric-docs")
     paths = []
     for i, (lam, _) in enumerate(METRIC_RUNS):
-        m = score_token_counts(eval_counts, n_eval, adapt_token_model(base, dom, lam))
+        m = score_count_matrix(mx, "eval", "base", "domain", lam)
         p = f"{root}/run-{i}"
         write_metric_doc(summary_document(m), p)
         paths.append(p)

@@ -125,3 +125,23 @@ def test_adapt_rejects_bad_lambda(spark):
     b = fit_token_model(spark.createDataFrame([("a b",)], "text string"), "text")
     with pytest.raises(ValueError):
         adapt_token_model(b, b, 1.5)
+
+
+def test_count_matrix_scoring_matches_brute_force(spark):
+    from sftlake.operators.model import token_count_matrix
+    from sftlake.operators.score import score_count_matrix
+
+    base_txt = ["the cat and the dog", "hello world", "世界 世界 界"]
+    dom_txt = ["a b c", "the mat", "sat sat sat"]
+    eval_txt = [r.text for r in _texts(spark).collect()]
+    rows = [(t, "base") for t in base_txt] + [(t, "domain") for t in dom_txt] + [(t, "eval") for t in eval_txt]
+    texts = spark.createDataFrame(rows + [("ignored text", "other")], "text string, tag string")
+    mx = token_count_matrix(texts, "text", "tag", ("base", "domain", "eval"), 4)
+    assert mx.texts == {"base": 3, "domain": 3, "eval": 6}
+    m = {r.model: r for r in score_count_matrix(mx, "eval", "base", "domain", 0.3).collect()}
+    n, mb, mt = _brute_force(base_txt, dom_txt, eval_txt, 0.3, 4)
+    assert m["base"].num_tokens == n and m["tuned"].num_texts == 6
+    assert m["base"].mean_nll == pytest.approx(mb, abs=1e-12)
+    assert m["tuned"].mean_nll == pytest.approx(mt, abs=1e-12)
+    plan = score_count_matrix(mx, "eval", "base", "domain", 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
