@@ -689,3 +689,27 @@ def q_train_budget(spark, sf_dir):
     _, _, _, split = prepared(spark, sf_dir)
     b = train_budget(split.where(F.col("split") == "train"))
     return b.select("samples", "train_rows", _r6("share"))
+
+
+# ---------------------------------------------------------------- conversation pairs (A1)
+
+
+@register(
+    "pair_records",
+    O.with_(
+        """nx AS (
+  SELECT conv_id, turn, role, text,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
+  FROM conversations),
+a1 AS (
+  SELECT conv_id * 1000 + turn AS row_id, 't' || CAST(turn AS VARCHAR) AS kind, text AS input, next_text AS target
+  FROM nx WHERE role = 'user' AND next_role = 'assistant')""",
+        O.conv("a1", "kept"),
+    )
+    + "SELECT row_id, kind, prompt, response FROM kept",
+)
+def q_pair_records(spark, sf_dir):
+    """Conversation turns -> (user, next assistant) raw pairs -> normalised SFT records."""
+    kept = rec.convert_records(A.conversation_pairs(spark, sf_dir))
+    return kept.select("row_id", "kind", "prompt", "response")

@@ -9,7 +9,6 @@ bounded key, or aggregation over the whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sftlake.operators.ranking import ordered_running_total, quantile_bucket
@@ -50,16 +49,22 @@ def documents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: a user turn directly followed by an assistant turn; kind = 't' || turn."""
-    c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    nxt = c.select(
-        "conv_id", "turn", "role", "text",
-        F.lead("role").over(w).alias("next_role"),
-        F.lead("text").over(w).alias("next_text"),
+def conversation_pairs(spark: SparkSession, sf_dir: str, buckets: int = 16) -> DataFrame:
+    """A1: a user turn directly followed by an assistant turn; kind = 't' || turn.
+
+    "Directly followed" is the next turn in turn order within the conversation. Turns are
+    ranked inside their conversation with the two-level running count and each turn is joined
+    to the turn of rank + 1 on (conv_id, rank): a unique key, so a huge conversation is
+    spread over many tasks instead of one window."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    c = quantile_bucket(c.withColumn("__t", F.col("turn").cast("double")), "__t", "__b", buckets)
+    ranked = ordered_running_total(c, by=["conv_id"], bucket="__b", order=["turn"], out="rk").drop("__t", "__b")
+    users = ranked.where(F.col("role") == "user")
+    nxt = ranked.where(F.col("role") == "assistant").select(
+        F.col("conv_id").alias("n_conv"), (F.col("rk") - 1).alias("n_rk"), F.col("text").alias("next_text")
     )
-    return nxt.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
+    pairs = users.join(nxt, (users["conv_id"] == nxt["n_conv"]) & (users["rk"] == nxt["n_rk"]), "inner")
+    return pairs.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
         F.concat(F.lit("t"), F.col("turn").cast("string")).alias("kind"),
         F.col("text").alias("input"),

@@ -88,4 +88,7 @@ def write_report(blocks: DataFrame, path: str, title: str) -> None:
     head = spark.createDataFrame([(None, title)], "pos long, block string")
     doc = head.unionByName(blocks.select(F.col("pos").cast("long"), "block"))
     ordered = doc.repartitionByRange(F.col("pos").asc_nulls_first()).sortWithinPartitions(F.col("pos").asc_nulls_first())
-    ordered.select(F.col("block").alias("value")).write.mode("overwrite").option("lineSep", "").text(path)
+    # The text sink ends every row with "\n"; blocks already end with one, so it is dropped first.
+    b = F.col("block")
+    value = F.when(b.endswith("\n"), F.expr("substring(block, 1, length(block) - 1)")).otherwise(b)
+    ordered.select(value.alias("value")).write.mode("overwrite").text(path)

@@ -111,3 +111,58 @@ def test_queries_run_on_mid_scale(spark, name):
     from sftlake.plans.queries import QUERIES
 
     assert QUERIES[name](spark, SF_MID).count() > 0
+
+
+def test_write_report_title_then_blocks_in_order(spark, tmp_out):
+    from sftlake.operators.align import REPORT_TITLE, before_after, report_block
+    from sftlake.sources.jsonl import write_report
+
+    rows = [(p, f"P{p:03d}", "g", f"prompt {p}", f"base {p}", f"tuned {p}") for p in (30, 10, 20)]
+    df = spark.createDataFrame(rows, "pos long, id string, group string, prompt string, base_output string, tuned_output string")
+    blocks = before_after(df).select("pos", report_block().alias("block"))
+    out = f"{tmp_out}/report"
+    write_report(blocks, out, REPORT_TITLE)
+    doc = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{out}/part-*")))
+    assert doc.startswith("# Before vs After (OFT)\n\n## P010 - g\n\n**Prompt**\n\nprompt 10\n\n")
+    assert doc.index("## P010") < doc.index("## P020") < doc.index("## P030")
+    assert doc.count("# Before vs After") == 1 and doc.endswith("**OFT Output**\n\ntuned 30\n\n")
+
+
+@pytest.mark.parametrize("n,expect", [(None, 200), (0, 200), (1, 1), (10_000, 200)])
+def test_prepare_max_samples_edges(spark, tmp_out, n, expect):
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.adapters import documents_raw
+
+    meta = prepare(documents_raw(spark, SF_SMALL), f"{tmp_out}/m{n}", max_samples=n)
+    assert meta["total_raw"] == expect
+    assert meta["max_samples"] == (n if n else None)
+
+
+def test_prepare_rejects_bad_ratios_before_planning(spark, tmp_out):
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.adapters import documents_raw
+
+    with pytest.raises(ValueError):
+        prepare(documents_raw(spark, SF_SMALL), tmp_out, train_ratio=0.95, val_ratio=0.05)
+
+
+def test_evaluate_job_writes_summary(spark, tmp_out):
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.model import fit_token_model
+    from sftlake.plans.evaluate import flat_summary, token_loss_summary
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.adapters import documents_raw
+    from sftlake.sources.jsonl import SUMMARY_SCHEMA
+
+    prepare(documents_raw(spark, SF_SMALL), tmp_out)
+    splits = read_splits(spark, f"{tmp_out}/splits")
+    train = splits.where("split = 'train'").select(render_chat("messages").alias("text"))
+    base = fit_token_model(train.where(~F.col("text").contains("the")), "text")
+    dom = fit_token_model(train, "text")
+    test = read_splits(spark, f"{tmp_out}/splits", ("test",))
+    doc = token_loss_summary(test, base, dom, lam=0.5, max_samples=5, output_path=f"{tmp_out}/summary")
+    r = flat_summary(doc).first()
+    assert r.num_samples == min(5, test.count())
+    assert r.delta_mean_nll == pytest.approx(r.tuned_nll - r.base_nll)
+    back = spark.read.schema(SUMMARY_SCHEMA).json(f"{tmp_out}/summary").first()
+    assert back.num_samples == r.num_samples and back.oft.mean_nll == pytest.approx(r.tuned_nll)
