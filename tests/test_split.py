@@ -168,3 +168,18 @@ def test_head_rows_large_path_equals_topk(spark):
     small = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"]).collect()}
     big = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"], topk_max=10, buckets=17).collect()}
     assert small == big == set(range(1234))
+
+
+def test_hot_stratum_is_spread_over_bounded_window_partitions(spark):
+    """A stratum with a third of all rows is ranked in many (kind, bucket) windows of about
+    bucket_rows rows each, never in one task."""
+    records = _records(spark, {"hot": 1500, **{f"k{i}": 100 for i in range(30)}})
+    sizes = spl.stratum_sizes(records, 0.9, 0.05)
+    bucket_rows = 50
+    d = records.join(sizes, "kind").withColumn("h", spl.seeded_hash(42, "row_id"))
+    d = d.withColumn("b", hash_bucket("h", spl._bucket_count(F.col("n"), bucket_rows)))
+    per = {(r.kind, r.b): r.c for r in d.groupBy("kind", "b").agg(F.count(F.lit(1)).alias("c")).collect()}
+    hot = [c for (k, _), c in per.items() if k == "hot"]
+    assert len(hot) == 30 and max(hot) <= 3 * bucket_rows and sum(hot) == 1500
+    plan = spl.assign_splits(records, sizes, bucket_rows=bucket_rows)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(kind" in plan and "__b" in plan
