@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,7 +45,6 @@ def py_tokenize(text: str) -> list[str]:
 
 def plugin_tokenize(fn: Callable[[list[str]], list[list[str]]]):
     """Wrap a batch tokenizer ``list[str] -> list[list[str]]`` as a pandas UDF."""
-    import pandas as pd
 
     @F.pandas_udf("array<string>")
     def _tok(s: pd.Series) -> pd.Series:

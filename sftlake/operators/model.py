@@ -79,51 +79,6 @@ def adapt_token_model(base: TokenModel, domain: TokenModel, lam: float) -> Adapt
     return AdaptedModel(table, base.unk_p, unk_tuned, float(lam))
 
 
-def tagged_token_counts(
-    texts: DataFrame, text_col: str, tag_col: str, max_length: int | None = DEFAULT_MAX_LENGTH
-) -> DataFrame:
-    """One tokenize/explode pass for several token tables at once.
-
-    Output: tag, token, n (occurrences in the truncated sequence), n_valid (occurrences at
-    scored positions, i.e. not first). A null sentinel is exploded in front of every text,
-    so the row (tag, token=null) carries the number of texts of that tag. Checkpointed."""
-    toks = tokenize(text_col)
-    if max_length:
-        toks = truncate(toks, max_length)
-    seq = F.concat(F.array(F.lit(None).cast("string")), toks)
-    ex = texts.where(F.col(tag_col).isNotNull()).select(
-        F.col(tag_col).alias("tag"), F.posexplode(seq).alias("pos", "token")
-    )
-    agg = ex.groupBy("tag", "token").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("pos") >= 2, F.lit(1))).alias("n_valid"),
-    )
-    return checkpointed(agg)
-
-
-def model_from_counts(counts: DataFrame) -> TokenModel:
-    """A TokenModel from a (token, n) table that is already materialised."""
-    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("vocab")).first()
-    return TokenModel(counts, int(row["total"] or 0), int(row["vocab"] or 0))
-
-
-def tagged_model(tagged: DataFrame, tag: str) -> TokenModel:
-    return model_from_counts(
-        tagged.where((F.col("tag") == tag) & F.col("token").isNotNull()).select("token", "n")
-    )
-
-
-def tagged_text_count(tagged: DataFrame, tag: str) -> int:
-    r = tagged.where((F.col("tag") == tag) & F.col("token").isNull()).agg(F.sum("n")).first()[0]
-    return int(r or 0)
-
-
-def tagged_valid_counts(tagged: DataFrame, tag: str) -> DataFrame:
-    """token, cnt: scored occurrences of each token in the texts of ``tag``."""
-    t = tagged.where((F.col("tag") == tag) & F.col("token").isNotNull() & (F.col("n_valid") > 0))
-    return t.select("token", F.col("n_valid").alias("cnt"))
-
-
 # ---------------------------------------------------------------- count matrix (join-free path)
 
 

@@ -169,9 +169,10 @@ def q_head_sample(spark, sf_dir):
 ORDER BY md5('{SEED}:order:' || row_id::VARCHAR), row_id LIMIT 20""",
 )
 def q_test_slice(spark, sf_dir):
+    from sftlake.plans.evaluate import test_slice
+
     _, _, _, split = prepared(spark, sf_dir)
-    t = split.where(F.col("split") == "test").withColumn("order_hash", spl.seeded_hash(SEED, "row_id", "order"))
-    return spl.head_rows(t, 20, ["order_hash", "row_id"]).select("row_id")
+    return test_slice(split.where(F.col("split") == "test"), 20, seed=SEED).select("row_id")
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:

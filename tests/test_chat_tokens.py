@@ -88,3 +88,12 @@ def test_truncate_and_valid_counts(spark):
         valid_token_count(F.size(tokenize("t")), 8).alias("valid"),
     ).collect()
     assert [(r.kept, r.valid) for r in out] == [(0, 0), (1, 0), (8, 7), (8, 7)]
+
+
+def test_plugin_tokenizer_equals_bundled(spark):
+    from sftlake.functions.tokens import plugin_tokenize
+
+    tok = plugin_tokenize(lambda texts: [py_tokenize(t) for t in texts])
+    df = spark.createDataFrame([("Hello 世界 x,y\tZ",), ("",), ("Été  déjà",)], "t string")
+    rows = df.select(tok("t").alias("a"), tokenize("t").alias("b")).collect()
+    assert all(list(r.a) == list(r.b) for r in rows)

@@ -183,3 +183,12 @@ def test_hot_stratum_is_spread_over_bounded_window_partitions(spark):
     assert len(hot) == 30 and max(hot) <= 3 * bucket_rows and sum(hot) == 1500
     plan = spl.assign_splits(records, sizes, bucket_rows=bucket_rows)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(kind" in plan and "__b" in plan
+
+
+def test_test_slice_large_path_equals_topk(spark):
+    from sftlake.plans.evaluate import test_slice as slice_of_test
+
+    df = spark.range(5000).select(F.col("id").alias("row_id"))
+    a = [r.row_id for r in slice_of_test(df, 300).collect()]
+    b = [r.row_id for r in slice_of_test(df, 300, topk_max=10).collect()]
+    assert sorted(a) == sorted(b) and len(a) == 300
