@@ -166,3 +166,33 @@ def test_evaluate_job_writes_summary(spark, tmp_out):
     assert r.delta_mean_nll == pytest.approx(r.tuned_nll - r.base_nll)
     back = spark.read.schema(SUMMARY_SCHEMA).json(f"{tmp_out}/summary").first()
     assert back.num_samples == r.num_samples and back.oft.mean_nll == pytest.approx(r.tuned_nll)
+
+
+def test_alignment_join_keys_include_position(spark):
+    """The first-match lookup joins on (id, pos): a hot id can never gather in one task."""
+    from sftlake.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["before_after_dup"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    smj = plan[plan.index("SortMergeJoin"):].split("\n")[0]
+    assert "pos" in smj and "__first" in smj
+
+
+def test_ranked_steps_never_use_a_single_partition_window(spark):
+    from sftlake.sources.adapters import event_log_entries
+
+    plan = _plan(event_log_entries(spark, SF_SMALL))
+    assert "SinglePartition" not in plan
+    assert "hashpartitioning(run" in plan and "_b" in plan
+
+
+def test_scoring_matrix_is_one_pass(spark):
+    from sftlake.plans.queries import _scored
+
+    m, _ = _scored(spark, SF_SMALL)
+    plan = _plan(m)
+    assert "Join" not in plan and "Scan ExistingRDD" in plan  # reads the checkpointed matrix only
