@@ -289,6 +289,12 @@ def _r6(c):
     return F.round(F.col(c), 6).alias(c)
 
 
+def _r_ppl(c):
+    """Perplexity is exp(mean NLL): summation-order noise in the mean (~1e-11 relative) grows
+    to ~1e-6 absolute at perplexities near 1e5, so it is compared at 2 decimals."""
+    return F.round(F.col(c), 2).alias(c)
+
+
 def _scored(spark, sf_dir, lam=0.5):
     from sftlake.operators.score import score_count_matrix
 
@@ -335,11 +341,11 @@ def q_adapted_model(spark, sf_dir):
     O.PREP
     + ",\n"
     + O.scoring_ctes()
-    + "\nSELECT model, num_texts, num_tokens, round(mean_nll, 6) AS mean_nll, round(perplexity, 6) AS perplexity FROM metrics2_0",
+    + "\nSELECT model, num_texts, num_tokens, round(mean_nll, 6) AS mean_nll, round(perplexity, 2) AS perplexity FROM metrics2_0",
 )
 def q_token_nll(spark, sf_dir):
     m, _ = _scored(spark, sf_dir)
-    return m.select("model", "num_texts", "num_tokens", _r6("mean_nll"), _r6("perplexity"))
+    return m.select("model", "num_texts", "num_tokens", _r6("mean_nll"), _r_ppl("perplexity"))
 
 
 @register(
@@ -570,11 +576,11 @@ METRIC_RUNS = ((0.5, "lam_0.5"), (0.25, "lam_0.25"))
     + O.scoring_ctes(tuple(l for l, _ in METRIC_RUNS))
     + """
 SELECT 'Base' AS label, 'mean_nll' AS metric, round(mean_nll, 6) AS value FROM metrics2_0 WHERE model = 'base'
-UNION ALL SELECT 'Base', 'perplexity', round(perplexity, 6) FROM metrics2_0 WHERE model = 'base'
+UNION ALL SELECT 'Base', 'perplexity', round(perplexity, 2) FROM metrics2_0 WHERE model = 'base'
 UNION ALL SELECT 'lam_0.5', 'mean_nll', round(mean_nll, 6) FROM metrics2_0 WHERE model = 'tuned'
-UNION ALL SELECT 'lam_0.5', 'perplexity', round(perplexity, 6) FROM metrics2_0 WHERE model = 'tuned'
+UNION ALL SELECT 'lam_0.5', 'perplexity', round(perplexity, 2) FROM metrics2_0 WHERE model = 'tuned'
 UNION ALL SELECT 'lam_0.25', 'mean_nll', round(mean_nll, 6) FROM metrics2_1 WHERE model = 'tuned'
-UNION ALL SELECT 'lam_0.25', 'perplexity', round(perplexity, 6) FROM metrics2_1 WHERE model = 'tuned'""",
+UNION ALL SELECT 'lam_0.25', 'perplexity', round(perplexity, 2) FROM metrics2_1 WHERE model = 'tuned'""",
 )
 def q_metric_table(spark, sf_dir):
     """Two tuned runs scored, each summary written as a document, read back, tabulated."""
@@ -595,7 +601,8 @@ def q_metric_table(spark, sf_dir):
         "idx", F.regexp_extract("path", r"/run-(\d+)/", 1).cast("int")
     )
     t = metric_table(docs, {i: label for i, (_, label) in enumerate(METRIC_RUNS)})
-    return t.select("label", "metric", _r6("value"))
+    digits = F.when(F.col("metric") == "perplexity", F.round("value", 2)).otherwise(F.round("value", 6))
+    return t.select("label", "metric", digits.alias("value"))
 
 
 # ---------------------------------------------------------------- JSONL sinks and scans
