@@ -92,3 +92,21 @@ def write_report(blocks: DataFrame, path: str, title: str) -> None:
     b = F.col("block")
     value = F.when(b.endswith("\n"), F.expr("substring(block, 1, length(block) - 1)")).otherwise(b)
     ordered.select(value.alias("value")).write.mode("overwrite").text(path)
+
+
+RAW_FIELDS = "kind string, input string, target string"
+
+
+def read_raw_records(spark: SparkSession, path: str, fmt: str = "json", id_col: str | None = None) -> DataFrame:
+    """A raw instruction dataset (JSON lines or parquet) -> row_id, kind, input, target.
+
+    Fields are read as strings (other JSON types would be stringified differently from the
+    reference, so a string schema is enforced). Without an id column, ``row_id`` is assigned
+    right at the scan with monotonically_increasing_id: it grows in file-then-line order, so
+    "the first N records" keeps dataset order, and a recomputed task gets the same ids for the
+    same input files and split size."""
+    schema = RAW_FIELDS + (f", {id_col} long" if id_col else "")
+    reader = spark.read.schema(schema)
+    df = reader.option("mode", "FAILFAST").json(path) if fmt == "json" else reader.format(fmt).load(path)
+    rid = F.col(id_col) if id_col else F.monotonically_increasing_id()
+    return df.select(rid.alias("row_id"), "kind", "input", "target")

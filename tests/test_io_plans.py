@@ -196,3 +196,19 @@ def test_scoring_matrix_is_one_pass(spark):
     m, _ = _scored(spark, SF_SMALL)
     plan = _plan(m)
     assert "Join" not in plan and "Scan ExistingRDD" in plan  # reads the checkpointed matrix only
+
+
+def test_raw_dataset_reader_ids_follow_file_order(spark, tmp_out):
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.jsonl import read_raw_records
+
+    p = os.path.join(tmp_out, "raw.jsonl")
+    with open(p, "w", encoding="utf-8") as f:
+        for i in range(30):
+            f.write(json.dumps({"kind": f"k{i % 3}", "input": f"q{i}", "target": None if i == 4 else f"a{i}"}) + "\n")
+    raw = read_raw_records(spark, p)
+    rows = raw.collect()
+    assert [r.input for r in rows] == [f"q{i}" for i in range(30)]
+    assert [r.row_id for r in rows] == sorted(r.row_id for r in rows)
+    meta = prepare(raw, f"{tmp_out}/out", max_samples=10)
+    assert (meta["total_raw"], meta["total_kept"]) == (10, 9)
