@@ -86,7 +86,7 @@ class TunedRuleGenerator:
 
         ws = re.compile(r"[\t\n\x0b\x0c\r ]+")
 
-        def gen(prompts: list[str]) -> list[str]:
+        def gen(prompts: list[str], **_params) -> list[str]:
             return [ws.sub(" ", p).lower() for p in prompts]
 
         return gen
@@ -94,16 +94,29 @@ class TunedRuleGenerator:
 
 _GEN_CACHE: dict = {}
 
+GeneratorFactory = Callable[[], Callable[..., list[str]]]
+
+
+def _model_input(prompts: DataFrame, prompt_col: str, render_template: bool) -> Column:
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.records import user_turn
+
+    return render_chat(user_turn(prompt_col), add_generation_prompt=True) if render_template else F.col(prompt_col)
+
 
 def generate(
     prompts: DataFrame,
     id_col: str,
     prompt_col: str,
-    factory: Callable[[], Callable[[list[str]], list[str]]],
+    factory: GeneratorFactory,
     cache_key: str,
+    render_template: bool = False,
+    **gen_params,
 ) -> DataFrame:
     """One output per prompt from a user generator run over Arrow batches (loaded once per
-    Python worker). Outputs are stripped like decoded model text. Returns id, output."""
+    Python worker). With ``render_template`` the generator sees the chat-rendered prompt with
+    the generation suffix (rendered JVM-side). ``gen_params`` (max_new_tokens, temperature,
+    top_p, ...) are passed through. Outputs are stripped like decoded text. Returns id, output."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,8 +124,39 @@ def generate(
         if gen is None:
             gen = _GEN_CACHE[cache_key] = factory()
         for pdf in batches:
-            outs = gen(pdf[prompt_col].fillna("").tolist())
+            outs = gen(pdf["__input"].fillna("").tolist(), **gen_params)
             yield pd.DataFrame({id_col: pdf[id_col].values, "output": [o.strip() for o in outs]})
 
     id_type = dict(prompts.dtypes)[id_col]
-    return prompts.select(id_col, prompt_col).mapInPandas(run, f"{id_col} {id_type}, output string")
+    src = prompts.select(id_col, _model_input(prompts, prompt_col, render_template).alias("__input"))
+    return src.mapInPandas(run, f"{id_col} {id_type}, output string")
+
+
+def generate_before_after(
+    prompts: DataFrame,
+    base_factory: GeneratorFactory,
+    tuned_factory: GeneratorFactory,
+    cache_key: str,
+    render_template: bool = False,
+    **gen_params,
+) -> DataFrame:
+    """prompts (pos, id, group, prompt) -> aligned before/after rows. Both generators run in
+    the same pass over the prompts (each worker loads both once); alignment as ``before_after``."""
+    import pandas as pd
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key_b, key_t = f"{cache_key}:base", f"{cache_key}:tuned"
+        if key_b not in _GEN_CACHE:
+            _GEN_CACHE[key_b] = base_factory()
+        if key_t not in _GEN_CACHE:
+            _GEN_CACHE[key_t] = tuned_factory()
+        for pdf in batches:
+            inputs = pdf["__input"].fillna("").tolist()
+            out = pdf.drop(columns=["__input"])
+            out["base_output"] = [o.strip() for o in _GEN_CACHE[key_b](inputs, **gen_params)]
+            out["tuned_output"] = [o.strip() for o in _GEN_CACHE[key_t](inputs, **gen_params)]
+            yield out
+
+    src = prompts.select("pos", "id", "group", "prompt", _model_input(prompts, "prompt", render_template).alias("__input"))
+    schema = "pos long, id string, group string, prompt string, base_output string, tuned_output string"
+    return before_after(src.mapInPandas(run, schema))

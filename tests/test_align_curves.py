@@ -98,3 +98,25 @@ def test_compare_and_summary(spark):
     assert c == {("main", "train"): (2, 3.0, 2.0), ("main", "eval"): (1, 2.5, 2.5), ("r1", "train"): (1, 4.0, 4.0)}
     s = {(r.run, r.metric): r.value for r in run_summary(pts).collect()}
     assert s[("r0", "train_loss")] == 2.5 and s[("r0", "eval_loss")] == 2.5 and s[("r1", "eval_points")] == 0.0
+
+
+def test_generate_before_after_one_pass(spark):
+    from sftlake.operators.align import generate, generate_before_after
+
+    def echo_factory():
+        def gen(prompts, max_new_tokens=256, **_):
+            return [" " + p[-max_new_tokens:] + " " for p in prompts]
+
+        return gen
+
+    def upper_factory():
+        return lambda prompts, **_: [p.upper() for p in prompts]
+
+    rows = [(1, "a", "g", "x y"), (2, "a", "g", "z"), (3, "b", None, "w")]
+    prompts = spark.createDataFrame(rows, "pos long, id string, group string, prompt string")
+    out = {r.pos: r for r in generate_before_after(prompts, echo_factory, upper_factory, "t1").collect()}
+    assert out[1].base_output == "x y" and out[1].tuned_output == "Z"  # first 'a' gets the last 'a'
+    assert out[2].tuned_output == "" and out[3].group == "unknown" and out[3].tuned_output == "W"
+    g = {r.id: r.output for r in generate(prompts.where("pos = 3"), "id", "prompt", echo_factory, "t2",
+                                           render_template=True, max_new_tokens=33).collect()}
+    assert g["b"] == "<|im_end|>\n<|im_start|>assistant"  # last 33 chars of the rendered prompt, stripped
