@@ -55,3 +55,38 @@ def flat_summary(doc: DataFrame) -> DataFrame:
         F.col("oft.mean_nll").alias("tuned_nll"),
         "delta_mean_nll",
     )
+
+
+def compare_on_splits(
+    splits_dir: str,
+    base_texts: DataFrame,
+    lam: float = 0.5,
+    max_length: int = DEFAULT_MAX_LENGTH,
+    max_samples: int | None = 1000,
+    seed: int = 42,
+    output_path: str | None = None,
+) -> DataFrame:
+    """The token-loss evaluation on prepared split files, end to end.
+
+    base model   <- ``base_texts`` (column ``text``), the stand-in for the pretrained model;
+    domain model <- the rendered train split (the stand-in for fine-tuning);
+    evaluation   <- the first ``max_samples`` rows of the shuffled test split, rendered.
+    All three feed one token x tag count pass; both models are scored in one aggregate.
+    Only the train and test directories are read (partition pruning)."""
+    from sftlake.operators.model import token_count_matrix
+    from sftlake.operators.score import score_count_matrix
+    from sftlake.sources.jsonl import read_splits
+
+    spark = base_texts.sparkSession
+    train = read_splits(spark, splits_dir, ("train",)).select(render_chat("messages").alias("text"))
+    test = test_slice(read_splits(spark, splits_dir, ("test",)), max_samples, seed)
+    tagged = (
+        base_texts.select(F.col("text"), F.lit("base").alias("tag"))
+        .unionByName(train.select("text", F.lit("domain").alias("tag")))
+        .unionByName(test.select(render_chat("messages").alias("text"), F.lit("eval").alias("tag")))
+    )
+    mx = token_count_matrix(tagged, "text", "tag", ("base", "domain", "eval"), max_length)
+    doc = summary_document(score_count_matrix(mx, "eval", "base", "domain", lam))
+    if output_path:
+        write_metric_doc(doc, output_path)
+    return doc

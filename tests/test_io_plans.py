@@ -212,3 +212,24 @@ def test_raw_dataset_reader_ids_follow_file_order(spark, tmp_out):
     assert [r.row_id for r in rows] == sorted(r.row_id for r in rows)
     meta = prepare(raw, f"{tmp_out}/out", max_samples=10)
     assert (meta["total_raw"], meta["total_kept"]) == (10, 9)
+
+
+def test_compare_on_splits_equals_separate_models(spark, tmp_out):
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.model import fit_token_model
+    from sftlake.plans.evaluate import compare_on_splits, flat_summary, token_loss_summary
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.adapters import documents_raw, table
+
+    prepare(documents_raw(spark, SF_SMALL), tmp_out)
+    base_texts = table(spark, SF_SMALL, "benchmark").select("text")
+    one = flat_summary(compare_on_splits(f"{tmp_out}/splits", base_texts, lam=0.4, max_samples=7,
+                                         output_path=f"{tmp_out}/cmp")).first()
+    train = read_splits(spark, f"{tmp_out}/splits", ("train",)).select(render_chat("messages").alias("text"))
+    two = flat_summary(token_loss_summary(read_splits(spark, f"{tmp_out}/splits", ("test",)),
+                                          fit_token_model(base_texts, "text"), fit_token_model(train, "text"),
+                                          lam=0.4, max_samples=7)).first()
+    assert one.num_samples == two.num_samples == 7
+    assert one.base_nll == pytest.approx(two.base_nll, abs=1e-12)
+    assert one.tuned_nll == pytest.approx(two.tuned_nll, abs=1e-12)
+    assert one.delta_mean_nll == pytest.approx(one.tuned_nll - one.base_nll)
