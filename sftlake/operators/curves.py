@@ -91,3 +91,18 @@ def metric_table(docs: DataFrame, labels: dict[int, str], base_label: str = "Bas
     first = docs.where(F.col("idx") == 0).select(F.explode(rows(F.lit(base_label), "base")).alias("r"))
     tuned = docs.select(F.explode(rows(lab[F.col("idx")], "oft")).alias("r"))
     return first.unionByName(tuned).select("r.label", "r.metric", "r.value")
+
+
+def loss_curves(spark, state_paths: list[str], labels: list[str] | None = None) -> DataFrame:
+    """Trainer-state documents -> label, run_path, series, step, loss, for one or several runs.
+
+    Labels follow the reference rule (given labels by position, padded with each run's
+    parent directory name, surplus dropped)."""
+    from sftlake.sources.jsonl import read_trainer_states
+
+    entries = read_trainer_states(spark, list(state_paths))
+    pts = loss_points(entries.withColumnRenamed("run_path", "run"))
+    # input_file_name() yields URIs; map each given path to its label by its normalised URI.
+    uris = [p if "://" in p or p.startswith("file:") else "file://" + p for p in state_paths]
+    mapping = dict(zip(uris, resolve_labels(list(state_paths), labels)))
+    return label_runs(pts, mapping).withColumnRenamed("run", "run_path").select("label", "run_path", "series", "step", "loss")

@@ -69,8 +69,7 @@ PREP_DIRTY = with_(A3, conv("a3", "kept"), split_ctes("kept"))
 
 # ---------------------------------------------------------------- chat / tokens
 
-IM_S, IM_E = "<|im_start|>", "<|im_end|>"
-DEFAULT_SYSTEM = "You are Qwen, created by Alibaba Cloud. You are a helpful assistant."
+from sftlake.functions.chat import DEFAULT_SYSTEM, IM_END as IM_E, IM_START as IM_S  # noqa: E402  (fixed values)
 TOKEN_RE = r"(\p{Han}|[^\x{9}-\x{d}\x{20}\p{Han}]+)"
 NL = "chr(10)"
 

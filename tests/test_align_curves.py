@@ -120,3 +120,12 @@ def test_generate_before_after_one_pass(spark):
     g = {r.id: r.output for r in generate(prompts.where("pos = 3"), "id", "prompt", echo_factory, "t2",
                                            render_template=True, max_new_tokens=33).collect()}
     assert g["b"] == "<|im_end|>\n<|im_start|>assistant"  # last 33 chars of the rendered prompt, stripped
+
+
+def test_loss_curves_from_state_documents(spark, tmp_out):
+    from sftlake.operators.curves import loss_curves
+
+    p1 = _write_state(tmp_out, "run_main", {"log_history": [{"step": 10, "loss": 2.0}, {"step": 10, "eval_loss": 1.9}]})
+    p2 = _write_state(tmp_out, "run_ablation", {"log_history": [{"step": 10, "loss": 2.5}]})
+    got = sorted((r.label, r.series, r.step, r.loss) for r in loss_curves(spark, [p1, p2], ["block 32"]).collect())
+    assert got == [("block 32", "eval", 10, 1.9), ("block 32", "train", 10, 2.0), ("run_ablation", "train", 10, 2.5)]
