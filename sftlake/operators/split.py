@@ -3,13 +3,16 @@
 Per stratum of n rows: n_train = floor(n * train), n_val = floor(n * val); when n >= 3 both
 are at least 1 and, if n_train + n_val >= n, n_val = max(1, n - n_train - 1); the rest is test.
 Rows are ranked inside their stratum by md5(seed ':' key) (tie-break key), so the split is
-fixed by the seed and independent of partitioning. Ranking is two-level (see ranking.py):
-no task ever sorts a whole stratum.
+fixed by the seed and independent of partitioning. Ranking is two-level: one aggregate counts
+rows per (stratum, hash cell), and the final rank is a window over (stratum, cell) only, so no
+task ever sorts a whole stratum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftlake.operators.ranking import hash_bucket, ordered_running_total, quantile_bucket
@@ -17,7 +20,6 @@ from sftlake.sources.scratch import checkpointed
 
 SPLITS = ("train", "val", "test")
 DEFAULT_BUCKET_ROWS = 1 << 20
-BROADCAST_MAX_GROUPS = 1_000_000
 
 
 def check_ratios(train_ratio: float, val_ratio: float) -> None:
@@ -57,40 +59,101 @@ def _bucket_count(n_col: Column, bucket_rows: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n_col / F.lit(float(bucket_rows)))).cast("long")
 
 
+CELL_DIGITS = 4  # hash cells per stratum: 16^4 = 65,536
+
+
+def hash_cell(hex_hash, digits: int = CELL_DIGITS) -> Column:
+    """Cell of a hex digest: its leading ``digits`` hex digits as a number (monotone in the digest)."""
+    h = F.col(hex_hash) if isinstance(hex_hash, str) else hex_hash
+    return F.conv(F.substring(h, 1, digits), 16, 10).cast("long")
+
+
+@dataclass
+class SplitPlan:
+    """Everything the split needs, from one pass over the records.
+
+    cells:   by, cell, c   rows per (stratum, hash cell); cell -1 counts dropped rows (checkpointed)
+    sizes:   by, n, n_train, n_val, n_test
+    offsets: by, __cell, __off, n_train, n_val   rows of the stratum in earlier cells
+    """
+
+    cells: DataFrame
+    sizes: DataFrame
+    offsets: DataFrame
+    by: str
+
+    def totals(self) -> dict[str, int]:
+        """raw, kept, train, val, test (small aggregates of the checkpointed cell table)."""
+        c = self.cells.agg(
+            F.sum("c").alias("raw"), F.sum(F.when(F.col("cell") >= 0, F.col("c"))).alias("kept")
+        ).first()
+        t = self.sizes.agg(F.sum("n_train").alias("train"), F.sum("n_val").alias("val"), F.sum("n_test").alias("test")).first()
+        return {k: int(v or 0) for k, v in {**c.asDict(), **t.asDict()}.items()}
+
+
+def plan_split(
+    records: DataFrame,
+    train_ratio: float = 0.9,
+    val_ratio: float = 0.05,
+    seed: int = 42,
+    by: str = "kind",
+    key: str = "row_id",
+    kept: str | None = None,
+    cell_digits: int = CELL_DIGITS,
+) -> SplitPlan:
+    """One aggregate over the records: rows per (stratum, hash cell), checkpointed.
+
+    Stratum sizes are its per-stratum sums; the rank offset of a cell is the number of rows of
+    its stratum in lower cells. Partial aggregation folds a hot stratum map-side, and the table
+    has at most min(rows, strata x 16^cell_digits) rows. With ``kept``, rows whose flag is false
+    are counted in cell -1 (for metadata) and take no part in the split."""
+    check_ratios(train_ratio, val_ratio)
+    cell = hash_cell(seeded_hash(seed, key), cell_digits)
+    if kept:
+        cell = F.when(F.col(kept), cell).otherwise(F.lit(-1).cast("long"))
+    cells = checkpointed(records.groupBy(by, cell.alias("cell")).agg(F.count(F.lit(1)).alias("c")))
+    kept_cells = cells.where(F.col("cell") >= 0)
+    sizes = split_sizes(kept_cells.groupBy(by).agg(F.sum("c").alias("n")), train_ratio, val_ratio)
+    w = Window.partitionBy(by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = kept_cells.select(
+        by, F.col("cell").alias("__cell"), F.coalesce(F.sum("c").over(w), F.lit(0)).alias("__off")
+    ).join(sizes.select(by, "n_train", "n_val"), by)
+    return SplitPlan(cells, sizes, offsets, by)
+
+
 def stratum_sizes(records: DataFrame, train_ratio: float, val_ratio: float, by: str = "kind") -> DataFrame:
     """Stratum sizes with the split rule applied, checkpointed (it is small and reused)."""
     counts = records.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     return checkpointed(split_sizes(counts, train_ratio, val_ratio))
 
 
-def _small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a materialised small table only after its row count is checked."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def assign_splits(
     records: DataFrame,
-    sizes: DataFrame,
+    plan: SplitPlan,
     seed: int = 42,
-    by: str = "kind",
     key: str = "row_id",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    max_broadcast_groups: int = BROADCAST_MAX_GROUPS,
+    cell_digits: int = CELL_DIGITS,
 ) -> DataFrame:
-    """Rank rows inside each stratum and slice the ranks into splits.
+    """Rank kept rows inside their stratum by (hash, key) and slice the ranks into splits.
 
+    The rank is the cell offset plus the row number inside the (stratum, cell) window; the join
+    with the offsets and the window share the hash partitioning on (stratum, cell), so the big
+    side is shuffled once and a stratum holding a third of all rows is spread over up to 16^4
+    cells. ``records`` must hold the kept rows only (the ones the plan counted in cells >= 0).
     Adds split_hash, stratum_rank and split."""
-    s = _small(sizes.select(by, "n", "n_train", "n_val"), max_broadcast_groups)
-    d = records.join(s, on=by, how="inner").withColumn("split_hash", seeded_hash(seed, key))
-    d = d.withColumn("__b", hash_bucket("split_hash", _bucket_count(F.col("n"), bucket_rows)))
-    r = ordered_running_total(d, by=[by], bucket="__b", order=["split_hash", key], out="stratum_rank")
+    by = plan.by
+    d = records.withColumn("split_hash", seeded_hash(seed, key))
+    d = d.withColumn("__cell", hash_cell("split_hash", cell_digits))
+    j = d.join(plan.offsets, on=[by, "__cell"], how="inner")
+    w = Window.partitionBy(by, "__cell").orderBy("split_hash", key)
+    r = j.withColumn("stratum_rank", F.col("__off") + F.row_number().over(w))
     rank = F.col("stratum_rank")
     split = (
         F.when(rank <= F.col("n_train"), "train")
         .when(rank <= F.col("n_train") + F.col("n_val"), "val")
         .otherwise("test")
     )
-    return r.withColumn("split", split).drop("__b", "n", "n_train", "n_val")
+    return r.withColumn("split", split).drop("__cell", "__off", "n_train", "n_val")
 
 
 def stratified_split(
@@ -100,12 +163,11 @@ def stratified_split(
     seed: int = 42,
     by: str = "kind",
     key: str = "row_id",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    cell_digits: int = CELL_DIGITS,
 ) -> DataFrame:
     """records -> records + split_hash, stratum_rank, split."""
-    check_ratios(train_ratio, val_ratio)
-    sizes = stratum_sizes(records, train_ratio, val_ratio, by)
-    return assign_splits(records, sizes, seed, by, key, bucket_rows)
+    plan = plan_split(records, train_ratio, val_ratio, seed, by, key, cell_digits=cell_digits)
+    return assign_splits(records, plan, seed, key, cell_digits)
 
 
 def split_totals(sizes: DataFrame) -> DataFrame:
@@ -142,17 +204,17 @@ def split_audit(split_df: DataFrame, by: str = "kind") -> DataFrame:
     return p.select(by, *[F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in SPLITS])
 
 
-def split_metadata(normalized_all: DataFrame, sizes: DataFrame) -> DataFrame:
+def split_metadata(plan: SplitPlan) -> DataFrame:
     """One row: total_raw, total_kept, total_skipped, train_size, val_size, test_size.
 
-    ``normalized_all`` has one row per raw record with a boolean ``kept``; split sizes come
-    from the (small) stratum-size table, so the split itself is not scanned again."""
-    a = normalized_all.select(
-        F.lit(1).cast("long").alias("raw"),
-        F.col("kept").cast("long").alias("kept"),
+    Everything comes from the plan's small tables (a plan built with ``kept=`` counts dropped
+    rows in cell -1), so the records and the split are not scanned again."""
+    a = plan.cells.select(
+        F.col("c").alias("raw"),
+        F.when(F.col("cell") >= 0, F.col("c")).otherwise(F.lit(0)).alias("kept"),
         *[F.lit(0).cast("long").alias(s) for s in SPLITS],
     )
-    b = sizes.select(
+    b = plan.sizes.select(
         F.lit(0).cast("long").alias("raw"),
         F.lit(0).cast("long").alias("kept"),
         F.col("n_train").alias("train"),

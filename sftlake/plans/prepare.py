@@ -1,9 +1,9 @@
 """The prepare job: raw records -> normalised SFT records -> stratified split -> JSONL + metadata.
 
 Jobs it runs:
-  1. one aggregate over the normalised records: raw and kept rows per kind (small, checkpointed);
-     every metadata count comes from this table, so nothing is counted twice;
-  2. the write: rank inside strata (one shuffle on (kind, bucket)), then range-partition on
+  1. one aggregate over the normalised records: rows per (kind, hash cell), dropped rows in
+     cell -1 (checkpointed). Stratum sizes, rank offsets and every metadata count come from it;
+  2. the write: rank inside strata (one shuffle on (kind, cell)), then range-partition on
      (split, order_hash) so each split's files come out in its seeded order, partitioned by split;
   3. a one-row metadata document.
 """
@@ -14,16 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.operators.records import message, normalized
-from sftlake.operators.split import (
-    DEFAULT_BUCKET_ROWS,
-    assign_splits,
-    check_ratios,
-    head_rows,
-    seeded_hash,
-    split_sizes,
-)
+from sftlake.operators.split import assign_splits, check_ratios, head_rows, plan_split, seeded_hash
 from sftlake.sources.jsonl import write_splits
-from sftlake.sources.scratch import checkpointed
 
 METADATA_SCHEMA = (
     "dataset_name string, dataset_split string, total_raw long, total_kept long, total_skipped long, "
@@ -43,29 +35,19 @@ def prepare(
     max_samples: int | None = None,
     seed: int = 42,
     key: str = "row_id",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> dict:
     """``raw``: key, kind, input, target (strings). Writes ``<output_dir>/splits/split=*/``
     and ``<output_dir>/metadata/``; returns the metadata as a dict."""
     check_ratios(train_ratio, val_ratio)
     src = head_rows(raw, max_samples, [key])  # None or 0 = every row
     norm = normalized(src, key)
-    per_kind = checkpointed(
-        norm.groupBy("kind").agg(
-            F.count(F.lit(1)).alias("raw"),
-            F.count(F.when(F.col("kept"), F.lit(1))).alias("n"),
-        )
-    )
-    sizes = split_sizes(per_kind.where(F.col("n") > 0).select("kind", "n"), train_ratio, val_ratio)
-    t = sizes.agg(
-        F.sum("n").alias("kept"), F.sum("n_train").alias("train"), F.sum("n_val").alias("val"), F.sum("n_test").alias("test")
-    ).first()
-    total_raw = int(per_kind.agg(F.sum("raw")).first()[0] or 0)
+    plan = plan_split(norm, train_ratio, val_ratio, seed, key=key, kept="kept")
+    t = plan.totals()
 
     kept = norm.where("kept").drop("kept").withColumn(
         "messages", F.array(message("user", "prompt"), message("assistant", "response"))
     )
-    split = assign_splits(kept, sizes, seed=seed, key=key, bucket_rows=bucket_rows)
+    split = assign_splits(kept, plan, seed=seed, key=key)
     split = split.withColumn("order_hash", seeded_hash(seed, key, salt="order"))
     if key != "row_id":
         split = split.withColumnRenamed(key, "row_id")
@@ -74,12 +56,12 @@ def prepare(
     meta = {
         "dataset_name": dataset_name,
         "dataset_split": dataset_split,
-        "total_raw": total_raw,
-        "total_kept": int(t["kept"] or 0),
-        "total_skipped": total_raw - int(t["kept"] or 0),
-        "train_size": int(t["train"] or 0),
-        "val_size": int(t["val"] or 0),
-        "test_size": int(t["test"] or 0),
+        "total_raw": t["raw"],
+        "total_kept": t["kept"],
+        "total_skipped": t["raw"] - t["kept"],
+        "train_size": t["train"],
+        "val_size": t["val"],
+        "test_size": t["test"],
         "train_ratio": float(train_ratio),
         "val_ratio": float(val_ratio),
         "seed": int(seed),

@@ -21,8 +21,8 @@ ORACLE: dict[str, str] = {}
 
 SEED = 42
 TRAIN, VAL = 0.9, 0.05
-# Small bucket target so the two-level rank really spans many buckets on test data;
-# production callers keep the default (about a million rows per bucket).
+# Small bucket target so the two-level seeded-order rank really spans many buckets on test
+# data; production callers keep the default (about a million rows per bucket).
 TEST_BUCKET_ROWS = 16
 
 
@@ -42,9 +42,9 @@ def register(name: str, sql: str | None = None):
 def prepared(spark: SparkSession, sf_dir: str, dirty: bool = False):
     raw = A.documents_dirty(spark, sf_dir) if dirty else A.documents_raw(spark, sf_dir)
     kept = rec.convert_records(raw)
-    sizes = spl.stratum_sizes(kept, TRAIN, VAL)
-    split = spl.assign_splits(kept, sizes, seed=SEED, bucket_rows=TEST_BUCKET_ROWS)
-    return raw, kept, sizes, split
+    plan = spl.plan_split(kept, TRAIN, VAL, SEED)
+    split = spl.assign_splits(kept, plan, seed=SEED)
+    return raw, kept, plan.sizes, split
 
 
 # ---------------------------------------------------------------- normalise / convert
@@ -152,9 +152,8 @@ def q_split_audit(spark, sf_dir):
 )
 def q_split_metadata(spark, sf_dir):
     raw = A.documents_dirty(spark, sf_dir)
-    kept = rec.convert_records(raw)
-    sizes = spl.stratum_sizes(kept, TRAIN, VAL)
-    return spl.split_metadata(rec.normalized(raw), sizes)
+    plan = spl.plan_split(rec.normalized(raw), TRAIN, VAL, SEED, kept="kept")
+    return spl.split_metadata(plan)
 
 
 @register("head_sample", O.with_(O.A2) + "SELECT row_id, kind FROM a2 ORDER BY row_id LIMIT 100")

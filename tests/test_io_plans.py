@@ -43,7 +43,7 @@ def test_prepare_job_end_to_end(spark, tmp_out):
     from sftlake.sources.adapters import documents_dirty
 
     raw = documents_dirty(spark, SF_SMALL)
-    meta = prepare(raw, tmp_out, dataset_name="documents", bucket_rows=8)
+    meta = prepare(raw, tmp_out, dataset_name="documents")
     assert meta["total_raw"] == 200
     assert meta["total_raw"] == meta["total_kept"] + meta["total_skipped"]
     assert meta["train_size"] + meta["val_size"] + meta["test_size"] == meta["total_kept"]

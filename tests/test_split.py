@@ -70,10 +70,10 @@ def _window_split(records, train, val, seed):
     return d.select("row_id", "rn", s.otherwise("test").alias("split"))
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 3, 50, 1 << 20])
-def test_two_level_rank_equals_window_rank(spark, bucket_rows):
+@pytest.mark.parametrize("cell_digits", [1, 2, 4])
+def test_two_level_rank_equals_window_rank(spark, cell_digits):
     records = _records(spark, {"hot": 600, "a": 37, "b": 3, "c": 1, "d": 10, "e": 21})
-    got = spl.stratified_split(records, 0.9, 0.05, seed=42, bucket_rows=bucket_rows)
+    got = spl.stratified_split(records, 0.9, 0.05, seed=42, cell_digits=cell_digits)
     ref = _window_split(records, 0.9, 0.05, 42)
     a = {r.row_id: (r.stratum_rank, r.split) for r in got.collect()}
     b = {r.row_id: (r.rn, r.split) for r in ref.collect()}
@@ -83,7 +83,7 @@ def test_two_level_rank_equals_window_rank(spark, bucket_rows):
 def test_split_is_partition_and_sizes_follow_rule(spark):
     sizes = {"hot": 500, "x": 3, "y": 11, "z": 2}
     records = _records(spark, sizes)
-    got = spl.stratified_split(records, 0.9, 0.05, bucket_rows=7)
+    got = spl.stratified_split(records, 0.9, 0.05, cell_digits=1)
     rows = got.collect()
     assert len(rows) == sum(sizes.values()) and len({r.row_id for r in rows}) == len(rows)
     for k, n in sizes.items():
@@ -93,9 +93,9 @@ def test_split_is_partition_and_sizes_follow_rule(spark):
 
 def test_split_independent_of_partitioning(spark):
     records = _records(spark, {"a": 120, "b": 40})
-    base = {r.row_id: r.split for r in spl.stratified_split(records, bucket_rows=5).collect()}
+    base = {r.row_id: r.split for r in spl.stratified_split(records, cell_digits=1).collect()}
     for k in (1, 3, 17):
-        again = {r.row_id: r.split for r in spl.stratified_split(records.repartition(k), bucket_rows=5).collect()}
+        again = {r.row_id: r.split for r in spl.stratified_split(records.repartition(k), cell_digits=1).collect()}
         assert again == base
 
 
@@ -108,9 +108,9 @@ def test_seed_changes_split(spark):
 
 def test_order_within_splits_is_a_permutation(spark):
     records = _records(spark, {"a": 300, "b": 30})
-    sizes = spl.stratum_sizes(records, 0.9, 0.05)
-    split = spl.assign_splits(records, sizes, bucket_rows=4)
-    o = spl.order_within_splits(split, sizes, bucket_rows=4).collect()
+    plan = spl.plan_split(records, 0.9, 0.05)
+    split = spl.assign_splits(records, plan)
+    o = spl.order_within_splits(split, plan.sizes, bucket_rows=4).collect()
     for s in spl.SPLITS:
         pos = sorted(r.order_pos for r in o if r.split == s)
         assert pos == list(range(1, len(pos) + 1))
@@ -140,15 +140,15 @@ def test_hash_bucket_monotone(spark):
 
 
 def test_split_metadata_counts(spark):
-    from sftlake.operators.records import convert_records, normalized
+    from sftlake.operators.records import normalized
 
     raw = spark.createDataFrame(
         [(i, "k" if i % 2 else "j", None if i % 5 == 0 else "p", "t") for i in range(40)],
         "row_id long, kind string, input string, target string",
     )
-    kept = convert_records(raw)
-    sizes = spl.stratum_sizes(kept, 0.9, 0.05)
-    m = spl.split_metadata(normalized(raw), sizes).first()
+    plan = spl.plan_split(normalized(raw), 0.9, 0.05, kept="kept")
+    m = spl.split_metadata(plan).first()
+    assert plan.totals()["raw"] == 40 and plan.totals()["kept"] == 32
     assert (m.total_raw, m.total_kept, m.total_skipped) == (40, 32, 8)
     assert m.train_size + m.val_size + m.test_size == 32
 
@@ -171,18 +171,17 @@ def test_head_rows_large_path_equals_topk(spark):
 
 
 def test_hot_stratum_is_spread_over_bounded_window_partitions(spark):
-    """A stratum with a third of all rows is ranked in many (kind, bucket) windows of about
-    bucket_rows rows each, never in one task."""
-    records = _records(spark, {"hot": 1500, **{f"k{i}": 100 for i in range(30)}})
-    sizes = spl.stratum_sizes(records, 0.9, 0.05)
-    bucket_rows = 50
-    d = records.join(sizes, "kind").withColumn("h", spl.seeded_hash(42, "row_id"))
-    d = d.withColumn("b", hash_bucket("h", spl._bucket_count(F.col("n"), bucket_rows)))
-    per = {(r.kind, r.b): r.c for r in d.groupBy("kind", "b").agg(F.count(F.lit(1)).alias("c")).collect()}
-    hot = [c for (k, _), c in per.items() if k == "hot"]
-    assert len(hot) == 30 and max(hot) <= 3 * bucket_rows and sum(hot) == 1500
-    plan = spl.assign_splits(records, sizes, bucket_rows=bucket_rows)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(kind" in plan and "__b" in plan
+    """A stratum with a third of all rows is ranked in many (kind, cell) windows, never in one
+    task; with 16 cells per stratum each window holds about 1/16 of it."""
+    records = _records(spark, {"hot": 1600, **{f"k{i}": 100 for i in range(32)}})
+    plan = spl.plan_split(records, 0.9, 0.05, cell_digits=1)
+    hot = [r.c for r in plan.cells.where("kind = 'hot'").collect()]
+    assert len(hot) == 16 and sum(hot) == 1600 and max(hot) <= 3 * 1600 // 16
+    got = spl.assign_splits(records, plan, cell_digits=1)
+    plan_text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(kind" in plan_text and "__cell" in plan_text and "SinglePartition" not in plan_text
+    ref = {r.row_id: (r.rn, r.split) for r in _window_split(records, 0.9, 0.05, 42).collect()}
+    assert {r.row_id: (r.stratum_rank, r.split) for r in got.collect()} == ref
 
 
 def test_test_slice_large_path_equals_topk(spark):
