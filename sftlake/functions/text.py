@@ -30,7 +30,3 @@ def normalize_text(c) -> Column:
 def kind_or_unknown(c) -> Column:
     """Normalised kind; an empty result becomes 'unknown'."""
     return F.coalesce(F.nullif(normalize_text(c), F.lit("")), F.lit("unknown"))
-
-
-def collapse_whitespace(c) -> Column:
-    return F.regexp_replace(_col(c), r"(?U)\s+", " ")

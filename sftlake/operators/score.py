@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 from sftlake.functions.tokens import DEFAULT_MAX_LENGTH, tokenize
 from sftlake.operators.model import AdaptedModel, TokenModel
 
-METRICS_SCHEMA = "model string, num_texts long, num_tokens long, mean_nll double, perplexity double"
-
-
 def perplexity(mean_nll: Column) -> Column:
     return F.when(mean_nll < 20, F.exp(mean_nll)).otherwise(F.lit(float("inf")))
 

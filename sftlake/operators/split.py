@@ -121,12 +121,6 @@ def plan_split(
     return SplitPlan(cells, sizes, offsets, by)
 
 
-def stratum_sizes(records: DataFrame, train_ratio: float, val_ratio: float, by: str = "kind") -> DataFrame:
-    """Stratum sizes with the split rule applied, checkpointed (it is small and reused)."""
-    counts = records.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    return checkpointed(split_sizes(counts, train_ratio, val_ratio))
-
-
 def assign_splits(
     records: DataFrame,
     plan: SplitPlan,

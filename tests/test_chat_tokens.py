@@ -97,3 +97,15 @@ def test_plugin_tokenizer_equals_bundled(spark):
     df = spark.createDataFrame([("Hello 世界 x,y\tZ",), ("",), ("Été  déjà",)], "t string")
     rows = df.select(tok("t").alias("a"), tokenize("t").alias("b")).collect()
     assert all(list(r.a) == list(r.b) for r in rows)
+
+
+def test_assistant_mask_on_message_arrays_equals_segments(spark):
+    from sftlake.operators.packing import assistant_mask_counts
+
+    msgs = [("system", "be brief"), ("user", "hi there"), ("assistant", "hello 世界 ok")]
+    df = spark.createDataFrame([(1, msgs), (2, msgs[1:])], f"k long, messages {MSG}")
+    got = {r.k: (r.n_tokens, r.n_assistant) for r in assistant_mask_counts(df, "k").collect()}
+    full = {r.k: r.n for r in df.select("k", F.size(tokenize(render_chat("messages"))).alias("n")).collect()}
+    assert got[1][0] == full[1] and got[2][0] == full[2]
+    # assistant block: "<|im_start|>assistant", "hello", "世", "界", "ok<|im_end|>"
+    assert got[1][1] == got[2][1] == 5

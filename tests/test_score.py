@@ -145,3 +145,15 @@ def test_count_matrix_scoring_matches_brute_force(spark):
     assert m["tuned"].mean_nll == pytest.approx(mt, abs=1e-12)
     plan = score_count_matrix(mx, "eval", "base", "domain", 0.3)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_score_token_counts_equals_texts_path(spark):
+    from sftlake.operators.score import score_token_counts, valid_token_counts
+
+    b = fit_token_model(spark.createDataFrame([("the cat and the dog",)], "text string"), "text", 8)
+    ad = adapt_token_model(b, b, 0.5)
+    evals = _texts(spark)
+    a = {r.model: r for r in score_models(evals, "text", ad, 8).collect()}
+    c = {r.model: r for r in score_token_counts(valid_token_counts(evals, "text", 8), evals.count(), ad).collect()}
+    assert a["base"].num_tokens == c["base"].num_tokens and a["base"].num_texts == c["base"].num_texts
+    assert a["tuned"].mean_nll == pytest.approx(c["tuned"].mean_nll, abs=1e-12)
