@@ -233,3 +233,13 @@ def test_compare_on_splits_equals_separate_models(spark, tmp_out):
     assert one.base_nll == pytest.approx(two.base_nll, abs=1e-12)
     assert one.tuned_nll == pytest.approx(two.tuned_nll, abs=1e-12)
     assert one.delta_mean_nll == pytest.approx(one.tuned_nll - one.base_nll)
+
+
+def test_prepare_with_every_record_dropped(spark, tmp_out):
+    from sftlake.plans.prepare import prepare
+
+    raw = spark.createDataFrame([(1, "k", " ", "t"), (2, None, "p", None)], "row_id long, kind string, input string, target string")
+    meta = prepare(raw, tmp_out)
+    assert (meta["total_raw"], meta["total_kept"], meta["total_skipped"]) == (2, 0, 2)
+    assert meta["train_size"] == meta["val_size"] == meta["test_size"] == 0
+    assert read_splits(spark, f"{tmp_out}/splits").count() == 0
