@@ -14,20 +14,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; set it to a shared folder reachable by all executors"
             )
         root = tempfile.mkdtemp(prefix="sftlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
