@@ -13,10 +13,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "stratified_split": (
-        "One earlier aggregate, checkpointed (Scan ExistingRDD), counted rows per (kind, hash cell). Cell "
-        "offsets and split sizes come from it with a window over kind on that small table. The records are "
-        "scanned once more and shuffled once, on (kind, cell). The join with the offsets and the rank window "
-        "both use that partitioning."
+        "One earlier aggregate, materialised as parquet in the shared folder, counted rows per (kind, fine hash cell). "
+        "Split sizes, per-kind coarse-cell shifts and coarse offsets are small tables derived from it, broadcast after a count check. The records are "
+        "scanned once more and shuffled once, on (kind, coarse cell), for the rank window "
+        "(about bucket_rows rows per window)."
     ),
     "token_nll": (
         "Reads only the checkpointed token x tag count matrix: one aggregate with partial sums, no join. "

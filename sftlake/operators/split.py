@@ -59,7 +59,8 @@ def _bucket_count(n_col: Column, bucket_rows: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n_col / F.lit(float(bucket_rows)))).cast("long")
 
 
-CELL_DIGITS = 4  # hash cells per stratum: 16^4 = 65,536
+CELL_DIGITS = 4  # fine hash cells per stratum: 16^4 = 65,536
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def hash_cell(hex_hash, digits: int = CELL_DIGITS) -> Column:
@@ -68,27 +69,44 @@ def hash_cell(hex_hash, digits: int = CELL_DIGITS) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("long")
 
 
+def _broadcast_if(df: DataFrame, rows_bound: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast only when a proven upper bound on the row count is small enough."""
+    return F.broadcast(df) if rows_bound <= max_rows else df
+
+
 @dataclass
 class SplitPlan:
     """Everything the split needs, from one pass over the records.
 
-    cells:   by, cell, c   rows per (stratum, hash cell); cell -1 counts dropped rows (checkpointed)
+    cells:   by, cell, c      rows per (stratum, fine hash cell); cell -1 counts dropped rows
+                              (materialised; everything else is a small table derived from it)
     sizes:   by, n, n_train, n_val, n_test
-    offsets: by, __cell, __off, n_train, n_val   rows of the stratum in earlier cells
+    shifts:  by, __shift      fine -> coarse cell: coarse = fine >> shift, about n / bucket_rows coarse cells
+    offsets: by, __cell, __off, n_train, n_val   rows of the stratum in earlier coarse cells
+    strata, raw, kept:        counts from one small action over ``cells``
     """
 
     cells: DataFrame
     sizes: DataFrame
+    shifts: DataFrame
     offsets: DataFrame
     by: str
+    cell_digits: int
+    bucket_rows: int
+    strata: int
+    raw: int
+    kept: int
+
+    def offsets_bound(self) -> int:
+        """Proven upper bound on offset rows: a stratum has 2^ceil(log2(ceil(n / bucket_rows)))
+        coarse cells, under 2 * ceil(n / bucket_rows) (4x leaves room for log2 rounding up),
+        so at most 4 * (kept / bucket_rows + strata)."""
+        return 4 * (self.kept // self.bucket_rows + self.strata)
 
     def totals(self) -> dict[str, int]:
-        """raw, kept, train, val, test (small aggregates of the checkpointed cell table)."""
-        c = self.cells.agg(
-            F.sum("c").alias("raw"), F.sum(F.when(F.col("cell") >= 0, F.col("c"))).alias("kept")
-        ).first()
+        """raw, kept, train, val, test."""
         t = self.sizes.agg(F.sum("n_train").alias("train"), F.sum("n_val").alias("val"), F.sum("n_test").alias("test")).first()
-        return {k: int(v or 0) for k, v in {**c.asDict(), **t.asDict()}.items()}
+        return {"raw": self.raw, "kept": self.kept, **{k: int(v or 0) for k, v in t.asDict().items()}}
 
 
 def plan_split(
@@ -100,45 +118,62 @@ def plan_split(
     key: str = "row_id",
     kept: str | None = None,
     cell_digits: int = CELL_DIGITS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> SplitPlan:
-    """One aggregate over the records: rows per (stratum, hash cell), checkpointed.
-
-    Stratum sizes are its per-stratum sums; the rank offset of a cell is the number of rows of
-    its stratum in lower cells. Partial aggregation folds a hot stratum map-side, and the table
-    has at most min(rows, strata x 16^cell_digits) rows. With ``kept``, rows whose flag is false
-    are counted in cell -1 (for metadata) and take no part in the split."""
+    """One aggregate over the records, then only small tables.
+
+    The pass counts rows per (stratum, fine hash cell) with partial aggregation (a hot stratum
+    folds map-side); the result (at most min(rows, strata x 16^cell_digits) narrow rows) is
+    materialised. Stratum sizes are its per-stratum sums. Each stratum then gets about
+    n / bucket_rows coarse cells (a power of two: the fine cell shifted right), and each coarse
+    cell's rank offset is the number of the stratum's rows in lower coarse cells. With ``kept``,
+    rows whose flag is false are counted in cell -1 (for metadata) and take no part in the split."""
     check_ratios(train_ratio, val_ratio)
+    bits = 4 * cell_digits
     cell = hash_cell(seeded_hash(seed, key), cell_digits)
     if kept:
         cell = F.when(F.col(kept), cell).otherwise(F.lit(-1).cast("long"))
     cells = checkpointed(records.groupBy(by, cell.alias("cell")).agg(F.count(F.lit(1)).alias("c")))
-    kept_cells = cells.where(F.col("cell") >= 0)
+    is_kept = F.col("cell") >= 0
+    st = cells.agg(
+        F.count_distinct(F.when(is_kept, F.col(by))).alias("strata"),
+        F.sum("c").alias("raw"),
+        F.sum(F.when(is_kept, F.col("c"))).alias("kept"),
+    ).first()
+    kept_cells = cells.where(is_kept)
     sizes = split_sizes(kept_cells.groupBy(by).agg(F.sum("c").alias("n")), train_ratio, val_ratio)
-    w = Window.partitionBy(by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = kept_cells.select(
-        by, F.col("cell").alias("__cell"), F.coalesce(F.sum("c").over(w), F.lit(0)).alias("__off")
-    ).join(sizes.select(by, "n_train", "n_val"), by)
-    return SplitPlan(cells, sizes, offsets, by)
+    want = F.greatest(F.lit(1.0), F.ceil(F.col("n") / F.lit(float(bucket_rows))))
+    coarse_bits = F.least(F.lit(bits), F.ceil(F.log2(want)).cast("int"))
+    shifts = sizes.select(by, (F.lit(bits) - coarse_bits).cast("int").alias("__shift"))
+    coarse = (
+        kept_cells.join(shifts, by)
+        .select(by, F.expr("shiftright(cell, __shift)").alias("__cell"), "c")
+        .groupBy(by, "__cell")
+        .agg(F.sum("c").alias("c"))
+    )
+    w = Window.partitionBy(by).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = coarse.select(by, "__cell", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("__off")).join(
+        sizes.select(by, "n_train", "n_val"), by
+    )
+    return SplitPlan(
+        cells, sizes, shifts, offsets, by, cell_digits, bucket_rows,
+        int(st["strata"] or 0), int(st["raw"] or 0), int(st["kept"] or 0),
+    )
 
 
-def assign_splits(
-    records: DataFrame,
-    plan: SplitPlan,
-    seed: int = 42,
-    key: str = "row_id",
-    cell_digits: int = CELL_DIGITS,
-) -> DataFrame:
+def assign_splits(records: DataFrame, plan: SplitPlan, seed: int = 42, key: str = "row_id") -> DataFrame:
     """Rank kept rows inside their stratum by (hash, key) and slice the ranks into splits.
 
-    The rank is the cell offset plus the row number inside the (stratum, cell) window; the join
-    with the offsets and the window share the hash partitioning on (stratum, cell), so the big
-    side is shuffled once and a stratum holding a third of all rows is spread over up to 16^4
-    cells. ``records`` must hold the kept rows only (the ones the plan counted in cells >= 0).
-    Adds split_hash, stratum_rank and split."""
+    The rank is the coarse cell's offset plus the row number inside the (stratum, coarse cell)
+    window, which holds about bucket_rows rows however large the stratum. Both small plan
+    tables are broadcast when their proven row bounds allow, so the window's shuffle on
+    (stratum, cell) is the only exchange of the records. ``records`` must hold the kept rows
+    only. Adds split_hash, stratum_rank and split."""
     by = plan.by
     d = records.withColumn("split_hash", seeded_hash(seed, key))
-    d = d.withColumn("__cell", hash_cell("split_hash", cell_digits))
-    j = d.join(plan.offsets, on=[by, "__cell"], how="inner")
+    d = d.join(_broadcast_if(plan.shifts, plan.strata), by)
+    d = d.withColumn("__cell", F.expr(f"shiftright(conv(substring(split_hash, 1, {plan.cell_digits}), 16, 10), __shift)").cast("long"))
+    j = d.join(_broadcast_if(plan.offsets, plan.offsets_bound()), on=[by, "__cell"], how="inner")
     w = Window.partitionBy(by, "__cell").orderBy("split_hash", key)
     r = j.withColumn("stratum_rank", F.col("__off") + F.row_number().over(w))
     rank = F.col("stratum_rank")
@@ -147,7 +182,7 @@ def assign_splits(
         .when(rank <= F.col("n_train") + F.col("n_val"), "val")
         .otherwise("test")
     )
-    return r.withColumn("split", split).drop("__cell", "__off", "n_train", "n_val")
+    return r.withColumn("split", split).drop("__cell", "__off", "__shift", "n_train", "n_val")
 
 
 def stratified_split(
@@ -158,10 +193,11 @@ def stratified_split(
     by: str = "kind",
     key: str = "row_id",
     cell_digits: int = CELL_DIGITS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
     """records -> records + split_hash, stratum_rank, split."""
-    plan = plan_split(records, train_ratio, val_ratio, seed, by, key, cell_digits=cell_digits)
-    return assign_splits(records, plan, seed, key, cell_digits)
+    plan = plan_split(records, train_ratio, val_ratio, seed, by, key, cell_digits=cell_digits, bucket_rows=bucket_rows)
+    return assign_splits(records, plan, seed, key)
 
 
 def split_totals(sizes: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ ORACLE: dict[str, str] = {}
 
 SEED = 42
 TRAIN, VAL = 0.9, 0.05
-# Small bucket target so the two-level seeded-order rank really spans many buckets on test
+# Small bucket target so the two-level ranks really span several buckets per stratum on test
 # data; production callers keep the default (about a million rows per bucket).
 TEST_BUCKET_ROWS = 16
 
@@ -42,7 +42,7 @@ def register(name: str, sql: str | None = None):
 def prepared(spark: SparkSession, sf_dir: str, dirty: bool = False):
     raw = A.documents_dirty(spark, sf_dir) if dirty else A.documents_raw(spark, sf_dir)
     kept = rec.convert_records(raw)
-    plan = spl.plan_split(kept, TRAIN, VAL, SEED)
+    plan = spl.plan_split(kept, TRAIN, VAL, SEED, bucket_rows=TEST_BUCKET_ROWS)
     split = spl.assign_splits(kept, plan, seed=SEED)
     return raw, kept, plan.sizes, split
 

@@ -46,6 +46,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder: cuts lineage and survives executor loss."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts lineage like a reliable checkpoint and survives executor loss, but is columnar and
+    compressed, and the re-read carries exact file sizes, so the planner's broadcast decisions
+    for these small tables rest on measured sizes."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, "table")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

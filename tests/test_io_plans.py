@@ -195,7 +195,8 @@ def test_scoring_matrix_is_one_pass(spark):
 
     m, _ = _scored(spark, SF_SMALL)
     plan = _plan(m)
-    assert "Join" not in plan and "Scan ExistingRDD" in plan  # reads the checkpointed matrix only
+    assert "Join" not in plan and "FileScan parquet" in plan  # reads the materialised matrix only
+    assert "ReadSchema: struct<token:string,n_base:bigint,n_domain:bigint,v_eval:bigint>" in plan
 
 
 def test_raw_dataset_reader_ids_follow_file_order(spark, tmp_out):

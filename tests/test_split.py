@@ -171,19 +171,29 @@ def test_head_rows_large_path_equals_topk(spark):
 
 
 def test_hot_stratum_is_spread_over_bounded_window_partitions(spark):
-    """A stratum with a third of all rows is ranked in many (kind, cell) windows, never in one
-    task; with 16 cells per stratum each window holds about 1/16 of it."""
+    """A stratum with a third of all rows is ranked in many (kind, cell) windows of about
+    bucket_rows rows, never in one task; small strata keep a single window."""
     records = _records(spark, {"hot": 1600, **{f"k{i}": 100 for i in range(32)}})
-    plan = spl.plan_split(records, 0.9, 0.05, cell_digits=1)
-    hot = [r.c for r in plan.cells.where("kind = 'hot'").collect()]
-    assert len(hot) == 16 and sum(hot) == 1600 and max(hot) <= 3 * 1600 // 16
-    got = spl.assign_splits(records, plan, cell_digits=1)
+    plan = spl.plan_split(records, 0.9, 0.05, cell_digits=2, bucket_rows=100)
+    hot = plan.offsets.where("kind = 'hot'").count()
+    assert hot == 16
+    small = plan.offsets.where("kind = 'k0'").count()
+    assert small == 1
+    got = spl.assign_splits(records, plan)
     plan_text = got._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(kind" in plan_text and "__cell" in plan_text and "SinglePartition" not in plan_text
     ref = {r.row_id: (r.rn, r.split) for r in _window_split(records, 0.9, 0.05, 42).collect()}
     assert {r.row_id: (r.stratum_rank, r.split) for r in got.collect()} == ref
 
 
+@pytest.mark.parametrize("bucket_rows", [1, 7, 100, 1 << 20])
+def test_adaptive_cells_keep_ranks_exact(spark, bucket_rows):
+    records = _records(spark, {"hot": 700, "a": 37, "b": 3, "c": 1, "d": 10})
+    got = spl.stratified_split(records, 0.9, 0.05, seed=42, cell_digits=3, bucket_rows=bucket_rows)
+    ref = {r.row_id: (r.rn, r.split) for r in _window_split(records, 0.9, 0.05, 42).collect()}
+    assert {r.row_id: (r.stratum_rank, r.split) for r in got.collect()} == ref
+
+
 def test_test_slice_large_path_equals_topk(spark):
     from sftlake.plans.evaluate import test_slice as slice_of_test
 
