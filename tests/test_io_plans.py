@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from sftlake.sources.jsonl import SFT_SCHEMA, read_jsonl, read_prompts, read_splits, write_jsonl
+from sftlake.sources.jsonl import read_prompts, read_splits, write_jsonl
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"

@@ -6,7 +6,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sftlake.functions.chat import DEFAULT_SYSTEM, render_chat
 from sftlake.functions.text import normalize_text
