@@ -42,3 +42,13 @@ def test_log_stream_progress(spark, tmp_out):
         ("main", "eval"): (1, 20, 1.7, 1.7),
         ("abl", "train"): (1, 10, 3.0, 3.0),
     }
+
+
+def test_record_stream_restart_processes_only_new_files(spark, tmp_out):
+    raw, out, ckpt = (os.path.join(tmp_out, d) for d in ("raw2", "out2", "ckpt2"))
+    _write_lines(f"{raw}/a.json", [{"row_id": 1, "kind": "k", "input": "a", "target": "b"}])
+    write_records(record_stream(spark, raw), out, checkpoint=ckpt).awaitTermination(120)
+    _write_lines(f"{raw}/b.json", [{"row_id": 2, "kind": "k", "input": "c", "target": "d"}])
+    write_records(record_stream(spark, raw), out, checkpoint=ckpt).awaitTermination(120)
+    ids = sorted(r.row_id for r in spark.read.schema("row_id long").json(out).collect())
+    assert ids == [1, 2]
