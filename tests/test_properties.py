@@ -74,3 +74,51 @@ def test_render_then_parse_round_trips(spark, convs):
         parsed = _parse(got[i])
         expect = list(msgs) if msgs and msgs[0][0] == "system" else [("system", DEFAULT_SYSTEM)] + list(msgs)
         assert parsed == expect
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 40)), min_size=1, max_size=40),
+    st.integers(min_value=1, max_value=16),
+)
+def test_packing_equals_brute_force(spark, rows, block_len):
+    from sftlake.operators.packing import pack_sequences
+
+    data = [(shard, key, n) for key, (shard, n) in enumerate(rows)]
+    df = spark.createDataFrame(data, "shard long, key long, n long")
+    got = {(r.shard, r.block): r.n_tokens for r in pack_sequences(df, "shard", "key", "n", block_len, buckets=5).collect()}
+    expect: dict = {}
+    for shard in {s for s, _, _ in data}:
+        total = sum(n for s, _, n in sorted(data, key=lambda x: x[1]) if s == shard)
+        for pos in range(total):
+            expect[(shard, pos // block_len)] = expect.get((shard, pos // block_len), 0) + 1
+    assert got == expect
+
+
+SEG_TEXT = st.text(alphabet=st.sampled_from(list("ab 世\n")), max_size=10)
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system"]), SEG_TEXT), max_size=5), min_size=1, max_size=15),
+       st.integers(min_value=1, max_value=12))
+def test_truncated_tail_equals_whole_text(spark, convs, max_length):
+    from sftlake.operators.packing import segment_token_stats, truncated_tail
+
+    rows = []
+    for cid, msgs in enumerate(convs):
+        for turn, (role, text) in enumerate(msgs):
+            rows.append((cid, turn, role, f"<|im_start|>{role}\n{text}<|im_end|>\n"))
+    if not rows:
+        return
+    seg = spark.createDataFrame(rows, "conv_id long, turn long, role string, seg string")
+    tail = {r.conv_id: (r.n_kept, r.last_token) for r in truncated_tail(seg, max_length, buckets=3).collect()}
+    stats = {r.conv_id: (r.n_tokens, r.n_assistant) for r in segment_token_stats(seg).collect()}
+    for cid, msgs in enumerate(convs):
+        if not msgs:
+            continue
+        whole = "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in msgs)
+        toks = py_tokenize(whole)
+        kept = toks[:max_length]
+        assert tail[cid] == (len(kept), kept[-1] if kept else None)
+        asst = sum(len(py_tokenize(f"<|im_start|>{r}\n{t}<|im_end|>\n")) for r, t in msgs if r == "assistant")
+        assert stats[cid] == (len(toks), asst)
