@@ -153,11 +153,14 @@ def score_with_plugin(
     text_col: str,
     factory: ScorerFactory,
     cache_key: str,
+    sort_by_length: bool = True,
 ) -> DataFrame:
     """Run a user scorer over Arrow batches: text_id, num_tokens, sum_nll per text.
 
     ``factory()`` builds the scorer once per Python worker (a model load); the scorer maps a
-    batch of texts to per-token NLL lists (already truncated and shifted by the scorer)."""
+    batch of texts to per-token NLL lists (already truncated and shifted by the scorer).
+    With ``sort_by_length`` texts are ordered by length inside each partition (no shuffle), so
+    a padded batch holds texts of similar length; per-text results do not depend on it."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +178,10 @@ def score_with_plugin(
             )
 
     schema = f"{text_id} long, num_tokens long, sum_nll double"
-    return texts.select(text_id, text_col).mapInPandas(run, schema)
+    src = texts.select(text_id, text_col)
+    if sort_by_length:
+        src = src.sortWithinPartitions(F.length(text_col))
+    return src.mapInPandas(run, schema)
 
 
 def plugin_metrics(per_text: DataFrame, model_name: str) -> DataFrame:
