@@ -129,6 +129,8 @@ def generate(
 
     id_type = dict(prompts.dtypes)[id_col]
     src = prompts.select(id_col, _model_input(prompts, prompt_col, render_template).alias("__input"))
+    # Similar lengths share a batch (less padding for real models); no shuffle.
+    src = src.sortWithinPartitions(F.length("__input"))
     return src.mapInPandas(run, f"{id_col} {id_type}, output string")
 
 
@@ -158,5 +160,6 @@ def generate_before_after(
             yield out
 
     src = prompts.select("pos", "id", "group", "prompt", _model_input(prompts, "prompt", render_template).alias("__input"))
+    src = src.sortWithinPartitions(F.length("__input"))
     schema = "pos long, id string, group string, prompt string, base_output string, tuned_output string"
     return before_after(src.mapInPandas(run, schema))
