@@ -706,17 +706,20 @@ def q_train_budget(spark, sf_dir):
 # ---------------------------------------------------------------- conversation pairs (A1)
 
 
-@register(
-    "pair_records",
-    O.with_(
-        """nx AS (
+A1_PAIRS = """nx AS (
   SELECT conv_id, turn, role, text,
          lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
          lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
   FROM conversations),
 a1 AS (
   SELECT conv_id * 1000 + turn AS row_id, 't' || CAST(turn AS VARCHAR) AS kind, text AS input, next_text AS target
-  FROM nx WHERE role = 'user' AND next_role = 'assistant')""",
+  FROM nx WHERE role = 'user' AND next_role = 'assistant')"""
+
+
+@register(
+    "pair_records",
+    O.with_(
+        A1_PAIRS,
         O.conv("a1", "kept"),
     )
     + "SELECT row_id, kind, prompt, response FROM kept",
@@ -725,3 +728,18 @@ def q_pair_records(spark, sf_dir):
     """Conversation turns -> (user, next assistant) raw pairs -> normalised SFT records."""
     kept = rec.convert_records(A.conversation_pairs(spark, sf_dir))
     return kept.select("row_id", "kind", "prompt", "response")
+
+
+@register(
+    "pair_split_audit",
+    O.with_(A1_PAIRS, O.conv("a1", "kept"), O.split_ctes("kept"))
+    + """SELECT kind, count(*) FILTER (WHERE split = 'train')::BIGINT AS train,
+       count(*) FILTER (WHERE split = 'val')::BIGINT AS val,
+       count(*) FILTER (WHERE split = 'test')::BIGINT AS test
+FROM labeled GROUP BY kind""",
+)
+def q_pair_split_audit(spark, sf_dir):
+    """The stratified split on a second source: conversation pairs, stratified by turn."""
+    kept = rec.convert_records(A.conversation_pairs(spark, sf_dir))
+    plan = spl.plan_split(kept, TRAIN, VAL, SEED, bucket_rows=TEST_BUCKET_ROWS)
+    return spl.split_audit(spl.assign_splits(kept, plan, seed=SEED))

@@ -103,7 +103,7 @@ def test_entry_and_registry(spark):
     assert df.count() > 0 and set(df.columns) == {"kind", "train", "val", "test"}
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 37
+    assert len(q) >= 39
 
 
 @pytest.mark.parametrize("name", ["split_audit", "render_chat", "before_after_dup", "loss_curves"])
