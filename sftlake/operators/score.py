@@ -114,10 +114,11 @@ def compare(metrics: DataFrame) -> DataFrame:
 
 
 def relative_change(cmp: DataFrame) -> DataFrame:
-    """Percent change of tuned vs base: 100 * (tuned / base - 1) for NLL and perplexity."""
+    """Percent change of tuned vs base: 100 * (tuned / base - 1) for NLL and perplexity.
+    Undefined (null) when the base is 0, e.g. when no token was scored."""
     return cmp.select(
-        (F.lit(100.0) * (F.col("tuned_nll") / F.col("base_nll") - 1)).alias("nll_pct"),
-        (F.lit(100.0) * (F.col("tuned_ppl") / F.col("base_ppl") - 1)).alias("ppl_pct"),
+        (F.lit(100.0) * (F.try_divide(F.col("tuned_nll"), F.col("base_nll")) - 1)).alias("nll_pct"),
+        (F.lit(100.0) * (F.try_divide(F.col("tuned_ppl"), F.col("base_ppl")) - 1)).alias("ppl_pct"),
     )
 
 

@@ -157,3 +157,12 @@ def test_score_token_counts_equals_texts_path(spark):
     c = {r.model: r for r in score_token_counts(valid_token_counts(evals, "text", 8), evals.count(), ad).collect()}
     assert a["base"].num_tokens == c["base"].num_tokens and a["base"].num_texts == c["base"].num_texts
     assert a["tuned"].mean_nll == pytest.approx(c["tuned"].mean_nll, abs=1e-12)
+
+
+def test_relative_change_of_zero_base_is_null(spark):
+    m = spark.createDataFrame(
+        [("base", 0, 0, 0.0, 1.0), ("tuned", 0, 0, 0.0, 1.0)],
+        "model string, num_texts long, num_tokens long, mean_nll double, perplexity double",
+    )
+    r = relative_change(compare(m)).first()
+    assert r.nll_pct is None and r.ppl_pct == 0.0
