@@ -244,3 +244,16 @@ def test_prepare_with_every_record_dropped(spark, tmp_out):
     assert (meta["total_raw"], meta["total_kept"], meta["total_skipped"]) == (2, 0, 2)
     assert meta["train_size"] == meta["val_size"] == meta["test_size"] == 0
     assert read_splits(spark, f"{tmp_out}/splits").count() == 0
+
+
+def test_every_registered_query_runs_on_the_smallest_tables(spark):
+    """sf0.001 has strata of one row and no English test texts: every query must still run."""
+    from sftlake.plans.queries import QUERIES
+
+    failed = []
+    for name, fn in QUERIES.items():
+        try:
+            fn(spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001
+            failed.append((name, str(e)[:120]))
+    assert not failed
