@@ -119,10 +119,16 @@ def generate(
     top_p, ...) are passed through. Outputs are stripped like decoded text. Returns id, output."""
     import pandas as pd
 
+    from sftlake.session import ship_package
+
+    ship_package(prompts.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gen = _GEN_CACHE.get(cache_key)
+        from sftlake.operators import align as this  # the worker's module: one cache per process
+
+        gen = this._GEN_CACHE.get(cache_key)
         if gen is None:
-            gen = _GEN_CACHE[cache_key] = factory()
+            gen = this._GEN_CACHE[cache_key] = factory()
         for pdf in batches:
             outs = gen(pdf["__input"].fillna("").tolist(), **gen_params)
             yield pd.DataFrame({id_col: pdf[id_col].values, "output": [o.strip() for o in outs]})
@@ -146,17 +152,24 @@ def generate_before_after(
     the same pass over the prompts (each worker loads both once); alignment as ``before_after``."""
     import pandas as pd
 
+    from sftlake.session import ship_package
+
+    ship_package(prompts.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from sftlake.operators import align as this  # the worker's module: one cache per process
+
+        cache = this._GEN_CACHE
         key_b, key_t = f"{cache_key}:base", f"{cache_key}:tuned"
-        if key_b not in _GEN_CACHE:
-            _GEN_CACHE[key_b] = base_factory()
-        if key_t not in _GEN_CACHE:
-            _GEN_CACHE[key_t] = tuned_factory()
+        if key_b not in cache:
+            cache[key_b] = base_factory()
+        if key_t not in cache:
+            cache[key_t] = tuned_factory()
         for pdf in batches:
             inputs = pdf["__input"].fillna("").tolist()
             out = pdf.drop(columns=["__input"])
-            out["base_output"] = [o.strip() for o in _GEN_CACHE[key_b](inputs, **gen_params)]
-            out["tuned_output"] = [o.strip() for o in _GEN_CACHE[key_t](inputs, **gen_params)]
+            out["base_output"] = [o.strip() for o in cache[key_b](inputs, **gen_params)]
+            out["tuned_output"] = [o.strip() for o in cache[key_t](inputs, **gen_params)]
             yield out
 
     src = prompts.select("pos", "id", "group", "prompt", _model_input(prompts, "prompt", render_template).alias("__input"))

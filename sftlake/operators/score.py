@@ -164,10 +164,16 @@ def score_with_plugin(
     a padded batch holds texts of similar length; per-text results do not depend on it."""
     import pandas as pd
 
+    from sftlake.session import ship_package
+
+    ship_package(texts.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _WORKER_CACHE.get(cache_key)
+        from sftlake.operators import score as this  # the worker's module: one cache per process
+
+        scorer = this._WORKER_CACHE.get(cache_key)
         if scorer is None:
-            scorer = _WORKER_CACHE[cache_key] = factory()
+            scorer = this._WORKER_CACHE[cache_key] = factory()
         for pdf in batches:
             nlls = scorer(pdf[text_col].fillna("").tolist())
             yield pd.DataFrame(

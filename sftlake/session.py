@@ -22,3 +22,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the ``sftlake`` package importable in Python workers, as ``--py-files`` would.
+
+    Plug-in operators (mapInPandas, pandas UDFs) pickle sftlake objects by reference, so
+    workers must be able to import the package. Zipped once per session and added with
+    ``addPyFile`` (``addArtifacts`` under Spark Connect); Spark distributes the archive."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    key = spark.conf.get("spark.app.id", None) or str(id(spark))
+    if key in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="sftlake-pyfiles-")) / "sftlake.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(pkg.rglob("*.py")):
+            z.write(f, f.relative_to(pkg.parent).as_posix())
+    try:
+        spark.sparkContext.addPyFile(str(path))
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        spark.addArtifacts(str(path), pyfile=True)
+    _SHIPPED.add(key)
