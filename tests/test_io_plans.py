@@ -257,3 +257,22 @@ def test_every_registered_query_runs_on_the_smallest_tables(spark):
         except Exception as e:  # noqa: BLE001
             failed.append((name, str(e)[:120]))
     assert not failed
+
+
+def test_plugin_queries_run_from_any_working_directory(tmp_out):
+    """Python workers must import the package even when the driver runs elsewhere."""
+    import subprocess
+    import sys
+
+    code = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry", {os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+n1 = m.queries()["generate_plugin"](spark, {SF_SMALL!r}).count()
+n2 = m.queries()["score_plugin"](spark, {SF_SMALL!r}).count()
+print("COUNTS", n1, n2)
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_out, capture_output=True, text=True, timeout=600)
+    assert "COUNTS 40 2" in out.stdout, out.stderr[-2000:]
