@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NOTES = {
     "stratified_split": (
         "One earlier aggregate, materialised as parquet in the shared folder, counted rows per (kind, fine hash cell). "
-        "Split sizes, per-kind coarse-cell shifts and coarse offsets are small tables derived from it, broadcast after a count check. The records are "
+        "Split sizes, per-kind coarse-cell shifts and coarse offsets are small tables derived from it, broadcast behind row bounds taken from its counts. The records are "
         "scanned once more and shuffled once, on (kind, coarse cell), for the rank window "
         "(about bucket_rows rows per window)."
     ),
