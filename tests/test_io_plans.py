@@ -276,3 +276,14 @@ print("COUNTS", n1, n2)
 """
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_out, capture_output=True, text=True, timeout=600)
     assert "COUNTS 40 2" in out.stdout, out.stderr[-2000:]
+
+
+def test_raw_dataset_reader_parquet_with_id_column(spark, tmp_out):
+    from sftlake.sources.jsonl import read_raw_records
+
+    src = spark.createDataFrame(
+        [(7, "k", "q", "a", 1.5), (3, None, "p", None, 2.5)], "id long, kind string, input string, target string, extra double"
+    )
+    src.write.parquet(f"{tmp_out}/raw")
+    got = {r.row_id: (r.kind, r.input, r.target) for r in read_raw_records(spark, f"{tmp_out}/raw", "parquet", "id").collect()}
+    assert got == {7: ("k", "q", "a"), 3: (None, "p", None)}
