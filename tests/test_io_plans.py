@@ -287,3 +287,15 @@ def test_raw_dataset_reader_parquet_with_id_column(spark, tmp_out):
     src.write.parquet(f"{tmp_out}/raw")
     got = {r.row_id: (r.kind, r.input, r.target) for r in read_raw_records(spark, f"{tmp_out}/raw", "parquet", "id").collect()}
     assert got == {7: ("k", "q", "a"), 3: (None, "p", None)}
+
+
+def test_prepare_with_a_custom_key_column(spark, tmp_out):
+    from sftlake.plans.prepare import prepare
+
+    raw = spark.createDataFrame(
+        [(i * 3, f"k{i % 2}", f"q{i}", f"a{i}") for i in range(12)], "rid long, kind string, input string, target string"
+    )
+    meta = prepare(raw, tmp_out, key="rid")
+    assert meta["total_kept"] == 12
+    back = read_splits(spark, f"{tmp_out}/splits")
+    assert sorted(r.row_id for r in back.collect()) == [i * 3 for i in range(12)]
