@@ -172,7 +172,8 @@ def assign_splits(records: DataFrame, plan: SplitPlan, seed: int = 42, key: str
     by = plan.by
     d = records.withColumn("split_hash", seeded_hash(seed, key))
     d = d.join(_broadcast_if(plan.shifts, plan.strata), by)
-    d = d.withColumn("__cell", F.expr(f"shiftright(conv(substring(split_hash, 1, {plan.cell_digits}), 16, 10), __shift)").cast("long"))
+    d = d.withColumn("__fine", hash_cell("split_hash", plan.cell_digits))  # bigint
+    d = d.withColumn("__cell", F.expr("shiftright(__fine, __shift)")).drop("__fine")
     j = d.join(_broadcast_if(plan.offsets, plan.offsets_bound()), on=[by, "__cell"], how="inner")
     w = Window.partitionBy(by, "__cell").orderBy("split_hash", key)
     r = j.withColumn("stratum_rank", F.col("__off") + F.row_number().over(w))
