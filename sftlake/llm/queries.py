@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import langid, packing, pu_quality, quality_rules, url_rules
+from sftlake.llm import langid, packing, pu_quality, quality_rules, substring_dedup, url_rules
 from sftlake.llm.common import fold, read
 
 
@@ -47,9 +47,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, rules).select("doc_id", *quality_rules.BASE, "base_failed", "kept", "rule")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_packing, op6_language_id, op7_url_filter, op8_quality_rules)
+    for f in (
+        op1_quality_classifier,
+        op2_packing,
+        op6_language_id,
+        op7_url_filter,
+        op8_quality_rules,
+        op9_substring_dedup,
+    )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
