@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import langid, packing, pu_quality, quality_rules, substring_dedup, url_rules
+from sftlake.llm import block_labeller, langid, packing, pu_quality, quality_rules, substring_dedup, url_rules
 from sftlake.llm.common import fold, read
 
 
@@ -28,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_labeller.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held = fold("doc_id", 5) == 0
@@ -57,6 +61,7 @@ QUERIES = {
     for f in (
         op1_quality_classifier,
         op2_packing,
+        op3_html_extraction,
         op6_language_id,
         op7_url_filter,
         op8_quality_rules,
