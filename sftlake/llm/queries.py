@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import block_labeller, langid, packing, pu_quality, quality_rules, substring_dedup, url_rules
+from sftlake.llm import block_labeller, langid, line_dedup, packing, pu_quality, quality_rules, substring_dedup, url_rules
 from sftlake.llm.common import fold, read
 
 
@@ -56,6 +56,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +71,7 @@ QUERIES = {
         op7_url_filter,
         op8_quality_rules,
         op9_substring_dedup,
+        op10_line_dedup,
     )
 }
 
