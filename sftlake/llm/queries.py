@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import block_labeller, langid, line_dedup, packing, pu_quality, quality_rules, substring_dedup, url_rules
+from sftlake.llm import block_labeller, decontaminate, langid, line_dedup, packing, pu_quality, quality_rules, substring_dedup, url_rules
 from sftlake.llm.common import fold, read
 
 
@@ -32,6 +32,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_labeller.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark")).selectExpr("doc_id", "inline(leaks)")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held = fold("doc_id", 5) == 0
@@ -67,6 +72,7 @@ QUERIES = {
         op1_quality_classifier,
         op2_packing,
         op3_html_extraction,
+        op5_decontamination,
         op6_language_id,
         op7_url_filter,
         op8_quality_rules,

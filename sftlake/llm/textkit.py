@@ -70,9 +70,10 @@ class Words:
     """Words of a run of texts: ``start``/``end`` byte positions, ``hash``, and ``off``, the
     index of each text's first word (length texts + 1)."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = False, apart: np.ndarray = _WS):
+        """``apart``: which byte values separate words."""
         n = len(data)
-        ws = _WS[data]
+        ws = apart[data]
         before = np.ones(n + 1, bool)
         before[1:] = ws
         after = before[1:].copy()
