@@ -43,8 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], leaders: int = 2, growth: int = 4) -> DataFrame:
-    """(id, comp) of the ids that have a link. ``verify`` gets pairs (a, b), a < b, each at most
-    once, and returns those that are linked."""
+    """(id, comp) of the ids that have a link. ``verify`` gets pairs (a, b, lead), a < b, lead one
+    of them, each pair at most once, and returns those that are linked."""
     members = checkpointed(members.select("k", "id").distinct())
     spark = members.sparkSession
     links = tried = comps = led = None
@@ -68,14 +68,14 @@ def linked_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
         ahead = chosen.groupBy("k").agg(F.collect_list("id").alias("lead"))
         met = now.select("k", "id").join(ahead, "k").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lead"))).alias("lead"))
         pairs = met.select("id", F.explode("lead").alias("l")).where("id != l")
-        pairs = pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct()
+        pairs = pairs.groupBy(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).agg(F.min("l").alias("lead"))
         if comps is not None:
             at = comps.select(F.col("id").alias("x"), F.col("comp").alias("cx"))
             pairs = pairs.join(at, F.col("a") == F.col("x"), "left").drop("x").withColumnRenamed("cx", "ca")
             pairs = pairs.join(at, F.col("b") == F.col("x"), "left").drop("x")
-            pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cx", "b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cx", "b")).select("a", "b", "lead").join(tried, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs)
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
         found = checkpointed(verify(pairs).select("a", "b"))
         links = found if links is None else links.unionByName(found)
         comps = checkpointed(components(links))

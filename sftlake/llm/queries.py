@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.llm import block_labeller, decontaminate, langid, line_dedup, packing, pu_quality, quality_rules, substring_dedup, url_rules
+from sftlake.llm import (
+    block_labeller,
+    decontaminate,
+    jaccard_join,
+    langid,
+    line_dedup,
+    packing,
+    pu_quality,
+    quality_rules,
+    substring_dedup,
+    url_rules,
+)
 from sftlake.llm.common import fold, read
 
 
@@ -32,6 +43,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_labeller.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_classes(read(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark")).selectExpr("doc_id", "inline(leaks)")
@@ -72,6 +87,7 @@ QUERIES = {
         op1_quality_classifier,
         op2_packing,
         op3_html_extraction,
+        op4_ngram_jaccard_join,
         op5_decontamination,
         op6_language_id,
         op7_url_filter,
@@ -85,7 +101,31 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _SITES = ", ".join(f"('{r.name}', '{r.regex}', '{r.verdict}', {k})" for k, r in enumerate(url_rules.SITE_RULES))
 _PATTERNS = ", ".join(f"('{r.name}', '{r.regex}', '{r.verdict}', {k})" for k, r in enumerate(url_rules.PATTERNS))
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 ORACLE = {
+    "op4_ngram_jaccard_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format("coalesce(" + _LOWER.format("text") + ", '')")} AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM i JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 75 * (p.n + q.n - i)),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(min(y), w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = w.doc_id GROUP BY w.doc_id, n.n""",
+    "op9_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i:i+34], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM p WHERE g IN (SELECT g FROM p GROUP BY g HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, i + o AS j FROM r, range(35) t(o)),
+t AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM w),
+k AS (SELECT t.doc_id, count(c.j) AS n_removed, string_agg(x, ' ' ORDER BY t.j) FILTER (WHERE c.j IS NULL) AS kept
+  FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND c.j = t.j GROUP BY t.doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""",
     "op7_url_filter": f"""
 WITH parts AS (
   SELECT page_id, row_number() OVER () AS rid,

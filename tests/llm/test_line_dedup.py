@@ -69,7 +69,7 @@ def test_components_and_leader_rounds(spark):
     met = []
 
     def verify(pairs):
-        met.extend(map(tuple, pairs.collect()))
+        met.extend((r.a, r.b) for r in pairs.collect())
         return pairs.where("b - a = 1 or b - a = 30")
 
     got = {r.id: r.comp for r in grouping.linked_classes(members, verify).collect()}
