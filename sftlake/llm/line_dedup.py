@@ -124,6 +124,7 @@ def near_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
     long_ = _lines(docs.select("doc_id", "text")).where(F.length("line") >= max(min_chars, 2 * max_edits + 2)).select("h", "line")
     keys = long_.select(F.col("h").alias("id"), F.explode(segment_keys(F.col("line"), max_edits)).alias("k"))
     held = keys.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("k")
+    held = checkpointed(held)  # a plain shuffle on both sides, so the join can split a hot key
     members = checkpointed(keys.join(held.hint("shuffle_merge"), "k", "left_semi"))
     ids = members.select(F.col("id").alias("h")).distinct()
     if ids.count() <= BROADCAST_KEYS:

@@ -166,16 +166,17 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in ``keep`` with quality_score (0 to 1) after them."""
+    """The columns in ``keep`` (text may be one) with quality_score (0 to 1) after them."""
     ship_package(docs.sparkSession)
     keep = tuple(c for c in keep if c != "quality_score")
-    source = docs.select(*keep, F.col("text").alias("__t"))
+    source = docs.select(*keep, *([] if "text" in keep else ["text"])).withColumnRenamed("text", "__t")
+    given = ["__t" if c == "text" else c for c in keep]
     schema = docs.select(*keep).schema.add("quality_score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "__t"):
                 s = model.score(features(*textkit.text_buffer(part.column("__t"))))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(s)], [*keep, "quality_score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in given), pa.array(s)], [*keep, "quality_score"])
 
     return source.mapInArrow(run, schema)

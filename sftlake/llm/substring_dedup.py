@@ -8,7 +8,7 @@ Three passes over the texts, none of which moves a text through a shuffle before
    the window's count. Each task counts its places into ``DEPTH`` rows of cells (saturating at
    two); the partition sketches are merged block by block, a task per share of the blocks, into
    one bitmap of cells that hold two or more. The bitmap has a fixed size (``DEPTH`` x ``CELLS``
-   bits, 16 MB) and is broadcast; on more data it only lets more windows through.
+   bits, 24 MB) and is broadcast; on more data it only lets more windows through.
 2. Exact grouping of the windows whose every cell holds two or more, by a 96-bit hash of the
    window (pre-aggregated, then joined back, so a passage found in a third of all rows is split
    over many tasks). Nothing repeated is lost, as the sketch only overestimates.
@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm import textkit
-from sftlake.llm.common import ship_package
+from sftlake.llm.common import checkpointed, ship_package
 
 WINDOW = 35
 GRAM = 20
 CELLS = 1 << 26
-DEPTH = 2
+DEPTH = 3
 BLOCK = 1 << 18
 _FLUSH = 1 << 21
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -131,7 +131,8 @@ def sketch(texts: DataFrame) -> np.ndarray:
 
 
 def _candidates(texts: DataFrame, bits) -> DataFrame:
-    """(rk, pos, w, v): every window whose cells all hold two or more, with its 96-bit hash."""
+    """(rk, w, vp): every window whose cells all hold two or more. Its 96-bit hash is w and the
+    upper half of vp; the lower half is the position of its first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bits.value
@@ -151,21 +152,25 @@ def _candidates(texts: DataFrame, bits) -> DataFrame:
                 v = textkit.window_hash(textkit.mix(words.hash), WINDOW)[at]
                 rk = np.array(part.column("rk"), np.int64)[doc]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rk), pa.array((at - words.off[doc]).astype(np.int32)), pa.array(w.astype(np.int64)), pa.array((v >> np.uint64(32)).astype(np.uint32).view(np.int32))],
-                    ["rk", "pos", "w", "v"],
+                    [pa.array(rk), pa.array(w.astype(np.int64)), pa.array((v >> np.uint64(32) << np.uint64(32) | (at - words.off[doc]).astype(np.uint64)).astype(np.int64))],
+                    ["rk", "w", "vp"],
                 )
 
-    return texts.mapInArrow(run, "rk long, pos int, w long, v int")
+    return texts.mapInArrow(run, "rk long, w long, vp long")
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """(rk, pos) of every window whose sequence starts at two places or more. ``texts`` has rk
     and text. The candidates are computed from the texts for the count and again for the join,
-    which is cheaper than keeping them."""
+    which is cheaper than keeping them. The repeated hashes are written out first, so that both
+    sides of the join are plain shuffles and a hot window is split."""
     bits = texts.sparkSession.sparkContext.broadcast(sketch(texts))
     found = _candidates(texts, bits)
-    many = found.groupBy("w", "v").agg(F.count("*").alias("n")).where("n > 1").select("w", "v")
-    return found.join(many.hint("shuffle_merge"), ["w", "v"], "left_semi").select("rk", "pos")
+    v = F.shiftright("vp", 32)
+    many = found.groupBy("w", v.alias("v")).agg(F.count("*").alias("n")).where("n > 1")
+    many = checkpointed(many.select(F.col("w").alias("mw"), F.col("v").alias("mv"))).hint("shuffle_merge")
+    hit = found.join(many, (F.col("w") == F.col("mw")) & (v == F.col("mv")), "left_semi")
+    return hit.select("rk", F.col("vp").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("pos"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
