@@ -5,9 +5,11 @@ tuned outputs, every prompt updates the *first* result with an equal id (null eq
 so the first result of an id ends up with the tuned output of the *last* prompt carrying
 that id and every later duplicate keeps ''. With unique ids this is a plain lookup.
 
-Spark form: one aggregate per id (first position, tuned output at the last position), then a
-left join on (id, pos) = (id, first position). The aggregate is partial (a hot id is folded
-map-side) and the join key includes ``pos``, which is unique, so no task holds a whole id.
+Spark form: one hash aggregate per id over positions alone (first and last; partial, so a hot id
+is folded map-side). The output at the last position is fetched by (id, position), and joined to
+the row at the first by (id, position): both keys are unique, so no task holds a whole id and no
+text is sorted or aggregated. ``rows`` is read twice; generated rows must be materialised first,
+as ``generate_before_after`` does.
 """
 
 from __future__ import annotations
@@ -38,13 +40,13 @@ def before_after(rows: DataFrame, id_col: str = "id", pos_col: str = "pos") -> D
     """rows: pos, id, group, prompt, base_output, tuned_output (each generated per row).
     Returns pos, id, group, prompt, base_output, tuned_output after alignment."""
     r = with_group_default(rows)
-    per_id = r.groupBy(id_col).agg(
-        F.min(pos_col).alias("__first"),
-        F.max_by("tuned_output", pos_col).alias("__last_tuned"),
-    )
-    per_id = per_id.withColumnRenamed(id_col, "__id")
-    cond = r[id_col].eqNullSafe(per_id["__id"]) & (r[pos_col] == per_id["__first"])
-    j = r.drop("tuned_output").join(per_id, cond, "left")
+    ends = r.groupBy(id_col).agg(F.min(pos_col).alias("__first"), F.max(pos_col).alias("__last"))
+    ends = ends.withColumnRenamed(id_col, "__id")
+    last = r.select(F.col(id_col).alias("__key"), F.col(pos_col).alias("__pos"), F.col("tuned_output").alias("__last_tuned"))
+    found = ends.join(last, F.col("__id").eqNullSafe(F.col("__key")) & (F.col("__last") == F.col("__pos")))
+    found = found.select("__id", "__first", "__last_tuned")
+    cond = r[id_col].eqNullSafe(found["__id"]) & (r[pos_col] == found["__first"])
+    j = r.drop("tuned_output").join(found, cond, "left")
     return j.select(
         pos_col, id_col, "group", "prompt", "base_output",
         F.coalesce(F.col("__last_tuned"), F.lit("")).alias("tuned_output"),
@@ -78,16 +80,15 @@ def tuned_rule_output(prompt) -> Column:
     return normalize_text(F.lower(F.regexp_replace(p, ASCII_WS_RUN, " ")))
 
 
-class TunedRuleGenerator:
-    """Python twin of ``tuned_rule_output`` for the generator plug-in path."""
+class DigestGenerator:
+    """A generator for checking the plug-in path: answers with the length and the md5 of the
+    model input it was given, so the answer is right only if the rendered prompt is."""
 
     def __call__(self):
-        import re
-
-        ws = re.compile(r"[\t\n\x0b\x0c\r ]+")
+        import hashlib
 
         def gen(prompts: list[str], **_params) -> list[str]:
-            return [ws.sub(" ", p).lower() for p in prompts]
+            return [f" {len(p)}:{hashlib.md5(p.encode()).hexdigest()}\n" for p in prompts]
 
         return gen
 
@@ -149,7 +150,8 @@ def generate_before_after(
     **gen_params,
 ) -> DataFrame:
     """prompts (pos, id, group, prompt) -> aligned before/after rows. Both generators run in
-    the same pass over the prompts (each worker loads both once); alignment as ``before_after``."""
+    one pass over the prompts, whose result is materialised, so every later use sees the same
+    outputs; alignment as ``before_after``."""
     import pandas as pd
 
     from sftlake.session import ship_package
@@ -175,4 +177,35 @@ def generate_before_after(
     src = prompts.select("pos", "id", "group", "prompt", _model_input(prompts, "prompt", render_template).alias("__input"))
     src = src.sortWithinPartitions(F.length("__input"))
     schema = "pos long, id string, group string, prompt string, base_output string, tuned_output string"
-    return before_after(src.mapInPandas(run, schema))
+    from sftlake.sources.scratch import checkpointed
+
+    return before_after(checkpointed(src.mapInPandas(run, schema)))
+
+
+def length_change(aligned: DataFrame) -> DataFrame:
+    """Per group: prompts, mean characters before and after, and how many got shorter."""
+    base, tuned = F.length("base_output"), F.length("tuned_output")
+    return aligned.groupBy("group").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(base).alias("base_chars"),
+        F.avg(tuned).alias("tuned_chars"),
+        F.count_if(tuned < base).alias("shorter"),
+    )
+
+
+def outcome_tally(aligned: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """outcome, n: aligned rows by the outcome labelled for their id (outcomes: id, outcome)."""
+    return aligned.select("id").join(outcomes, "id").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_before_after(aligned: DataFrame, output_dir: str) -> int:
+    """Writes ``jsonl`` (id, group, prompt, base_output, tuned_output in prompt order) and
+    ``report``; the report and the returned row count are taken from the written rows."""
+    from sftlake.sources.jsonl import BEFORE_AFTER_SCHEMA, read_jsonl, write_jsonl, write_report
+
+    spark = aligned.sparkSession
+    cols = ["pos", "id", "group", "prompt", "base_output", "tuned_output"]
+    write_jsonl(aligned.select(*cols).repartitionByRange("pos").sortWithinPartitions("pos"), f"{output_dir}/jsonl")
+    rows = read_jsonl(spark, f"{output_dir}/jsonl", BEFORE_AFTER_SCHEMA)
+    write_report(rows.select("pos", report_block().alias("block")), f"{output_dir}/report", REPORT_TITLE)
+    return rows.count()

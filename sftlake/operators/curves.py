@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 
 def loss_points(entries: DataFrame, run_col: str = "run", entry_col: str = "entry") -> DataFrame:
-    """run, series ('train' | 'eval'), step, loss."""
+    """run, series ('train' | 'eval'), step, loss, and pos (the place in the log) if the entries
+    have it, which orders entries of one step as resumed runs write them."""
     e = F.col(entry_col)
     routes = F.array(
         F.struct(F.lit("train").alias("series"), F.map_contains_key(e, "loss").alias("has"), e["loss"].alias("v")),
@@ -24,6 +25,7 @@ def loss_points(entries: DataFrame, run_col: str = "run", entry_col: str = "entr
     with_step = entries.where(e["step"].isNotNull())
     pts = with_step.select(
         F.col(run_col).alias("run"),
+        *(["pos"] if "pos" in entries.columns else []),
         F.expr(f"try_cast({entry_col}['step'] AS DOUBLE)").alias("step"),
         F.explode(F.filter(routes, lambda r: r["has"])).alias("r"),
     )
@@ -32,16 +34,15 @@ def loss_points(entries: DataFrame, run_col: str = "run", entry_col: str = "entr
         F.col("r.series").alias("series"),
         F.col("step").cast("long").alias("step"),
         F.expr("try_cast(r.v AS DOUBLE)").alias("loss"),
+        *(["pos"] if "pos" in entries.columns else []),
     )
 
 
 def resolve_labels(run_paths: list[str], labels: list[str] | None = None) -> list[str]:
     """Labels by position; missing ones are the run's parent directory name; surplus labels
     are dropped."""
-    out = list(labels or [])[: len(run_paths)]
-    while len(out) < len(run_paths):
-        out.append(PurePosixPath(run_paths[len(out)]).parent.name)
-    return out
+    given = list(labels or ())[: len(run_paths)]
+    return given + [PurePosixPath(p).parent.name for p in run_paths[len(given) :]]
 
 
 def label_runs(points: DataFrame, mapping: dict[str, str], run_col: str = "run") -> DataFrame:
@@ -53,14 +54,26 @@ def label_runs(points: DataFrame, mapping: dict[str, str], run_col: str = "run")
 
 
 def curve_compare(labelled: DataFrame) -> DataFrame:
-    """Per label and series: number of points, loss at the first and at the last step."""
+    """Per label and series: number of points, loss at the first and at the last point, in log
+    order where the points have it, else in step order."""
+    order = F.col("pos") if "pos" in labelled.columns else F.col("step")
     return labelled.groupBy("label", "series").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by("loss", "step").alias("first_loss"),
-        F.max_by("loss", "step").alias("last_loss"),
+        F.min_by("loss", order).alias("first_loss"),
+        F.max_by("loss", order).alias("last_loss"),
     )
 
 
+def merged_run_summary(train: DataFrame, evaluation: DataFrame) -> DataFrame:
+    """Stored metric documents (run, metrics map) of the two phases -> (run, metric, value) of
+    the merged document. A metric that both hold is the evaluation's."""
+    both = train.select("run", F.col("metrics").alias("t")).join(evaluation.select("run", F.col("metrics").alias("e")), "run", "full_outer")
+    none = F.create_map().cast("map<string,double>")
+    t, e = F.coalesce("t", none), F.coalesce("e", none)
+    merged = F.map_concat(F.map_filter(t, lambda k, _: ~F.map_contains_key(e, k)), e)
+    return both.select("run", F.explode(merged).alias("metric", "value"))
+
+
 def run_summary(points: DataFrame) -> DataFrame:
     """Per run: train metrics and eval metrics maps, merged, in long form (run, metric, value)."""
     train = F.col("series") == "train"
@@ -94,15 +107,16 @@ def metric_table(docs: DataFrame, labels: dict[int, str], base_label: str = "Bas
 
 
 def loss_curves(spark, state_paths: list[str], labels: list[str] | None = None) -> DataFrame:
-    """Trainer-state documents -> label, run_path, series, step, loss, for one or several runs.
+    """Trainer-state documents -> label, run_path, pos, series, step, loss, for one or several
+    runs. Labels go by position, padded with each run's parent directory name. Every path is
+    read with its own label, so any spelling of a path that Spark reads keeps its label."""
+    from functools import reduce
 
-    Labels follow the reference rule (given labels by position, padded with each run's
-    parent directory name, surplus dropped)."""
     from sftlake.sources.jsonl import read_trainer_states
 
-    entries = read_trainer_states(spark, list(state_paths))
-    pts = loss_points(entries.withColumnRenamed("run_path", "run"))
-    # input_file_name() yields URIs; map each given path to its label by its normalised URI.
-    uris = [p if "://" in p or p.startswith("file:") else "file://" + p for p in state_paths]
-    mapping = dict(zip(uris, resolve_labels(list(state_paths), labels)))
-    return label_runs(pts, mapping).withColumnRenamed("run", "run_path").select("label", "run_path", "series", "step", "loss")
+    parts = []
+    for path, label in zip(state_paths, resolve_labels(list(state_paths), labels), strict=True):
+        entries = read_trainer_states(spark, [path]).withColumn("run", F.lit(path))
+        parts.append(loss_points(entries).withColumn("label", F.lit(label)))
+    points = reduce(DataFrame.unionByName, parts)
+    return points.withColumnRenamed("run", "run_path").select("label", "run_path", "pos", "series", "step", "loss")

@@ -112,12 +112,22 @@ class CountMatrix:
 
 
 def token_count_matrix(
-    texts: DataFrame, text_col: str, tag_col: str, tags: tuple[str, ...], max_length: int | None = DEFAULT_MAX_LENGTH
+    texts: DataFrame,
+    text_col: str,
+    tag_col: str,
+    tags: tuple[str, ...],
+    max_length: int | None | dict[str, int | None] = DEFAULT_MAX_LENGTH,
 ) -> CountMatrix:
     """One tokenize/explode pass and one ``groupBy(token)`` (partial aggregation folds hot
-    tokens map-side) for all tags at once; a null sentinel per text carries text counts."""
+    tokens map-side) for all tags at once; a null sentinel per text carries text counts.
+    ``max_length`` is one limit, or one for each tag (None: whole texts)."""
     toks = tokenize(text_col)
-    if max_length:
+    if isinstance(max_length, dict):
+        whole = toks
+        for tag, limit in max_length.items():
+            if limit:
+                toks = F.when(F.col(tag_col) == tag, truncate(whole, limit)).otherwise(toks)
+    elif max_length:
         toks = truncate(toks, max_length)
     seq = F.concat(F.array(F.lit(None).cast("string")), toks)
     ex = texts.where(F.col(tag_col).isin(*tags)).select(

@@ -35,13 +35,23 @@ def hash_bucket(hex_hash, n_buckets) -> Column:
     return F.least(F.floor(hash_fraction(hex_hash) * nb), nb - 1).cast("long")
 
 
-def quantile_bucket(df: DataFrame, col: str, out: str, buckets: int, rel_err: float = 0.001) -> DataFrame:
-    """Add ``out``: a bucket non-decreasing in ``col`` from approximate quantiles.
+ROWS_A_BUCKET = 1 << 20
 
-    One small action: ``buckets - 1`` numbers come back to the driver. Nulls go to bucket 0
-    (they sort first)."""
+
+def quantile_bucket(df: DataFrame, col: str, out: str, buckets: int | None = None, rel_err: float | None = None) -> DataFrame:
+    """Add ``out``: a bucket non-decreasing in the numeric ``col`` from approximate quantiles.
+
+    Without ``buckets``, one for every ``ROWS_A_BUCKET`` rows (counted), so a bucket's size does
+    not follow the data's. ``buckets - 1`` numbers come back to the driver. Nulls go to bucket 0
+    (they sort first). A column that isn't numeric raises: a cast would put all of it into one."""
     from pyspark.ml.feature import Bucketizer
+    from pyspark.sql.types import NumericType
 
+    if not isinstance(df.schema[col].dataType, NumericType):
+        raise ValueError(f"{col!r} must be numeric to be cut into quantile buckets")
+    if buckets is None:
+        buckets = max(1, -(-df.count() // ROWS_A_BUCKET))
+    rel_err = rel_err or min(0.001, 0.1 / buckets)
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(col, probs, rel_err) if buckets > 1 else []
     splits = sorted({float(q) for q in qs if q is not None})
@@ -66,17 +76,18 @@ def ordered_running_total(
     """Inclusive running total of ``value`` (or running row count) within ``by`` in ``order``.
 
     Equals ``sum(value) over (partition by by order by order rows unbounded preceding)``
-    provided ``bucket`` is non-decreasing in ``order`` within each group, ``order`` is a
-    total order and the ``by``/``bucket`` keys are not null."""
+    provided ``bucket`` is non-decreasing in ``order`` within each group and ``order`` is a
+    total order. A null group is a group; a null bucket comes first in its group."""
     v = F.lit(1).cast("long") if value is None else F.col(value).cast("long")
-    d = df.withColumn("__v", v)
     keys = [*by, bucket]
+    # Equality of structs holds for null fields too, so the join and the window share one key.
+    d = df.withColumn("__v", v).withColumn("__g", F.struct(*keys))
     stats = d.groupBy(*keys).agg(F.sum("__v").alias("__s"))
     w_off = (Window.partitionBy(*by) if by else Window).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(*keys, F.coalesce(F.sum("__s").over(w_off), F.lit(0)).alias("__off"))
-    joined = d.join(offsets, on=keys, how="inner")
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return joined.withColumn(out, F.col("__off") + F.sum("__v").over(w)).drop("__v", "__off")
+    offsets = stats.select(F.struct(*keys).alias("__g"), F.coalesce(F.sum("__s").over(w_off), F.lit(0)).alias("__off"))
+    joined = d.join(offsets, "__g", "inner")
+    w = Window.partitionBy("__g").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.withColumn(out, F.col("__off") + F.sum("__v").over(w)).drop("__v", "__off", "__g")
 
 
 def window_running_total(df: DataFrame, by: list[str], order: list, out: str, value: str | None = None) -> DataFrame:

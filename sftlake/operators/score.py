@@ -152,16 +152,18 @@ def score_with_plugin(
     texts: DataFrame,
     text_id: str,
     text_col: str,
-    factory: ScorerFactory,
+    factories: dict[str, ScorerFactory],
     cache_key: str,
     sort_by_length: bool = True,
 ) -> DataFrame:
-    """Run a user scorer over Arrow batches: text_id, num_tokens, sum_nll per text.
-
-    ``factory()`` builds the scorer once per Python worker (a model load); the scorer maps a
-    batch of texts to per-token NLL lists (already truncated and shifted by the scorer).
-    With ``sort_by_length`` texts are ordered by length inside each partition (no shuffle), so
-    a padded batch holds texts of similar length; per-text results do not depend on it."""
+    """Run user scorers over Arrow batches: text_id, model, num_tokens, sum_nll; all models in
+    one pass over the texts.
+
+    Each factory builds its scorer once per Python worker (a model load; a worker keeps the
+    scorers of one ``cache_key``); a scorer maps a batch of texts to per-token NLL lists (already
+    truncated and shifted by the scorer). With ``sort_by_length`` texts are ordered by length
+    inside each partition (no shuffle), so a padded batch holds texts of similar length;
+    per-text results do not depend on it."""
     import pandas as pd
 
     from sftlake.session import ship_package
@@ -171,67 +173,57 @@ def score_with_plugin(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from sftlake.operators import score as this  # the worker's module: one cache per process
 
-        scorer = this._WORKER_CACHE.get(cache_key)
-        if scorer is None:
-            scorer = this._WORKER_CACHE[cache_key] = factory()
+        if this._WORKER_CACHE.get("key") != cache_key:
+            this._WORKER_CACHE.clear()
+            this._WORKER_CACHE.update(key=cache_key, scorers={name: make() for name, make in factories.items()})
         for pdf in batches:
-            nlls = scorer(pdf[text_col].fillna("").tolist())
-            yield pd.DataFrame(
-                {
-                    text_id: pdf[text_id].values,
-                    "num_tokens": [len(x) for x in nlls],
-                    "sum_nll": [float(sum(x)) for x in nlls],
-                }
-            )
-
-    schema = f"{text_id} long, num_tokens long, sum_nll double"
+            for name, scorer in this._WORKER_CACHE["scorers"].items():
+                nlls = scorer(pdf[text_col].fillna("").tolist())
+                yield pd.DataFrame(
+                    {
+                        text_id: pdf[text_id].values,
+                        "model": name,
+                        "num_tokens": [len(x) for x in nlls],
+                        "sum_nll": [float(sum(x)) for x in nlls],
+                    }
+                )
+
+    schema = f"{text_id} {dict(texts.dtypes)[text_id]}, model string, num_tokens long, sum_nll double"
     src = texts.select(text_id, text_col)
     if sort_by_length:
         src = src.sortWithinPartitions(F.length(text_col))
     return src.mapInPandas(run, schema)
 
 
-def plugin_metrics(per_text: DataFrame, model_name: str) -> DataFrame:
-    t = per_text.agg(
-        F.count(F.lit(1)).alias("num_texts"),
-        F.coalesce(F.sum("num_tokens"), F.lit(0)).alias("num_tokens"),
-        F.sum("sum_nll").alias("s"),
-    ).withColumn("model", F.lit(model_name))
-    return metrics_from_sums(t, "model", "s")
-
+def plugin_metrics(per_text: DataFrame, models: list[str]) -> DataFrame:
+    """One row for each model, also when there is no text."""
+    of = lambda c, m: F.when(F.col("model") == m, F.col(c))
+    rows = [
+        F.struct(
+            F.lit(m).alias("model"),
+            F.count(of("num_tokens", m)).alias("num_texts"),
+            F.coalesce(F.sum(of("num_tokens", m)), F.lit(0)).alias("num_tokens"),
+            F.sum(of("sum_nll", m)).alias("s"),
+        )
+        for m in models
+    ]
+    return metrics_from_sums(per_text.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*"), "model", "s")
 
-class TableScorerFactory:
-    """Scorer over a token-probability table stored as parquet in the shared folder.
 
-    Each worker loads the table once. Only for tables whose row count the caller has
-    checked against ``max_rows``; larger models belong on the join path (``score_models``)."""
+class LengthScorerFactory:
+    """A scorer without a table: a token of n characters costs ``scale`` * ln(1 + n). It stands
+    for any self-contained model on the plug-in path; a fitted token table is scored by the
+    aggregate (``score_count_matrix``), never shipped to workers."""
 
-    def __init__(self, path: str, prob_col: str, unk_p: float, max_length: int, max_rows: int):
-        self.path, self.prob_col, self.unk_p = path, prob_col, unk_p
-        self.max_length, self.max_rows = max_length, max_rows
+    def __init__(self, scale: float, max_length: int):
+        self.scale, self.max_length = scale, max_length
 
     def __call__(self):
         import math
 
-        import pyarrow.parquet as pq
-
         from sftlake.functions.tokens import py_tokenize
 
-        path = self.path[len("file:"):] if self.path.startswith("file:") else self.path
-        tbl = pq.read_table(path, columns=["token", self.prob_col])  # a directory of part files
-        if tbl.num_rows > self.max_rows:
-            raise ValueError(f"token table has {tbl.num_rows} rows > {self.max_rows}; use the join path")
-        probs = dict(zip(tbl.column("token").to_pylist(), tbl.column(self.prob_col).to_pylist()))
-        unk, limit = self.unk_p, self.max_length
-
-        def score(texts: list[str]) -> list[list[float]]:
-            out = []
-            for t in texts:
-                toks = py_tokenize(t)[:limit]
-                out.append([-math.log(probs.get(tok, unk)) for tok in toks[1:]])
-            return out
-
-        return score
+        return lambda texts: [[self.scale * math.log1p(len(t)) for t in py_tokenize(x)[: self.max_length][1:]] for x in texts]
 
 
 def score_count_matrix(matrix, eval_tag: str, base_tag: str, domain_tag: str, lam: float) -> DataFrame:

@@ -3,9 +3,11 @@
 Per stratum of n rows: n_train = floor(n * train), n_val = floor(n * val); when n >= 3 both
 are at least 1 and, if n_train + n_val >= n, n_val = max(1, n - n_train - 1); the rest is test.
 Rows are ranked inside their stratum by md5(seed ':' key) (tie-break key), so the split is
-fixed by the seed and independent of partitioning. Ranking is two-level: one aggregate counts
-rows per (stratum, hash cell), and the final rank is a window over (stratum, cell) only, so no
-task ever sorts a whole stratum.
+fixed by the seed and independent of partitioning. One aggregate counts rows per (stratum, hash
+cell). Labels need no shuffle of records: the two cells of a stratum that hold its last train and
+last val rank give the exact boundary keys, and a row is labelled by comparing its own hash and
+key with them. Where the rank itself is wanted, it is a window over (stratum, cell) only, so no
+task ever sorts a whole stratum. A null stratum is a stratum like any other; null keys raise.
 """
 
 from __future__ import annotations
@@ -15,11 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sftlake.operators.ranking import hash_bucket, ordered_running_total, quantile_bucket
+from sftlake.operators.ranking import ordered_running_total
 from sftlake.sources.scratch import checkpointed
 
 SPLITS = ("train", "val", "test")
-DEFAULT_BUCKET_ROWS = 1 << 20
 
 
 def check_ratios(train_ratio: float, val_ratio: float) -> None:
@@ -55,12 +56,7 @@ def seeded_hash(seed: int, key, salt: str | None = None) -> Column:
     return F.md5(F.concat(F.lit(prefix), k.cast("string")))
 
 
-def _bucket_count(n_col: Column, bucket_rows: int) -> Column:
-    return F.greatest(F.lit(1), F.ceil(n_col / F.lit(float(bucket_rows)))).cast("long")
-
-
-CELL_DIGITS = 4  # fine hash cells per stratum: 16^4 = 65,536
-BROADCAST_MAX_ROWS = 2_000_000
+CELL_DIGITS = 4  # hash cells per stratum: 16^4 = 65,536
 
 
 def hash_cell(hex_hash, digits: int = CELL_DIGITS) -> Column:
@@ -69,40 +65,25 @@ def hash_cell(hex_hash, digits: int = CELL_DIGITS) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("long")
 
 
-def _broadcast_if(df: DataFrame, rows_bound: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast only when a proven upper bound on the row count is small enough."""
-    return F.broadcast(df) if rows_bound <= max_rows else df
-
-
 @dataclass
 class SplitPlan:
     """Everything the split needs, from one pass over the records.
 
-    cells:   by, cell, c      rows per (stratum, fine hash cell); cell -1 counts dropped rows
+    cells:   by, cell, c      rows per (stratum, hash cell); cell -1 counts dropped rows
                               (materialised; everything else is a small table derived from it)
     sizes:   by, n, n_train, n_val, n_test
-    shifts:  by, __shift      fine -> coarse cell: coarse = fine >> shift, about n / bucket_rows coarse cells
-    offsets: by, __cell, __off, n_train, n_val   rows of the stratum in earlier coarse cells
-    strata, raw, kept:        counts from one small action over ``cells``
+    offsets: by, __cell, __off, c, n_train, n_val   rows of the stratum in earlier cells
+    raw, kept:                counts from one small action over ``cells``
     """
 
     cells: DataFrame
     sizes: DataFrame
-    shifts: DataFrame
     offsets: DataFrame
     by: str
     cell_digits: int
-    bucket_rows: int
-    strata: int
     raw: int
     kept: int
 
-    def offsets_bound(self) -> int:
-        """Proven upper bound on offset rows: a stratum has 2^ceil(log2(ceil(n / bucket_rows)))
-        coarse cells, under 2 * ceil(n / bucket_rows) (4x leaves room for log2 rounding up),
-        so at most 4 * (kept / bucket_rows + strata)."""
-        return 4 * (self.kept // self.bucket_rows + self.strata)
-
     def totals(self) -> dict[str, int]:
         """raw, kept, train, val, test."""
         t = self.sizes.agg(F.sum("n_train").alias("train"), F.sum("n_val").alias("val"), F.sum("n_test").alias("test")).first()
@@ -118,72 +99,86 @@ def plan_split(
     key: str = "row_id",
     kept: str | None = None,
     cell_digits: int = CELL_DIGITS,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> SplitPlan:
     """One aggregate over the records, then only small tables.
 
-    The pass counts rows per (stratum, fine hash cell) with partial aggregation (a hot stratum
-    folds map-side); the result (at most min(rows, strata x 16^cell_digits) narrow rows) is
-    materialised. Stratum sizes are its per-stratum sums. Each stratum then gets about
-    n / bucket_rows coarse cells (a power of two: the fine cell shifted right), and each coarse
-    cell's rank offset is the number of the stratum's rows in lower coarse cells. With ``kept``,
-    rows whose flag is false are counted in cell -1 (for metadata) and take no part in the split."""
+    The pass counts rows per (stratum, hash cell) with partial aggregation (a hot stratum folds
+    map-side); the result (at most min(rows, strata x 16^cell_digits) narrow rows) is
+    materialised. Stratum sizes are its per-stratum sums, and a cell's rank offset is the number
+    of the stratum's rows in lower cells. With ``kept``, rows whose flag is false are counted in
+    cell -1 (for metadata) and take no part in the split."""
     check_ratios(train_ratio, val_ratio)
-    bits = 4 * cell_digits
     cell = hash_cell(seeded_hash(seed, key), cell_digits)
     if kept:
         cell = F.when(F.col(kept), cell).otherwise(F.lit(-1).cast("long"))
     cells = checkpointed(records.groupBy(by, cell.alias("cell")).agg(F.count(F.lit(1)).alias("c")))
     is_kept = F.col("cell") >= 0
     st = cells.agg(
-        F.count_distinct(F.when(is_kept, F.col(by))).alias("strata"),
-        F.sum("c").alias("raw"),
-        F.sum(F.when(is_kept, F.col("c"))).alias("kept"),
+        F.sum("c").alias("raw"), F.sum(F.when(is_kept, F.col("c"))).alias("kept"), F.count_if(F.col("cell").isNull()).alias("unkeyed")
     ).first()
+    if st["unkeyed"]:
+        raise ValueError(f"records with a null {key!r} cannot be split")
     kept_cells = cells.where(is_kept)
     sizes = split_sizes(kept_cells.groupBy(by).agg(F.sum("c").alias("n")), train_ratio, val_ratio)
-    want = F.greatest(F.lit(1.0), F.ceil(F.col("n") / F.lit(float(bucket_rows))))
-    coarse_bits = F.least(F.lit(bits), F.ceil(F.log2(want)).cast("int"))
-    shifts = sizes.select(by, (F.lit(bits) - coarse_bits).cast("int").alias("__shift"))
-    coarse = (
-        kept_cells.join(shifts, by)
-        .select(by, F.expr("shiftright(cell, __shift)").alias("__cell"), "c")
-        .groupBy(by, "__cell")
-        .agg(F.sum("c").alias("c"))
-    )
-    w = Window.partitionBy(by).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = coarse.select(by, "__cell", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("__off")).join(
-        sizes.select(by, "n_train", "n_val"), by
-    )
-    return SplitPlan(
-        cells, sizes, shifts, offsets, by, cell_digits, bucket_rows,
-        int(st["strata"] or 0), int(st["raw"] or 0), int(st["kept"] or 0),
+    w = Window.partitionBy(by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = kept_cells.select(by, F.col("cell").alias("__cell"), F.coalesce(F.sum("c").over(w), F.lit(0)).alias("__off"), "c")
+    per = sizes.select(F.col(by).alias("__by"), "n_train", "n_val")
+    offsets = before.join(per, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
+    return SplitPlan(cells, sizes, offsets, by, cell_digits, int(st["raw"] or 0), int(st["kept"] or 0))
+
+
+def _ranked(records: DataFrame, cells: DataFrame, by: str, digits: int, seed: int, key: str) -> DataFrame:
+    """Adds split_hash and stratum_rank to the records that lie in the given cells (offsets);
+    the join and the window share one shuffle on (stratum, cell)."""
+    d = records.withColumn("split_hash", seeded_hash(seed, key))
+    # Equality of structs holds for a null stratum too.
+    d = d.withColumn("__at", F.struct(F.col(by).alias("s"), hash_cell("split_hash", digits).alias("c")))
+    cells = cells.select(F.struct(F.col(by).alias("s"), F.col("__cell").alias("c")).alias("__at"), "__off", "n_train", "n_val")
+    w = Window.partitionBy("__at").orderBy("split_hash", key)
+    return d.join(cells, "__at").withColumn("stratum_rank", F.col("__off") + F.row_number().over(w)).drop("__at", "__off")
+
+
+def split_boundaries(records: DataFrame, plan: SplitPlan, seed: int = 42, key: str = "row_id") -> DataFrame:
+    """by, last_train, last_val: the (hash, key) of each stratum's last train and last val row
+    (null when there is none), materialised. Only the keys of the one or two cells per stratum
+    that hold those ranks are ranked."""
+    by = plan.by
+    end_val = F.col("n_train") + F.col("n_val")
+    holds = lambda rank: (F.col("__off") < rank) & (rank <= F.col("__off") + F.col("c"))
+    cells = checkpointed(plan.offsets.where(holds(F.col("n_train")) | holds(end_val)))
+    r = _ranked(records.select(by, key), cells, by, plan.cell_digits, seed, key)
+    at = F.struct(F.col("split_hash").alias("h"), F.col(key).alias("k"))
+    bounds = r.groupBy(by).agg(
+        F.max(F.when(F.col("stratum_rank") == F.col("n_train"), at)).alias("last_train"),
+        F.max(F.when(F.col("stratum_rank") == end_val, at)).alias("last_val"),
     )
+    return checkpointed(bounds)
 
 
 def assign_splits(records: DataFrame, plan: SplitPlan, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """Rank kept rows inside their stratum by (hash, key) and slice the ranks into splits.
-
-    The rank is the coarse cell's offset plus the row number inside the (stratum, coarse cell)
-    window, which holds about bucket_rows rows however large the stratum. Both small plan
-    tables are broadcast when their proven row bounds allow, so the window's shuffle on
-    (stratum, cell) is the only exchange of the records. ``records`` must hold the kept rows
-    only. Adds split_hash, stratum_rank and split."""
+    """Adds split_hash and split by comparing each row with its stratum's boundaries. The
+    boundary table has a row per stratum and a measured size, so it is broadcast when small;
+    beyond that the join is a plain one, whose hot strata Spark splits. ``records`` must hold
+    the kept rows only."""
     by = plan.by
+    bounds = split_boundaries(records, plan, seed, key).withColumnRenamed(by, "__by")
     d = records.withColumn("split_hash", seeded_hash(seed, key))
-    d = d.join(_broadcast_if(plan.shifts, plan.strata), by)
-    d = d.withColumn("__fine", hash_cell("split_hash", plan.cell_digits))  # bigint
-    d = d.withColumn("__cell", F.expr("shiftright(__fine, __shift)")).drop("__fine")
-    j = d.join(_broadcast_if(plan.offsets, plan.offsets_bound()), on=[by, "__cell"], how="inner")
-    w = Window.partitionBy(by, "__cell").orderBy("split_hash", key)
-    r = j.withColumn("stratum_rank", F.col("__off") + F.row_number().over(w))
+    d = d.join(bounds, F.col(by).eqNullSafe(F.col("__by")), "left")
+    at = F.struct(F.col("split_hash").alias("h"), F.col(key).alias("k"))
+    split = F.when(at <= F.col("last_train"), "train").when(at <= F.col("last_val"), "val").otherwise("test")
+    return d.withColumn("split", split).drop("__by", "last_train", "last_val")
+
+
+def rank_splits(records: DataFrame, plan: SplitPlan, seed: int = 42, key: str = "row_id") -> DataFrame:
+    """Adds split_hash, stratum_rank and split; one shuffle of the records, on (stratum, cell)."""
+    r = _ranked(records, plan.offsets, plan.by, plan.cell_digits, seed, key)
     rank = F.col("stratum_rank")
     split = (
         F.when(rank <= F.col("n_train"), "train")
         .when(rank <= F.col("n_train") + F.col("n_val"), "val")
         .otherwise("test")
     )
-    return r.withColumn("split", split).drop("__cell", "__off", "__shift", "n_train", "n_val")
+    return r.withColumn("split", split).drop("n_train", "n_val")
 
 
 def stratified_split(
@@ -194,11 +189,10 @@ def stratified_split(
     by: str = "kind",
     key: str = "row_id",
     cell_digits: int = CELL_DIGITS,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
     """records -> records + split_hash, stratum_rank, split."""
-    plan = plan_split(records, train_ratio, val_ratio, seed, by, key, cell_digits=cell_digits, bucket_rows=bucket_rows)
-    return assign_splits(records, plan, seed, key)
+    plan = plan_split(records, train_ratio, val_ratio, seed, by, key, cell_digits=cell_digits)
+    return rank_splits(records, plan, seed, key)
 
 
 def split_totals(sizes: DataFrame) -> DataFrame:
@@ -213,20 +207,22 @@ def split_totals(sizes: DataFrame) -> DataFrame:
     ).select("t.split", "t.size")
 
 
-def order_within_splits(
-    split_df: DataFrame,
-    sizes: DataFrame,
-    seed: int = 42,
-    key: str = "row_id",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-) -> DataFrame:
+def order_within_splits(split_df: DataFrame, seed: int = 42, key: str = "row_id", cell_digits: int = CELL_DIGITS) -> DataFrame:
     """Seeded shuffle of each finished split: order_hash = md5(seed ':order:' key) and
-    order_pos = 1-based position in that order inside the split."""
-    totals = F.broadcast(split_totals(sizes))  # exactly three rows
-    d = split_df.withColumn("order_hash", seeded_hash(seed, key, salt="order")).join(totals, "split")
-    d = d.withColumn("__b", hash_bucket("order_hash", _bucket_count(F.col("size"), bucket_rows)))
-    r = ordered_running_total(d, by=["split"], bucket="__b", order=["order_hash", key], out="order_pos")
-    return r.drop("__b", "size")
+    order_pos = 1-based position in that order inside the split. Positions are counted per
+    (split, hash cell); the offsets table has at most three times 16^cell_digits rows."""
+    d = split_df.withColumn("order_hash", seeded_hash(seed, key, salt="order"))
+    d = d.withColumn("__b", hash_cell("order_hash", cell_digits))
+    return ordered_running_total(d, by=["split"], bucket="__b", order=["order_hash", key], out="order_pos").drop("__b")
+
+
+def exact_overlap(split_df: DataFrame, columns: list[str], side: str = "test", other: str = "train") -> DataFrame:
+    """Rows of one split whose text columns all equal those of a row of the other; compared by
+    a 128-bit digest, so no text is shuffled for the other side."""
+    digest = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
+    seen = split_df.where(F.col("split") == other).select(digest.alias("__d"))
+    mine = split_df.where(F.col("split") == side).withColumn("__d", digest)
+    return mine.join(seen, "__d", "left_semi").drop("__d")
 
 
 def split_audit(split_df: DataFrame, by: str = "kind") -> DataFrame:
@@ -263,25 +259,49 @@ def split_metadata(plan: SplitPlan) -> DataFrame:
     )
 
 
-# A top-k ships every task's local top n rows to one merging task, so it is used only for
-# small n (the evaluation slices); larger heads are ranked exactly across tasks.
-TOPK_MAX = 10_000
+_FINISH = 4096  # keys brought to the driver once the cutoff is known to lie among them
+_SAMPLE = 1024
 
 
-def head_rows(df: DataFrame, n: int | None, order: list, topk_max: int = TOPK_MAX, buckets: int = 1024) -> DataFrame:
-    """The first n rows in ``order`` (None or 0 = all rows).
+def head_rows(df: DataFrame, n: int | None, order: list[str]) -> DataFrame:
+    """The first n rows by the ``order`` columns, of any type (None or 0 = all rows); the result
+    is the same rows in no particular order.
 
-    Up to ``topk_max`` rows this is a top-k (each task keeps n rows, one merge). Beyond that a
-    single merging task would hold the whole head, so rows are ranked exactly with the
-    two-level running count instead (quantile buckets on the first, numeric, order column)
-    and filtered by rank."""
+    The cutoff key is found on the order columns alone: a sample of the keys gives splitters, one
+    aggregate counts the rows up to each, and the interval that holds the n-th key is searched
+    again until it has few keys. Then rows up to the cutoff are a filter, which reaches the scan;
+    no task ever holds the head. The order must be total."""
     if not n:
         return df
-    if n <= topk_max:
-        return df.orderBy(*order).limit(int(n))
-    first = order[0] if isinstance(order[0], str) else None
-    if first is None or dict(df.dtypes).get(first) not in ("bigint", "int", "smallint", "tinyint", "double", "float"):
-        raise ValueError("a large head slice needs a numeric first order column")
-    d = quantile_bucket(df.withColumn("__hk", F.col(first).cast("double")), "__hk", "__hb", buckets)
-    r = ordered_running_total(d, by=[], bucket="__hb", order=list(order), out="__hrn")
-    return r.where(F.col("__hrn") <= int(n)).drop("__hk", "__hb", "__hrn")
+    key = F.struct(*order)
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def literal(row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order])
+
+    keys = df.select(*order)
+    inside, need = keys, int(n)
+    if (m := keys.count()) <= need:
+        return df
+    while m > _FINISH:
+        part = F.pmod(F.xxhash64(*order, F.lit(m)), F.lit(1 << 30)) < int((1 << 30) * _SAMPLE / m)
+        sample = inside.where(part).orderBy(*order).collect()
+        step = max(1, len(sample) // 64)
+        at = sample[::step] or [inside.orderBy(*order).first()]
+        counts = inside.agg(*[F.count_if(key <= literal(r)).alias(str(k)) for k, r in enumerate(at)]).first()
+        k = next((k for k in range(len(at)) if counts[k] >= need), len(at))
+        below = counts[k - 1] if k else 0
+        if k:
+            inside = inside.where(key > literal(at[k - 1]))
+        if k < len(at):
+            inside = inside.where(key <= literal(at[k]))
+        left = (counts[k] if k < len(at) else m) - below
+        if left == m:
+            raise ValueError(f"{order} is not a total order")
+        need, m = need - below, left
+    cutoff = inside.orderBy(*order).collect()[need - 1]
+    first = F.col(order[0])
+    if cutoff[0] is None:
+        return df.where(key <= literal(cutoff))
+    # The plain comparison of the first column is what a scan can use.
+    return df.where(first.isNull() | (first <= F.lit(cutoff[0]).cast(kinds[order[0]]))).where(key <= literal(cutoff))

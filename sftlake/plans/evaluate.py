@@ -10,22 +10,16 @@ from sftlake.functions.chat import render_chat
 from sftlake.functions.tokens import DEFAULT_MAX_LENGTH
 from sftlake.operators.model import TokenModel, adapt_token_model
 from sftlake.operators.score import score_models, summary_document
-from sftlake.operators.ranking import hash_fraction
-from sftlake.operators.split import TOPK_MAX, head_rows, seeded_hash
+from sftlake.operators.split import head_rows, seeded_hash
 from sftlake.sources.jsonl import write_metric_doc
 
 
-def test_slice(
-    test_rows: DataFrame, max_samples: int | None, seed: int = 42, key: str = "row_id", topk_max: int = TOPK_MAX
-) -> DataFrame:
+def test_slice(test_rows: DataFrame, max_samples: int | None, seed: int = 42, key: str = "row_id") -> DataFrame:
     """First ``max_samples`` rows of the shuffled test split (all rows when not > 0)."""
     if max_samples is not None and max_samples <= 0:
         max_samples = None
     t = test_rows.withColumn("__o", seeded_hash(seed, key, salt="order"))
-    # The leading numeric fraction is monotone in the hash, so the order is (hash, key) and a
-    # large slice can take the exact ranked path.
-    t = t.withColumn("__f", hash_fraction("__o"))
-    return head_rows(t, max_samples, ["__f", "__o", key], topk_max=topk_max).drop("__o", "__f")
+    return head_rows(t, max_samples, ["__o", key]).drop("__o")
 
 
 def token_loss_summary(
@@ -85,7 +79,9 @@ def compare_on_splits(
         .unionByName(train.select("text", F.lit("domain").alias("tag")))
         .unionByName(test.select(render_chat("messages").alias("text"), F.lit("eval").alias("tag")))
     )
-    mx = token_count_matrix(tagged, "text", "tag", ("base", "domain", "eval"), max_length)
+    # Truncation is a rule of the training and the evaluation side; the base corpus is read whole.
+    limits = {"base": None, "domain": max_length, "eval": max_length}
+    mx = token_count_matrix(tagged, "text", "tag", ("base", "domain", "eval"), limits)
     doc = summary_document(score_count_matrix(mx, "eval", "base", "domain", lam))
     if output_path:
         write_metric_doc(doc, output_path)

@@ -69,7 +69,15 @@ PREP_DIRTY = with_(A3, conv("a3", "kept"), split_ctes("kept"))
 
 # ---------------------------------------------------------------- chat / tokens
 
-from sftlake.functions.chat import DEFAULT_SYSTEM, IM_END as IM_E, IM_START as IM_S  # noqa: E402  (fixed values)
+from sftlake.functions.chat import DEFAULT_SYSTEM, TOOLS_INTRO, TOOLS_OUTRO  # noqa: E402, F401  (fixed values)
+from sftlake.functions.chat import IM_END as IM_E, IM_START as IM_S  # noqa: E402
+
+
+def quoted(text: str) -> str:
+    """Text inside a single-quoted SQL literal."""
+    return text.replace("'", "''")
+
+
 TOKEN_RE = r"(\p{Han}|[^\x{9}-\x{d}\x{20}\p{Han}]+)"
 NL = "chr(10)"
 
@@ -108,14 +116,26 @@ rendered AS (
   FROM segs s JOIN firsts f USING (conv_id) GROUP BY s.conv_id, f.r0)"""
 
 
-def scoring_ctes(lams: tuple[float, ...] = (0.5,), max_length: int = 1024) -> str:
+# Tokens of the base corpus: rendered non-English records, or the non-English documents.
+BASE_TOKENS = "SELECT unnest(t) AS tok FROM rtoks WHERE kind NOT LIKE 'en/%'"
+NON_ENGLISH_TOKENS = f"SELECT unnest({toks('text')}) AS tok FROM documents WHERE lang <> 'en'"
+
+
+def scoring_ctes(
+    lams: tuple[float, ...] = (0.5,),
+    max_length: int = 1024,
+    eval_sql: str = "kind LIKE 'en/%' AND split = 'test'",
+    domain_sql: str = "kind LIKE 'en/%' AND split = 'train'",
+    base_tokens_sql: str = BASE_TOKENS,
+) -> str:
     """On top of PREP: per-lam model tables m_<i>(token, p_base, p_tuned), unk scalars and
-    eval sums sums_<i>(texts, tokens, sb, st) for English test texts."""
+    eval sums sums_<i>(texts, tokens, sb, st) for the evaluation texts. The base corpus is read
+    whole, the domain and evaluation texts up to max_length tokens."""
     parts = [
         f"""rtexts AS (SELECT row_id, kind, split, {two_turn_chat('prompt', 'response')} AS text FROM labeled),
 rtoks AS (SELECT row_id, kind, split, {toks('text')} AS t FROM rtexts),
-base_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{max_length}]) AS tok FROM rtoks WHERE kind NOT LIKE 'en/%') GROUP BY tok),
-dom_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{max_length}]) AS tok FROM rtoks WHERE kind LIKE 'en/%' AND split = 'train') GROUP BY tok),
+base_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM ({base_tokens_sql}) GROUP BY tok),
+dom_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest(t[1:{max_length}]) AS tok FROM rtoks WHERE {domain_sql}) GROUP BY tok),
 bt AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM base_c),
 dt AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM dom_c),
 pm AS (
@@ -123,8 +143,8 @@ pm AS (
          coalesce((b.n + 1)::DOUBLE / bt.den, 1.0 / bt.den) AS p_base,
          coalesce((d.n + 1)::DOUBLE / dt.den, 1.0 / dt.den) AS p_dom
   FROM base_c b FULL OUTER JOIN dom_c d ON b.token = d.token CROSS JOIN bt CROSS JOIN dt),
-ecnt AS (SELECT tok AS token, count(*)::BIGINT AS cnt FROM (SELECT unnest(t[2:{max_length}]) AS tok FROM rtoks WHERE kind LIKE 'en/%' AND split = 'test') GROUP BY tok),
-ntexts AS (SELECT count(*)::BIGINT AS texts FROM rtoks WHERE kind LIKE 'en/%' AND split = 'test')"""
+ecnt AS (SELECT tok AS token, count(*)::BIGINT AS cnt FROM (SELECT unnest(t[2:{max_length}]) AS tok FROM rtoks WHERE {eval_sql}) GROUP BY tok),
+ntexts AS (SELECT count(*)::BIGINT AS texts FROM rtoks WHERE {eval_sql})"""
     ]
     for i, lam in enumerate(lams):
         parts.append(

@@ -3,9 +3,11 @@
 Jobs it runs:
   1. one aggregate over the normalised records: rows per (kind, hash cell), dropped rows in
      cell -1 (checkpointed). Stratum sizes, rank offsets and every metadata count come from it;
-  2. the write: rank inside strata (one shuffle on (kind, cell)), then range-partition on
-     (split, order_hash) so each split's files come out in its seeded order, partitioned by split;
-  3. a one-row metadata document.
+  2. the boundary keys of each stratum, from the keys of at most two hash cells of it;
+  3. the write: rows are labelled by comparison with the boundaries and range-partitioned on
+     (split, order_hash) so each split's files come out in its seeded order, partitioned by
+     split. That is the one shuffle of the texts;
+  4. a count of the written rows, which must be the planned one, and a one-row metadata document.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.operators.records import message, normalized
-from sftlake.operators.split import assign_splits, check_ratios, head_rows, plan_split, seeded_hash
+from sftlake.operators.split import SPLITS, assign_splits, check_ratios, head_rows, plan_split, seeded_hash
 from sftlake.sources.jsonl import write_splits
 
 METADATA_SCHEMA = (
@@ -52,6 +54,11 @@ def prepare(
     if key != "row_id":
         split = split.withColumnRenamed(key, "row_id")
     write_splits(split, f"{output_dir}/splits")
+    spark = raw.sparkSession
+    lines = spark.read.schema("value string, split string").text(f"{output_dir}/splits")
+    written = {r["split"]: r["count"] for r in lines.groupBy("split").count().collect()}
+    if any(written.get(s, 0) != t[s] for s in SPLITS):
+        raise RuntimeError(f"planned {t}, but wrote {written}: the input changed between the passes, or its keys are not unique")
 
     meta = {
         "dataset_name": dataset_name,
@@ -67,7 +74,6 @@ def prepare(
         "seed": int(seed),
         "max_samples": int(max_samples) if max_samples else None,
     }
-    spark = raw.sparkSession
     spark.createDataFrame([meta], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(f"{output_dir}/metadata")

@@ -21,9 +21,6 @@ ORACLE: dict[str, str] = {}
 
 SEED = 42
 TRAIN, VAL = 0.9, 0.05
-# Small bucket target so the two-level ranks really span several buckets per stratum on test
-# data; production callers keep the default (about a million rows per bucket).
-TEST_BUCKET_ROWS = 16
 
 
 def register(name: str, sql: str | None = None):
@@ -42,7 +39,7 @@ def register(name: str, sql: str | None = None):
 def prepared(spark: SparkSession, sf_dir: str, dirty: bool = False):
     raw = A.documents_dirty(spark, sf_dir) if dirty else A.documents_raw(spark, sf_dir)
     kept = rec.convert_records(raw)
-    plan = spl.plan_split(kept, TRAIN, VAL, SEED, bucket_rows=TEST_BUCKET_ROWS)
+    plan = spl.plan_split(kept, TRAIN, VAL, SEED)
     split = spl.assign_splits(kept, plan, seed=SEED)
     return raw, kept, plan.sizes, split
 
@@ -110,8 +107,8 @@ def q_split_sizes(spark, sf_dir):
 
 @register("stratified_split", O.PREP + "SELECT row_id, kind, split, rn::BIGINT AS stratum_rank FROM labeled")
 def q_stratified_split(spark, sf_dir):
-    _, _, _, split = prepared(spark, sf_dir)
-    return split.select("row_id", "kind", "split", "stratum_rank")
+    kept = rec.convert_records(A.documents_raw(spark, sf_dir)).select("row_id", "kind")
+    return spl.stratified_split(kept, TRAIN, VAL, SEED).select("row_id", "kind", "split", "stratum_rank")
 
 
 @register(
@@ -124,11 +121,11 @@ FROM labeled""",
 def q_split_order(spark, sf_dir):
     from sftlake.sources.scratch import checkpointed
 
-    _, _, sizes, split = prepared(spark, sf_dir)
+    _, _, _, split = prepared(spark, sf_dir)
     # The seeded-order rank reads its input twice (bucket totals, then the window); a narrow
     # materialised (row_id, split) projection keeps the split itself to a single run.
     narrow = checkpointed(split.select("row_id", "split"))
-    o = spl.order_within_splits(narrow, sizes, seed=SEED, bucket_rows=TEST_BUCKET_ROWS)
+    o = spl.order_within_splits(narrow, seed=SEED)
     return o.select("row_id", "split", "order_hash", "order_pos")
 
 
@@ -166,6 +163,70 @@ def q_head_sample(spark, sf_dir):
     return spl.head_rows(A.documents_raw(spark, sf_dir), 100, ["row_id"]).select("row_id", "kind")
 
 
+@register("head_sample_large", O.with_(O.A2) + "SELECT row_id, kind FROM a2 ORDER BY kind, row_id LIMIT (SELECT count(*) * 3 // 4 FROM a2)")
+def q_head_sample_large(spark, sf_dir):
+    """Three quarters of the records by (kind, id): a large head with a string key."""
+    raw = A.documents_raw(spark, sf_dir).select("row_id", "kind")
+    return spl.head_rows(raw, raw.count() * 3 // 4, ["kind", "row_id"])
+
+
+@register(
+    "raw_roundtrip",
+    O.with_(
+        O.A2,
+        "d AS (SELECT kind, input, target, row_number() OVER (ORDER BY row_id % 7, row_id) - 1 AS row_id FROM a2)",
+    )
+    + "SELECT row_id::BIGINT AS row_id, kind, input, target FROM d WHERE row_id < 500",
+)
+def q_raw_roundtrip(spark, sf_dir):
+    """Records written as seven JSONL files of a dataset, read back with dataset-order ids; the
+    first 500 in dataset order."""
+    from sftlake.sources.jsonl import read_raw_records
+    from sftlake.sources.scratch import fresh_dir
+
+    raw = A.documents_raw(spark, sf_dir).withColumn("part", (F.col("row_id") % 7).cast("int"))
+    path = fresh_dir(spark, "raw")
+    # One task a file here, so that the files' order is known; the reader splits them as it likes.
+    ordered = raw.repartitionByRange(7, "part").sortWithinPartitions("part", "row_id").drop("row_id")
+    ordered.write.partitionBy("part").option("ignoreNullFields", "false").json(path)
+    return spl.head_rows(read_raw_records(spark, path), 500, ["row_id"]).select("row_id", "kind", "input", "target")
+
+
+@register(
+    "metadata_roundtrip",
+    O.PREP_DIRTY
+    + """SELECT 'documents' AS dataset_name, (SELECT count(*) FROM a3)::BIGINT AS total_raw, (SELECT count(*) FROM kept)::BIGINT AS total_kept,
+       (SELECT count(*) FROM a3)::BIGINT - (SELECT count(*) FROM kept)::BIGINT AS total_skipped,
+       (SELECT count(*) FROM labeled WHERE split = 'train')::BIGINT AS train_size,
+       (SELECT count(*) FROM labeled WHERE split = 'val')::BIGINT AS val_size,
+       (SELECT count(*) FROM labeled WHERE split = 'test')::BIGINT AS test_size, 42::BIGINT AS seed""",
+)
+def q_metadata_roundtrip(spark, sf_dir):
+    """The prepare job's metadata document, read back from its file."""
+    from sftlake.plans.prepare import METADATA_SCHEMA, prepare
+    from sftlake.sources.jsonl import read_jsonl
+    from sftlake.sources.scratch import fresh_dir
+
+    out = fresh_dir(spark, "prepared")
+    prepare(A.documents_dirty(spark, sf_dir), out, dataset_name="documents", seed=SEED)
+    meta = read_jsonl(spark, f"{out}/metadata", METADATA_SCHEMA)
+    return meta.select(
+        "dataset_name", "total_raw", "total_kept", "total_skipped", "train_size", "val_size", "test_size", "seed"
+    )
+
+
+@register(
+    "split_overlap_exact",
+    O.PREP
+    + """SELECT row_id FROM labeled WHERE split = 'test'
+AND EXISTS (SELECT 1 FROM labeled t WHERE t.split = 'train' AND t.prompt = labeled.prompt AND t.response = labeled.response)""",
+)
+def q_split_overlap_exact(spark, sf_dir):
+    """Test rows whose normalised texts also are a train row."""
+    _, _, _, split = prepared(spark, sf_dir)
+    return spl.exact_overlap(split, ["prompt", "response"], "test", "train").select("row_id")
+
+
 @register(
     "test_slice",
     O.PREP
@@ -286,7 +347,8 @@ def scoring_matrix(spark, sf_dir):
     """Base, domain and evaluation token counts from one tokenize pass: a token x tag matrix."""
     from sftlake.operators.model import token_count_matrix
 
-    return token_count_matrix(scoring_texts(spark, sf_dir), "text", "tag", SCORING_TAGS, MAXLEN)
+    limits = {"base": None, "domain": MAXLEN, "eval": MAXLEN}  # the base corpus is read whole
+    return token_count_matrix(scoring_texts(spark, sf_dir), "text", "tag", SCORING_TAGS, limits)
 
 
 def _r6(c):
@@ -388,38 +450,45 @@ def q_relative_change(spark, sf_dir):
 @register(
     "score_plugin",
     O.PREP
-    + ",\n"
-    + O.scoring_ctes()
-    + "\nSELECT model, num_tokens, round(mean_nll, 6) AS mean_nll FROM metrics2_0",
+    + f""",
+e AS (SELECT {O.toks(O.two_turn_chat('prompt', 'response'))}[2:{MAXLEN}] AS t FROM labeled WHERE kind LIKE 'en/%' AND split = 'test'),
+s AS (SELECT count(*)::BIGINT AS n, coalesce(sum(len(t)), 0)::BIGINT AS k, coalesce(sum(list_sum(list_transform(t, lambda x: ln(1 + length(x))))), 0) AS s FROM e)
+SELECT m AS model, k AS num_tokens, round(f * s / greatest(k, 1), 6) AS mean_nll
+FROM s, (VALUES ('base', 1.0::DOUBLE), ('tuned', 0.5::DOUBLE)) AS v(m, f)""",
 )
 def q_score_plugin(spark, sf_dir):
-    """The same comparison through the scorer plug-in (mapInPandas): each worker loads the
-    model table from the shared folder once; the table size is checked first."""
-    from sftlake.operators.score import TableScorerFactory, plugin_metrics, score_with_plugin
-    from sftlake.sources.scratch import fresh_dir
+    """Two self-contained scorers over the evaluation texts, in one pass through the plug-in."""
+    from sftlake.operators.score import LengthScorerFactory, plugin_metrics, score_with_plugin
 
-    texts = scoring_texts(spark, sf_dir)
-    mx = scoring_matrix(spark, sf_dir)
-    table = mx.model_table("base", "domain", 0.5)
-    unk_base = 1.0 / mx.denom("base")
-    unk_tuned = 0.5 * (1.0 / mx.denom("domain")) + 0.5 * unk_base
-    eval_texts = texts.where(F.col("tag") == "eval")
-    # Every worker loads the table, so its size is checked before anything is written.
-    max_rows = 5_000_000
-    n_rows = table.count()
-    if n_rows > max_rows:
-        raise ValueError(f"model table has {n_rows} rows; score it with score_count_matrix instead")
-    path = fresh_dir(spark, "token-table")
-    table.write.parquet(path)
-    outs = []
-    for name, col, unk in (("base", "p_base", unk_base), ("tuned", "p_tuned", unk_tuned)):
-        fac = TableScorerFactory(path, col, unk, MAXLEN, max_rows)
-        per_text = score_with_plugin(eval_texts, "row_id", "text", fac, cache_key=f"{path}:{col}")
-        outs.append(plugin_metrics(per_text, name))
-    m = outs[0].unionByName(outs[1])
+    texts = scoring_texts(spark, sf_dir).where(F.col("tag") == "eval")
+    scorers = {"base": LengthScorerFactory(1.0, MAXLEN), "tuned": LengthScorerFactory(0.5, MAXLEN)}
+    m = plugin_metrics(score_with_plugin(texts, "row_id", "text", scorers, cache_key="by-length"), list(scorers))
     return m.select("model", "num_tokens", _r6("mean_nll"))
 
 
+@register(
+    "eval_on_splits",
+    O.PREP
+    + ",\n"
+    + O.scoring_ctes(eval_sql="split = 'test'", domain_sql="split = 'train'", base_tokens_sql=O.NON_ENGLISH_TOKENS)
+    + """
+SELECT num_samples, round(base_nll, 6) AS base_nll, round(tuned_nll, 6) AS tuned_nll,
+       round(tuned_nll - base_nll, 6) AS delta_mean_nll FROM cmp_0""",
+)
+def q_eval_on_splits(spark, sf_dir):
+    """The token-loss evaluation on split files written by the prepare job: the base model from
+    the non-English documents, the domain model from the train files, all test rows scored."""
+    from sftlake.plans.evaluate import compare_on_splits, flat_summary
+    from sftlake.plans.prepare import prepare
+    from sftlake.sources.scratch import fresh_dir
+
+    out = fresh_dir(spark, "prepared")
+    prepare(A.documents_raw(spark, sf_dir), out, seed=SEED)
+    base = A.table(spark, sf_dir, "documents").where("lang != 'en'").select("text")
+    doc = compare_on_splits(f"{out}/splits", base, lam=0.5, max_length=MAXLEN, max_samples=None, seed=SEED)
+    return flat_summary(doc).select("num_samples", _r6("base_nll"), _r6("tuned_nll"), _r6("delta_mean_nll"))
+
+
 # ---------------------------------------------------------------- before / after
 
 
@@ -489,13 +558,70 @@ def q_report_blocks(spark, sf_dir):
 
 @register(
     "generate_plugin",
-    f"SELECT CAST(item_id AS VARCHAR) AS id, {tuned_sql('text')} AS output FROM benchmark",
+    f"""SELECT CAST(item_id AS VARCHAR) AS id, length(t) || ':' || md5(t) AS output
+FROM (SELECT item_id, {O.generation_chat('text')} AS t FROM benchmark)""",
 )
 def q_generate_plugin(spark, sf_dir):
-    from sftlake.operators.align import TunedRuleGenerator, generate
+    """The generator plug-in on rendered prompts; the answer is a digest of what it was given."""
+    from sftlake.operators.align import DigestGenerator, generate
 
     p = A.benchmark_prompts(spark, sf_dir)
-    return generate(p, "id", "prompt", TunedRuleGenerator(), cache_key="tuned-rule")
+    return generate(p, "id", "prompt", DigestGenerator(), cache_key="digest", render_template=True)
+
+
+@register(
+    "before_after_files",
+    O.with_(A5_UNIQUE)
+    + """SELECT id, "group", prompt, base_output, tuned_output,
+       md5(rtrim('## ' || id || ' - ' || "group" || chr(10) || chr(10) || '**Prompt**' || chr(10) || chr(10) || prompt
+       || chr(10) || chr(10) || '**Base Model Output**' || chr(10) || chr(10) || base_output || chr(10) || chr(10)
+       || '**OFT Output**' || chr(10) || chr(10) || tuned_output, chr(10))) AS block_md5
+FROM p""",
+)
+def q_before_after_files(spark, sf_dir):
+    """Prompts written and read as a prompt file, aligned, written as JSONL and report, and both
+    read back: the report is read block by block, and a block is found by the id in its heading."""
+    from sftlake.operators.align import before_after, write_before_after
+    from sftlake.sources.jsonl import BEFORE_AFTER_SCHEMA, read_jsonl, read_prompts, read_report, write_jsonl
+    from sftlake.sources.scratch import fresh_dir
+
+    root = fresh_dir(spark, "before-after")
+    write_jsonl(A.benchmark_prompts(spark, sf_dir).select("id", "group", "prompt"), f"{root}/prompts")
+    prompts = read_prompts(spark, f"{root}/prompts").withColumn("pos", F.col("id").cast("long"))
+    write_before_after(before_after(_rule_rows(prompts)), root)
+    rows = read_jsonl(spark, f"{root}/jsonl", BEFORE_AFTER_SCHEMA)
+    blocks = read_report(spark, f"{root}/report")
+    blocks = blocks.select(F.regexp_extract("block", r"^## (.*?) - ", 1).alias("__id"), F.md5("block").alias("block_md5"))
+    joined = rows.join(blocks, F.col("id") == F.col("__id"))
+    return joined.select("id", "group", "prompt", "base_output", "tuned_output", "block_md5")
+
+
+@register(
+    "length_change",
+    O.with_(A5_UNIQUE)
+    + """SELECT "group", count(*)::BIGINT AS n, round(avg(length(base_output)), 6) AS base_chars,
+       round(avg(length(tuned_output)), 6) AS tuned_chars, count(*) FILTER (WHERE length(tuned_output) < length(base_output))::BIGINT AS shorter
+FROM p GROUP BY "group\"""",
+)
+def q_length_change(spark, sf_dir):
+    from sftlake.operators.align import before_after, length_change
+
+    r = length_change(before_after(_rule_rows(A.benchmark_prompts(spark, sf_dir))))
+    return r.select("group", "n", _r6("base_chars"), _r6("tuned_chars"), "shorter")
+
+
+@register(
+    "outcome_tally",
+    """SELECT CASE item_id % 3 WHEN 0 THEN 'Improved' WHEN 1 THEN 'Tradeoff' ELSE 'Regressed' END AS outcome, count(*)::BIGINT AS n
+FROM benchmark GROUP BY 1""",
+)
+def q_outcome_tally(spark, sf_dir):
+    """Hand labels are stood for by a rule on the prompt id."""
+    from sftlake.operators.align import before_after, outcome_tally
+
+    p = A.benchmark_prompts(spark, sf_dir)
+    label = F.when(F.col("pos") % 3 == 0, "Improved").when(F.col("pos") % 3 == 1, "Tradeoff").otherwise("Regressed")
+    return outcome_tally(before_after(_rule_rows(p)), p.select("id", label.alias("outcome")))
 
 
 # ---------------------------------------------------------------- curves
@@ -568,6 +694,33 @@ def q_run_summary(spark, sf_dir):
     return run_summary(log_points(spark, sf_dir)).select("run", "metric", _r6("value"))
 
 
+@register(
+    "run_documents",
+    O.with_(A4_POINTS)
+    + """, d AS (
+  SELECT run, round(avg(loss) FILTER (WHERE series = 'train'), 6) AS train_loss, count(*) FILTER (WHERE series = 'train')::DOUBLE AS train_points,
+         round(avg(loss) FILTER (WHERE series = 'eval'), 6) AS eval_loss, count(*) FILTER (WHERE series = 'eval')::DOUBLE AS eval_points
+  FROM pts GROUP BY run)
+SELECT run, 'train_loss' AS metric, train_loss AS value FROM d UNION ALL SELECT run, 'eval_loss', eval_loss FROM d
+UNION ALL SELECT run, 'points', eval_points FROM d""",
+)
+def q_run_documents(spark, sf_dir):
+    """Stored metric documents of the two phases of each run, read back and merged; 'points' is
+    in both, and the evaluation's stays."""
+    from sftlake.operators.curves import merged_run_summary
+    from sftlake.sources.jsonl import read_jsonl, write_jsonl
+    from sftlake.sources.scratch import fresh_dir
+
+    root, pts = fresh_dir(spark, "run-docs"), log_points(spark, sf_dir)
+    docs = {}
+    for phase in ("train", "eval"):
+        m = pts.where(F.col("series") == phase).groupBy("run").agg(F.round(F.avg("loss"), 6).alias("l"), F.count(F.lit(1)).cast("double").alias("n"))
+        m = m.select("run", F.create_map(F.lit(f"{phase}_loss"), F.col("l"), F.lit("points"), F.col("n")).alias("metrics"))
+        write_jsonl(m, f"{root}/{phase}")
+        docs[phase] = read_jsonl(spark, f"{root}/{phase}", "run string, metrics map<string,double>")
+    return merged_run_summary(docs["train"], docs["eval"])
+
+
 # ---------------------------------------------------------------- metric documents
 
 METRIC_RUNS = ((0.5, "lam_0.5"), (0.25, "lam_0.25"))
@@ -667,11 +820,100 @@ def q_pack_sequences(spark, sf_dir):
 
     n = segment_token_stats(A.conversation_segments(spark, sf_dir))
     lengths = n.select((F.col("conv_id") % 8).alias("shard"), "conv_id", F.col("n_tokens").alias("n"))
-    return pack_sequences(lengths, "shard", "conv_id", "n", PACK_LEN, buckets=16).select(
+    return pack_sequences(lengths, "shard", "conv_id", "n", PACK_LEN).select(
         F.col("shard").cast("long"), F.col("block").cast("long"), "n_tokens"
     )
 
 
+@register(
+    "pack_spans",
+    O.with_(
+        O.A6_RENDER,
+        f"""lens AS (SELECT conv_id % 8 AS shard, conv_id, len({O.toks('text')})::BIGINT AS n FROM rendered),
+ends AS (SELECT shard, conv_id, n, sum(n) OVER (PARTITION BY shard ORDER BY conv_id)::BIGINT AS e FROM lens WHERE n > 0),
+blocks AS (SELECT shard, conv_id, e - n AS s, e, unnest(range((e - n) // {PACK_LEN}, (e - 1) // {PACK_LEN} + 1)) AS block FROM ends)""",
+    )
+    + f"""SELECT shard::BIGINT AS shard, block::BIGINT AS block, conv_id, (greatest(s, block * {PACK_LEN}) - s)::BIGINT AS token_start,
+       (least(e, (block + 1) * {PACK_LEN}) - s)::BIGINT AS token_end FROM blocks""",
+)
+def q_pack_spans(spark, sf_dir):
+    """Which tokens of which conversation each packed block holds."""
+    from sftlake.operators.packing import pack_spans, segment_token_stats
+
+    n = segment_token_stats(A.conversation_segments(spark, sf_dir))
+    lengths = n.select((F.col("conv_id") % 8).alias("shard"), "conv_id", F.col("n_tokens").alias("n"))
+    out = pack_spans(lengths, "shard", "conv_id", "n", PACK_LEN)
+    return out.select(F.col("shard").cast("long"), F.col("block").cast("long"), "conv_id", "token_start", "token_end")
+
+
+@register(
+    "assistant_spans",
+    O.with_(
+        O.A6_RENDER,
+        f"""hdr AS (SELECT conv_id, CASE WHEN r0 = 'system' THEN 0 ELSE len({O.toks(f"'{O.IM_S}system' || {O.NL} || '{O.DEFAULT_SYSTEM}{O.IM_E}' || {O.NL}")}) END AS h FROM firsts),
+spans AS (SELECT conv_id, turn, role, len({O.toks('seg')}) AS n, sum(len({O.toks('seg')})) OVER (PARTITION BY conv_id ORDER BY turn) AS e FROM segs)""",
+    )
+    + """SELECT conv_id, turn, (h + e - n)::BIGINT AS token_start, (h + e)::BIGINT AS token_end
+FROM spans JOIN hdr USING (conv_id) WHERE role = 'assistant' AND n > 0""",
+)
+def q_assistant_spans(spark, sf_dir):
+    """The assistant-only mask: token ranges in the rendered conversation."""
+    from sftlake.operators.packing import assistant_spans
+
+    return assistant_spans(A.conversation_segments(spark, sf_dir))
+
+
+@register(
+    "truncation_report",
+    O.with_(O.A6_RENDER)
+    + f"""SELECT count(*)::BIGINT AS n_texts, count(*) FILTER (WHERE n > {MAXLEN_SHORT})::BIGINT AS n_truncated,
+       round(count(*) FILTER (WHERE n > {MAXLEN_SHORT}) / greatest(count(*), 1)::DOUBLE, 6) AS share
+FROM (SELECT len({O.toks('text')}) AS n FROM rendered)""",
+)
+def q_truncation_report(spark, sf_dir):
+    from sftlake.operators.packing import segment_token_stats, truncation_report
+
+    r = truncation_report(segment_token_stats(A.conversation_segments(spark, sf_dir)), MAXLEN_SHORT)
+    return r.select("n_texts", "n_truncated", _r6("share"))
+
+
+TOOL = '{"type": "function", "function": {"name": "look_up"}}'
+
+
+@register(
+    "render_tools",
+    O.with_(
+        f"""m AS (
+  SELECT conv_id, turn, text, CASE WHEN turn % 4 IN (2, 3) THEN 'tool' WHEN turn % 4 = 1 THEN 'assistant' ELSE role END AS role, turn % 4 = 1 AS calls
+  FROM conversations),
+w AS (SELECT *, lag(role) OVER o AS p, lead(role) OVER o AS n, row_number() OVER o AS k FROM m WINDOW o AS (PARTITION BY conv_id ORDER BY turn)),
+s AS (
+  SELECT conv_id, turn, k, CASE
+    WHEN role = 'tool' THEN CASE WHEN p IS NULL OR p <> 'tool' THEN '{O.IM_S}user' ELSE '' END || {O.NL} || '<tool_response>' || {O.NL} || text || {O.NL}
+      || '</tool_response>' || CASE WHEN n IS NULL OR n <> 'tool' THEN '{O.IM_E}' || {O.NL} ELSE '' END
+    WHEN role = 'assistant' AND calls THEN '{O.IM_S}assistant' || CASE WHEN text <> '' THEN {O.NL} || text ELSE '' END || {O.NL} || '<tool_call>' || {O.NL}
+      || '{{"name": "look_up", "arguments": {{"turn": ' || turn || '}}}}' || {O.NL} || '</tool_call>' || '{O.IM_E}' || {O.NL}
+    WHEN role = 'user' OR role = 'assistant' OR (role = 'system' AND k > 1) THEN '{O.IM_S}' || role || {O.NL} || text || '{O.IM_E}' || {O.NL}
+    ELSE '' END AS seg FROM w),
+h AS (SELECT conv_id, arg_min(CASE WHEN role = 'system' THEN text ELSE '{O.DEFAULT_SYSTEM}' END, turn) AS sys FROM m GROUP BY conv_id)"""
+    )
+    + f"""SELECT conv_id, '{O.IM_S}system' || {O.NL} || sys || '{O.quoted(O.TOOLS_INTRO)}' || {O.NL} || '{TOOL}' || '{O.quoted(O.TOOLS_OUTRO)}' || t AS text
+FROM h JOIN (SELECT conv_id, string_agg(seg, '' ORDER BY turn) AS t FROM s GROUP BY conv_id) USING (conv_id)""",
+)
+def q_render_tools(spark, sf_dir):
+    """Conversations with every fourth turn a tool call and the next two tool replies, rendered
+    with a tools preamble."""
+    from sftlake.functions.chat import render_chat_tools
+
+    t = F.col("turn") % 4
+    c = A.table(spark, sf_dir, "conversations")
+    call = F.array(F.struct(F.lit("look_up").alias("name"), F.concat(F.lit('{"turn": '), F.col("turn").cast("string"), F.lit("}")).alias("arguments")))
+    role = F.when(t.isin(2, 3), "tool").when(t == 1, "assistant").otherwise(F.col("role"))
+    msg = F.struct("turn", role.alias("role"), F.col("text").alias("content"), F.when(t == 1, call).alias("tool_calls"))
+    convs = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(msg)).alias("messages"))
+    return convs.select("conv_id", render_chat_tools("messages", F.array(F.lit(TOOL))).alias("text"))
+
+
 @register(
     "assistant_mask",
     O.with_(
@@ -712,7 +954,7 @@ A1_PAIRS = """nx AS (
          lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
   FROM conversations),
 a1 AS (
-  SELECT conv_id * 1000 + turn AS row_id, 't' || CAST(turn AS VARCHAR) AS kind, text AS input, next_text AS target
+  SELECT conv_id || ':' || turn AS row_id, 't' || CAST(turn AS VARCHAR) AS kind, text AS input, next_text AS target
   FROM nx WHERE role = 'user' AND next_role = 'assistant')"""
 
 
@@ -741,5 +983,5 @@ FROM labeled GROUP BY kind""",
 def q_pair_split_audit(spark, sf_dir):
     """The stratified split on a second source: conversation pairs, stratified by turn."""
     kept = rec.convert_records(A.conversation_pairs(spark, sf_dir))
-    plan = spl.plan_split(kept, TRAIN, VAL, SEED, bucket_rows=TEST_BUCKET_ROWS)
+    plan = spl.plan_split(kept, TRAIN, VAL, SEED)
     return spl.split_audit(spl.assign_splits(kept, plan, seed=SEED))

@@ -49,23 +49,27 @@ def documents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def conversation_pairs(spark: SparkSession, sf_dir: str, buckets: int = 16) -> DataFrame:
-    """A1: a user turn directly followed by an assistant turn; kind = 't' || turn.
+TURNS_A_BUCKET = 1024
+
+
+def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: a user turn directly followed by an assistant turn; kind = 't' || turn and row_id =
+    conv_id || ':' || turn, which no two pairs share.
 
     "Directly followed" is the next turn in turn order within the conversation. Turns are
     ranked inside their conversation with the two-level running count and each turn is joined
-    to the turn of rank + 1 on (conv_id, rank): a unique key, so a huge conversation is
-    spread over many tasks instead of one window."""
+    to the turn of rank + 1 on (conv_id, rank): a unique key. Ranks are counted per thousand
+    turn numbers of a conversation, so a huge conversation is spread over many tasks."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    c = quantile_bucket(c.withColumn("__t", F.col("turn").cast("double")), "__t", "__b", buckets)
-    ranked = ordered_running_total(c, by=["conv_id"], bucket="__b", order=["turn"], out="rk").drop("__t", "__b")
+    c = c.withColumn("__b", F.floor(F.col("turn") / TURNS_A_BUCKET))
+    ranked = ordered_running_total(c, by=["conv_id"], bucket="__b", order=["turn"], out="rk").drop("__b")
     users = ranked.where(F.col("role") == "user")
     nxt = ranked.where(F.col("role") == "assistant").select(
         F.col("conv_id").alias("n_conv"), (F.col("rk") - 1).alias("n_rk"), F.col("text").alias("next_text")
     )
     pairs = users.join(nxt, (users["conv_id"] == nxt["n_conv"]) & (users["rk"] == nxt["n_rk"]), "inner")
     return pairs.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("row_id"),
         F.concat(F.lit("t"), F.col("turn").cast("string")).alias("kind"),
         F.col("text").alias("input"),
         F.col("next_text").alias("target"),
@@ -115,7 +119,7 @@ EVAL_KEY_EVENTS = ("view", "click")
 NO_STEP_EVENTS = ("signup",)
 
 
-def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3, buckets: int = 64) -> DataFrame:
+def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
     """A4: events -> trainer-log entries (run, step, loss, eval_loss) with nulls for absent keys.
 
     run = 'r' || user_id % runs; step = 10 x rank by (ts, event_id) within the run. The rank is
@@ -125,7 +129,7 @@ def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3, buckets:
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     e = e.withColumn("run", F.concat(F.lit("r"), (F.col("user_id") % runs).cast("string")))
     e = e.withColumn("_tsn", F.unix_micros(F.col("ts").cast("timestamp")).cast("double"))
-    e = quantile_bucket(e, "_tsn", "_b", buckets)
+    e = quantile_bucket(e, "_tsn", "_b")
     ranked = ordered_running_total(e, by=["run"], bucket="_b", order=["ts", "event_id"], out="rn")
     et = F.col("event_type")
     return ranked.select(

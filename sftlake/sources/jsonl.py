@@ -11,6 +11,7 @@ SFT_SCHEMA = (
     "messages array<struct<role:string,content:string>>, row_id long"
 )
 PROMPT_SCHEMA = "id string, group string, prompt string"
+BEFORE_AFTER_SCHEMA = "pos long, id string, group string, prompt string, base_output string, tuned_output string"
 LOG_ENTRY = "map<string,string>"
 STATE_SCHEMA = f"struct<log_history: array<{LOG_ENTRY}>>"
 METRICS_STRUCT = "struct<num_texts:long,num_tokens:long,mean_nll:double,perplexity:double>"
@@ -94,19 +95,43 @@ def write_report(blocks: DataFrame, path: str, title: str) -> None:
     ordered.select(value.alias("value")).write.mode("overwrite").text(path)
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks of a report document, each from its heading on, without the line ends after
+    it. The file is cut at its block headings by the reader, so a long report is split."""
+    parts = spark.read.option("lineSep", "\n## ").text(path).select(F.rtrim(F.col("value"), F.lit("\n")).alias("value"))
+    heading = F.col("value").startswith("## ")
+    cut = F.when(heading, F.col("value")).otherwise(F.concat(F.lit("## "), F.col("value")))
+    return parts.where(~F.col("value").startswith("# ") & (F.col("value") != "")).select(cut.alias("block"))
+
+
 RAW_FIELDS = "kind string, input string, target string"
 
 
 def read_raw_records(spark: SparkSession, path: str, fmt: str = "json", id_col: str | None = None) -> DataFrame:
     """A raw instruction dataset (JSON lines or parquet) -> row_id, kind, input, target.
 
-    Fields are read as strings (other JSON types would be stringified differently from the
-    reference, so a string schema is enforced). Without an id column, ``row_id`` is assigned
-    right at the scan with monotonically_increasing_id: it grows in file-then-line order, so
-    "the first N records" keeps dataset order, and a recomputed task gets the same ids for the
-    same input files and split size."""
+    Fields are strings; a JSON value of another type is read as its JSON text. Without an id
+    column, row_id is the record's place in the dataset: files by name, then lines in order. The
+    records are copied once to the shared folder together with the file block they came from,
+    blocks are numbered in (file, offset) order, and a record's id is the number of records in
+    earlier blocks plus its place in its own. So ids don't depend on how Spark packs or orders
+    its input splits, and every later pass sees the same ones."""
+    from pyspark.sql import Window
+
+    from sftlake.sources.scratch import checkpointed
+
     schema = RAW_FIELDS + (f", {id_col} long" if id_col else "")
     reader = spark.read.schema(schema)
     df = reader.option("mode", "FAILFAST").json(path) if fmt == "json" else reader.format(fmt).load(path)
-    rid = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    return df.select(rid.alias("row_id"), "kind", "input", "target")
+    if id_col:
+        return df.select(F.col(id_col).alias("row_id"), "kind", "input", "target")
+    at = df.select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("m"), "kind", "input", "target",
+    )
+    rows = checkpointed(at)
+    blocks = rows.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("m0"))
+    # One row per input split, numbered in one task.
+    before = Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)
+    first = blocks.select("f", "b", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("m0")).alias("shift"))
+    return rows.join(checkpointed(first), ["f", "b"]).select((F.col("m") + F.col("shift")).alias("row_id"), "kind", "input", "target")

@@ -55,14 +55,12 @@ def curve_progress(points: DataFrame) -> DataFrame:
     )
 
 
-def write_progress(progress: DataFrame, table: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Keep the running summary in a queryable in-memory table (complete mode)."""
+def write_progress(progress: DataFrame, out_dir: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Write the running summary after each batch (complete mode) as a table in ``out_dir``."""
     ckpt = checkpoint or fresh_dir(progress.sparkSession, "stream-progress-ckpt")
-    return (
-        progress.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(table)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def store(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_dir)
+
+    w = progress.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+    return w.foreachBatch(store).trigger(availableNow=True).start()

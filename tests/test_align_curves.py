@@ -129,3 +129,48 @@ def test_loss_curves_from_state_documents(spark, tmp_out):
     p2 = _write_state(tmp_out, "run_ablation", {"log_history": [{"step": 10, "loss": 2.5}]})
     got = sorted((r.label, r.series, r.step, r.loss) for r in loss_curves(spark, [p1, p2], ["block 32"]).collect())
     assert got == [("block 32", "eval", 10, 1.9), ("block 32", "train", 10, 2.0), ("run_ablation", "train", 10, 2.5)]
+
+
+def test_loss_curves_labels_for_any_spelling_of_a_path(spark, tmp_out, monkeypatch):
+    from sftlake.operators.curves import loss_curves
+
+    p1 = _write_state(tmp_out, "run a%20b", {"log_history": [{"step": 10, "loss": 2.0}, {"step": 10, "loss": 1.0}]})
+    p2 = _write_state(tmp_out, "other", {"log_history": [{"step": 5, "eval_loss": 3.0}]})
+    monkeypatch.chdir(tmp_out)
+    for a, b in ((p1.replace("%", "%25").replace(" ", "%20"), p2), (p1, "file:" + p2)):
+        try:
+            got = sorted((r.label, r.pos, r.loss) for r in loss_curves(spark, [p1, b], ["first"]).collect())
+        except Exception:  # noqa: BLE001 - a spelling that Spark itself can't read
+            continue
+        assert got == [("first", 0, 2.0), ("first", 1, 1.0), ("other", 0, 3.0)]
+
+
+def test_merged_run_summary(spark):
+    from sftlake.operators.curves import merged_run_summary
+
+    t = spark.createDataFrame([("a", {"loss": 1.0, "epoch": 2.0}), ("b", {"loss": 3.0})], "run string, metrics map<string,double>")
+    e = spark.createDataFrame([("a", {"eval_loss": 1.5, "epoch": 2.5}), ("c", {"eval_loss": 4.0})], "run string, metrics map<string,double>")
+    got = sorted(map(tuple, merged_run_summary(t, e).collect()))
+    assert got == [("a", "epoch", 2.5), ("a", "eval_loss", 1.5), ("a", "loss", 1.0), ("b", "loss", 3.0), ("c", "eval_loss", 4.0)]
+
+
+def test_generated_rows_are_the_same_in_every_use(spark, tmp_out):
+    import glob
+
+    from sftlake.operators.align import generate_before_after, write_before_after
+    from sftlake.sources.jsonl import read_report
+
+    def random_factory():
+        import random
+
+        return lambda prompts, **_: [f"{p} {random.random()}" for p in prompts]
+
+    prompts = spark.createDataFrame([(k, f"P{k}", "g", f"p{k}") for k in range(9)], "pos long, id string, group string, prompt string")
+    out = generate_before_after(prompts, random_factory, random_factory, "random")
+    assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, out.collect()))
+    assert write_before_after(out, f"{tmp_out}/w") == 9
+    lines = [json.loads(x) for f in sorted(glob.glob(f"{tmp_out}/w/jsonl/part-*")) for x in open(f, encoding="utf-8")]
+    assert [x["pos"] for x in lines] == list(range(9))
+    blocks = [r.block for r in read_report(spark, f"{tmp_out}/w/report").collect()]
+    assert len(blocks) == 9 and all(any(x["tuned_output"] in b for b in blocks) for x in lines)

@@ -83,11 +83,51 @@ def test_split_plan_has_one_big_exchange_and_broadcast_sizes(spark):
     from sftlake.plans.queries import QUERIES
 
     plan = _plan(QUERIES["stratified_split"](spark, SF_SMALL))
-    assert "BroadcastHashJoin" in plan
-    assert "hashpartitioning(kind" in plan
+    assert "hashpartitioning(__at" in plan
     assert "SinglePartition" not in plan
 
 
+def test_prepare_moves_the_texts_once(spark, tmp_out):
+    """The plan of the write: one exchange carries prompt and response, the one by range."""
+    import re
+
+    from sftlake.operators import records as rec
+    from sftlake.operators import split as spl
+    from sftlake.sources.adapters import documents_raw
+
+    kept = rec.convert_records(documents_raw(spark, SF_SMALL))
+    split = spl.assign_splits(kept, spl.plan_split(kept)).withColumn("order_hash", spl.seeded_hash(42, "row_id", "order"))
+    ordered = split.repartitionByRange("split", "order_hash", "row_id")
+    text = _plan(ordered.select("prompt", "response", "split"))
+    assert len(re.findall(r"(?<!Broadcast)Exchange (?!SinglePartition)", text)) == 1 and "rangepartitioning" in text
+
+
+def test_prepare_fails_when_keys_are_not_unique(spark, tmp_out):
+    from sftlake.plans.prepare import prepare
+
+    raw = spark.createDataFrame([(1, "k", f"q{i}", f"a{i}") for i in range(40)], "row_id long, kind string, input string, target string")
+    with pytest.raises(RuntimeError):
+        prepare(raw, tmp_out)
+
+
+def test_raw_ids_follow_files_by_name_whatever_their_size(spark, tmp_out):
+    from sftlake.sources.jsonl import read_raw_records
+
+    os.makedirs(f"{tmp_out}/raw")
+    sizes = {"a.json": 3, "b.json": 2000, "c.json": 40}
+    for name, n in sizes.items():
+        with open(f"{tmp_out}/raw/{name}", "w", encoding="utf-8") as f:
+            for i in range(n):
+                f.write(json.dumps({"kind": "k", "input": f"{name[0]}{i}", "target": "t"}) + "\n")
+    want = [f"{name[0]}{i}" for name, n in sizes.items() for i in range(n)]
+    for split_bytes in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        raw = read_raw_records(spark, f"{tmp_out}/raw")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        got = sorted((r.row_id, r.input) for r in raw.collect())
+        assert [x for _, x in got] == want and [k for k, _ in got] == list(range(len(want)))
+
+
 def test_messages_only_prunes_scan(spark):
     from sftlake.plans.queries import QUERIES
 
@@ -178,8 +218,8 @@ def test_alignment_join_keys_include_position(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
-    smj = plan[plan.index("SortMergeJoin"):].split("\n")[0]
-    assert "pos" in smj and "__first" in smj
+    joins = [x for x in plan.split("\n") if "SortMergeJoin" in x]
+    assert joins and all("pos" in x and ("__first" in x or "__last" in x) for x in joins)
 
 
 def test_ranked_steps_never_use_a_single_partition_window(spark):
@@ -187,7 +227,7 @@ def test_ranked_steps_never_use_a_single_partition_window(spark):
 
     plan = _plan(event_log_entries(spark, SF_SMALL))
     assert "SinglePartition" not in plan
-    assert "hashpartitioning(run" in plan and "_b" in plan
+    assert "hashpartitioning(__g" in plan
 
 
 def test_scoring_matrix_is_one_pass(spark):
@@ -208,9 +248,8 @@ def test_raw_dataset_reader_ids_follow_file_order(spark, tmp_out):
         for i in range(30):
             f.write(json.dumps({"kind": f"k{i % 3}", "input": f"q{i}", "target": None if i == 4 else f"a{i}"}) + "\n")
     raw = read_raw_records(spark, p)
-    rows = raw.collect()
-    assert [r.input for r in rows] == [f"q{i}" for i in range(30)]
-    assert [r.row_id for r in rows] == sorted(r.row_id for r in rows)
+    rows = sorted(raw.collect(), key=lambda r: r.row_id)
+    assert [r.input for r in rows] == [f"q{i}" for i in range(30)] and rows[0].row_id == 0
     meta = prepare(raw, f"{tmp_out}/out", max_samples=10)
     assert (meta["total_raw"], meta["total_kept"]) == (10, 9)
 

@@ -111,7 +111,7 @@ def test_truncated_tail_equals_whole_text(spark, convs, max_length):
     if not rows:
         return
     seg = spark.createDataFrame(rows, "conv_id long, turn long, role string, seg string")
-    tail = {r.conv_id: (r.n_kept, r.last_token) for r in truncated_tail(seg, max_length, buckets=3).collect()}
+    tail = {r.conv_id: (r.n_kept, r.last_token) for r in truncated_tail(seg, max_length).collect()}
     stats = {r.conv_id: (r.n_tokens, r.n_assistant) for r in segment_token_stats(seg).collect()}
     for cid, msgs in enumerate(convs):
         if not msgs:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sftlake.functions.tokens import py_tokenize
 from sftlake.operators.model import adapt_token_model, fit_token_model
 from sftlake.operators.score import (
-    TableScorerFactory,
+    LengthScorerFactory,
     compare,
     metrics_from_sums,
     perplexity,
@@ -102,23 +102,22 @@ def test_bundled_scoring_matches_brute_force(spark):
     assert m["tuned"].mean_nll == pytest.approx(mt, abs=1e-12)
 
 
-def test_plugin_equals_bundled_and_is_batch_invariant(spark, tmp_out):
-    base_txt = ["the cat and the dog", "hello world"]
-    b = fit_token_model(spark.createDataFrame([(t,) for t in base_txt], "text string"), "text", 16)
-    ad = adapt_token_model(b, b, 0.5)
+def test_plugin_is_batch_invariant_and_scores_all_models_in_one_pass(spark):
+    import math
+
+    from sftlake.functions.tokens import py_tokenize
+
     evals = _texts(spark)
-    bundled = {r.model: r.mean_nll for r in score_models(evals, "text", ad, 16).collect()}
-    path = f"{tmp_out}/table"
-    ad.table.coalesce(1).write.parquet(path)
-    res = []
+    want = [math.log1p(len(t)) for r in evals.collect() for t in py_tokenize(r.text)[:16][1:]]
     for batch in ("1", "1000"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-        fac = TableScorerFactory(path, "p_base", ad.unk_base, 16, 10_000)
-        per_text = score_with_plugin(evals, "row_id", "text", fac, cache_key=f"t{batch}")
-        res.append(plugin_metrics(per_text, "base").first().mean_nll)
+        scorers = {"base": LengthScorerFactory(1.0, 16), "tuned": LengthScorerFactory(0.5, 16)}
+        per_text = score_with_plugin(evals.withColumn("row_id", F.col("row_id").cast("string")), "row_id", "text", scorers, cache_key=f"t{batch}")
+        assert per_text._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+        m = {r.model: r for r in plugin_metrics(per_text, ["base", "tuned"]).collect()}
+        assert m["base"].num_tokens == len(want) and m["base"].mean_nll == pytest.approx(sum(want) / len(want))
+        assert m["tuned"].mean_nll == pytest.approx(m["base"].mean_nll / 2)
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert res[0] == pytest.approx(res[1], abs=1e-12)
-    assert res[0] == pytest.approx(bundled["base"], abs=1e-12)
 
 
 def test_adapt_rejects_bad_lambda(spark):

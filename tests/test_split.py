@@ -110,7 +110,7 @@ def test_order_within_splits_is_a_permutation(spark):
     records = _records(spark, {"a": 300, "b": 30})
     plan = spl.plan_split(records, 0.9, 0.05)
     split = spl.assign_splits(records, plan)
-    o = spl.order_within_splits(split, plan.sizes, bucket_rows=4).collect()
+    o = spl.order_within_splits(split, cell_digits=2).collect()
     for s in spl.SPLITS:
         pos = sorted(r.order_pos for r in o if r.split == s)
         assert pos == list(range(1, len(pos) + 1))
@@ -153,51 +153,84 @@ def test_split_metadata_counts(spark):
     assert m.train_size + m.val_size + m.test_size == 32
 
 
-def test_head_rows_is_topk(spark):
+def test_head_rows_small(spark):
     df = spark.range(100).select((F.col("id") * 13 % 100).alias("row_id"))
-    assert [r.row_id for r in spl.head_rows(df, 5, ["row_id"]).collect()] == [0, 1, 2, 3, 4]
+    assert sorted(r.row_id for r in spl.head_rows(df, 5, ["row_id"]).collect()) == [0, 1, 2, 3, 4]
     assert spl.head_rows(df, 0, ["row_id"]).count() == 100
     assert spl.head_rows(df, None, ["row_id"]).count() == 100
     assert spl.head_rows(df, 1000, ["row_id"]).count() == 100
-    plan = spl.head_rows(df, 5, ["row_id"])._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
 
 
-def test_head_rows_large_path_equals_topk(spark):
-    df = spark.range(3000).select(((F.col("id") * 7919) % 3000).alias("row_id"), F.col("id").alias("v"))
-    small = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"]).collect()}
-    big = {r.row_id for r in spl.head_rows(df, 1234, ["row_id"], topk_max=10, buckets=17).collect()}
-    assert small == big == set(range(1234))
+@pytest.mark.parametrize("n", [1, 9_999, 10_001, 23_456, 29_999])
+def test_head_rows_of_any_size_and_key_type(spark, n):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), (F.col("id") % 11).cast("string"))).alias("kind"),
+        ((F.col("id") * 7919) % 30_000).alias("row_id"),
+        F.lit("text").alias("text"),
+    )
+    out = spl.head_rows(df, n, ["kind", "row_id"])
+    rows = df.select("kind", "row_id").collect()
+    want = sorted(((r.kind or "", r.row_id) for r in rows))[:n]
+    assert sorted(((r.kind or "", r.row_id) for r in out.collect())) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "TakeOrdered" not in plan  # a filter: no task gathers the head
+    assert {r.row_id for r in spl.head_rows(df, n, ["row_id"]).collect()} == set(range(n))
+
+
+def test_head_rows_needs_a_total_order(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("same"))
+    with pytest.raises(ValueError):
+        spl.head_rows(df, 10, ["same"])
 
 
-def test_hot_stratum_is_spread_over_bounded_window_partitions(spark):
-    """A stratum with a third of all rows is ranked in many (kind, cell) windows of about
-    bucket_rows rows, never in one task; small strata keep a single window."""
+def test_hot_stratum_is_spread_over_cells(spark):
+    """A stratum with a third of all rows is ranked in many (kind, cell) windows, never in one
+    task, and labels need no exchange of the records at all."""
     records = _records(spark, {"hot": 1600, **{f"k{i}": 100 for i in range(32)}})
-    plan = spl.plan_split(records, 0.9, 0.05, cell_digits=2, bucket_rows=100)
-    hot = plan.offsets.where("kind = 'hot'").count()
-    assert hot == 16
-    small = plan.offsets.where("kind = 'k0'").count()
-    assert small == 1
-    got = spl.assign_splits(records, plan)
+    plan = spl.plan_split(records, 0.9, 0.05, cell_digits=1)
+    assert plan.offsets.where("kind = 'hot'").count() == 16
+    got = spl.rank_splits(records, plan)
     plan_text = got._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(kind" in plan_text and "__cell" in plan_text and "SinglePartition" not in plan_text
+    assert "hashpartitioning(__at" in plan_text and "SinglePartition" not in plan_text
     ref = {r.row_id: (r.rn, r.split) for r in _window_split(records, 0.9, 0.05, 42).collect()}
     assert {r.row_id: (r.stratum_rank, r.split) for r in got.collect()} == ref
+    labels = spl.assign_splits(records, plan)
+    text = labels._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    assert {r.row_id: r.split for r in labels.collect()} == {k: s for k, (_, s) in ref.items()}
+
+
+@pytest.mark.parametrize("cell_digits", [1, 3, 4])
+def test_labels_equal_ranks(spark, cell_digits):
+    records = _records(spark, {"hot": 700, "a": 37, "b": 3, "c": 1, "d": 10, "e": 2})
+    plan = spl.plan_split(records, 0.9, 0.05, seed=42, cell_digits=cell_digits)
+    ref = {r.row_id: r.split for r in _window_split(records, 0.9, 0.05, 42).collect()}
+    assert {r.row_id: r.split for r in spl.assign_splits(records, plan).collect()} == ref
+    assert {r.row_id: r.split for r in spl.rank_splits(records, plan).collect()} == ref
+
+
+def test_null_strata_are_kept_and_null_keys_raise(spark):
+    records = _records(spark, {"a": 30}).unionByName(spark.range(1000, 1010).select(F.col("id").alias("row_id"), F.lit(None).cast("string").alias("kind")))
+    out = spl.stratified_split(records).collect()
+    assert len(out) == 40 and sorted(r.split for r in out if r.kind is None) == ["train"] * 9 + ["val"]
+    labels = spl.assign_splits(records, spl.plan_split(records)).collect()
+    assert {(r.row_id, r.split) for r in labels} == {(r.row_id, r.split) for r in out}
+    with pytest.raises(ValueError):
+        spl.stratified_split(records.withColumn("row_id", F.when(F.col("row_id") > 5, F.col("row_id"))))
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 7, 100, 1 << 20])
-def test_adaptive_cells_keep_ranks_exact(spark, bucket_rows):
-    records = _records(spark, {"hot": 700, "a": 37, "b": 3, "c": 1, "d": 10})
-    got = spl.stratified_split(records, 0.9, 0.05, seed=42, cell_digits=3, bucket_rows=bucket_rows)
-    ref = {r.row_id: (r.rn, r.split) for r in _window_split(records, 0.9, 0.05, 42).collect()}
-    assert {r.row_id: (r.stratum_rank, r.split) for r in got.collect()} == ref
+def test_running_totals_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "g string, k long")
+    b = df.withColumn("b", F.lit(0).cast("long"))
+    assert sorted((str(r.g), r.k, r.n) for r in ordered_running_total(b, ["g"], "b", ["k"], "n").collect()) == [("None", 1, 1), ("None", 2, 2), ("a", 1, 1)]
+    with pytest.raises(ValueError):
+        quantile_bucket(df, "g", "b")
 
 
-def test_test_slice_large_path_equals_topk(spark):
+def test_test_slice_is_the_head_of_the_seeded_order(spark):
     from sftlake.plans.evaluate import test_slice as slice_of_test
 
     df = spark.range(5000).select(F.col("id").alias("row_id"))
-    a = [r.row_id for r in slice_of_test(df, 300).collect()]
-    b = [r.row_id for r in slice_of_test(df, 300, topk_max=10).collect()]
-    assert sorted(a) == sorted(b) and len(a) == 300
+    got = sorted(r.row_id for r in slice_of_test(df, 300).collect())
+    order = df.withColumn("h", spl.seeded_hash(42, "row_id", salt="order")).orderBy("h", "row_id").limit(300)
+    assert got == sorted(r.row_id for r in order.collect())

@@ -33,10 +33,11 @@ def test_log_stream_progress(spark, tmp_out):
     logs = os.path.join(tmp_out, "logs")
     _write_lines(f"{logs}/run=main/p0.json", [{"step": 10, "loss": 2.0}, {"step": 20, "loss": 1.5, "eval_loss": 1.7}])
     _write_lines(f"{logs}/run=abl/p0.json", [{"step": 10, "loss": 3.0}, {"loss": 9.0}])
-    q = write_progress(curve_progress(log_point_stream(spark, logs)), "sftlake_progress_test")
+    out = os.path.join(tmp_out, "progress")
+    q = write_progress(curve_progress(log_point_stream(spark, logs)), out)
     q.awaitTermination(120)
     rows = {(r.run, r.series): (r.n, r.last_step, r.first_loss, r.last_loss)
-            for r in spark.sql("SELECT * FROM sftlake_progress_test").collect()}
+            for r in spark.read.parquet(out).collect()}
     assert rows == {
         ("main", "train"): (2, 20, 2.0, 1.5),
         ("main", "eval"): (1, 20, 1.7, 1.7),
