@@ -40,9 +40,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def session_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared root."""
+    sc = _context(spark)
+    return f"{shared_root(spark)}/sftlake-{sc.applicationId if sc is not None else 'connect'}"
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared root (not created; writers create it)."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path in the session's folder (not created; writers create it)."""
+    return f"{session_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application has written to its folder. Call it when no DataFrame
+    that reads an intermediate table is needed any more. False when there was nothing."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(session_root(spark))
+    return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

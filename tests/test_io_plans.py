@@ -338,3 +338,21 @@ def test_prepare_with_a_custom_key_column(spark, tmp_out):
     assert meta["total_kept"] == 12
     back = read_splits(spark, f"{tmp_out}/splits")
     assert sorted(r.row_id for r in back.collect()) == [i * 3 for i in range(12)]
+
+
+def test_scratch_is_removed_for_the_session_alone(tmp_out):
+    import subprocess
+    import sys
+
+    code = f"""
+import os, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from sftlake.sources.scratch import checkpointed, remove_scratch, session_root
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {tmp_out!r}).getOrCreate()
+os.makedirs({tmp_out!r} + "/other")
+assert checkpointed(spark.range(3)).count() == 3 and os.path.isdir(session_root(spark))
+print("REMOVED", remove_scratch(spark), os.path.exists(session_root(spark)), sorted(x for x in os.listdir({tmp_out!r}) if x == "other"))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "REMOVED True False ['other']" in out.stdout, out.stderr[-1500:]
