@@ -227,6 +227,27 @@ def q_split_overlap_exact(spark, sf_dir):
     return spl.exact_overlap(split, ["prompt", "response"], "test", "train").select("row_id")
 
 
+@register(
+    "split_overlap_near",
+    O.PREP
+    + """, w AS (SELECT row_id, split, regexp_extract_all(lower(prompt || chr(10) || response), '[^\\x20\\x09-\\x0D]+') AS w FROM labeled WHERE split <> 'val'),
+g AS (SELECT row_id, split, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+  ELSE [array_to_string(w, ' ')] END)) AS s FROM w),
+reps AS (SELECT split, s, min(row_id) AS id FROM g GROUP BY split, s),
+u AS (SELECT split, id, len(s) AS n, unnest(s) AS g FROM reps),
+i AS (SELECT a.id AS test_id, b.id AS train_id, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS i
+  FROM u a JOIN u b USING (g) WHERE a.split = 'test' AND b.split = 'train' GROUP BY ALL)
+SELECT test_id, train_id, round(i / (na + nb - i)::DOUBLE, 6) AS jaccard FROM i WHERE 100 * i >= 75 * (na + nb - i)""",
+)
+def q_split_overlap_near(spark, sf_dir):
+    """Test texts with a near duplicate among the train texts."""
+    from sftlake.operators.overlap import near_overlap
+
+    _, _, _, split = prepared(spark, sf_dir)
+    out = near_overlap(split, F.concat_ws("\n", "prompt", "response"))
+    return out.select("test_id", "train_id", _r6("jaccard"))
+
+
 @register(
     "test_slice",
     O.PREP
