@@ -13,18 +13,21 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "stratified_split": (
-        "One earlier aggregate, materialised as parquet in the shared folder, counted rows per (kind, fine hash cell). "
-        "Split sizes, per-kind coarse-cell shifts and coarse offsets are small tables derived from it, broadcast behind row bounds taken from its counts. The records are "
-        "scanned once more and shuffled once, on (kind, coarse cell), for the rank window "
-        "(about bucket_rows rows per window)."
+        "One earlier aggregate, materialised as parquet in the shared folder, counted rows per (kind, hash cell). "
+        "Sizes and rank offsets are small tables derived from it. The keys are scanned once more and shuffled once, "
+        "on (kind, cell), for the join with the offsets and the rank window, which share that partitioning."
+    ),
+    "split_audit": (
+        "Labels without ranks: each record is compared with the boundary keys of its kind, a materialised table "
+        "with one row per kind. No exchange of the records; the audit is one partial aggregate."
     ),
     "token_nll": (
         "Reads only the checkpointed token x tag count matrix: one aggregate with partial sums, no join. "
         "The matrix itself came from one tokenize/explode pass and one groupBy(token)."
     ),
     "before_after_dup": (
-        "The per-id aggregate is partial, then final (a hot id folds map-side). The lookup joins on "
-        "(id <=> id, pos = first_pos), and pos is unique. Catalyst prunes the text column from the left scan."
+        "The per-id aggregate of positions is a hash aggregate, partial, then final (a hot id folds map-side). "
+        "Both lookups join on (id <=> id, pos), and pos is unique; no text is sorted."
     ),
     "loss_curves": (
         "Trainer-log lines are read back as splittable text partitioned by run; routing is a "
@@ -36,7 +39,8 @@ NOTES = {
         "touches."
     ),
     "truncate_tokens": (
-        "Segment offsets inside a conversation come from the two-level running sum. The last kept token is "
+        "Segments carry only their first tokens up to the limit and their last one. Segment offsets inside a "
+        "conversation come from the two-level running sum, per 1,024 turn numbers. The last kept token is "
         "one partial aggregate per conversation; no conversation is collected."
     ),
     "split_metadata": (
