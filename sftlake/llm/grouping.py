@@ -1,7 +1,7 @@
 """Classes of near duplicates from candidate buckets, without emitting the pairs of a bucket.
 
-``linked_classes`` takes members (k, id): two ids can only be linked when they share a k. Rounds
-of leaders replace all-pairs: in each round every bucket names a few leaders, members are
+``linked_classes`` takes members (k, id, x): two ids can only be linked when they share a k and
+their x fit each other. Rounds of leaders replace all-pairs: in each round every bucket names a few leaders, members are
 compared with the leaders of their buckets, verified links merge classes, and members of the
 bucket's largest class need not lead any more, since links inside one class change nothing. The
 rounds end when every member outside its bucket's largest class has led. By then any two members
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm.common import checkpointed
@@ -25,8 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     large-star and small-star steps until the edges stop changing; each step keeps one row per
     edge, and a hub's edges are split over tasks as the joins are skew-safe."""
     e = checkpointed(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while True:
+    # Done when the edges are stars: no edge's lower end is the upper end of another.
+    while not e.select("a").join(e.select(F.col("b").alias("a")), "a", "left_semi").isEmpty() or not _one_root_each(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -34,50 +34,62 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("s"))
         e = checkpointed(small.select("s.*").where("a != b").distinct())
-        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == seen:
-            break
-        seen = now
     roots = e.select(F.col("b").alias("id")).distinct()
     return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(roots.withColumn("comp", F.col("id")))
 
 
-def linked_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], leaders: int = 2, growth: int = 4) -> DataFrame:
-    """(id, comp) of the ids that have a link. ``verify`` gets pairs (a, b, lead), a < b, lead one
-    of them, each pair at most once, and returns those that are linked."""
-    members = checkpointed(members.select("k", "id").distinct())
+def _one_root_each(e: DataFrame) -> bool:
+    return e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def every_pair(met: DataFrame) -> DataFrame:
+    return met.select("id", F.explode("lead").alias("lead"))
+
+
+def linked_classes(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    fits: Callable[[Column, Column], Column],
+    narrow: Callable[[DataFrame], DataFrame] = every_pair,
+    leaders: int = 4,
+    growth: int = 15,
+) -> DataFrame:
+    """(id, comp) of the ids that have a link. x (long) belongs to the id; ``fits`` is a cheap
+    symmetric bound that no linked pair fails. ``narrow`` turns rows (id, lead), an id with the
+    leaders it met, into pairs (id, lead) and may leave out pairs that can't be linked.
+    ``verify`` gets pairs (a, b, lead), a < b, lead one of them, each pair at most once, and
+    returns those that are linked."""
+    members = checkpointed(members.select("k", "id", "x").distinct())
     spark = members.sparkSession
     links = tried = comps = led = None
     while True:
         if comps is None:
-            now = members.withColumn("comp", F.col("id"))
-            open_ = now
+            now = open_ = members.withColumn("comp", F.col("id"))
         else:
-            now = members.join(comps.withColumnRenamed("comp", "c"), "id", "left").select("k", "id", F.coalesce("c", "id").alias("comp"))
+            now = members.join(comps.withColumnRenamed("comp", "c"), "id", "left").select("k", "id", "x", F.coalesce("c", "id").alias("comp"))
             sizes = now.groupBy("k", "comp").agg(F.count("*").alias("n"))
             ref = sizes.groupBy("k").agg(F.max_by("comp", F.struct("n", "comp")).alias("ref"), F.count("*").alias("parts")).where("parts > 1")
             now = checkpointed(now.join(ref.select("k", "ref"), "k"))
             open_ = now.where("comp != ref").join(led, ["k", "id"], "left_anti")
         # The first few of each bucket by one order for all buckets, so they share their leaders.
-        # min_by-style limits: each task keeps its own first few rows of a bucket.
-        open_ = open_.select("k", "id").withColumn("rank", F.expr("row_number() over (partition by k order by xxhash64(id), id)"))
-        chosen = checkpointed(open_.where(F.col("rank") <= leaders).select("k", "id"))
+        open_ = open_.select("k", "id", "x", "comp").withColumn("rank", F.expr("row_number() over (partition by k order by xxhash64(id), id)"))
+        chosen = checkpointed(open_.where(F.col("rank") <= leaders).drop("rank"))
         if chosen.isEmpty():
             break
-        led = chosen if led is None else led.unionByName(chosen)
-        ahead = chosen.groupBy("k").agg(F.collect_list("id").alias("lead"))
-        met = now.select("k", "id").join(ahead, "k").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lead"))).alias("lead"))
-        pairs = met.select("id", F.explode("lead").alias("l")).where("id != l")
-        pairs = pairs.groupBy(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).agg(F.min("l").alias("lead"))
-        if comps is not None:
-            at = comps.select(F.col("id").alias("x"), F.col("comp").alias("cx"))
-            pairs = pairs.join(at, F.col("a") == F.col("x"), "left").drop("x").withColumnRenamed("cx", "ca")
-            pairs = pairs.join(at, F.col("b") == F.col("x"), "left").drop("x")
-            pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cx", "b")).select("a", "b", "lead").join(tried, ["a", "b"], "left_anti")
+        led = chosen.select("k", "id") if led is None else led.unionByName(chosen.select("k", "id"))
+        ahead = chosen.groupBy("k").agg(F.collect_list(F.struct(F.col("id").alias("l"), "x", "comp")).alias("lead"))
+        own = now.select("k", "id", "x", "comp").join(ahead, "k")
+        apart = lambda s: (s["comp"] != F.col("comp")) & fits(s["x"], F.col("x"))
+        own = own.select("id", F.filter("lead", apart)["l"].alias("lead")).where(F.size("lead") > 0)
+        met = own.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lead"))).alias("lead"))
+        pairs = narrow(met).groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs)
         tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
         found = checkpointed(verify(pairs).select("a", "b"))
-        links = found if links is None else links.unionByName(found)
+        # Known classes as stars, and the new links between them.
+        links = found if comps is None else found.unionByName(comps.where("id != comp").select(F.col("id").alias("a"), F.col("comp").alias("b")))
         comps = checkpointed(components(links))
         leaders = min(leaders * growth, 1000)
     return comps if comps is not None else spark.createDataFrame([], members.select("id", F.col("id").alias("comp")).schema)

@@ -29,6 +29,13 @@ MIN_CHARS = 48
 BROADCAST_KEYS = 1_000_000  # candidate line hashes (8 bytes each) that may be broadcast
 
 
+def _parities(line: Column) -> Column:
+    """Bit c: whether characters of code c modulo 62 occur an odd number of times. An edit
+    changes two bits at most, so lines that differ in more than two bits an edit aren't alike."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(c) % 62)
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("bigint"), lambda a, c: a.bitwiseXOR(bit(c)))
+
+
 def _trimmed(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\x0b\x0c\r"))
 
@@ -119,17 +126,27 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("h", F.xxhash64("line"))
 
 
-def near_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_table(docs: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
+    """(doc_id, th, no, h, keys): every line by its hash, with its segment keys if it is long
+    enough for near copies. Written once, about a third of the texts' size, and read by all
+    that follows."""
+    long_enough = F.length("line") >= max(min_chars, 2 * max_edits + 2)
+    keys = F.when(long_enough, segment_keys(F.col("line"), max_edits))
+    return checkpointed(_lines(docs.select("doc_id", "text")).select("doc_id", "th", "no", "h", keys.alias("keys")))
+
+
+def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """(id, comp) of the distinct lines (by hash) that have an alike line with another text."""
-    long_ = _lines(docs.select("doc_id", "text")).where(F.length("line") >= max(min_chars, 2 * max_edits + 2)).select("h", "line")
-    keys = long_.select(F.col("h").alias("id"), F.explode(segment_keys(F.col("line"), max_edits)).alias("k"))
+    keys = lines.select(F.col("h").alias("id"), F.explode("keys").alias("k"))
     held = keys.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("k")
     held = checkpointed(held)  # a plain shuffle on both sides, so the join can split a hot key
     members = checkpointed(keys.join(held.hint("shuffle_merge"), "k", "left_semi"))
-    ids = members.select(F.col("id").alias("h")).distinct()
+    ids = checkpointed(members.select(F.col("id").alias("h")).distinct())
     if ids.count() <= BROADCAST_KEYS:
         ids = F.broadcast(ids)
-    texts = checkpointed(long_.join(ids, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line")))
+    texts = _lines(docs.select("doc_id", "text")).select("h", "line").join(ids, "h", "left_semi")
+    texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
+    members = members.join(texts.select(F.col("h").alias("id"), _parities(F.col("line")).alias("x")), "id")
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = texts.select(F.col("h").alias("a"), F.col("line").alias("la"))
@@ -137,19 +154,22 @@ def near_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
         both = pairs.join(x, "a").join(y, "b")
         return both.where(within_edits(F.col("la"), F.col("lb"), max_edits)).select("a", "b")
 
-    return linked_classes(members, verify)
+    return linked_classes(members, verify, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= 2 * max_edits)
 
 
 def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines to remove from each document that has any."""
-    classes = near_classes(docs, max_edits, min_chars).withColumnRenamed("id", "h")
-    lines = _lines(docs.select("doc_id", "text")).drop("line")
+    lines = line_table(docs, max_edits, min_chars)
+    classes = near_classes(docs, lines, max_edits).withColumnRenamed("id", "h")
+    lines = lines.drop("keys")
     place = F.struct("doc_id", "th", "no")
     first = lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    first = first.join(classes, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
-    stays = first.groupBy("comp").agg(F.min("first").alias("stays"), F.count("*").alias("m"), F.sum("n").alias("n"))
+    # A line met once and outside any class of near copies stays.
+    first = first.join(classes, "h", "left").where("n > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "h"))
+    first = checkpointed(first)
+    stays = first.groupBy("comp").agg(F.min("first").alias("stays"))
     # Hashes whose class has two lines or more, with the place of the one that stays.
-    held = checkpointed(first.select("h", "comp").join(stays.where("n > 1").select("comp", "stays"), "comp").select("h", "stays"))
+    held = checkpointed(first.select("h", "comp").join(stays, "comp").select("h", "stays"))
     gone = lines.join(held.hint("shuffle_merge"), "h").where(~place.eqNullSafe(F.col("stays")))
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 

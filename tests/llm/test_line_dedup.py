@@ -65,21 +65,21 @@ def test_components_and_leader_rounds(spark):
     assert got == union([e for e in edges if e[0] != e[1]], ids)
     assert grouping.components(spark.createDataFrame([], "a long, b long")).count() == 0
     # Numbers in buckets by tens, linked when they differ by one or by thirty: a group of all, and leaders that fail.
-    members = spark.createDataFrame([(i // 10 % 3, i) for i in range(90)] + [(99, i) for i in range(300, 340)], "k long, id long")
+    members = spark.createDataFrame([(i // 10 % 3, i) for i in range(90)] + [(99, i) for i in range(300, 340)], "k long, id long").withColumn("x", F.col("id"))
     met = []
 
     def verify(pairs):
         met.extend((r.a, r.b) for r in pairs.collect())
         return pairs.where("b - a = 1 or b - a = 30")
 
-    got = {r.id: r.comp for r in grouping.linked_classes(members, verify).collect()}
+    got = {r.id: r.comp for r in grouping.linked_classes(members, verify, lambda x, y: F.abs(x - y) < 60).collect()}
     same = collections.defaultdict(list)
     for i in range(90):
         same[i // 10 % 3].append(i)
     same[99] = list(range(300, 340))
     want = union([(a, b) for v in same.values() for a in v for b in v if b - a in (1, 30)], [i for v in same.values() for i in v])
     assert got == want and len(met) == len(set(met)) and all(a < b for a, b in met)
-    assert grouping.linked_classes(members.limit(0), verify).count() == 0
+    assert grouping.linked_classes(members.limit(0), verify, lambda x, y: x == y).count() == 0
 
 
 def brute(rows, t, least):
