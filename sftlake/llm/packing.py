@@ -29,7 +29,7 @@ from sftlake.llm.common import ship_package
 
 FLUSH_TOKENS = 1 << 20
 SCHEMA = (
-    "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_id long"
+    "doc_id {0}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_id long"
 )
 SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
@@ -153,6 +153,7 @@ def pack(
         ids: dict[int, tuple] = {}  # of documents that still have a piece in the pool
         pool: list[tuple] = []
         held = serial = sequence = step = 0
+        kind = pa.null()  # of the ids, known with the first batch
 
         def emit(windows: list[list[tuple]]) -> pa.RecordBatch:
             nonlocal sequence, step
@@ -169,11 +170,12 @@ def pack(
                     at += n
                 sequence += 1
             step += max(groups, default=-1) + 1
-            types = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3 + [pa.int32(), pa.int64()]
+            types = [kind] + [pa.int64()] * 2 + [pa.binary()] + [pa.int64()] * 3 + [pa.int32(), pa.int64()]
             names = [f.split()[0] for f in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
         for batch in batches:
+            kind = batch.column(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 ids[serial] = (doc, tokens)
@@ -190,4 +192,4 @@ def pack(
         if windows:
             yield emit(windows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA.format(docs.schema["doc_id"].dataType.simpleString()))

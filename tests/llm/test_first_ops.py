@@ -195,6 +195,8 @@ def test_packing_odd_rows_and_balance(spark):
     out = packing.pack(docs, queries.tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
     check_pieces(out.collect(), [(k, t) for k, t in enumerate([*ODD, "end <|endoftext|> more"])])
     assert packing.pack(docs.limit(0), queries.tokenizer_path()).count() == 0
+    named = packing.pack(docs.select(F.col("doc_id").cast("string"), "text"), queries.tokenizer_path())
+    assert named.select("doc_id").distinct().count() == len(ODD) + 1
     sizes = [1024] * 40 + [512] * 7 + [128] * 9
     load = np.bincount(packing.step_groups(sizes, 8192), weights=sizes)
     assert load.max() - load.min() <= 512
