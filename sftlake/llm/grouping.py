@@ -42,7 +42,7 @@ def _one_root_each(e: DataFrame) -> bool:
     return e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
-def every_pair(met: DataFrame) -> DataFrame:
+def every_pair(met: DataFrame, leads: DataFrame) -> DataFrame:
     return met.select("id", F.explode("lead").alias("lead"))
 
 
@@ -50,13 +50,14 @@ def linked_classes(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     fits: Callable[[Column, Column], Column],
-    narrow: Callable[[DataFrame], DataFrame] = every_pair,
+    narrow: Callable[[DataFrame, DataFrame], DataFrame] = every_pair,
     leaders: int = 4,
     growth: int = 15,
 ) -> DataFrame:
     """(id, comp) of the ids that have a link. x (long) belongs to the id; ``fits`` is a cheap
     symmetric bound that no linked pair fails. ``narrow`` turns rows (id, lead), an id with the
-    leaders it met, into pairs (id, lead) and may leave out pairs that can't be linked.
+    leaders it met, into pairs (id, lead) and may leave out pairs that can't be linked; it also
+    gets the distinct leaders (id).
     ``verify`` gets pairs (a, b, lead), a < b, lead one of them, each pair at most once, and
     returns those that are linked."""
     members = checkpointed(members.select("k", "id", "x").distinct())
@@ -76,13 +77,15 @@ def linked_classes(
         chosen = checkpointed(open_.where(F.col("rank") <= leaders).drop("rank"))
         if chosen.isEmpty():
             break
+        # A bucket without a leader to name is done: whoever is outside its largest class has led.
+        members = now.join(chosen.select("k").distinct(), "k", "left_semi").select("k", "id", "x")
         led = chosen.select("k", "id") if led is None else led.unionByName(chosen.select("k", "id"))
         ahead = chosen.groupBy("k").agg(F.collect_list(F.struct(F.col("id").alias("l"), "x", "comp")).alias("lead"))
         own = now.select("k", "id", "x", "comp").join(ahead, "k")
         apart = lambda s: (s["comp"] != F.col("comp")) & fits(s["x"], F.col("x"))
         own = own.select("id", F.filter("lead", apart)["l"].alias("lead")).where(F.size("lead") > 0)
         met = own.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("lead"))).alias("lead"))
-        pairs = narrow(met).groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
+        pairs = narrow(met, chosen.select("id").distinct()).groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from sftlake.llm import jaccard_join, queries
 
@@ -45,7 +46,24 @@ def test_trie_against_plain_sets():
         assert sorted(trie.linked(q)) == want
 
 
-def test_odd_rows_and_a_large_group_against_brute_force(spark):
+def test_signatures_leave_no_linked_pair_out():
+    rng = np.random.default_rng(3)
+    pruned = 0
+    for _ in range(600):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 700)), dtype=np.uint64)
+        a = np.unique(np.concatenate([base, rng.integers(0, 1 << 63, int(rng.integers(0, 200)), dtype=np.uint64)]))
+        b = np.unique(np.concatenate([base, rng.integers(0, 1 << 63, int(rng.integers(0, 200)), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        linked = 100 * both >= 75 * (len(a) + len(b) - both)
+        may = jaccard_join.may_link(jaccard_join.signature(a), len(a), jaccard_join.signature(b), len(b))
+        assert may or not linked
+        pruned += not may
+    assert pruned > 100
+
+
+@pytest.mark.parametrize("leader_bytes", [16 << 20, 0])  # 0: leaders too many to broadcast
+def test_odd_rows_and_a_large_group_against_brute_force(spark, monkeypatch, leader_bytes):
+    monkeypatch.setattr(jaccard_join, "LEADER_BYTES", leader_bytes)
     rng = random.Random(4)
     words = [f"w{k}" for k in range(300)]
     base = [rng.choice(words) for _ in range(60)]
