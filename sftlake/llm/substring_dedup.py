@@ -124,7 +124,7 @@ def sketch(texts: DataFrame) -> np.ndarray:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged = parts.repartition(n, "block").mapInArrow(_merge_sketch, "block int, bits binary")
     bits = np.zeros(DEPTH * CELLS // 8, np.uint8)
-    for r in merged.toLocalIterator():
+    for r in merged.collect():
         at = r["block"] * (BLOCK // 8)
         bits[at : at + BLOCK // 8] = np.frombuffer(r["bits"], np.uint8)
     return bits
