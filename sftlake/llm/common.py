@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftlake.session import ship_package
+from sftlake.session import ship_package as _ship
 from sftlake.sources.scratch import checkpointed, fresh_dir
 
 __all__ = ["bounded_sample", "checkpointed", "fold", "fresh_dir", "letters_lower", "read", "ship_package", "spread"]
 
 
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers. Arrow batches are cut by rows, not bytes:
+    where the session still has the default of 10,000 rows, which is too many whole documents at
+    once for a worker's memory, it is lowered to ``BATCH_ROWS``."""
+    _ship(spark)
+    if spark.conf.get(_ROWS, "10000") == "10000":
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _MASK = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)

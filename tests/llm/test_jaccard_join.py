@@ -61,7 +61,7 @@ def test_signatures_leave_no_linked_pair_out():
     assert pruned > 100
 
 
-@pytest.mark.parametrize("leader_bytes", [16 << 20, 0])  # 0: leaders too many to broadcast
+@pytest.mark.parametrize("leader_bytes", [8 << 20, 0])  # 0: leaders too many to broadcast
 def test_odd_rows_and_a_large_group_against_brute_force(spark, monkeypatch, leader_bytes):
     monkeypatch.setattr(jaccard_join, "LEADER_BYTES", leader_bytes)
     rng = random.Random(4)
