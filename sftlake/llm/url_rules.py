@@ -1,6 +1,8 @@
 """URL filters. Every rule is a regular expression over ``host + path`` together with the
-literal tokens any match must hold. A rule is filed under its rarest literal, by counts over
-all urls; a url's tokens fetch the rules filed under them, and only those run their regex.
+literal tokens any match must hold; where a match holds one of several tokens, by alternatives
+of the expression, the literal is the tuple of them. A rule is filed under its rarest literal, by
+counts over all urls, and there under each alternative; a url's tokens fetch the rules filed under
+them, and only those run their regex.
 
 The rules form a bounded constant (``MAX_RULES``) with a slot per token hash, so a lookup
 takes constant time inside the row: no join, no shuffle, no row key. Null, empty and repeated
@@ -29,10 +31,14 @@ class Rule:
 
     name: str
     regex: str
-    literals: tuple[str, ...]
+    literals: tuple[str | tuple[str, ...], ...]
     verdict: str
     site: bool = False
 
+    def alternatives(self) -> list[tuple[str, ...]]:
+        """The literals, each as the tokens of which a match holds one."""
+        return [(t,) if isinstance(t, str) else t for t in self.literals]
+
 
 def site_rule(host: str, path: str, verdict: str) -> Rule:
     """Fits ``host`` and its subdomains where the url's path starts with ``path``."""
@@ -47,7 +53,7 @@ def _quoted(s: str) -> str:
     return re.sub(r"([^A-Za-z0-9/_-])", r"\\\1", s)
 
 
-def pattern_rule(name: str, regex: str, *literals: str, verdict: str = "block") -> Rule:
+def pattern_rule(name: str, regex: str, *literals: str | tuple[str, ...], verdict: str = "block") -> Rule:
     return Rule(name, regex, literals, verdict)
 
 
@@ -67,7 +73,7 @@ def tokens(c: Column) -> Column:
 
 def literal_counts(df: DataFrame, rules: list[Rule], url: str = "url") -> dict[str, int]:
     """How many urls hold each literal of the rules, over all rows; at most one row a literal."""
-    words = sorted({t for r in rules for t in r.literals})
+    words = sorted({t for r in rules for alt in r.alternatives() for t in alt})
     found = with_host_path(df.select(url), url).select(
         F.explode(F.array_intersect(tokens(F.concat("host", "path")), F.lit(words))).alias("token")
     )
@@ -79,12 +85,12 @@ def _index(rules: list[Rule], counts: dict[str, int]) -> tuple[Column, int]:
         raise ValueError(f"{len(rules)} rules; the constant index holds {MAX_RULES}")
     slots: list[list[dict]] = [[] for _ in range(max(16, 2 * len(rules)))]
     for rank, r in enumerate(rules):
-        if not r.literals:
+        if not r.literals or not all(r.alternatives()):
             raise ValueError(f"rule {r.name!r} has no literal token")
-        token = min(r.literals, key=lambda t: (counts.get(t, 0), t))
-        slots[zlib.crc32(token.encode()) % len(slots)].append(
-            {"token": token, "rule": r.name, "regex": r.regex, "verdict": r.verdict, "site": r.site, "rank": rank}
-        )
+        for token in min(r.alternatives(), key=lambda alt: (sum(counts.get(t, 0) for t in alt), alt)):
+            slots[zlib.crc32(token.encode()) % len(slots)].append(
+                {"token": token, "rule": r.name, "regex": r.regex, "verdict": r.verdict, "site": r.site, "rank": rank}
+            )
     return F.from_json(F.lit(json.dumps(slots)), _INDEX), len(slots)
 
 
@@ -126,7 +132,7 @@ PATTERNS = [
     pattern_rule("betting-host", r"^([^/]*[.-])?(sports-)?bet(ting)?-win[.-]", "win"),
     pattern_rule("adult-host", r"^([^/]*[.-])?xxx[.-]", "xxx"),
     pattern_rule("adult-path", r"/(adult|nsfw)/xxx(/|$)", "xxx"),
-    pattern_rule("ad-server", r"^(ads|adserver)\.[^/]*/(banner|click)(/|$)", "ads"),
+    pattern_rule("ad-server", r"^(ads|adserver)\.[^/]*/(banner|click)(/|$)", ("ads", "adserver")),
     pattern_rule("login", r"/(account|user|wp-admin)/login(\.[a-z]+)?$", "login"),
     pattern_rule("cart", r"/cart/checkout(/|$)", "cart", "checkout"),
     pattern_rule("feed", r"/feed/(rss|atom)\.xml$", "feed", "xml"),

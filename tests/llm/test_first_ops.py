@@ -200,3 +200,47 @@ def test_packing_odd_rows_and_balance(spark):
     sizes = [1024] * 40 + [512] * 7 + [128] * 9
     load = np.bincount(packing.step_groups(sizes, 8192), weights=sizes)
     assert load.max() - load.min() <= 512
+
+
+def _matches(regex):
+    """Strings that fit the expression, one at least for each way through its groups."""
+    import itertools
+    from re import _parser
+
+    def ways(seq):
+        return ["".join(x) for x in itertools.product(*(one(op, arg) for op, arg in seq))]
+
+    def one(op, arg):
+        name = str(op)
+        if name == "LITERAL":
+            return [chr(arg)]
+        if name == "AT":
+            return [""]
+        if name == "IN":
+            return [chr(v) if str(k) == "LITERAL" else chr(v[0]) if str(k) == "RANGE" else "h" for k, v in arg]
+        if name == "NOT_LITERAL":
+            return ["h"]
+        if name == "SUBPATTERN":
+            return ways(arg[3])
+        if name == "BRANCH":
+            return [w for branch in arg[1] for w in ways(branch)]
+        if name == "MAX_REPEAT":
+            return [w for w in dict.fromkeys([*([""] if arg[0] == 0 else []), *ways(arg[2])])]
+        raise NotImplementedError(name)
+
+    found = [w for w in dict.fromkeys(ways(_parser.parse(regex))) if re.search(regex, w)]
+    assert found
+    return found
+
+
+def test_every_match_of_a_pattern_is_fetched(spark):
+    for r in url_rules.PATTERNS:
+        for m in _matches(r.regex):
+            held = set(re.split("[^a-z0-9]+", m.lower()))
+            assert all(held & set(alt) for alt in r.alternatives()), (r.name, m)
+    urls = [f"http://{m}" for r in url_rules.PATTERNS for m in _matches(r.regex) if not m.startswith("/")]
+    urls += ["http://adserver.x.net/banner/1", "http://ads.x.net/click", "http://ads.adserver.net/click/1", "http://adserverx.net/banner/1"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    for r in url_rules.url_filter(df, url_rules.PATTERNS).collect():
+        first = next((p.name for p in url_rules.PATTERNS if re.search(p.regex, r.host + r.path)), None)
+        assert (r.pattern, r.verdict) == (first, "block" if first else "allow"), r.url
