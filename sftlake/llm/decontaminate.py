@@ -6,15 +6,20 @@ moves on. Two sequences at a small edit distance fall into step again after each
 embeddings differ in few places. A table samples ``SAMPLED`` steps; items are filed under what
 they wrote there, and every window of the documents that writes the same meets the item. The
 number of tables is set by measurement: items with as many random edits as are allowed must be
-met at ``RECALL`` or better.
+met at ``RECALL`` or better, or building the tables fails.
 
-Windows are item-sized: items are grouped by size, and every word of every text starts a window
+The chance that a table meets an edited item falls with its length. So an item of more than
+``PIECE_WORDS`` words is looked for by its pieces: of equal pieces, one at least holds no more
+edits than its own share, or the item would hold more than are allowed. A met piece leads to the
+stretch where the whole item would stand, and only that is verified.
+
+Windows are piece-sized: pieces are grouped by size, and every word of every text starts a window
 of each group's size. A window with more words outside its group's vocabulary than edits are
 allowed cannot match (each edit brings one such word at most) and isn't walked; that bound loses
 nothing. What meets is verified exactly, by bit-parallel edit distance over words around the
 window; an item leaks into a text when the distance is at most ``RATE`` of its words.
 
-One pass over the documents for each ``ITEMS_A_PASS`` items (whose tables are the bounded
+One pass over the documents for each ``PIECES_A_PASS`` pieces (whose tables are the bounded
 broadcast); no shuffle. Null and empty texts hold nothing; items of fewer than ``MIN_WORDS``
 words or null text are never looked for; null ids, equal items and repeated rows are all
 reported. Without items, or documents, there are no leaks. All columns pass through."""
@@ -35,10 +40,11 @@ from sftlake.llm.common import ship_package
 RATE = 0.2
 RECALL = 0.95
 SAMPLED = 3
-MAX_TABLES = 40
+MAX_TABLES = 400  # tables that don't reach RECALL by then are an error
 MIN_WORDS = 5
+PIECE_WORDS = 64
 GROWTH = 1.35
-ITEMS_A_PASS = 20_000
+PIECES_A_PASS = 20_000
 LEAK = "array<struct<item_id:{0},distance:int,item_words:int,first_word:int,last_word:int>>"
 _APART = np.ones(256, bool)
 _APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -76,8 +82,14 @@ class Walk:
         return key
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first word, end) of the pieces of an item of n words, alike in size."""
+    p = -(-n // PIECE_WORDS)
+    return [(k * n // p, (k + 1) * n // p) for k in range(p)]
+
+
 class Group:
-    """The items of one size group (least to most words) with their tables."""
+    """The pieces of one size group (least to most words) with their tables."""
 
     def __init__(self, items: list[np.ndarray], ids: list[int], least: int, most: int):
         self.least, self.edits = least, allowed(most)
@@ -102,9 +114,11 @@ class Group:
             self.recall = 1 - missed.mean()
             if self.recall >= RECALL:
                 break
+        else:
+            raise RuntimeError(f"{MAX_TABLES} tables meet only {self.recall:.3f} of the edited pieces of {least} to {most} words, not {RECALL}")
 
     def meet(self, words: textkit.Words, h: np.ndarray, starts: np.ndarray, end: np.ndarray) -> set[tuple[int, int]]:
-        """(window start, item) of every window that writes what an item writes in some table."""
+        """(window start, piece) of every window that writes what a piece writes in some table."""
         strange = np.concatenate([[0], np.cumsum(~self.vocabulary[words.hash & np.uint64((1 << _VOCABULARY_BITS) - 1)], dtype=np.int32)])
         stop = np.minimum(starts + self.least, end)
         at = np.flatnonzero(strange[stop] - strange[starts] + (starts + self.least - stop) <= self.edits)
@@ -164,18 +178,19 @@ def distances(item: list[int], text: list[int], anchored: bool = False) -> list[
 
 
 class Index:
-    """Items by size group. Built on the driver from the items of one pass."""
+    """Pieces of items by size group. Built on the driver from the items of one pass."""
 
     def __init__(self, items: list[np.ndarray]):
         self.items = items
         self.groups: list[Group] = []
-        size = {k: len(w) for k, w in enumerate(items) if len(w) >= MIN_WORDS}
+        self.pieces = [(k, a, b) for k, w in enumerate(items) if len(w) >= MIN_WORDS for a, b in pieces(len(w))]
+        size = {j: b - a for j, (_, a, b) in enumerate(self.pieces)}
         least = MIN_WORDS
         while size and least <= max(size.values()):
             most = max(least, int(GROWTH * least))
-            ids = [k for k, n in size.items() if least <= n <= most]
+            ids = [j for j, n in size.items() if least <= n <= most]
             if ids:
-                self.groups.append(Group([items[k] for k in ids], ids, least, most))
+                self.groups.append(Group([items[k][a:b] for k, a, b in (self.pieces[j] for j in ids)], ids, least, most))
             least = most + 1
 
     def leaks(self, words: textkit.Words) -> dict[int, dict[int, tuple[int, int, int]]]:
@@ -184,12 +199,14 @@ class Index:
         doc = words.doc()
         starts, end = np.arange(len(doc)), words.off[1:][doc]
         h = np.append(words.hash, np.uint64(0))
+        tried: set[tuple[int, int, int]] = set()
         for group in self.groups:
-            tried: set[tuple[int, int, int]] = set()
-            for at, k in sorted(group.meet(words, h, starts, end)):
+            for met, j in sorted(group.meet(words, h, starts, end)):
+                k, before, _ = self.pieces[j]
                 item = self.items[k].tolist()
                 slack = allowed(len(item)) + 1
-                d = int(doc[at])
+                d = int(doc[met])
+                at = met - before  # where the item starts, up to the edits before the piece
                 spot = (d, k, at // slack)  # windows that close look at the same stretch
                 if spot in tried:
                     continue
@@ -209,13 +226,15 @@ class Index:
 
 
 def _passes(items: DataFrame) -> Iterator[list]:
-    """The items' (id, text) in blocks of ITEMS_A_PASS; one block at a time is on the driver."""
+    """The items' (id, text) in blocks of about PIECES_A_PASS pieces; one block at a time is on the driver."""
     block: list = []
+    held = 0
     for r in items.select("item_id", "text").where("text is not null").toLocalIterator():
         block.append(r)
-        if len(block) == ITEMS_A_PASS:
+        held += 1 + len(r["text"].split()) // PIECE_WORDS
+        if held >= PIECES_A_PASS:
             yield block
-            block = []
+            block, held = [], 0
     if block:
         yield block
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from sftlake.llm import decontaminate, queries
 from sftlake.llm.decontaminate import allowed, distances
@@ -90,3 +91,41 @@ def test_odd_rows(spark):
     assert [r.first_word for r in got if r.doc_id == 6 for r in r.leaks] == [30_000, 30_000]
     assert all(r.leaks == [] for r in decontaminate.find_leaks(docs, items.limit(0)).collect())
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
+
+
+def test_long_items_are_found_at_the_recall():
+    rng = np.random.default_rng(11)
+    sizes = [100, 150, 250, 400] * 25
+    items = [rng.integers(1, 1 << 62, n, dtype=np.uint64) for n in sizes]
+    index = decontaminate.Index(items)
+    assert all(g.recall >= decontaminate.RECALL for g in index.groups)
+    noise = rng.integers(1, 1 << 62, 30, dtype=np.uint64)
+    found = {n: 0 for n in sizes}
+    for k, item in enumerate(items):
+        edited = decontaminate._edited(item, allowed(len(item)), rng)
+        text = np.concatenate([noise, edited, noise])
+        words = decontaminate.words_of(pa.array([""]))
+        words.hash, words.off = text, np.array([0, len(text)])
+        hit = index.leaks(words).get(0, {})
+        assert set(hit) <= {k}
+        if hit:
+            cost, first, last = hit[k]
+            assert cost == best_stretch(item.tolist(), text.tolist()) and best_stretch(item.tolist(), text[first : last + 1].tolist()) == cost
+        found[len(item)] += k in hit
+    assert all(n >= 0.93 * 25 for n in found.values()), found
+
+
+def test_pieces_cover_an_item_and_keep_the_bound():
+    for n in range(5, 1500):
+        cut = decontaminate.pieces(n)
+        assert cut[0][0] == 0 and cut[-1][1] == n and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+        assert max(b - a for a, b in cut) <= decontaminate.PIECE_WORDS
+        # If every piece held one edit more than its share, the item would hold more than are allowed.
+        assert sum(allowed(b - a) + 1 for a, b in cut) > allowed(n)
+
+
+def test_tables_below_the_recall_are_an_error(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_TABLES", 1)
+    rng = np.random.default_rng(2)
+    with pytest.raises(RuntimeError, match="tables meet only"):
+        decontaminate.Index([rng.integers(1, 1 << 62, 60, dtype=np.uint64) for _ in range(20)])
