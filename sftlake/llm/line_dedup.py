@@ -1,16 +1,20 @@
 """Line deduplication by a segment-partition edit join, in DataFrame operations alone.
 
 A line is what ``\\n`` separates, without white space at its ends. Lines are alike when they are
-equal, or when both have at least ``MIN_CHARS`` characters and are within ``MAX_EDITS`` edits.
+equal, or when both have at least ``MIN_CHARS`` characters and are within one edit for each
+``CHARS_AN_EDIT`` characters of the shorter, ``MAX_EDITS`` at most.
 Of each class of alike lines (links followed through) the first line of the corpus stays, by
 (doc_id, text, line number); the others go. Blank lines always stay.
 
-Split into MAX_EDITS + 1 segments, a line within that many edits has one segment unchanged, at a
-place that the two lengths bound. So each line files its segments under (length, segment number,
-text), and probes those of every length it can meet with its substrings at the possible places.
+Lines fall into length classes, each with its number t of edits. The first t + 1 segments of a
+width that the class sets can't all be changed by t edits, and one that is whole has at most as
+many edits before it as segments. So each line files its segments under (class, segment number,
+text) and what stands up to that many places to either side of them; (t + 1)^2 keys. A line just
+above a class's lower end files them for the class below too.
 Keys held by one line alone are dropped by an aggregate; the rest are candidate buckets for
 ``grouping.linked_classes``. A pair is verified by edit distance with a banded bit-parallel
-recurrence: one 64-bit word for a band of 2 x MAX_EDITS + 1 diagonals, one step a character.
+recurrence: one 64-bit word for a band of 2 x MAX_EDITS + 1 diagonals, one step a character; the
+distance it gives is held against the pair's own threshold.
 
 What moves through shuffles is hashes; lines themselves only for candidates, and each text once
 at the end. Null texts stay null; null ids come first; rows alike in id and text count as one
@@ -24,8 +28,9 @@ from pyspark.sql import functions as F
 from sftlake.llm.common import checkpointed
 from sftlake.llm.grouping import linked_classes
 
-MAX_EDITS = 1
-MIN_CHARS = 48
+MAX_EDITS = 5
+CHARS_AN_EDIT = 16
+MIN_CHARS = 24
 BROADCAST_KEYS = 1_000_000  # candidate line hashes (8 bytes each) that may be broadcast
 
 
@@ -40,30 +45,51 @@ def _trimmed(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\x0b\x0c\r"))
 
 
-def segment_keys(line: Column, max_edits: int) -> Column:
-    """Hashes of (indexed length, segment number, text): the line's own segments, and the
-    substrings that equal a segment of a line up to ``max_edits`` shorter if the two are alike.
+def allowed(size: Column, max_edits: int, chars_an_edit: int) -> Column:
+    """Edits that a line of ``size`` characters, the shorter of two, may differ by."""
+    return F.least(F.lit(max_edits), F.floor(size / chars_an_edit)).cast("int")
+
+
+def _class(size: Column) -> Column:
+    """Least length of the length class. Classes are at least 8 wide, and those of lines of 16
+    characters or more start at multiples of 16, where the number of allowed edits changes."""
+    step = F.when(size < 16, 8).when(size < 128, 16).otherwise(64)
+    return (size - size % step).cast("int")
+
+
+def segment_keys(line: Column, max_edits: int, chars_an_edit: int | None = None) -> Column:
+    """Hashes of (class, segment number, text): two lines within the threshold share one. The
+    threshold is ``max_edits``, or with ``chars_an_edit`` (a multiple of 16) what ``allowed``
+    gives for the shorter line.
+
+    Segment i starts at i times the class's width. Of t + 1 segments one is whole with at most i
+    edits before it (else each adds an edit to those before, t + 1 in all), so in the other line
+    its text starts within i places of there. Lengths differ by t at most, so the shorter line's
+    class is that of the longer or the one t characters below."""
+    if not 0 <= max_edits <= 8 or (chars_an_edit or 16) % 16:
+        raise ValueError("a class is 8 characters wide at least, and thresholds change where classes do")
+    threshold = lambda n: allowed(n, max_edits, chars_an_edit) if chars_an_edit else F.lit(max_edits)
+    # By threshold: every segment number with the places beside it, as 32 i + 16 + shift.
+    places = F.array(*(F.array(*(F.lit(32 * i + 16 + shift) for i in range(t + 1) for shift in range(-i, i + 1))) for t in range(max_edits + 1)))
+
+    def of(line: Column, least: Column) -> Column:
+        t = threshold(least)
+        bound = F.struct(line.alias("line"), least.alias("least"), t.alias("t"), F.floor(least / (t + 1)).cast("int").alias("width"))
+
+        def key(v: Column, at: Column) -> Column:
+            i = F.floor(at / 32).cast("int")
+            return F.xxhash64(v["least"], i, F.substring(v["line"], v["width"] * i + at % 32 - 15, v["width"]))
+
+        return _let(bound, lambda v: F.transform(F.get(places, v["t"]), lambda at: key(v, at)))
 
-    Segment i of a length l has l div (t+1) characters, the last l mod (t+1) segments one more.
-    For a probe d characters longer, segment i's text may stand up to i places to either side of
-    its own start, and within t - i of the start counted from the end; both must hold."""
-    t = max_edits
     size = F.length(line)
-    keys = []
-    for d in range(t + 1):
-        n = size - d
-        part, rest = F.floor(n / (t + 1)).cast("int"), n % (t + 1)
-        for i in range(t + 1):
-            longer = F.greatest(rest - (t + 1 - i), F.lit(0))  # of the segments before
-            start = part * i + longer
-            width = part + F.when(rest >= t + 1 - i, 1).otherwise(0)
-            for shift in range(max(-i, d - (t - i)), min(i, d + t - i) + 1):
-                keys.append(F.xxhash64(n, F.lit(i), F.substring(line, start + shift + 1, width)))
-    return F.array(*keys)
-
-
-def within_edits(a: Column, b: Column, max_edits: int) -> Column:
-    """Whether two strings are within ``max_edits`` edits (both longer than that).
+    classes = F.struct(line.alias("line"), _class(size).alias("own"), _class(F.greatest(size - threshold(size), F.lit(0))).alias("below"))
+    return _let(classes, lambda c: F.when(c["own"] == c["below"], of(c["line"], c["own"])).otherwise(F.concat(of(c["line"], c["own"]), of(c["line"], c["below"]))))
+
+
+def within_edits(a: Column, b: Column, max_edits: int, threshold: Column | None = None) -> Column:
+    """Whether two strings are within ``max_edits`` edits (both longer than that), and within
+    ``threshold``, a number of at most max_edits, where it is given.
 
     The word holds the vertical differences of a band of the edit matrix, its top bit the row
     max_edits below the diagonal. Down to the last row the distance follows that diagonal; after
@@ -110,9 +136,10 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
             return _let(_let(state, advance), settle)
 
         start = F.struct(F.lit(full & ~(top - 1) | (top - 1) & ~((1 << t) - 1)).cast("bigint").alias("vp"), F.lit(0).cast("bigint").alias("vn"), F.lit(t).alias("dist"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(q) - 1), start, step, lambda acc: acc["dist"] <= t)
+        return F.aggregate(F.sequence(F.lit(0), F.size(q) - 1), start, step, lambda acc: acc["dist"])
 
-    return (F.abs(F.length(a) - F.length(b)) <= t) & _let(pair, run)
+    most = F.lit(t) if threshold is None else threshold
+    return (F.abs(F.length(a) - F.length(b)) <= most) & (_let(pair, run) <= most)
 
 
 def _let(value: Column, body) -> Column:
@@ -130,8 +157,7 @@ def line_table(docs: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     """(doc_id, th, no, h, keys): every line by its hash, with its segment keys if it is long
     enough for near copies. Written once, about a third of the texts' size, and read by all
     that follows."""
-    long_enough = F.length("line") >= max(min_chars, 2 * max_edits + 2)
-    keys = F.when(long_enough, segment_keys(F.col("line"), max_edits))
+    keys = F.when(F.length("line") >= max(min_chars, CHARS_AN_EDIT), segment_keys(F.col("line"), max_edits, CHARS_AN_EDIT))
     return checkpointed(_lines(docs.select("doc_id", "text")).select("doc_id", "th", "no", "h", keys.alias("keys")))
 
 
@@ -152,7 +178,8 @@ def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS)
         x = texts.select(F.col("h").alias("a"), F.col("line").alias("la"))
         y = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"))
         both = pairs.join(x, "a").join(y, "b")
-        return both.where(within_edits(F.col("la"), F.col("lb"), max_edits)).select("a", "b")
+        most = allowed(F.least(F.length("la"), F.length("lb")), max_edits, CHARS_AN_EDIT)
+        return both.where(within_edits(F.col("la"), F.col("lb"), max_edits, most)).select("a", "b")
 
     return linked_classes(members, verify, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= 2 * max_edits)
 

@@ -124,3 +124,31 @@ def test_query_on_given_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = sorted(map(tuple, queries.op10_line_dedup(spark, str(tmp_path)).collect()))
     assert got == sorted((d, n, r, hashlib.sha256(k.encode()).hexdigest()) for d, n, r, k in brute(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS))
+
+
+def test_threshold_grows_with_the_length(spark):
+    per, top = line_dedup.CHARS_AN_EDIT, line_dedup.MAX_EDITS
+    rng = random.Random(8)
+    texts, rows, near = [], [], 0
+    for n in [*range(line_dedup.MIN_CHARS, 150), *range(150, 420, 7)]:
+        a = [rng.choice("abcdefghij klmnop") for _ in range(n)]
+        a[0] = a[-1] = "z"
+        b = list(a)
+        for _ in range(rng.randint(1, top + 1)):
+            k, kind = rng.randrange(1, len(b) - 1), rng.randrange(3)
+            if kind == 0:
+                b.insert(k, rng.choice("qrs"))
+            elif kind == 1:
+                b[k] = rng.choice("qrs")
+            else:
+                del b[k]
+        texts.append(("".join(a), "".join(b)))
+    for k, (a, b) in enumerate(texts):
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (a, b) in enumerate(texts):
+        short = min(len(a), len(b))
+        alike = short >= line_dedup.MIN_CHARS and edits(a, b) <= min(top, short // per)
+        near += alike and edits(a, b) > 1
+        assert (got[2 * k], got[2 * k + 1]) == (0, int(alike)), (a, b)
+    assert near > 50
