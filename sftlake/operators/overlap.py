@@ -48,3 +48,14 @@ def near_overlap(split_df: DataFrame, text: Column, key: str = "row_id", side: s
     both = pairs.join(x, "ca").join(y, "cb").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     whole = F.size("sa") + F.size("sb") - F.col("i")
     return both.where(100 * F.col("i") >= PERCENT * whole).select("test_id", "train_id", (F.col("i") / whole).alias("jaccard"))
+
+
+def overlap_members(split_df: DataFrame, text: Column, pairs: DataFrame, key: str = "row_id", side: str = "test", other: str = "train") -> DataFrame:
+    """split, key, class_id for every row, copies too, of the classes that ``pairs`` of
+    ``near_overlap`` name: test_id or train_id of a pair is the class_id in its split."""
+    rows = split_df.where(F.col("split").isin(side, other)).select("split", key, shingles(text).alias("s"))
+    rows = checkpointed(rows.where(F.size("s") > 0).select("split", key, F.xxhash64("s").alias("c")))
+    named = pairs.select(F.lit(side).alias("split"), F.col("test_id").alias("class_id"))
+    named = named.unionByName(pairs.select(F.lit(other).alias("split"), F.col("train_id").alias("class_id"))).distinct()
+    linked = rows.join(named.withColumnRenamed("class_id", key), ["split", key]).select("split", "c", F.col(key).alias("class_id"))
+    return rows.join(linked, ["split", "c"]).select("split", key, "class_id")

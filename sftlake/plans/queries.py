@@ -248,6 +248,22 @@ def q_split_overlap_near(spark, sf_dir):
     return out.select("test_id", "train_id", _r6("jaccard"))
 
 
+@register(
+    "split_overlap_near_members",
+    ORACLE["split_overlap_near"].rpartition("SELECT test_id")[0]
+    + """, n AS (SELECT test_id, train_id FROM i WHERE 100 * i >= 75 * (na + nb - i))
+SELECT g.split, g.row_id, r.id AS class_id FROM g JOIN reps r ON g.split = r.split AND g.s = r.s
+WHERE (r.split = 'test' AND r.id IN (SELECT test_id FROM n)) OR (r.split = 'train' AND r.id IN (SELECT train_id FROM n))""",
+)
+def q_split_overlap_near_members(spark, sf_dir):
+    """Every test and train row of the classes that split_overlap_near pairs, with its class."""
+    from sftlake.operators.overlap import near_overlap, overlap_members
+
+    _, _, _, split = prepared(spark, sf_dir)
+    text = F.concat_ws("\n", "prompt", "response")
+    return overlap_members(split, text, near_overlap(split, text))
+
+
 @register(
     "test_slice",
     O.PREP

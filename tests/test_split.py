@@ -234,3 +234,17 @@ def test_test_slice_is_the_head_of_the_seeded_order(spark):
     got = sorted(r.row_id for r in slice_of_test(df, 300).collect())
     order = df.withColumn("h", spl.seeded_hash(42, "row_id", salt="order")).orderBy("h", "row_id").limit(300)
     assert got == sorted(r.row_id for r in order.collect())
+
+
+def test_near_overlap_names_every_copy(spark):
+    from pyspark.sql import functions as F
+
+    from sftlake.operators.overlap import near_overlap, overlap_members
+
+    words = [f"w{k}" for k in range(40)]
+    same, near, other = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(f"o{k}" for k in range(20))
+    rows = [(1, "test", same), (2, "test", same), (3, "test", same.upper()), (4, "train", near), (5, "train", near), (6, "test", other), (7, "val", same), (8, "train", "")]
+    df = spark.createDataFrame(rows, "row_id long, split string, t string")
+    pairs = near_overlap(df, F.col("t"))
+    got = {tuple(r) for r in overlap_members(df, F.col("t"), pairs).collect()}
+    assert got == {("test", 1, 1), ("test", 2, 1), ("test", 3, 1), ("train", 4, 4), ("train", 5, 4)}
