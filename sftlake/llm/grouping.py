@@ -8,6 +8,10 @@ rounds end when every member outside its bucket's largest class has led. By then
 of different classes that share a bucket have been compared, so no link between classes is lost;
 a group of n true copies costs about n comparisons instead of n squared.
 
+Where it is enough that a member with the flag ``leads`` meets each other member (the holder of a
+segment and those that probe for it), a bucket is also done when all its flagged members have
+led, and names leaders from whichever side has fewer left.
+
 Everything is a join or an aggregate over tables in the shared folder; nothing is collected."""
 
 from __future__ import annotations
@@ -54,31 +58,43 @@ def linked_classes(
     leaders: int = 4,
     growth: int = 15,
 ) -> DataFrame:
-    """(id, comp) of the ids that have a link. x (long) belongs to the id; ``fits`` is a cheap
-    symmetric bound that no linked pair fails. ``narrow`` turns rows (id, lead), an id with the
+    """(id, comp) of the ids that have a link. x belongs to the id; ``fits`` is a cheap
+    symmetric bound that no linked pair fails. ``members`` may have a fourth column, ``leads``
+    (boolean): of two linked ids one has it in a bucket they share. ``narrow`` turns rows (id, lead), an id with the
     leaders it met, into pairs (id, lead) and may leave out pairs that can't be linked; it also
     gets the distinct leaders (id).
     ``verify`` gets pairs (a, b, lead), a < b, lead one of them, each pair at most once, and
     returns those that are linked."""
-    members = checkpointed(members.select("k", "id", "x").distinct())
+    flags = [c for c in ("leads",) if c in members.columns]
+    if flags:
+        members = checkpointed(members.groupBy("k", "id").agg(F.first("x").alias("x"), F.max("leads").alias("leads")))
+    else:
+        members = checkpointed(members.select("k", "id", "x").distinct())
     spark = members.sparkSession
     links = tried = comps = led = None
     while True:
         if comps is None:
             now = open_ = members.withColumn("comp", F.col("id"))
+            if flags:
+                open_ = open_.where("leads")
         else:
-            now = members.join(comps.withColumnRenamed("comp", "c"), "id", "left").select("k", "id", "x", F.coalesce("c", "id").alias("comp"))
+            now = members.join(comps.withColumnRenamed("comp", "c"), "id", "left").select("k", "id", "x", *flags, F.coalesce("c", "id").alias("comp"))
             sizes = now.groupBy("k", "comp").agg(F.count("*").alias("n"))
             ref = sizes.groupBy("k").agg(F.max_by("comp", F.struct("n", "comp")).alias("ref"), F.count("*").alias("parts")).where("parts > 1")
             now = checkpointed(now.join(ref.select("k", "ref"), "k"))
-            open_ = now.where("comp != ref").join(led, ["k", "id"], "left_anti")
+            if flags:
+                left = now.join(led, ["k", "id"], "left_anti")
+                sides = left.groupBy("k").agg(F.count_if("leads").alias("flagged"), F.count_if(F.expr("comp != ref")).alias("outside"))
+                open_ = left.join(sides, "k").where("if(flagged <= outside, leads, comp != ref)")
+            else:
+                open_ = now.where("comp != ref").join(led, ["k", "id"], "left_anti")
         # The first few of each bucket by one order for all buckets, so they share their leaders.
         open_ = open_.select("k", "id", "x", "comp").withColumn("rank", F.expr("row_number() over (partition by k order by xxhash64(id), id)"))
         chosen = checkpointed(open_.where(F.col("rank") <= leaders).drop("rank"))
         if chosen.isEmpty():
             break
         # A bucket without a leader to name is done: whoever is outside its largest class has led.
-        members = now.join(chosen.select("k").distinct(), "k", "left_semi").select("k", "id", "x")
+        members = now.join(chosen.select("k").distinct(), "k", "left_semi").select("k", "id", "x", *flags)
         led = chosen.select("k", "id") if led is None else led.unionByName(chosen.select("k", "id"))
         ahead = chosen.groupBy("k").agg(F.collect_list(F.struct(F.col("id").alias("l"), "x", "comp")).alias("lead"))
         own = now.select("k", "id", "x", "comp").join(ahead, "k")

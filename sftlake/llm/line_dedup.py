@@ -6,22 +6,44 @@ equal, or when both have at least ``MIN_CHARS`` characters and are within one ed
 Of each class of alike lines (links followed through) the first line of the corpus stays, by
 (doc_id, text, line number); the others go. Blank lines always stay.
 
-Lines fall into length classes, each with its number t of edits. The first t + 1 segments of a
-width that the class sets can't all be changed by t edits, and one that is whole has at most as
-many edits before it as segments. So each line files its segments under (class, segment number,
-text) and what stands up to that many places to either side of them; (t + 1)^2 keys. A line just
-above a class's lower end files them for the class below too.
-Keys held by one line alone are dropped by an aggregate; the rest are candidate buckets for
-``grouping.linked_classes``. A pair is verified by edit distance with a banded bit-parallel
-recurrence: one 64-bit word for a band of 2 x MAX_EDITS + 1 diagonals, one step a character; the
-distance it gives is held against the pair's own threshold.
-
-What moves through shuffles is hashes; lines themselves only for candidates, and each text once
-at the end. Null texts stay null; null ids come first; rows alike in id and text count as one
-document (both keep the first lines); an empty table gives no rows. Other columns are kept."""
+Lines fall into length classes, each with its number t of edits. A line of a class has t + 1
+segments of one width, the first half of them counted from its start, the others from its end. Of
+the t + 1 at most t can be changed, and one that is whole has as many edits before it as segments,
+and no more than the segments after it behind it. So a line holds its own segments under (class,
+segment number, text), and probes for those of others by its substrings up to i places beside
+segment i, where i counts from the nearer end: 18 keys for 5 edits, the 6 of its own among them. A line
+just above a class's lower end probes the class below too.
+
+Keys are made for distinct lines: lines met twice or more are told by hash and take part once. A
+first pass counts keys in cells (a prefix of the key's hash, 7 bits more than the number of keys
+needs, so the share of chance meetings is the same at any size); only keys whose cell holds two
+keys or more, one of them held, become rows of the second pass. Candidate buckets are those
+keys.
+
+A bucket of more than ``HOT_BUCKET`` lines (a template) is dealt again. Each of its lines has
+``FINE`` (t + 1) segments; any t + 1 of them will do, as one of those is whole, so the line holds
+the t + 1 that fewest lines probe for, and probes for others' up to t places beside. Lines of a
+template that differ in enough places then meet nobody.
+
+Buckets go to ``grouping.linked_classes``, where holders meet those that probe. A pair that the
+parities of its characters leave room for is verified by edit distance: what both lines begin and
+end with is cut off, and a banded bit-parallel recurrence runs over the rest: one 64-bit word for a
+band of 2 x MAX_EDITS + 1 diagonals, one step a character; the distance is held against the
+pair's own threshold.
+
+What moves through shuffles is hashes; lines themselves only for candidates and for one text of
+each repeated line, and each text once at the end. Hashes of repeated lines and cells are
+broadcast up to ``BROADCAST_KEYS`` of them (8 bytes each), and joined beyond.
+
+Null texts stay null and have no lines; null ids come first; rows alike in id and text count as one
+document (both keep the first lines); an empty table gives no rows. A very long line is one line:
+its keys are as many as those of others. Columns named n_lines or n_removed are replaced, other
+columns are kept."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +53,17 @@ from sftlake.llm.grouping import linked_classes
 MAX_EDITS = 5
 CHARS_AN_EDIT = 16
 MIN_CHARS = 24
-BROADCAST_KEYS = 1_000_000  # candidate line hashes (8 bytes each) that may be broadcast
+BROADCAST_KEYS = 1_000_000  # hashes of 8 bytes that may be broadcast
+HOT_BUCKET = 256
+FINE = 3
+_COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 .,-_/:|\u00e9\u00fc"
 
 
 def _parities(line: Column) -> Column:
-    """Bit c: whether characters of code c modulo 62 occur an odd number of times. An edit
-    changes two bits at most, so lines that differ in more than two bits an edit aren't alike."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(c) % 62)
-    return F.aggregate(F.split(line, ""), F.lit(0).cast("bigint"), lambda a, c: a.bitwiseXOR(bit(c)))
+    """Bit i: whether the i-th of some characters occurs an odd number of times. An edit changes
+    two bits at most, so lines that differ in more than two bits an edit aren't alike."""
+    odd = lambda c: (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2
+    return reduce(lambda x, y: x + y, (odd(c).cast("bigint") * F.lit(1 << i).cast("bigint") for i, c in enumerate(_COUNTED)))
 
 
 def _trimmed(c: Column) -> Column:
@@ -57,34 +82,69 @@ def _class(size: Column) -> Column:
     return (size - size % step).cast("int")
 
 
-def segment_keys(line: Column, max_edits: int, chars_an_edit: int | None = None) -> Column:
-    """Hashes of (class, segment number, text): two lines within the threshold share one. The
-    threshold is ``max_edits``, or with ``chars_an_edit`` (a multiple of 16) what ``allowed``
-    gives for the shorter line.
+def _slots(t: int) -> list[tuple[int, int, int]]:
+    """(segment, whether it is counted from the end, shift) of every key of t edits."""
+    out = []
+    for i in range(t + 1):
+        most = min(i, t - i)
+        out += [(i, int(i > t - i), shift) for shift in range(-most, most + 1)]
+    return out
+
+
+def _packed(slots: list[tuple[int, int, int]]) -> Column:
+    return F.array(*(F.lit((i * 2 + end) * 32 + 16 + shift) for i, end, shift in slots))
+
+
+def segment_keys(lines: DataFrame, max_edits: int = MAX_EDITS, chars_an_edit: int | None = CHARS_AN_EDIT, fine: int = 0) -> DataFrame:
+    """(id, k, j, t, held) of lines (id, line): the key of each segment a line holds (held) and of
+    each substring it probes for. Of two lines within the threshold, the shorter holds a key that
+    the longer has too. The threshold is ``max_edits``, or with ``chars_an_edit`` (a multiple
+    of 16) what ``allowed`` gives for the shorter line.
 
-    Segment i starts at i times the class's width. Of t + 1 segments one is whole with at most i
-    edits before it (else each adds an edit to those before, t + 1 in all), so in the other line
-    its text starts within i places of there. Lengths differ by t at most, so the shorter line's
-    class is that of the longer or the one t characters below."""
+    Lengths differ by t at most, so the shorter line's class is that of the longer or the one t
+    characters below. With ``fine``, a line has ``fine`` times as many segments, all counted from its
+    start, and probes t places to either side; then any t + 1 of those it holds will do."""
     if not 0 <= max_edits <= 8 or (chars_an_edit or 16) % 16:
         raise ValueError("a class is 8 characters wide at least, and thresholds change where classes do")
     threshold = lambda n: allowed(n, max_edits, chars_an_edit) if chars_an_edit else F.lit(max_edits)
-    # By threshold: every segment number with the places beside it, as 32 i + 16 + shift.
-    places = F.array(*(F.array(*(F.lit(32 * i + 16 + shift) for i in range(t + 1) for shift in range(-i, i + 1))) for t in range(max_edits + 1)))
+    by_t = [[(i, 0, s) for i in range(fine * (t + 1)) for s in range(-t, t + 1)] if fine else _slots(t) for t in range(max_edits + 1)]
+    at = lines.select("id", "line", F.length("line").alias("n"))
+    at = at.select("*", _class(F.col("n")).alias("own"), _class(F.greatest(F.col("n") - threshold(F.col("n")), F.lit(0))).alias("below"))
+    at = at.withColumn("least", F.explode(F.array_distinct(F.array("own", "below"))))
+    at = at.withColumn("t", threshold(F.col("least")))
+    at = at.withColumn("width", F.floor(F.col("least") / ((F.col("t") + 1) * max(fine, 1))).cast("int"))
+    at = at.withColumn("at", F.explode(F.get(F.array(*map(_packed, by_t)), F.col("t"))))
+    at = at.selectExpr("*", "at >> 6 as j", "(at >> 5) & 1 as end", "(at & 31) - 16 as shift")
+    at = at.withColumn("start", F.expr("if(end = 1, n - (t - j + 1) * width, j * width) + shift"))
+    at = at.where("start >= 0 and start + width <= n")
+    key = F.xxhash64("least", "j", F.expr("substring(line, start + 1, width)"))
+    return at.select("id", key.alias("k"), "j", "t", F.expr("shift = 0 and own = least").alias("held"))
+
+
+def _shared(a: Column, b: Column, most: Column, tail: bool) -> Column:
+    """How many characters, ``most`` at most, two strings begin (or end) with alike, found by
+    halving; of strings of more than a million characters perhaps fewer."""
+
+    def longer(n: Column, step: Column) -> Column:
+        part = lambda s: F.substring(s, F.length(s) - n - step + 1, step) if tail else F.substring(s, n + 1, step)
+        return F.when((n + step <= most) & (part(a) == part(b)), n + step).otherwise(n)
+
+    return F.aggregate(F.array(*(F.lit(1 << p) for p in range(20, -1, -1))), F.lit(0), longer)
+
 
-    def of(line: Column, least: Column) -> Column:
-        t = threshold(least)
-        bound = F.struct(line.alias("line"), least.alias("least"), t.alias("t"), F.floor(least / (t + 1)).cast("int").alias("width"))
+def trimmed_pair(a: Column, b: Column, keep: int) -> Column:
+    """A struct (a, b) of what is left of two strings without their common beginning and end, but
+    for ``keep`` characters of each. The edit distance is the same."""
 
-        def key(v: Column, at: Column) -> Column:
-            i = F.floor(at / 32).cast("int")
-            return F.xxhash64(v["least"], i, F.substring(v["line"], v["width"] * i + at % 32 - 15, v["width"]))
+    def ends(v: Column) -> Column:
+        return F.struct(v["a"].alias("a"), v["b"].alias("b"), v["head"].alias("head"), _shared(v["a"], v["b"], F.least(F.length(v["a"]), F.length(v["b"])) - v["head"], True).alias("tail"))
 
-        return _let(bound, lambda v: F.transform(F.get(places, v["t"]), lambda at: key(v, at)))
+    def cut(v: Column) -> Column:
+        head, tail = F.greatest(v["head"] - keep, F.lit(0)), F.greatest(v["tail"] - keep, F.lit(0))
+        return F.struct(*(F.substring(v[n], head + 1, F.length(v[n]) - head - tail).alias(n) for n in ("a", "b")))
 
-    size = F.length(line)
-    classes = F.struct(line.alias("line"), _class(size).alias("own"), _class(F.greatest(size - threshold(size), F.lit(0))).alias("below"))
-    return _let(classes, lambda c: F.when(c["own"] == c["below"], of(c["line"], c["own"])).otherwise(F.concat(of(c["line"], c["own"]), of(c["line"], c["below"]))))
+    start = F.struct(a.alias("a"), b.alias("b"), _shared(a, b, F.least(F.length(a), F.length(b)), False).alias("head"))
+    return _let(_let(start, ends), cut)
 
 
 def within_edits(a: Column, b: Column, max_edits: int, threshold: Column | None = None) -> Column:
@@ -153,42 +213,83 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("h", F.xxhash64("line"))
 
 
-def line_table(docs: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
-    """(doc_id, th, no, h, keys): every line by its hash, with its segment keys if it is long
-    enough for near copies. Written once, about a third of the texts' size, and read by all
-    that follows."""
-    keys = F.when(F.length("line") >= max(min_chars, CHARS_AN_EDIT), segment_keys(F.col("line"), max_edits, CHARS_AN_EDIT))
-    return checkpointed(_lines(docs.select("doc_id", "text")).select("doc_id", "th", "no", "h", keys.alias("keys")))
+def line_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, no, h): every line that is not blank, by its hash."""
+    return checkpointed(_lines(docs.select("doc_id", "text")).select("doc_id", "th", "no", "h"))
+
+
+def _known(ids: DataFrame) -> DataFrame:
+    """``ids``, written, as the side of a join: broadcast where they are few."""
+    ids = checkpointed(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_KEYS else ids.hint("shuffle_merge")
+
+
+def distinct_texts(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
+    """(id, line): every distinct line of at least ``min_chars`` characters."""
+    texts = _lines(docs.select("doc_id", "text")).select("h", "line").where(F.length("line") >= min_chars)
+    twice = checkpointed(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    if twice.count() > BROADCAST_KEYS:
+        return checkpointed(texts.groupBy("h").agg(F.min("line").alias("line")).withColumnRenamed("h", "id"))
+    many = texts.join(F.broadcast(twice), "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
+    return texts.join(F.broadcast(twice), "h", "left_anti").unionByName(checkpointed(many)).withColumnRenamed("h", "id")
+
+
+def candidate_keys(texts: DataFrame, lines: int, max_edits: int, **scheme) -> DataFrame:
+    """(k, id, held): the keys of buckets that hold two lines or more, one of them as a holder."""
+    keys = segment_keys(texts, max_edits, **scheme)
+    bits = min(64, 7 + (max(lines, 1) * len(_slots(max_edits))).bit_length())
+    cell = F.expr(f"shiftrightunsigned(k, {64 - bits})").alias("cell")
+    met = keys.groupBy(cell).agg(F.count("*").alias("n"), F.max("held").alias("held")).where("n > 1 and held").select("cell")
+    members = checkpointed(keys.select("k", "id", "held", cell).join(_known(met), "cell", "left_semi").select("k", "id", "held"))
+    return _shared_keys(members)
+
+
+def _shared_keys(members: DataFrame) -> DataFrame:
+    alike = members.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("held").alias("any")).where("lo != hi and any").select("k")
+    return checkpointed(members.join(checkpointed(alike).hint("shuffle_merge"), "k", "left_semi"))
+
+
+def deal_again(members: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
+    """``members`` with the buckets of more than HOT_BUCKET lines replaced by finer ones."""
+    hot = checkpointed(members.groupBy("k").agg(F.count("*").alias("n")).where(f"n > {HOT_BUCKET}").select("k"))
+    if hot.isEmpty():
+        return members
+    hot = hot.hint("shuffle_merge")
+    ids = members.join(hot, "k", "left_semi").select("id").distinct()
+    fine = checkpointed(segment_keys(texts.join(checkpointed(ids).hint("shuffle_merge"), "id", "left_semi"), max_edits, fine=FINE))
+    asked = fine.groupBy("k").agg(F.count("*").alias("n"))
+    own = fine.where("held").join(checkpointed(asked), "k")
+    own = own.select("k", "id", "t", F.expr("row_number() over (partition by id order by n, k, j)").alias("rank")).where("rank <= t + 1")
+    own = checkpointed(own.select("k", "id").distinct())
+    probes = fine.select("k", "id").join(own.select("k").distinct().hint("shuffle_merge"), "k", "left_semi").distinct()
+    dealt = probes.join(own.withColumn("held", F.lit(True)), ["k", "id"], "left").select("k", "id", F.coalesce("held", F.lit(False)).alias("held"))
+    return members.join(hot, "k", "left_anti").unionByName(_shared_keys(checkpointed(dealt)))
 
 
-def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
+def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, comp) of the distinct lines (by hash) that have an alike line with another text."""
-    keys = lines.select(F.col("h").alias("id"), F.explode("keys").alias("k"))
-    held = keys.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("k")
-    held = checkpointed(held)  # a plain shuffle on both sides, so the join can split a hot key
-    members = checkpointed(keys.join(held.hint("shuffle_merge"), "k", "left_semi"))
-    ids = checkpointed(members.select(F.col("id").alias("h")).distinct())
-    if ids.count() <= BROADCAST_KEYS:
-        ids = F.broadcast(ids)
-    texts = _lines(docs.select("doc_id", "text")).select("h", "line").join(ids, "h", "left_semi")
-    texts = checkpointed(texts.groupBy("h").agg(F.first("line").alias("line")))
-    members = members.join(texts.select(F.col("h").alias("id"), _parities(F.col("line")).alias("x")), "id")
+    texts = distinct_texts(docs, lines, max(min_chars, CHARS_AN_EDIT))
+    members = candidate_keys(texts, lines.count(), max_edits)
+    texts = checkpointed(texts.join(_known(members.select("id").distinct()), "id", "left_semi"))
+    members = deal_again(members, texts, max_edits).withColumnRenamed("held", "leads")
+    members = members.join(texts.select("id", _parities(F.col("line")).alias("x")), "id")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        x = texts.select(F.col("h").alias("a"), F.col("line").alias("la"))
-        y = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"))
+        x = texts.select(F.col("id").alias("a"), F.col("line").alias("la"))
+        y = texts.select(F.col("id").alias("b"), F.col("line").alias("lb"))
         both = pairs.join(x, "a").join(y, "b")
         most = allowed(F.least(F.length("la"), F.length("lb")), max_edits, CHARS_AN_EDIT)
-        return both.where(within_edits(F.col("la"), F.col("lb"), max_edits, most)).select("a", "b")
+        both = both.where(F.abs(F.length("la") - F.length("lb")) <= most)
+        near = _let(trimmed_pair(F.col("la"), F.col("lb"), max_edits + 1), lambda v: within_edits(v["a"], v["b"], max_edits, most))
+        return both.where(near).select("a", "b")
 
     return linked_classes(members, verify, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= 2 * max_edits)
 
 
 def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines to remove from each document that has any."""
-    lines = line_table(docs, max_edits, min_chars)
-    classes = near_classes(docs, lines, max_edits).withColumnRenamed("id", "h")
-    lines = lines.drop("keys")
+    lines = line_table(docs)
+    classes = near_classes(docs, lines, max_edits, min_chars).withColumnRenamed("id", "h")
     place = F.struct("doc_id", "th", "no")
     first = lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     # A line met once and outside any class of near copies stays.

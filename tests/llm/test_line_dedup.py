@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,13 +35,38 @@ def noisy_pairs(n, seed=3):
         yield a, "".join(b)
 
 
-@pytest.mark.parametrize("t", [1, 2, 3])
+@pytest.mark.parametrize("t", [1, 2, 3, 5])
 def test_banded_distance_and_shared_segments(spark, t):
-    df = spark.createDataFrame(list(noisy_pairs(500)), "a string, b string")
-    cols = [line_dedup.within_edits(F.col("a"), F.col("b"), t).alias("w"), line_dedup.segment_keys(F.col("a"), t).alias("ka"), line_dedup.segment_keys(F.col("b"), t).alias("kb")]
-    for r in df.select("a", "b", *cols).collect():
-        near = edits(r.a, r.b) <= t
-        assert r.w == near and (not near or set(r.ka) & set(r.kb)), (r.a, r.b)
+    """The distance, with and without common ends, and the keys of lines within the threshold:
+    the shorter holds one that the longer has, and of a finer deal all but t."""
+    pairs = [(k, a, b) for k, (a, b) in enumerate(noisy_pairs(500))]
+    df = spark.createDataFrame(pairs, "id long, a string, b string")
+    cut = line_dedup.trimmed_pair(F.col("a"), F.col("b"), t + 1)
+    out = df.select("id", line_dedup.within_edits(F.col("a"), F.col("b"), t).alias("w"), cut.alias("cut"))
+    out = {r.id: r for r in out.withColumn("w2", line_dedup.within_edits(F.col("cut.a"), F.col("cut.b"), t)).collect()}
+
+    def keys(column, fine):
+        found = collections.defaultdict(lambda: (set(), set()))
+        for r in line_dedup.segment_keys(df.select("id", F.col(column).alias("line")), t, None, fine).collect():
+            found[r.id][0].add(r.k)
+            if r.held:
+                found[r.id][1].add(r.k)
+        return found
+
+    coarse, fine = (keys("a", 0), keys("b", 0)), (keys("a", line_dedup.FINE), keys("b", line_dedup.FINE))
+    for k, a, b in pairs:
+        if min(len(a), len(b)) <= t:
+            continue
+        d = edits(a, b)
+        assert out[k].w == out[k].w2 == (d <= t) and edits(out[k].cut.a, out[k].cut.b) == d
+        if d <= t:
+            short, long = (0, 1) if len(a) <= len(b) else (1, 0)
+            assert coarse[short][k][1] & coarse[long][k][0], (a, b)
+            assert len(fine[short][k][1] - fine[long][k][0]) <= t, (a, b)
+
+
+def test_number_of_keys():
+    assert [len(line_dedup._slots(t)) for t in range(6)] == [1, 2, 5, 8, 13, 18]
 
 
 def union(pairs, ids):
@@ -82,17 +108,50 @@ def test_components_and_leader_rounds(spark):
     assert grouping.linked_classes(members.limit(0), verify, lambda x, y: x == y).count() == 0
 
 
-def brute(rows, t, least):
+def within(a, b, t):
+    """Plain edit distance in a band, against t."""
+    if abs(len(a) - len(b)) > t:
+        return False
+    row = {j: j for j in range(min(t, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - t), min(len(b), i + t) + 1):
+            best = row.get(j, t + 1) + 1
+            if j:
+                best = min(best, new.get(j - 1, t + 1) + 1, row.get(j - 1, t + 1) + (x != b[j - 1]))
+            new[j] = best
+        row = new
+    return row.get(len(b), t + 1) <= t
+
+
+def alike_pairs(kinds):
+    """Every pair of lines within the rule of the module, by trying all whose characters' counts
+    leave room for it."""
+    least, per, top = line_dedup.MIN_CHARS, line_dedup.CHARS_AN_EDIT, line_dedup.MAX_EDITS
+    kinds = [x for x in kinds if len(x) >= least]
+    counts = np.zeros((len(kinds), 97), np.int64)
+    for k, x in enumerate(kinds):
+        np.add.at(counts[k], [ord(c) % 97 for c in x], 1)
+    for k, b in enumerate(kinds):
+        for i in np.flatnonzero(np.abs(counts[:k] - counts[k]).sum(axis=1) <= 2 * top):
+            if within(kinds[i], b, min(top, min(len(kinds[i]), len(b)) // per)):
+                yield kinds[i], b
+
+
+def removed(rows):
+    """(doc_id, line number) of the lines that go, and (doc_id, line number, line) of all."""
     lines = [(d, no, x.strip(" \t\x0b\x0c\r")) for d, text in rows if text is not None for no, x in enumerate(text.split("\n"))]
     lines = [x for x in lines if x[2]]
     kinds = sorted({x[2] for x in lines})
-    near = [(i, j) for j, b in enumerate(kinds) for i, a in enumerate(kinds[:j]) if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= t and edits(a, b) <= t]
-    comp = union(near, range(len(kinds)))
-    at = {x: comp[k] for k, x in enumerate(kinds)}
+    at = union(alike_pairs(kinds), kinds)
     first: dict = {}
     for d, no, x in sorted(lines, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
         first.setdefault(at[x], (d, no))
-    gone = {(d, no) for d, no, x in lines if first[at[x]] != (d, no)}
+    return {(d, no) for d, no, x in lines if first[at[x]] != (d, no)}, lines
+
+
+def brute(rows):
+    gone, lines = removed(rows)
     out = []
     for d, text in rows:
         n = sum(x[0] == d for x in lines)
@@ -101,29 +160,33 @@ def brute(rows, t, least):
     return sorted(out, key=str)
 
 
-def test_odd_rows_against_brute_force(spark):
+@pytest.mark.parametrize("few,hot", [(line_dedup.BROADCAST_KEYS, line_dedup.HOT_BUCKET), (0, 3)])
+def test_odd_rows_against_brute_force(spark, monkeypatch, few, hot):
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", few)
+    monkeypatch.setattr(line_dedup, "HOT_BUCKET", hot)
     base = "The quick brown fox jumps over the lazy dog, says line {} of the page, ünd mehr."
     rows = [
         (1, "a\n\nb\na\n" + base.format(1)), (2, base.format(2) + "\n  " + base.format(1) + "\t\n\n x"), (3, None), (4, ""), (5, "\n\n"),
         (6, base.format("x1") + "\n" + base.format("yy22")), (7, "\n".join(base.format(k) for k in range(30))), (None, "b\nnull id\n" + base.format(3)),
         (8, "short line 1\nshort line 2\nshort line 1"), (9, "é" * 3000), (10, "é" * 2999), (11, "é" * 2998 + "x"), (12, "a " * 2000),
+        (13, "exactly twenty-four char\nexactly twenty-four chaR\nexactly twenty-four chXX"), (14, "Line of 24 letters or so\nline of 24 letters or so"),
     ]
     docs = spark.createDataFrame([(*r, 5, "h") for r in rows], "doc_id long, text string, n_lines int, h string")
     out = line_dedup.dedup_lines(docs)
     assert set(out.columns) == {"doc_id", "text", "n_lines", "n_removed", "h"}
     got = sorted(((r.doc_id, r.n_lines, r.n_removed, r.text) for r in out.collect()), key=str)
-    assert got == brute(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS)
+    assert got == brute(rows)
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
     twice = line_dedup.dedup_lines(docs.where("doc_id = 1").unionByName(docs.where("doc_id = 1"))).collect()
     assert [r.n_removed for r in twice] == [1, 1]
 
 
 def test_query_on_given_documents(spark, tmp_path):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:70]
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:90]
     rows += [(1000 + d, t[:300].replace("e", "é", 1) + "\n" + t[300:]) for d, t in rows[:20]]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = sorted(map(tuple, queries.op10_line_dedup(spark, str(tmp_path)).collect()))
-    assert got == sorted((d, n, r, hashlib.sha256(k.encode()).hexdigest()) for d, n, r, k in brute(rows, line_dedup.MAX_EDITS, line_dedup.MIN_CHARS))
+    assert got == sorted((d, n, r, hashlib.sha256(k.encode()).hexdigest()) for d, n, r, k in brute(rows))
 
 
 def test_threshold_grows_with_the_length(spark):
@@ -152,3 +215,27 @@ def test_threshold_grows_with_the_length(spark):
         near += alike and edits(a, b) > 1
         assert (got[2 * k], got[2 * k + 1]) == (0, int(alike)), (a, b)
     assert near > 50
+
+
+def template(rng):
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    return f"Order {word(14)} was sent to customer {word(12)} in {word(9)} and paid with card {word(10)}."
+
+
+@pytest.mark.parametrize("n", [700, 2000])
+def test_pairs_of_a_template_follow_its_lines(spark, monkeypatch, n):
+    """Lines of one template that are not alike: what is verified is in proportion to them."""
+    rng = random.Random(n)
+    lines = [template(rng) for _ in range(n)]
+    lines += [x[:20] + "#" + x[21:] for x in lines[:25]]
+    met = []
+
+    def counted(members, verify, *rest):
+        met.append(members.join(members.withColumnsRenamed({"id": "id2", "x": "x2", "leads": "leads2"}), "k").where("leads and id != id2").count())
+        return grouping.linked_classes(members, verify, *rest)
+
+    monkeypatch.setattr(line_dedup, "linked_classes", counted)
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
+    assert sorted(k for k, x in got.items() if x) == list(range(n, n + 25))
+    assert met[0] <= 30 * n, met

@@ -6,36 +6,16 @@ import pytest
 from test_decontaminate import best_stretch, plain
 from test_first_ops import check_pieces
 from test_jaccard_join import brute as jaccard_classes
-from test_line_dedup import union
+from test_line_dedup import removed
 
 import corpus_pipeline
-from sftlake.llm import line_dedup
 from sftlake.llm.decontaminate import allowed
 
 SF = "/root/testdata/sf0.001"
 
 
-def one_edit(a, b):
-    if len(a) > len(b):
-        a, b = b, a
-    k = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
-    return len(b) - len(a) <= 1 and a[k + (len(a) == len(b)) :] == b[k + 1 :]
-
-
 def cut_lines(rows):
-    assert line_dedup.MAX_EDITS == 1
-    lines = [(d, no, x.strip(" \t\x0b\x0c\r")) for d, t in rows for no, x in enumerate(t.split("\n")) if x.strip(" \t\x0b\x0c\r")]
-    kinds = sorted({x for *_, x in lines}, key=len)
-    by = collections.defaultdict(list)
-    for x in kinds:
-        if len(x) >= line_dedup.MIN_CHARS:
-            by[len(x)].append(x)
-    pairs = [(a, b) for n, xs in by.items() for b in xs for a in (*xs, *by.get(n - 1, ())) if a != b and one_edit(a, b)]
-    comp = union(pairs, kinds)
-    first: dict = {}
-    for d, no, x in sorted(lines, key=lambda r: r[:2]):
-        first.setdefault(comp[x], (d, no))
-    gone = {(d, no) for d, no, x in lines if first[comp[x]] != (d, no)}
+    gone, lines = removed(rows)
     left = collections.Counter(d for d, no, _ in lines if (d, no) not in gone)
     total = collections.Counter(d for d, *_ in lines)
     return {(d, "\n".join(x for no, x in enumerate(t.split("\n")) if (d, no) not in gone)) for d, t in rows if left[d] or not total[d]}
