@@ -26,13 +26,14 @@ the t + 1 that fewest lines probe for, and probes for others' up to t places bes
 template that differ in enough places then meet nobody.
 
 Buckets go to ``grouping.linked_classes``, where holders meet those that probe. A pair that the
-parities of its characters leave room for is verified by edit distance: what both lines begin and
-end with is cut off, and a banded bit-parallel recurrence runs over the rest: one 64-bit word for a
-band of 2 x MAX_EDITS + 1 diagonals, one step a character; the distance is held against the
-pair's own threshold.
-
-What moves through shuffles is hashes; lines themselves only for candidates and for one text of
-each repeated line, and each text once at the end. Hashes of repeated lines and cells are
+parities of its characters leave room for, and that Spark's own bounded distance does not put
+beyond MAX_EDITS, is verified by edit distance: what both lines begin and end with is cut off, and
+a banded bit-parallel recurrence runs over the rest: one 64-bit word for a band of
+2 x MAX_EDITS + 1 diagonals, one step a character; the distance is held against the pair's own
+threshold.
+
+The lines are written once. What moves through shuffles is hashes; lines themselves only for
+candidates and for one text of each repeated line, and each text once at the end. Hashes of repeated lines and cells are
 broadcast up to ``BROADCAST_KEYS`` of them (8 bytes each), and joined beyond.
 
 Null texts stay null and have no lines; null ids come first; rows alike in id and text count as one
@@ -214,8 +215,9 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, no, h): every line that is not blank, by its hash."""
-    return checkpointed(_lines(docs.select("doc_id", "text")).select("doc_id", "th", "no", "h"))
+    """(doc_id, th, no, line, h): every line that is not blank, with its hash. Written once, about
+    as large as the texts; what follows reads the columns it needs."""
+    return checkpointed(_lines(docs.select("doc_id", "text")))
 
 
 def _known(ids: DataFrame) -> DataFrame:
@@ -224,9 +226,9 @@ def _known(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_KEYS else ids.hint("shuffle_merge")
 
 
-def distinct_texts(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
+def distinct_texts(lines: DataFrame, min_chars: int) -> DataFrame:
     """(id, line): every distinct line of at least ``min_chars`` characters."""
-    texts = _lines(docs.select("doc_id", "text")).select("h", "line").where(F.length("line") >= min_chars)
+    texts = lines.select("h", "line").where(F.length("line") >= min_chars)
     twice = checkpointed(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     if twice.count() > BROADCAST_KEYS:
         return checkpointed(texts.groupBy("h").agg(F.min("line").alias("line")).withColumnRenamed("h", "id"))
@@ -266,9 +268,9 @@ def deal_again(members: DataFrame, texts: DataFrame, max_edits: int) -> DataFram
     return members.join(hot, "k", "left_anti").unionByName(_shared_keys(checkpointed(dealt)))
 
 
-def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_classes(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, comp) of the distinct lines (by hash) that have an alike line with another text."""
-    texts = distinct_texts(docs, lines, max(min_chars, CHARS_AN_EDIT))
+    texts = distinct_texts(lines, max(min_chars, CHARS_AN_EDIT))
     members = candidate_keys(texts, lines.count(), max_edits)
     texts = checkpointed(texts.join(_known(members.select("id").distinct()), "id", "left_semi"))
     members = deal_again(members, texts, max_edits).withColumnRenamed("held", "leads")
@@ -280,6 +282,9 @@ def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS,
         both = pairs.join(x, "a").join(y, "b")
         most = allowed(F.least(F.length("la"), F.length("lb")), max_edits, CHARS_AN_EDIT)
         both = both.where(F.abs(F.length("la") - F.length("lb")) <= most)
+        # Nine pairs of ten are over the threshold; the built-in distance, compiled and cut short at
+        # the threshold, drops them at a hundredth of the price of the recurrence.
+        both = both.where(F.levenshtein("la", "lb", max_edits) >= 0)
         near = _let(trimmed_pair(F.col("la"), F.col("lb"), max_edits + 1), lambda v: within_edits(v["a"], v["b"], max_edits, most))
         return both.where(near).select("a", "b")
 
@@ -289,7 +294,8 @@ def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS,
 def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines to remove from each document that has any."""
     lines = line_table(docs)
-    classes = near_classes(docs, lines, max_edits, min_chars).withColumnRenamed("id", "h")
+    classes = near_classes(lines, max_edits, min_chars).withColumnRenamed("id", "h")
+    lines = lines.select("doc_id", "th", "no", "h")
     place = F.struct("doc_id", "th", "no")
     first = lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     # A line met once and outside any class of near copies stays.
