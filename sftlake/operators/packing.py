@@ -55,7 +55,7 @@ def segment_token_stats(segments: DataFrame, key: str = "conv_id") -> DataFrame:
     )
 
 
-def _segment_offsets(segments: DataFrame, key: str) -> DataFrame:
+def segment_offsets(segments: DataFrame, key: str) -> DataFrame:
     """Adds end (tokens of the conversation up to and with this segment) to key, turn, len, ...;
     counted per thousand turn numbers, so a long conversation is spread over tasks."""
     d = segments.withColumn("__b", F.floor(F.col("turn") / TURNS_A_BUCKET))
@@ -66,7 +66,7 @@ def assistant_spans(segments: DataFrame, key: str = "conv_id") -> DataFrame:
     """The assistant-only mask as token ranges: key, turn, token_start, token_end of every
     assistant block in its rendered conversation."""
     d = segments.select(key, "turn", "role", F.size(tokenize("seg")).cast("long").alias("len"))
-    r = _segment_offsets(d, key).where((F.col("role") == "assistant") & (F.col("len") > 0))
+    r = segment_offsets(d, key).where((F.col("role") == "assistant") & (F.col("len") > 0))
     return r.select(key, "turn", (F.col("end") - F.col("len")).alias("token_start"), F.col("end").alias("token_end"))
 
 
@@ -87,7 +87,7 @@ def truncated_tail(segments: DataFrame, max_length: int, key: str = "conv_id") -
     L = int(max_length)
     toks = F.transform(F.array(tokenize("seg")), lambda t: F.struct(F.size(t).cast("long").alias("len"), F.slice(t, 1, L).alias("toks"), F.get(t, F.size(t) - 1).alias("last")))[0]
     d = segments.select(key, "turn", toks.alias("s")).select(key, "turn", "s.len", "s.toks", "s.last")
-    r = _segment_offsets(d, key)
+    r = segment_offsets(d, key)
     start = F.col("end") - F.col("len")
     at_limit = F.when((start <= L - 1) & (F.col("end") > L - 1), F.get("toks", (F.lit(L - 1) - start).cast("int")))
     seg_last = F.when(F.col("len") > 0, F.col("last"))

@@ -176,11 +176,10 @@ def q_head_sample_large(spark, sf_dir):
         O.A2,
         "d AS (SELECT kind, input, target, row_number() OVER (ORDER BY row_id % 7, row_id) - 1 AS row_id FROM a2)",
     )
-    + "SELECT row_id::BIGINT AS row_id, kind, input, target FROM d WHERE row_id < 500",
+    + "SELECT row_id::BIGINT AS row_id, kind, input, target FROM d",
 )
 def q_raw_roundtrip(spark, sf_dir):
-    """Records written as seven JSONL files of a dataset, read back with dataset-order ids; the
-    first 500 in dataset order."""
+    """Records written as seven JSONL files of a dataset, read back whole with dataset-order ids."""
     from sftlake.sources.jsonl import read_raw_records
     from sftlake.sources.scratch import fresh_dir
 
@@ -189,7 +188,7 @@ def q_raw_roundtrip(spark, sf_dir):
     # One task a file here, so that the files' order is known; the reader splits them as it likes.
     ordered = raw.repartitionByRange(7, "part").sortWithinPartitions("part", "row_id").drop("row_id")
     ordered.write.partitionBy("part").option("ignoreNullFields", "false").json(path)
-    return spl.head_rows(read_raw_records(spark, path), 500, ["row_id"]).select("row_id", "kind", "input", "target")
+    return read_raw_records(spark, path).select("row_id", "kind", "input", "target")
 
 
 @register(
@@ -1022,3 +1021,135 @@ def q_pair_split_audit(spark, sf_dir):
     kept = rec.convert_records(A.conversation_pairs(spark, sf_dir))
     plan = spl.plan_split(kept, TRAIN, VAL, SEED)
     return spl.split_audit(spl.assign_splits(kept, plan, seed=SEED))
+
+
+# ---------------------------------------------------------------- bigram model, masks, batches
+
+# Pair counts of the train chats, closed by a line feed; contexts; continuation counts.
+BIGRAMS = (
+    O.PREP
+    + f""",
+rtoks AS (SELECT row_id, split, {O.toks(O.two_turn_chat('prompt', 'response'))} AS t FROM labeled),
+bi AS (
+  SELECT u, v, count(*)::BIGINT AS n FROM (
+    SELECT unnest(t) AS u, unnest(list_append(t[2:], {O.NL})) AS v FROM rtoks WHERE split = 'train') GROUP BY u, v),
+cx AS (SELECT u, sum(n)::BIGINT AS n_u, count(*)::BIGINT AS t_u FROM bi GROUP BY u),
+kx AS (SELECT v, count(*)::BIGINT AS k FROM bi GROUP BY v),
+den AS (SELECT (sum(k) + count(*) + 1)::DOUBLE AS den FROM kx),
+co AS (SELECT v, (k + 1)::DOUBLE / den AS c FROM kx CROSS JOIN den)"""
+)
+_P = "greatest(coalesce(n, 0)::DOUBLE - 0.75::DOUBLE, 0::DOUBLE) / n_u + 0.75::DOUBLE * t_u / n_u * {c}"
+
+
+def _bigram_model(spark, sf_dir):
+    from sftlake.functions.chat import render_chat
+    from sftlake.operators.bigram import fit_bigram_model
+
+    _, _, _, split = prepared(spark, sf_dir)
+    texts = split.select("row_id", "split", render_chat("messages").alias("text"))
+    return fit_bigram_model(texts.where(F.col("split") == "train")), texts
+
+
+@register("bigram_model", BIGRAMS + f"\nSELECT u AS context, v AS token, n, round({_P.format(c='c')}, 6) AS p FROM bi JOIN cx USING (u) JOIN co USING (v)")
+def q_bigram_model(spark, sf_dir):
+    """The interpolated bigram model of the train split."""
+    model, _ = _bigram_model(spark, sf_dir)
+    return model.table().select("context", "token", "n", _r6("p"))
+
+
+@register(
+    "token_nll_positions",
+    BIGRAMS
+    + f""",
+ev AS (SELECT row_id, unnest(t[1:{MAXLEN}][:-2]) AS u, unnest(t[2:{MAXLEN}]) AS v, unnest(range(1, len(t[1:{MAXLEN}]))) AS pos FROM rtoks WHERE split = 'test'),
+pr AS (SELECT row_id, pos, CASE WHEN n_u IS NULL THEN coalesce(c, 1.0::DOUBLE / den) ELSE {_P.format(c='coalesce(c, 1.0::DOUBLE / den)')} END AS p
+  FROM ev LEFT JOIN bi USING (u, v) LEFT JOIN cx USING (u) LEFT JOIN co USING (v) CROSS JOIN den)
+SELECT row_id, pos, round(-ln(p), 6) AS nll FROM pr""",
+)
+def q_token_nll_positions(spark, sf_dir):
+    """The loss of every position of the test chats under the bigram model of the train chats."""
+    from sftlake.operators.bigram import position_nll
+
+    model, texts = _bigram_model(spark, sf_dir)
+    return position_nll(texts.where(F.col("split") == "test"), model, "row_id", max_length=MAXLEN).select("row_id", "pos", _r6("nll"))
+
+
+GREEDY_TOKENS = 12
+
+
+@register(
+    "generate_greedy",
+    BIGRAMS.replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""",
+topc AS (SELECT v, c FROM co ORDER BY c DESC, v LIMIT 1),
+cand AS (
+  SELECT u, v, {_P.format(c='c')} AS p FROM bi JOIN cx USING (u) JOIN co USING (v)
+  UNION ALL SELECT u, topc.v, 0.75::DOUBLE * t_u / n_u * c FROM cx CROSS JOIN topc),
+best AS (SELECT u, v FROM (SELECT u, v, row_number() OVER (PARTITION BY u ORDER BY p DESC, v) AS r FROM cand) WHERE r = 1),
+lasts AS (SELECT row_id, {O.toks('input')}[-1] AS s FROM a2),
+walk AS (
+  SELECT DISTINCT s, s AS tok, 0 AS k, '' AS text FROM lasts WHERE s IS NOT NULL
+  UNION ALL
+  SELECT s, nx, k + 1, CASE WHEN nx = {O.NL} THEN text ELSE text || ' ' || nx END
+  FROM (SELECT w.s, w.k, w.text, CASE WHEN w.tok = {O.NL} THEN w.tok ELSE coalesce(b.v, (SELECT v FROM topc)) END AS nx
+        FROM walk w LEFT JOIN best b ON b.u = w.tok WHERE w.k < {GREEDY_TOKENS}))
+SELECT row_id, coalesce({O.norm('text')}, '') AS output FROM lasts LEFT JOIN (SELECT s, text FROM walk WHERE k = {GREEDY_TOKENS}) USING (s)""",
+)
+def q_generate_greedy(spark, sf_dir):
+    """What the bigram model of the train chats says after every record's input."""
+    from sftlake.operators.bigram import generate_greedy
+
+    model, _ = _bigram_model(spark, sf_dir)
+    return generate_greedy(A.documents_raw(spark, sf_dir), model, "row_id", "input", GREEDY_TOKENS)
+
+
+_MASK_CTES = (
+    O.A6_RENDER,
+    f"""hdr AS (SELECT conv_id, CASE WHEN r0 = 'system' THEN 0 ELSE len({O.toks(f"'{O.IM_S}system' || {O.NL} || '{O.DEFAULT_SYSTEM}{O.IM_E}' || {O.NL}")}) END AS h FROM firsts),
+spans AS (
+  SELECT conv_id, h + e - n AS s0, h + e AS s1 FROM (
+    SELECT conv_id, role, len({O.toks('seg')}) AS n, sum(len({O.toks('seg')})) OVER (PARTITION BY conv_id ORDER BY turn) AS e FROM segs) JOIN hdr USING (conv_id)
+  WHERE role = 'assistant'),
+pos AS (SELECT conv_id, unnest(t) AS token, unnest(range(len(t))) AS pos FROM (SELECT conv_id, {O.toks('text')} AS t FROM rendered)),
+doc_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest({O.toks('text')}) AS tok FROM documents) GROUP BY tok),
+dd AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM doc_c),
+held AS (SELECT * FROM pos p WHERE pos >= 1 AND EXISTS (SELECT 1 FROM spans s WHERE s.conv_id = p.conv_id AND s.s0 <= p.pos AND p.pos < s.s1)),
+loss AS (SELECT -ln(coalesce((n + 1)::DOUBLE / den, 1.0::DOUBLE / den)) AS l FROM held LEFT JOIN doc_c USING (token) CROSS JOIN dd)""",
+)
+
+
+@register(
+    "masked_nll",
+    O.with_(*_MASK_CTES)
+    + """SELECT (SELECT count(*) FROM rendered) AS num_texts, count(*) AS num_tokens, round(coalesce(sum(l), 0) / greatest(count(*), 1), 6) AS mean_nll,
+  round(exp(coalesce(sum(l), 0) / greatest(count(*), 1)), 2) AS perplexity FROM loss""",
+)
+def q_masked_nll(spark, sf_dir):
+    """Loss of the assistant turns of all conversations under the token model of the documents."""
+    from sftlake.operators.masked import masked_nll
+    from sftlake.operators.model import fit_token_model
+    from sftlake.operators.packing import assistant_spans
+
+    segments = A.conversation_segments(spark, sf_dir)
+    model = fit_token_model(A.table(spark, sf_dir, "documents"), "text", None)
+    out = masked_nll(segments, assistant_spans(segments), model)
+    return out.select("num_texts", "num_tokens", _r6("mean_nll"), _r_ppl("perplexity"))
+
+
+BATCH_ROWS = 8
+
+
+@register(
+    "batch_plan",
+    f"""WITH l AS (SELECT doc_id, least(len({O.toks("coalesce(text, '')")}), {MAXLEN}) AS n, (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH_ROWS} AS batch FROM documents)
+SELECT batch::BIGINT AS batch, min(doc_id)::BIGINT AS first_row, count(*) AS rows, max(n)::BIGINT AS width, sum(n)::BIGINT AS tokens, (max(n) * count(*) - sum(n))::BIGINT AS padded FROM l GROUP BY batch""",
+)
+def q_batch_plan(spark, sf_dir):
+    """Batches of the documents in id order, padded to the longest of each."""
+    from sftlake.functions.tokens import tokenize
+    from sftlake.operators.masked import batch_plan
+
+    docs = A.table(spark, sf_dir, "documents")
+    n = F.least(F.size(tokenize(F.coalesce("text", F.lit("")))), F.lit(MAXLEN)).cast("long")
+    out = batch_plan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n")), "doc_id", "n", BATCH_ROWS)
+    return out.select("batch", "first_row", "rows", "width", "tokens", "padded")
