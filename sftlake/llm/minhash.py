@@ -16,6 +16,10 @@ until every class outside its bucket's largest linked class has been one
 bucket of n copies costs n - 1 pairs. Each pair is confirmed on the full sets:
 100 * intersection >= percent * union.
 
+Before a pair is named, its sizes and parities must leave room for the link: bit i of the
+``PARITY_BITS`` parities says whether an odd number of a set's hashes fall into residue i, so the
+bits in which two sets differ are no more than the elements that one alone holds.
+
 The sketches move (32 keys a class); sets are built again only for classes that share a bucket,
 from one text each. The hashes of those texts are broadcast up to ``BROADCAST_TEXTS`` of them,
 else joined. Shingles, sets and texts are told apart by 64-bit hashes.
@@ -32,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm import textkit
@@ -45,6 +49,7 @@ BANDS = 32
 BINS = ROWS * BANDS
 PERCENT = 85
 BROADCAST_TEXTS = 1_000_000  # hashes of 8 bytes
+PARITY_BITS = 256
 _SEEN = 200_000
 _EDGES = (np.arange(1, BINS, dtype=np.uint64) * np.uint64((1 << 64) // BINS)).astype(np.uint64)
 _rng = np.random.default_rng(20_17)
@@ -84,6 +89,12 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return textkit.mix(x.reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits as 64-bit integers."""
+    odd = np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def class_of(s: np.ndarray) -> int:
     """A 64-bit name of a set that is not empty."""
     spread = textkit.mix(s ^ np.uint64(0xA0761D6478BD642F))
@@ -91,26 +102,28 @@ def class_of(s: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, id, th, keys): size and class of each row's set, a hash of its text, and the
-    band keys, given once a class in most tasks."""
+    """(doc_id, n, id, th, keys, odd): size and class of each row's set, a hash of its text, and the
+    band keys and parities, given once a class in most tasks."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in textkit.slices(batch):
-                sizes, ids, keys = [], [], []
+                sizes, ids, keys, odd = [], [], [], []
                 for s in shingle_sets(part.column("text")):
                     c = class_of(s) if len(s) else None
+                    new = c is not None and c not in seen
                     sizes.append(len(s))
                     ids.append(c)
-                    keys.append(band_keys(s) if c is not None and c not in seen else None)
+                    keys.append(band_keys(s) if new else None)
+                    odd.append(parities(s) if new else None)
                     if c is not None and len(seen) < _SEEN:
                         seen.add(c)
-                cols = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), part.column("th"), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "id", "th", "keys"])
+                cols = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), part.column("th"), *(pa.array(x, pa.list_(pa.int64())) for x in (keys, odd))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "id", "th", "keys", "odd"])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, n long, id long, th long, keys array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, f"doc_id {kind}, n long, id long, th long, keys array<long>, odd array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -137,12 +150,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def linked_sets(docs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     """(id, comp) of the classes of equal sets that are linked with another class."""
-    classes = table.where("id is not null").groupBy("id").agg(F.min("th").alias("th"), F.first("n").alias("x"), F.first("keys", True).alias("keys"))
-    keys = checkpointed(classes.select("id", "x", "th", F.explode("keys").alias("k")))
+    firsts = [F.min("th").alias("th"), F.first("n").alias("n"), *(F.first(c, True).alias(c) for c in ("keys", "odd"))]
+    classes = checkpointed(table.where("id is not null").groupBy("id").agg(*firsts))
+    keys = checkpointed(classes.select("id", F.explode("keys").alias("k")))
     held = keys.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("k")
     # Written, so that both sides of the join are plain shuffles and a hot key can be split.
     members = checkpointed(keys.join(checkpointed(held).hint("shuffle_merge"), "k", "left_semi"))
-    sets = checkpointed(full_sets(docs, members.select("th").distinct()))
+    marks = classes.join(checkpointed(members.select("id").distinct()), "id", "left_semi")
+    marks = checkpointed(marks.select("id", "th", F.struct("n", *(F.get("odd", F.lit(i)).alias(f"o{i}") for i in range(PARITY_BITS // 64))).alias("x")))
+    sets = checkpointed(full_sets(docs, marks.select("th").distinct()))
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The hub's set goes to each of its candidates; a hot hub's rows are split by the join."""
@@ -154,8 +170,13 @@ def linked_sets(docs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
         linked = both.select("lead", "id", common.alias("i"), (F.size("hub") + F.size("s")).alias("both")).where(f"100 * i >= {percent} * (both - i)")
         return linked.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
 
-    fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return linked_classes(members.select("k", "id", "x"), verify, fits, leaders=1, growth=16)
+    def fits(a: Column, b: Column) -> Column:
+        """100 i >= percent u, with i + u the sum of both sizes and u - i >= the bits that differ."""
+        differ = sum((F.bit_count(a[f"o{i}"].bitwiseXOR(b[f"o{i}"])) for i in range(PARITY_BITS // 64)), F.lit(0))
+        sizes = 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
+        return sizes & ((100 + percent) * differ <= (100 - percent) * (a["n"] + b["n"]))
+
+    return linked_classes(members.join(marks.select("id", "x"), "id"), verify, fits, leaders=1, growth=16)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -66,6 +66,15 @@ def test_unlike_sets_seldom_share_a_band():
     assert sum(met) < 60
 
 
+@pytest.mark.parametrize("n", [1, 20, 300, 4000])
+def test_parities_never_exceed_the_difference(n):
+    rng = np.random.default_rng(n)
+    for similarity in (0.2, 0.6, 0.9):
+        a, b = pair(rng, n, similarity)
+        differ = int(np.bitwise_count((minhash.parities(a) ^ minhash.parities(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_sketch_of_one_element_and_of_any_order():
     one = np.array([12345], np.uint64)
     assert len(set(minhash.sketch(one))) == 1
