@@ -26,7 +26,7 @@ the t + 1 that fewest lines probe for, and probes for others' up to t places bes
 template that differ in enough places then meet nobody.
 
 Buckets go to ``grouping.linked_classes``, where holders meet those that probe. A pair that the
-parities of its characters leave room for, and that Spark's own bounded distance does not put
+parities of its characters and of its pairs of neighbouring characters leave room for, and that Spark's own bounded distance does not put
 beyond MAX_EDITS, is verified by edit distance: what both lines begin and end with is cut off, and
 a banded bit-parallel recurrence runs over the rest: one 64-bit word for a band of
 2 x MAX_EDITS + 1 diagonals, one step a character; the distance is held against the pair's own
@@ -67,6 +67,22 @@ def _parities(line: Column) -> Column:
     return reduce(lambda x, y: x + y, (odd(c).cast("bigint") * F.lit(1 << i).cast("bigint") for i, c in enumerate(_COUNTED)))
 
 
+def _pair_parities(texts: DataFrame) -> DataFrame:
+    """(id, x): x has the parities of the characters, and four words of parities of the pairs of
+    neighbouring characters by a hash of the pair. An edit takes away two pairs and adds two at most, so lines
+    that differ in more than four of these bits an edit aren't alike."""
+    at = texts.select("id", "line", F.explode(F.expr("sequence(1, length(line) - 1)")).alias("i"))
+    at = at.select("id", F.expr("xxhash64(substring(line, i, 2))").alias("p"))
+    word = lambda i: F.expr(f"bit_xor(if((p & 3) = {i}, shiftleft(1L, cast((p >> 2) & 63 as int)), 0L))").alias(f"p{i}")
+    pairs = at.groupBy("id").agg(*map(word, range(4)))
+    return texts.select("id", _parities(F.col("line")).alias("c")).join(pairs, "id").select("id", F.struct("c", *(f"p{i}" for i in range(4))).alias("x"))
+
+
+def _may_be_alike(x: Column, y: Column, max_edits: int) -> Column:
+    differ = lambda n: F.bit_count(x[n].bitwiseXOR(y[n]))
+    return (differ("c") <= 2 * max_edits) & (sum((differ(f"p{i}") for i in range(4)), F.lit(0)) <= 4 * max_edits)
+
+
 def _trimmed(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\x0b\x0c\r"))
 
@@ -274,7 +290,7 @@ def near_classes(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     members = candidate_keys(texts, lines.count(), max_edits)
     texts = checkpointed(texts.join(_known(members.select("id").distinct()), "id", "left_semi"))
     members = deal_again(members, texts, max_edits).withColumnRenamed("held", "leads")
-    members = members.join(texts.select("id", _parities(F.col("line")).alias("x")), "id")
+    members = members.join(checkpointed(_pair_parities(texts)), "id")
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = texts.select(F.col("id").alias("a"), F.col("line").alias("la"))
@@ -288,7 +304,7 @@ def near_classes(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
         near = _let(trimmed_pair(F.col("la"), F.col("lb"), max_edits + 1), lambda v: within_edits(v["a"], v["b"], max_edits, most))
         return both.where(near).select("a", "b")
 
-    return linked_classes(members, verify, lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= 2 * max_edits)
+    return linked_classes(members, verify, lambda x, y: _may_be_alike(x, y, max_edits))
 
 
 def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -65,6 +65,17 @@ def test_banded_distance_and_shared_segments(spark, t):
             assert len(fine[short][k][1] - fine[long][k][0]) <= t, (a, b)
 
 
+@pytest.mark.parametrize("t", [1, 3, 5])
+def test_parities_leave_no_alike_pair_out(spark, t):
+    rows = list(noisy_pairs(400, seed=t))
+    texts = spark.createDataFrame([(2 * k + i, x[i]) for k, x in enumerate(rows) for i in (0, 1)], "id long, line string")
+    x = line_dedup._pair_parities(texts)
+    both = x.where("id % 2 = 0").select((F.col("id") / 2).cast("long").alias("k"), F.col("x").alias("a")).join(x.where("id % 2 = 1").select(F.floor(F.col("id") / 2).alias("k"), F.col("x").alias("b")), "k")
+    may = {r.k: r.m for r in both.select("k", line_dedup._may_be_alike(F.col("a"), F.col("b"), t).alias("m")).collect()}
+    assert len(may) == 400 and all(may[k] for k, (a, b) in enumerate(rows) if edits(a, b) <= t)
+    assert sum(not v for v in may.values()) > 0 or t > 1
+
+
 def test_number_of_keys():
     assert [len(line_dedup._slots(t)) for t in range(6)] == [1, 2, 5, 8, 13, 18]
 
