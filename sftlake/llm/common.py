@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sftlake.session import ship_package as _ship
 from sftlake.sources.scratch import checkpointed, fresh_dir
 
-__all__ = ["bounded_sample", "checkpointed", "fold", "fresh_dir", "letters_lower", "read", "ship_package", "spread"]
+__all__ = ["bounded_rows", "bounded_sample", "checkpointed", "fold", "fresh_dir", "letters_lower", "read", "ship_package", "spread"]
 
 
 BATCH_ROWS = 1000
@@ -48,3 +48,11 @@ def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     by a hash of their keys, so the choice is repeatable and no task sees more than its own."""
     n = df.count()
     return df if n <= rows else df.where(spread(*keys) < rows / n)
+
+
+def bounded_rows(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """All rows when there are at most ``rows``, else about ``rows`` of them chosen by a hash of
+    their keys, rows alike in all keys once. So neither null nor repeated values of a key bring
+    more: the number of rows is held, not that of ids."""
+    n = df.count()
+    return df if n <= rows else df.where(spread(*keys) < rows / n).dropDuplicates(list(keys))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm import textkit
-from sftlake.llm.common import bounded_sample, ship_package, spread
+from sftlake.llm.common import bounded_rows, bounded_sample, ship_package
 
 FIT_ROWS = 20_000
 BINS = 16
@@ -155,13 +155,14 @@ def class_prior(labels: DataFrame) -> float:
 
 def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """``documents`` (doc_id, text) as unlabelled text; ``labels`` (doc_id, quality) for the
-    positives and the prior. The chosen positive ids (at most about ``fit_rows``) are broadcast."""
+    positives and the prior. The chosen positive ids (at most about ``fit_rows``) are broadcast;
+    of rows, too, at most about ``fit_rows`` a side are taken, whatever ids are null or repeated."""
     ship_package(documents.sparkSession)
     labels = labels.select(F.col("doc_id").alias("__id"), "quality").dropna()
     good = bounded_sample(labels.where("quality = 1").select("__id").distinct(), fit_rows, "__id")
     positive = documents.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("__id"), "left_semi")
-    n = documents.count()
-    web = documents.where(spread("doc_id") < min(1.0, fit_rows / max(n, 1)))
+    positive = bounded_rows(positive, fit_rows, "doc_id", "text")
+    web = bounded_rows(documents.select("doc_id", "text"), fit_rows, "doc_id", "text")
     return train(_rows(positive), _rows(web), class_prior(labels))
 
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftlake.llm.common import bounded_sample
+from sftlake.llm.common import bounded_rows, bounded_sample
 
 FIT_ROWS = 20_000
 WINDOW = 8
@@ -175,10 +175,12 @@ def learn(x: np.ndarray, bad: np.ndarray, precision: float = 0.8, max_rules: int
 
 def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[list[Condition]]:
     """The decision list from about ``fit_rows`` labelled documents (their ids are bounded by
-    that number, hence broadcast; their statistics, nine numbers a row, come to the driver)."""
+    that number, hence broadcast; so are their rows, whatever ids are repeated, whose statistics,
+    nine numbers a row, come to the driver)."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").alias("__q")).dropna()
     known = bounded_sample(known.groupBy("__id").agg(F.min("__q").alias("__q")), fit_rows, "__id")
     rows = documents.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("__id"))
+    rows = bounded_rows(rows.select("doc_id", "text", "__q"), fit_rows, "doc_id", "text")
     rows = with_statistics(rows.select("text", "__q")).select("__q", "__f").collect()
     if not rows:
         return []
