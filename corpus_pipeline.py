@@ -4,7 +4,11 @@ kept, as a table written and read again; all but the last return the columns of
 quality classifier: rejected documents go. line dedup: repeated lines go, and documents of which
 no line is left. n-gram Jaccard join: of each class one document stays, the one with the smallest
 id. benchmark decontamination: documents that hold a benchmark item go. packing: the pieces of
-full training windows."""
+full training windows.
+
+Each stage needs the five columns of ``documents``, leaves others out, and raises where one is
+missing. Null and empty texts pass the stages that do not score them down; null and repeated ids
+are told in each stage; a stage of an empty table gives an empty table."""
 
 from __future__ import annotations
 
@@ -34,12 +38,16 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, the one whose id is the class's; of rows alike in id and text,
-    one. Rows without an id have no name to go by and stay."""
-    classes = jaccard_join.join_classes(docs).where("doc_id != component_id").select("doc_id").distinct()
-    classes = checkpointed(classes.withColumnRenamed("doc_id", "__id"))
-    out = docs.select(*COLUMNS).join(classes.hint("shuffle_merge"), F.col("doc_id") == F.col("__id"), "left_anti")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")  # dealt by doc_id already
+    """One row of each class of linked texts: that with the smallest id, of equal ids that with the
+    smallest hash of its text. Rows go one by one, so a repeated id loses only its copies, and rows
+    without an id (they come first) go as others do; of rows alike in id and text one stays."""
+    docs = docs.select(*COLUMNS)
+    named = docs.select(F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    gone = jaccard_join.join_classes(named).where("doc_id != component_id").select("doc_id.*").distinct()
+    gone = checkpointed(gone.withColumnsRenamed({"d": "__d", "h": "__h"}))
+    out = docs.withColumn("__t", F.xxhash64("text"))
+    out = out.join(gone.hint("shuffle_merge"), (F.col("__t") == F.col("__h")) & F.col("doc_id").eqNullSafe(F.col("__d")), "left_anti")
+    same = Window.partitionBy("__t", "doc_id").orderBy("source", "lang")  # dealt by these already
     return out.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(*COLUMNS)
 
 
