@@ -6,22 +6,46 @@ no line is left. n-gram Jaccard join: of each class one document stays, the one
 id. benchmark decontamination: documents that hold a benchmark item go. packing: the pieces of
 full training windows.
 
+A stage's result is read before the next stage begins, which removes what it was worked out from.
+
 Each stage needs the five columns of ``documents``, leaves others out, and raises where one is
 missing. Null and empty texts pass the stages that do not score them down; null and repeated ids
 are told in each stage; a stage of an empty table gives an empty table."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sftlake.llm import decontaminate, jaccard_join, line_dedup, packing, pu_quality
 from sftlake.llm.common import checkpointed, read
 from sftlake.llm.queries import tokenizer_path
+from sftlake.sources.scratch import recorded, remove_tables
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_left: list[str] = []  # intermediate tables of the stages so far
+
+
+def stage(f):
+    """A stage gets what the one before it kept as a written table, so the tables that the earlier
+    ones worked with go when it begins; any that its ``docs`` still read stay."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _left[:] = remove_tables(spark, _left, docs)
+        with recorded() as paths:
+            out = f(spark, docs, sf_dir)
+        _left.extend(paths)
+        return out
+
+    return run_stage
+
+
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more by the classifier, fitted on these documents and the labels."""
     model = pu_quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -29,6 +53,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("quality_score >= 0.5").select(*COLUMNS)
 
 
+@stage
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated lines; n_chars counts what is left. A document whose lines
     all went is a copy of others and goes; one that had no line from the start stays."""
@@ -37,6 +62,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@stage
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of linked texts: that with the smallest id, of equal ids that with the
     smallest hash of its text. Rows go one by one, so a repeated id loses only its copies, and rows
@@ -51,11 +77,13 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(*COLUMNS)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a leaked benchmark item."""
     return decontaminate.find_leaks(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*COLUMNS)
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, with the digest of their ids."""
     return packing.pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -76,6 +104,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result but the last is written to the shared folder."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = checkpointed(stage(spark, docs, sf_dir))
+    for _, step in STAGES[:-1]:
+        docs = checkpointed(step(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,8 +8,10 @@ without it is an error rather than a silent machine-local path.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,36 @@ def remove_scratch(spark: SparkSession) -> bool:
     return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
 
 
+_RECORDS: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that ``checkpointed`` writes inside the block."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
+
+
+def remove_tables(spark: SparkSession, paths: Iterable[str], needed_by: DataFrame) -> list[str]:
+    """Delete intermediate tables, and return those that stay: any that ``needed_by`` reads, and
+    any outside this application's folder."""
+    read = needed_by.inputFiles()
+    own = session_root(spark) + "/"
+    stay = []
+    for path in paths:
+        at = path.split(":", 1)[-1].lstrip("/") + "/"
+        if not path.startswith(own) or any(at in f for f in read):
+            stay.append(path)
+            continue
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return stay
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared folder and read it back.
 
@@ -68,4 +100,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, "table")
     df.write.mode("overwrite").parquet(path)
+    for paths in _RECORDS:
+        paths.append(path)
     return spark.read.parquet(path)

@@ -356,3 +356,20 @@ print("REMOVED", remove_scratch(spark), os.path.exists(session_root(spark)), sor
 """
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert "REMOVED True False ['other']" in out.stdout, out.stderr[-1500:]
+
+
+def test_superseded_tables_are_removed_and_needed_ones_stay(spark):
+    from sftlake.sources.scratch import checkpointed, recorded, remove_tables
+
+    outer = checkpointed(spark.range(3))
+    with recorded() as paths:
+        first = checkpointed(spark.range(10))
+        kept = checkpointed(first.where("id > 4"))
+    assert len(paths) == 2
+    lazy = kept.where("id < 8")
+    assert remove_tables(spark, [*paths, "/tmp/somewhere/else"], lazy) == [paths[1], "/tmp/somewhere/else"]
+    assert sorted(r.id for r in lazy.collect()) == [5, 6, 7] and outer.count() == 3
+    assert remove_tables(spark, [paths[1]], spark.range(1)) == []
+    with recorded() as none:
+        pass
+    assert none == []
