@@ -9,4 +9,4 @@ Sub-packages:
   streaming  The stateless operators applied to streaming frames.
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"
