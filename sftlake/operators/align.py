@@ -29,10 +29,13 @@ TUNED_HEADING = "**OFT Output**"
 
 
 def with_group_default(prompts: DataFrame, col: str = "group") -> DataFrame:
-    return prompts.withColumn(col, F.coalesce(F.col(col), F.lit("unknown")))
+    """Prompts without a group column are of the group ``unknown``. Where single lines lack the
+    key, ``read_prompts`` fills it in; an explicit null stays null."""
+    return prompts if col in prompts.columns else prompts.withColumn(col, F.lit("unknown"))
 
 
 def prompt_groups(prompts: DataFrame) -> DataFrame:
+    """group, n; prompts whose group is null are one group."""
     return with_group_default(prompts).groupBy("group").agg(F.count(F.lit(1)).alias("n"))
 
 

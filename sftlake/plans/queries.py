@@ -191,6 +191,69 @@ def q_raw_roundtrip(spark, sf_dir):
     return read_raw_records(spark, path).select("row_id", "kind", "input", "target")
 
 
+def typed_lines(spark, sf_dir):
+    """Documents as JSON lines whose input is, by the id, a text, a missing key, an explicit null,
+    a boolean, an integer, a fraction or a number with an exponent; doc_id is a number."""
+    d = A.table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars")
+    n = F.col("n_chars").cast("string")
+    case = F.col("doc_id") % 7
+    field = (
+        F.when(case == 0, F.concat(F.lit(', "input": '), F.expr("coalesce(substring(to_json(struct(text)), 9, length(to_json(struct(text))) - 9), 'null')")))
+        .when(case == 1, F.lit(""))
+        .when(case == 2, F.lit(', "input": null'))
+        .when(case == 3, F.concat(F.lit(', "input": '), (F.col("n_chars") % 2 == 0).cast("string")))
+        .when(case == 4, F.concat(F.lit(', "input": '), n))
+        .when(case == 5, F.concat(F.lit(', "input": '), (F.col("n_chars") / 8).cast("decimal(20,3)").cast("string")))
+        .otherwise(F.concat(F.lit(', "input": '), n, F.lit("e"), ((F.col("doc_id") % 41) - 20).cast("string")))
+    )
+    return d.select(F.concat(F.lit('{"doc_id": '), F.col("doc_id").cast("string"), field, F.lit("}")).alias("value"))
+
+
+@register(
+    "typed_records",
+    """SELECT doc_id, doc_id % 7 <> 1 AS has_input, CASE doc_id % 7 WHEN 0 THEN text
+  WHEN 3 THEN CASE WHEN n_chars % 2 = 0 THEN 'True' ELSE 'False' END WHEN 4 THEN n_chars::VARCHAR
+  WHEN 5 THEN (n_chars / 8.0)::DOUBLE::VARCHAR
+  WHEN 6 THEN (n_chars::VARCHAR || 'e' || (doc_id % 41 - 20)::VARCHAR)::DOUBLE::VARCHAR END AS input
+FROM documents""",
+)
+def q_typed_records(spark, sf_dir):
+    """Records with inputs of all JSON types, written as lines and read with Python's texts."""
+    from sftlake.sources.jsonl import read_typed
+    from sftlake.sources.scratch import fresh_dir
+
+    path = fresh_dir(spark, "typed")
+    typed_lines(spark, sf_dir).write.text(path)
+    t = read_typed(spark, path, ["doc_id", "input"])
+    return t.select(F.col("doc_id").cast("long").alias("doc_id"), "has_input", "input")
+
+
+@register(
+    "prompt_file_groups",
+    """SELECT CASE doc_id % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN NULL WHEN 2 THEN (doc_id % 3)::VARCHAR
+  WHEN 3 THEN CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END ELSE lang END AS "group", count(*)::BIGINT AS n
+FROM documents GROUP BY 1""",
+)
+def q_prompt_file_groups(spark, sf_dir):
+    """Group counts of a prompt file whose groups are missing, null, numbers, booleans or texts."""
+    from sftlake.operators.align import prompt_groups
+    from sftlake.sources.jsonl import read_prompts
+    from sftlake.sources.scratch import fresh_dir
+
+    d = A.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    case, path = F.col("doc_id") % 5, fresh_dir(spark, "prompt-file")
+    group = (
+        F.when(case == 0, F.lit(""))
+        .when(case == 1, F.lit(', "group": null'))
+        .when(case == 2, F.concat(F.lit(', "group": '), (F.col("doc_id") % 3).cast("string")))
+        .when(case == 3, F.concat(F.lit(', "group": '), (F.col("doc_id") % 2 == 0).cast("string")))
+        .otherwise(F.coalesce(F.concat(F.lit(', "group": "'), F.col("lang"), F.lit('"')), F.lit(', "group": null')))
+    )
+    line = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), group, F.lit(', "prompt": "p"}'))
+    d.select(line.alias("value")).write.text(path)
+    return prompt_groups(read_prompts(spark, path))
+
+
 @register(
     "metadata_roundtrip",
     O.PREP_DIRTY
@@ -214,6 +277,18 @@ def q_metadata_roundtrip(spark, sf_dir):
     )
 
 
+@register("metadata_observed", O.PREP_DIRTY + "SELECT split, count(*)::BIGINT AS n FROM labeled GROUP BY split")
+def q_metadata_observed(spark, sf_dir):
+    """Rows of each split, as observed by the tasks that write the split files."""
+    from sftlake.sources.jsonl import write_splits
+    from sftlake.sources.scratch import fresh_dir
+
+    _, _, _, split = prepared(spark, sf_dir, dirty=True)
+    ordered = split.withColumn("order_hash", spl.seeded_hash(SEED, "row_id", salt="order"))
+    written = write_splits(ordered, fresh_dir(spark, "observed"))
+    return spark.createDataFrame([(s, n) for s, n in written.items() if n], "split string, n long")
+
+
 @register(
     "split_overlap_exact",
     O.PREP
@@ -692,6 +767,24 @@ def q_loss_curves(spark, sf_dir):
     return log_points(spark, sf_dir).select("run", "series", "step", F.round("loss", 6).alias("loss"))
 
 
+@register(
+    "trainer_states",
+    O.with_(A4_POINTS) + "SELECT run, (step // 10 - 1)::BIGINT AS pos, series, step::BIGINT AS step, round(loss, 6) AS loss FROM pts",
+)
+def q_trainer_states(spark, sf_dir):
+    """events -> one trainer-state document a run -> read back by its lines -> loss points with
+    their place in the log."""
+    from sftlake.operators.curves import loss_points
+    from sftlake.sources.scratch import fresh_dir
+    from sftlake.sources.trainer_log import read_trainer_documents, write_trainer_states
+
+    path = fresh_dir(spark, "trainer-states")
+    write_trainer_states(A.event_log_entries(spark, sf_dir, place="pos").drop("event_id"), path)
+    entries = read_trainer_documents(spark, [path])
+    entries = entries.withColumn("run", F.regexp_extract("run_path", "run=([^/]+)$", 1))
+    return loss_points(entries).select("run", "pos", "series", "step", _r6("loss"))
+
+
 @register(
     "curve_compare",
     O.with_(A4_POINTS)

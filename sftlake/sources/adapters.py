@@ -119,8 +119,9 @@ EVAL_KEY_EVENTS = ("view", "click")
 NO_STEP_EVENTS = ("signup",)
 
 
-def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
-    """A4: events -> trainer-log entries (run, step, loss, eval_loss) with nulls for absent keys.
+def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3, place: str | None = None) -> DataFrame:
+    """A4: events -> trainer-log entries (run, step, loss, eval_loss) with nulls for absent keys;
+    with ``place`` named, also an entry's place in its run's log, from 0.
 
     run = 'r' || user_id % runs; step = 10 x rank by (ts, event_id) within the run. The rank is
     computed with the two-level running count, so a run holding most events is never sorted
@@ -135,6 +136,7 @@ def event_log_entries(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFr
     return ranked.select(
         "run",
         "event_id",
+        *([(F.col("rn") - 1).alias(place)] if place else []),
         F.when(~et.isin(*NO_STEP_EVENTS), F.col("rn") * 10).alias("step"),
         F.when(et.isin(*TRAIN_KEY_EVENTS), F.col("value")).alias("loss"),
         F.when(et.isin(*EVAL_KEY_EVENTS), F.col("value")).alias("eval_loss"),

@@ -3,9 +3,12 @@ the report document. Every reader takes an explicit schema; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sftlake.functions.pytext import is_present, python_text, typed_fields
+
+SPLITS = ("train", "val", "test")
 SFT_SCHEMA = (
     "kind string, prompt string, response string, "
     "messages array<struct<role:string,content:string>>, row_id long"
@@ -28,19 +31,45 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def read_typed(spark: SparkSession, path: str, fields: list[str], keep: list[Column] = ()) -> DataFrame:
+    """JSON lines -> one string column a field, as Python's ``str`` writes the value, and
+    ``has_<field>``, whether the line has the key (with null as its value too). A null or missing
+    value is null. ``keep``: further columns of the scan, such as fields of ``_metadata``. Blank
+    lines are skipped; a malformed line, or one key twice in a line, fails the read."""
+    lines = spark.read.text(path).where(F.btrim("value", F.lit(" \t\r")) != "")
+    rows = lines.select(*keep, "value", typed_fields("value", fields).alias("v"))
+    out = []
+    for f in fields:
+        v = F.col("v").getField(f)
+        out += [python_text(v, "value", f).alias(f), is_present(v).alias(f"has_{f}")]
+    return rows.select(*[c for c in rows.columns if c not in ("value", "v")], *out)
+
+
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    return read_jsonl(spark, path, PROMPT_SCHEMA)
+    """id, group, prompt of a prompt file. Values that aren't strings are read as Python's
+    ``str`` writes them. The group of a line without that key is ``unknown``; an explicit null
+    stays null."""
+    p = read_typed(spark, path, ["id", "group", "prompt"])
+    return p.select("id", F.when(F.col("has_group"), F.col("group")).otherwise(F.lit("unknown")).alias("group"), "prompt")
 
 
-def write_splits(split_df: DataFrame, path: str, order: tuple[str, ...] = ("order_hash", "row_id")) -> None:
-    """All splits in one job, ``split=<name>`` directories. Files inside a split follow the
-    seeded order: range partitioning on (split, order) plus a sort inside each partition,
-    so part files concatenated by name are the shuffled split."""
+def write_splits(split_df: DataFrame, path: str, order: tuple[str, ...] = ("order_hash", "row_id")) -> dict[str, int]:
+    """All splits in one job, ``split=<name>`` directories; returns the rows written to each.
+    Files inside a split follow the seeded order: range partitioning on (split, order) plus a
+    sort inside each partition, so part files concatenated by name are the shuffled split.
+
+    The rows are counted as the writing tasks read them. That stage is the job's last, of which
+    Spark counts every task once, however often one is run; below the shuffle the sampling of
+    the ranges and repeated tasks would count too."""
     cols = ["kind", "prompt", "response", "messages", "row_id"]
-    ordered = split_df.repartitionByRange("split", *order).sortWithinPartitions("split", *order)
+    seen = Observation()
+    counts = [F.count_if(F.col("split") == s).alias(s) for s in SPLITS]
+    placed = split_df.repartitionByRange("split", *order).observe(seen, *counts)
+    ordered = placed.sortWithinPartitions("split", *order)
     ordered.select(*cols, "split").write.mode("overwrite").partitionBy("split").option(
         "ignoreNullFields", "false"
     ).json(path)
+    return {s: int(seen.get[s]) for s in SPLITS}
 
 
 def read_splits(spark: SparkSession, path: str, splits: tuple[str, ...] | None = None) -> DataFrame:
@@ -110,8 +139,8 @@ RAW_FIELDS = "kind string, input string, target string"
 def read_raw_records(spark: SparkSession, path: str, fmt: str = "json", id_col: str | None = None) -> DataFrame:
     """A raw instruction dataset (JSON lines or parquet) -> row_id, kind, input, target.
 
-    Fields are strings; a JSON value of another type is read as its JSON text. Without an id
-    column, row_id is the record's place in the dataset: files by name, then lines in order. The
+    Fields are strings; a JSON value of another type is read as Python's ``str`` writes it
+    (``read_typed``). Without an id column, row_id is the record's place in the dataset: files by name, then lines in order. The
     records are copied once to the shared folder together with the file block they came from,
     blocks are numbered in (file, offset) order, and a record's id is the number of records in
     earlier blocks plus its place in its own. So ids don't depend on how Spark packs or orders
@@ -120,16 +149,15 @@ def read_raw_records(spark: SparkSession, path: str, fmt: str = "json", id_col:
 
     from sftlake.sources.scratch import checkpointed
 
-    schema = RAW_FIELDS + (f", {id_col} long" if id_col else "")
-    reader = spark.read.schema(schema)
-    df = reader.option("mode", "FAILFAST").json(path) if fmt == "json" else reader.format(fmt).load(path)
+    place = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")]
+    fields = ["kind", "input", "target"]
+    if fmt == "json":
+        df = read_typed(spark, path, [*fields, *([id_col] if id_col else [])], place)
+    else:
+        df = spark.read.schema(RAW_FIELDS + (f", {id_col} long" if id_col else "")).format(fmt).load(path).select("*", *place)
     if id_col:
-        return df.select(F.col(id_col).alias("row_id"), "kind", "input", "target")
-    at = df.select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-        F.monotonically_increasing_id().alias("m"), "kind", "input", "target",
-    )
-    rows = checkpointed(at)
+        return df.select(F.col(id_col).cast("long").alias("row_id"), *fields)
+    rows = checkpointed(df.select("f", "b", F.monotonically_increasing_id().alias("m"), *fields))
     blocks = rows.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("m0"))
     # One row per input split, numbered in one task.
     before = Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)

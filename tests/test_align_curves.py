@@ -42,8 +42,9 @@ def test_group_default_and_prompt_counts(spark):
     rows = [(1, "a", None, "p", "b", "t"), (2, "b", "g1", "q", "b", "t")]
     df = spark.createDataFrame(rows, ROWS)
     out = {r.pos: r.group for r in before_after(df).collect()}
-    assert out == {1: "unknown", 2: "g1"}
-    assert {r.group: r.n for r in prompt_groups(df).collect()} == {"unknown": 1, "g1": 1}
+    assert out == {1: None, 2: "g1"}  # an explicit null is not a missing key
+    assert {r.group: r.n for r in prompt_groups(df).collect()} == {None: 1, "g1": 1}
+    assert {r.group: r.n for r in prompt_groups(df.drop("group")).collect()} == {"unknown": 2}
 
 
 def test_report_block_format(spark):
@@ -116,7 +117,7 @@ def test_generate_before_after_one_pass(spark):
     prompts = spark.createDataFrame(rows, "pos long, id string, group string, prompt string")
     out = {r.pos: r for r in generate_before_after(prompts, echo_factory, upper_factory, "t1").collect()}
     assert out[1].base_output == "x y" and out[1].tuned_output == "Z"  # first 'a' gets the last 'a'
-    assert out[2].tuned_output == "" and out[3].group == "unknown" and out[3].tuned_output == "W"
+    assert out[2].tuned_output == "" and out[3].group is None and out[3].tuned_output == "W"
     g = {r.id: r.output for r in generate(prompts.where("pos = 3"), "id", "prompt", echo_factory, "t2",
                                            render_template=True, max_new_tokens=33).collect()}
     assert g["b"] == "<|im_end|>\n<|im_start|>assistant"  # last 33 chars of the rendered prompt, stripped

@@ -23,11 +23,11 @@ def test_jsonl_skips_blank_lines_and_keeps_unicode(spark, tmp_out):
         f.write('{"id": "P1", "group": "g", "prompt": "请把 \\"引号\\"\\n换行"}\n\n   \n{"id": "P2", "prompt": "x"}\n')
     rows = read_prompts(spark, p).collect()
     assert [r.id for r in rows] == ["P1", "P2"]
-    assert rows[0].prompt == '请把 "引号"\n换行' and rows[1].group is None
+    assert rows[0].prompt == '请把 "引号"\n换行' and rows[1].group == "unknown"
     out = os.path.join(tmp_out, "out")
     write_jsonl(read_prompts(spark, p), out)
     text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{out}/part-*")))
-    assert "请把" in text and '"group":null' in text
+    assert "请把" in text and '"group":"unknown"' in text
 
 
 def test_jsonl_malformed_line_raises(spark, tmp_out):
