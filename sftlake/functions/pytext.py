@@ -52,7 +52,7 @@ def python_float(x) -> Column:
 
     def written(c: Column) -> Column:
         exact = c.cast("string")
-        for digits in (15, 14):  # after the point; the fewest come last and win
+        for digits in (16, 15, 14):  # after the point; the fewest come last and win
             shorter = F.format_string(f"%.{digits}e", c)
             exact = F.when(shorter.cast("double") == c, shorter).otherwise(exact)
         return F.upper(exact)
