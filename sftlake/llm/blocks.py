@@ -53,7 +53,7 @@ def _names(attrs: str) -> tuple[str, ...]:
     found: list[str] = []
     for m in _LABEL.finditer(attrs):
         found += [w.lower() for w in _WORD.findall(m[1] or m[2] or m[3] or "")]
-    return tuple("c:" + w for w in found[:12])
+    return tuple(dict.fromkeys("c:" + w for w in found))
 
 
 def blocks(page: str) -> list[Block]:

@@ -77,3 +77,11 @@ def test_query_agrees_with_the_marked_article(spark):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     same = [got[p.page_id].text == "\n".join(b.text for b in blocks(p.html) if "t:article" in b.path) for p in pages]
     assert len(got) == len(pages) and np.mean(same) > 0.97 and all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_every_class_word_of_an_element_is_kept():
+    from sftlake.llm.blocks import blocks
+
+    many = " ".join(f"u{k}" for k in range(40))
+    (block,) = blocks(f'<div class="{many} {many} comments" id="x">text</div>')
+    assert "c:comments" in block.path and "c:x" in block.path and len(set(block.path)) == len(block.path)
