@@ -80,7 +80,9 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a leaked benchmark item."""
-    return decontaminate.find_leaks(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*COLUMNS)
+    return decontaminate.find_leaks(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark")).where(
+        ~F.exists("leaks", lambda x: x["item_words"] >= decontaminate.MIN_WORDS)
+    ).select(*COLUMNS)
 
 
 @stage

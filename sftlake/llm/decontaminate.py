@@ -20,9 +20,9 @@ nothing. What meets is verified exactly, by bit-parallel edit distance over word
 window; an item leaks into a text when the distance is at most ``RATE`` of its words.
 
 One pass over the documents for each ``PIECES_A_PASS`` pieces (whose tables are the bounded
-broadcast); no shuffle. Null and empty texts hold nothing; items of fewer than ``MIN_WORDS``
-words or null text are never looked for; null ids, equal items and repeated rows are all
-reported. Without items, or documents, there are no leaks. All columns pass through."""
+broadcast); no shuffle. Items of fewer than ``MIN_WORDS`` words may hold no edit: they are
+looked up by the hash of their words. Null and empty texts hold nothing; items without words or
+text are in none; null ids, equal items and repeated rows are all reported. Without items, or documents, there are no leaks. All columns pass through."""
 
 from __future__ import annotations
 
@@ -41,7 +41,8 @@ RATE = 0.2
 RECALL = 0.95
 SAMPLED = 3
 MAX_TABLES = 400  # tables that don't reach RECALL by then are an error
-MIN_WORDS = 5
+MIN_WORDS = 5  # shorter items may hold no edit and are looked up exactly
+MEASURED = 400  # edited pieces of a size group that its recall is measured on
 PIECE_WORDS = 64
 GROWTH = 1.35
 PIECES_A_PASS = 20_000
@@ -97,12 +98,11 @@ class Group:
         for w in items:
             self.vocabulary[w & np.uint64((1 << _VOCABULARY_BITS) - 1)] = True
         h, at, end = _joined(items)
-        changed, missed = [], np.ones(0, bool)
         rng = np.random.default_rng(len(items))
-        for w in (items * (1 + 200 // len(items)))[:400]:
-            changed.append(_edited(w, allowed(len(w)), rng))
+        # Recall is measured on pieces drawn at random, each at least once where there are few.
+        own = rng.permutation(np.arange(len(items) * (1 + MEASURED // (2 * len(items)))) % len(items))[:MEASURED]
+        changed = [_edited(items[k], allowed(len(items[k])), rng) for k in own]
         ch, cat, cend = _joined(changed)
-        own = np.arange(len(changed)) % len(items)
         missed = np.ones(len(changed), bool)
         self.tables: list[tuple[Walk, np.ndarray, np.ndarray]] = []
         for seed in range(MAX_TABLES):
@@ -192,6 +192,10 @@ class Index:
             if ids:
                 self.groups.append(Group([items[k][a:b] for k, a, b in (self.pieces[j] for j in ids)], ids, least, most))
             least = most + 1
+        self.short: dict[int, dict[int, list[int]]] = {}  # words: hash of the sequence: items
+        for k, w in enumerate(items):
+            if 0 < len(w) < MIN_WORDS:
+                self.short.setdefault(len(w), {}).setdefault(int(textkit.window_hash(w, len(w))[0]), []).append(k)
 
     def leaks(self, words: textkit.Words) -> dict[int, dict[int, tuple[int, int, int]]]:
         """By text: by item: (distance, first word, last word) of the best passage."""
@@ -200,6 +204,13 @@ class Index:
         starts, end = np.arange(len(doc)), words.off[1:][doc]
         h = np.append(words.hash, np.uint64(0))
         tried: set[tuple[int, int, int]] = set()
+        for n, held in self.short.items():
+            at, keys = words.windows(n)
+            for j in np.flatnonzero(np.isin(keys, np.array(list(held), np.uint64))):
+                d = int(doc[at[j]])
+                first = int(at[j] - words.off[d])
+                for k in held[int(keys[j])]:
+                    out.setdefault(d, {}).setdefault(k, (0, first, first + n - 1))
         for group in self.groups:
             for met, j in sorted(group.meet(words, h, starts, end)):
                 k, before, _ = self.pieces[j]

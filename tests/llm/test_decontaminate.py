@@ -87,7 +87,7 @@ def test_odd_rows(spark):
     by = {(r.doc_id, len(r.text or "")): [(x.item_id, x.distance) for x in r.leaks] for r in got}
     by = {k[0]: v for k, v in by.items()}
     assert by[1] == by[None] == by[6] == [(10, 0), (11, 0)] and by[2] == [(10, 1), (11, 1)]
-    assert by[3] == by[4] == by[5] == by[7] == by[8] == []
+    assert by[3] == by[4] == by[5] == by[7] == [] and by[8] == [(14, 0)]  # short items: no edit
     assert [r.first_word for r in got if r.doc_id == 6 for r in r.leaks] == [30_000, 30_000]
     assert all(r.leaks == [] for r in decontaminate.find_leaks(docs, items.limit(0)).collect())
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
@@ -129,3 +129,35 @@ def test_tables_below_the_recall_are_an_error(monkeypatch):
     rng = np.random.default_rng(2)
     with pytest.raises(RuntimeError, match="tables meet only"):
         decontaminate.Index([rng.integers(1, 1 << 62, 60, dtype=np.uint64) for _ in range(20)])
+
+
+def test_short_items_are_found_exactly(spark):
+    rng = np.random.default_rng(5)
+    rows = [(d, " ".join(f"w{k}" for k in rng.integers(0, 12, rng.integers(0, 40)))) for d in range(60)]
+    short = [(i, " ".join(f"w{k}" for k in rng.integers(0, 12, 1 + i % 4))) for i in range(24)]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(short, "item_id long, text string"))
+    found = {(r.doc_id, x.item_id): (x.first_word, x.last_word, x.distance) for r in got.collect() for x in r.leaks}
+    want = {}
+    for d, t in rows:
+        w = t.split()
+        for i, s in short:
+            q = s.split()
+            at = [k for k in range(len(w) - len(q) + 1) if w[k : k + len(q)] == q]
+            if at:
+                want[d, i] = (at[0], at[0] + len(q) - 1, 0)
+    assert found == want and len(want) > 100
+
+
+def test_recall_is_measured_on_pieces_drawn_at_random():
+    rng = np.random.default_rng(3)
+    items = [rng.integers(1, 1 << 62, 12, dtype=np.uint64) for _ in range(900)]
+    seen = []
+    whole = decontaminate._edited
+    try:
+        decontaminate._edited = lambda w, k, r: seen.append(int(w[0])) or whole(w, k, r)
+        group = decontaminate.Group(items, list(range(900)), 12, 12)
+    finally:
+        decontaminate._edited = whole
+    place = {int(w[0]): k for k, w in enumerate(items)}
+    at = sorted(place[s] for s in seen)
+    assert group.recall >= decontaminate.RECALL and len(set(at)) == decontaminate.MEASURED and at[-1] > 800
