@@ -44,8 +44,12 @@ def python_text(value, line, name: str) -> Column:
 
 def python_float(x) -> Column:
     """``str`` of a double: the fewest digits that give it back, positional for exponents of ten
-    from -4 to 15, else with an exponent of two digits or more. (Below 2.3e-308, where doubles hold
-    fewer than 15 digits, there may be more digits than needed.)"""
+    from -4 to 15, else with an exponent of two digits or more.
+
+    Numbers of up to 15 digits are exactly Python's text. Of longer ones Java before 19 doesn't
+    always name the nearest of the shortest texts, so the last digit may be a neighbour of
+    Python's; the text still gives the same double. (Below 2.3e-308 there may be more digits
+    than needed.)"""
     # One-element arrays bind a value once, so that no text is built twice.
     def bind(value: Column, body) -> Column:
         return F.transform(F.array(value), body)[0]
