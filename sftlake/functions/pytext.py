@@ -48,7 +48,7 @@ def python_float(x) -> Column:
 
     Numbers of up to 15 digits are exactly Python's text. Of longer ones Java before 19 doesn't
     always name the nearest of the shortest texts, so the last digit may be a neighbour of
-    Python's; the text still gives the same double. (Below 2.3e-308 there may be more digits
+    Python's, or one digit more be given; the text still gives the same double. (Below 2.3e-308 there may be more digits
     than needed.)"""
     # One-element arrays bind a value once, so that no text is built twice.
     def bind(value: Column, body) -> Column:

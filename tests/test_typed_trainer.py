@@ -28,7 +28,7 @@ def test_python_float_equals_str(spark):
     for t, v in zip(got, values, strict=True):
         digits = str(v).lower().split("e")[0].strip("-").replace(".", "").strip("0")
         if t != str(v):  # Java before 19 may name a neighbour of the nearest shortest text
-            assert len(digits) > 15 and float(t) == v and len(t) == len(str(v)), (t, v)
+            assert len(digits) > 15 and float(t) == v and len(t) <= len(str(v)) + 1, (t, v)
     assert sum(t != str(v) for t, v in zip(got, values, strict=True)) < len(values) / 100
 
 
