@@ -106,17 +106,19 @@ def metric_table(docs: DataFrame, labels: dict[int, str], base_label: str = "Bas
     return first.unionByName(tuned).select("r.label", "r.metric", "r.value")
 
 
-def loss_curves(spark, state_paths: list[str], labels: list[str] | None = None) -> DataFrame:
+def loss_curves(spark, state_paths: list[str], labels: list[str] | None = None, reader=None) -> DataFrame:
     """Trainer-state documents -> label, run_path, pos, series, step, loss, for one or several
     runs. Labels go by position, padded with each run's parent directory name. Every path is
-    read with its own label, so any spelling of a path that Spark reads keeps its label."""
+    read with its own label, so any spelling of a path that Spark reads keeps its label. ``reader`` is
+    ``jsonl.read_trainer_states`` (whole documents in any layout) unless
+    ``trainer_log.read_trainer_documents`` (by lines, of any length) is given."""
     from functools import reduce
 
     from sftlake.sources.jsonl import read_trainer_states
 
     parts = []
     for path, label in zip(state_paths, resolve_labels(list(state_paths), labels), strict=True):
-        entries = read_trainer_states(spark, [path]).withColumn("run", F.lit(path))
+        entries = (reader or read_trainer_states)(spark, [path]).withColumn("run", F.lit(path))
         parts.append(loss_points(entries).withColumn("label", F.lit(label)))
     points = reduce(DataFrame.unionByName, parts)
     return points.withColumnRenamed("run", "run_path").select("label", "run_path", "pos", "series", "step", "loss")

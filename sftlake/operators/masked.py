@@ -16,7 +16,7 @@ from sftlake.functions.tokens import tokenize
 from sftlake.operators.model import TokenModel
 from sftlake.operators.packing import segment_offsets
 from sftlake.operators.ranking import ordered_running_total, quantile_bucket
-from sftlake.operators.score import metrics_from_sums
+from sftlake.operators.score import exact_loss, metrics_from_sums
 
 BUCKET = 4096
 
@@ -52,7 +52,7 @@ def masked_nll(segments: DataFrame, spans: DataFrame | None, model: TokenModel,
     at = at if spans is None else inside(at, spans, key)
     counts = at.where("pos >= 1").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     priced = counts.join(model.table(), "token", "left")
-    loss = F.col("n") * -F.log(F.coalesce("p", F.lit(model.unk_p)))
+    loss = exact_loss(F.coalesce("p", F.lit(model.unk_p)), F.col("n"))
     sums = priced.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("num_tokens"), F.sum(loss).alias("s")).crossJoin(texts)  # one row each
     return metrics_from_sums(sums.withColumn("model", F.lit("model")), "model", "s").drop("model")
 

@@ -50,6 +50,24 @@ def near_overlap(split_df: DataFrame, text: Column, key: str = "row_id", side: s
     return both.where(100 * F.col("i") >= PERCENT * whole).select("test_id", "train_id", (F.col("i") / whole).alias("jaccard"))
 
 
+def overlap_links(split_df: DataFrame, text: Column, pairs: DataFrame, key: str = "row_id", side: str = "test", other: str = "train") -> DataFrame:
+    """split, key, class_id, links for every row of the two splits: its class (the smallest key
+    with the same shingles in its split; a row without words is its own) and how many rows of the
+    other split are linked to it by ``pairs`` of ``near_overlap``, copies counted. Links are
+    counted by class with partial aggregates, so the result has a row a text however many
+    near copies meet."""
+    rows = split_df.where(F.col("split").isin(side, other)).select("split", key, shingles(text).alias("s"))
+    rows = checkpointed(rows.select("split", key, F.when(F.size("s") > 0, F.xxhash64("s")).alias("c")))
+    sizes = rows.where(F.col("c").isNotNull()).groupBy("split", "c").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("copies"))
+    sizes = checkpointed(sizes)
+    one = pairs.select(F.lit(side).alias("split"), F.col("test_id").alias("class_id"), F.lit(other).alias("at"), F.col("train_id").alias("to"))
+    two = pairs.select(F.lit(other).alias("split"), F.col("train_id").alias("class_id"), F.lit(side).alias("at"), F.col("test_id").alias("to"))
+    far = sizes.select(F.col("split").alias("at"), F.col("class_id").alias("to"), "copies")
+    links = one.unionByName(two).join(far, ["at", "to"]).groupBy("split", "class_id").agg(F.sum("copies").alias("links"))
+    named = sizes.select("split", "c", "class_id").join(links, ["split", "class_id"], "left")
+    return rows.join(named, ["split", "c"], "left").select("split", key, F.coalesce("class_id", key).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
 def overlap_members(split_df: DataFrame, text: Column, pairs: DataFrame, key: str = "row_id", side: str = "test", other: str = "train") -> DataFrame:
     """split, key, class_id for every row, copies too, of the classes that ``pairs`` of
     ``near_overlap`` name: test_id or train_id of a pair is the class_id in its split."""

@@ -5,6 +5,9 @@ The mean NLL is weighted by valid tokens (sum of NLL over all texts / number of
 never a mean of per-text or per-batch means. Zero tokens give mean 0 and perplexity 1;
 a mean of 20 or more gives perplexity +inf.
 
+Losses are summed exactly: each token's loss is rounded to ``LOSS_DIGITS`` decimals and added up
+as a decimal, so a sum doesn't depend on the order of rows, partitions or retries.
+
 Bundled-model scoring never ships the model to the driver: valid tokens are first counted
 per token (partial aggregation folds hot tokens map-side), then joined with the model table
 on a unique key, so the join carries one row per distinct token on each side.
@@ -13,6 +16,7 @@ on a unique key, so the join carries one row per distinct token on each side.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +24,19 @@ from pyspark.sql import functions as F
 from sftlake.functions.tokens import DEFAULT_MAX_LENGTH, tokenize
 from sftlake.operators.model import AdaptedModel, TokenModel
 
+LOSS_DIGITS = 12
+
+
+def exact_loss(p: Column, times: Column | None = None) -> Column:
+    """-log(p), ``times`` over, as a decimal whose sums are the same in any order."""
+    return _exact(-F.log(p), times)
+
+
+def _exact(loss: Column, times: Column | None = None) -> Column:
+    one = loss.cast(f"decimal(18,{LOSS_DIGITS})")
+    return one if times is None else one * times.cast("decimal(19,0)")
+
+
 def perplexity(mean_nll: Column) -> Column:
     return F.when(mean_nll < 20, F.exp(mean_nll)).otherwise(F.lit(float("inf")))
 
@@ -46,8 +63,8 @@ def score_models(
     per_text = texts.select(
         F.lit(1).cast("long").alias("texts"),
         F.lit(0).cast("long").alias("tokens"),
-        F.lit(0.0).alias("s_base"),
-        F.lit(0.0).alias("s_tuned"),
+        F.lit(0).cast("decimal(38,12)").alias("s_base"),
+        F.lit(0).cast("decimal(38,12)").alias("s_tuned"),
     )
     return _score(cnt, per_text, model)
 
@@ -56,7 +73,7 @@ def score_token_counts(counts: DataFrame, num_texts: int, model: AdaptedModel |
     """Same metrics from pre-aggregated (token, cnt) scored-token counts and a text count."""
     spark = counts.sparkSession
     per_text = spark.createDataFrame(
-        [(int(num_texts), 0, 0.0, 0.0)], "texts long, tokens long, s_base double, s_tuned double"
+        [(int(num_texts), 0, Decimal(0), Decimal(0))], "texts long, tokens long, s_base decimal(38,12), s_tuned decimal(38,12)"
     )
     return _score(counts, per_text, model)
 
@@ -74,8 +91,8 @@ def _score(cnt: DataFrame, per_text: DataFrame, model: AdaptedModel | TokenModel
     per_token = j.select(
         F.lit(0).cast("long").alias("texts"),
         F.col("cnt").cast("long").alias("tokens"),
-        (F.col("cnt") * -F.log(F.coalesce(F.col("p_base"), F.lit(unk_b)))).alias("s_base"),
-        (F.col("cnt") * -F.log(F.coalesce(F.col("p_tuned"), F.lit(unk_t)))).alias("s_tuned"),
+        exact_loss(F.coalesce("p_base", F.lit(unk_b)), F.col("cnt")).alias("s_base"),
+        exact_loss(F.coalesce("p_tuned", F.lit(unk_t)), F.col("cnt")).alias("s_tuned"),
     )
     tot = per_token.unionByName(per_text).agg(
         F.sum("texts").alias("texts"),
@@ -95,7 +112,7 @@ def _score(cnt: DataFrame, per_text: DataFrame, model: AdaptedModel | TokenModel
 
 
 def metrics_from_sums(df: DataFrame, model: str, total_nll: str) -> DataFrame:
-    mean = F.coalesce(F.col(total_nll), F.lit(0.0)) / F.greatest(F.col("num_tokens"), F.lit(1))
+    mean = F.coalesce(F.col(total_nll).cast("double"), F.lit(0.0)) / F.greatest(F.col("num_tokens"), F.lit(1))
     out = df.select(F.col(model).alias("model"), "num_texts", "num_tokens", mean.alias("mean_nll"))
     return out.withColumn("perplexity", perplexity(F.col("mean_nll")))
 
@@ -203,7 +220,7 @@ def plugin_metrics(per_text: DataFrame, models: list[str]) -> DataFrame:
             F.lit(m).alias("model"),
             F.count(of("num_tokens", m)).alias("num_texts"),
             F.coalesce(F.sum(of("num_tokens", m)), F.lit(0)).alias("num_tokens"),
-            F.sum(of("sum_nll", m)).alias("s"),
+            F.sum(_exact(of("sum_nll", m))).alias("s"),
         )
         for m in models
     ]
@@ -233,8 +250,8 @@ def score_count_matrix(matrix, eval_tag: str, base_tag: str, domain_tag: str, la
     rows = matrix.table.where(F.col("token").isNotNull() & (v > 0))
     tot = rows.agg(
         F.sum(v).alias("tokens"),
-        F.sum(v * -F.log(matrix.prob(base_tag))).alias("s_base"),
-        F.sum(v * -F.log(matrix.tuned_prob(base_tag, domain_tag, lam))).alias("s_tuned"),
+        F.sum(exact_loss(matrix.prob(base_tag), v)).alias("s_base"),
+        F.sum(exact_loss(matrix.tuned_prob(base_tag, domain_tag, lam), v)).alias("s_tuned"),
     )
     long = tot.select(
         F.explode(

@@ -121,6 +121,11 @@ BASE_TOKENS = "SELECT unnest(t) AS tok FROM rtoks WHERE kind NOT LIKE 'en/%'"
 NON_ENGLISH_TOKENS = f"SELECT unnest({toks('text')}) AS tok FROM documents WHERE lang <> 'en'"
 
 
+def loss(p: str) -> str:
+    """A token's loss as a decimal, summed without regard to order."""
+    return f"(-ln({p}))::DECIMAL(18,12)"
+
+
 def scoring_ctes(
     lams: tuple[float, ...] = (0.5,),
     max_length: int = 1024,
@@ -152,8 +157,8 @@ ntexts AS (SELECT count(*)::BIGINT AS texts FROM rtoks WHERE {eval_sql})"""
 unk_{i} AS (SELECT 1.0 / bt.den AS ub, {lam}::DOUBLE * (1.0 / dt.den) + {1.0 - lam}::DOUBLE * (1.0 / bt.den) AS ut FROM bt CROSS JOIN dt),
 sums_{i} AS (
   SELECT (SELECT texts FROM ntexts) AS texts, coalesce(sum(e.cnt), 0)::BIGINT AS tokens,
-         coalesce(sum(e.cnt * -ln(coalesce(m.p_base, u.ub))), 0) AS sb,
-         coalesce(sum(e.cnt * -ln(coalesce(m.p_tuned, u.ut))), 0) AS st
+         coalesce(sum(e.cnt * {loss('coalesce(m.p_base, u.ub)')}), 0)::DOUBLE AS sb,
+         coalesce(sum(e.cnt * {loss('coalesce(m.p_tuned, u.ut)')}), 0)::DOUBLE AS st
   FROM ecnt e LEFT JOIN m_{i} m USING (token) CROSS JOIN unk_{i} u),
 metrics_{i} AS (
   SELECT 'base' AS model, texts AS num_texts, tokens AS num_tokens, sb / greatest(tokens, 1) AS mean_nll FROM sums_{i}

@@ -338,6 +338,25 @@ def q_split_overlap_near_members(spark, sf_dir):
     return overlap_members(split, text, near_overlap(split, text))
 
 
+@register(
+    "split_overlap_links",
+    ORACLE["split_overlap_near"].rpartition("SELECT test_id")[0]
+    + """, n AS (SELECT test_id, train_id FROM i WHERE 100 * i >= 75 * (na + nb - i)),
+m AS (SELECT g.split, g.row_id, CASE WHEN g.s = [''] THEN g.row_id ELSE r.id END AS class_id FROM g JOIN reps r ON g.split = r.split AND g.s = r.s),
+z AS (SELECT split, class_id, count(*) AS copies FROM m GROUP BY ALL),
+k AS (SELECT 'test' AS split, test_id AS class_id, sum(copies) AS links FROM n JOIN z ON z.split = 'train' AND z.class_id = train_id GROUP BY test_id
+  UNION ALL SELECT 'train', train_id, sum(copies) FROM n JOIN z ON z.split = 'test' AND z.class_id = test_id GROUP BY train_id)
+SELECT m.split, m.row_id, m.class_id, coalesce(k.links, 0)::BIGINT AS links FROM m LEFT JOIN k ON m.split = k.split AND m.class_id = k.class_id""",
+)
+def q_split_overlap_links(spark, sf_dir):
+    """Every test and train row with its class and the number of linked rows of the other split."""
+    from sftlake.operators.overlap import near_overlap, overlap_links
+
+    _, _, _, split = prepared(spark, sf_dir)
+    text = F.concat_ws("\n", "prompt", "response")
+    return overlap_links(split, text, near_overlap(split, text))
+
+
 @register(
     "test_slice",
     O.PREP
@@ -466,12 +485,6 @@ def _r6(c):
     return F.round(F.col(c), 6).alias(c)
 
 
-def _r_ppl(c):
-    """Perplexity is exp(mean NLL): summation-order noise in the mean (~1e-11 relative) grows
-    to ~1e-6 absolute at perplexities near 1e5, so it is compared at 2 decimals."""
-    return F.round(F.col(c), 2).alias(c)
-
-
 def _scored(spark, sf_dir, lam=0.5):
     from sftlake.operators.score import score_count_matrix
 
@@ -518,11 +531,11 @@ def q_adapted_model(spark, sf_dir):
     O.PREP
     + ",\n"
     + O.scoring_ctes()
-    + "\nSELECT model, num_texts, num_tokens, round(mean_nll, 6) AS mean_nll, round(perplexity, 2) AS perplexity FROM metrics2_0",
+    + "\nSELECT model, num_texts, num_tokens, round(mean_nll, 6) AS mean_nll, round(perplexity, 6) AS perplexity FROM metrics2_0",
 )
 def q_token_nll(spark, sf_dir):
     m, _ = _scored(spark, sf_dir)
-    return m.select("model", "num_texts", "num_tokens", _r6("mean_nll"), _r_ppl("perplexity"))
+    return m.select("model", "num_texts", "num_tokens", _r6("mean_nll"), _r6("perplexity"))
 
 
 @register(
@@ -563,7 +576,7 @@ def q_relative_change(spark, sf_dir):
     O.PREP
     + f""",
 e AS (SELECT {O.toks(O.two_turn_chat('prompt', 'response'))}[2:{MAXLEN}] AS t FROM labeled WHERE kind LIKE 'en/%' AND split = 'test'),
-s AS (SELECT count(*)::BIGINT AS n, coalesce(sum(len(t)), 0)::BIGINT AS k, coalesce(sum(list_sum(list_transform(t, lambda x: ln(1 + length(x))))), 0) AS s FROM e)
+s AS (SELECT count(*)::BIGINT AS n, coalesce(sum(len(t)), 0)::BIGINT AS k, coalesce(sum(list_sum(list_transform(t, lambda x: ln(1 + length(x))))::DECIMAL(18,12)), 0)::DOUBLE AS s FROM e)
 SELECT m AS model, k AS num_tokens, round(f * s / greatest(k, 1), 6) AS mean_nll
 FROM s, (VALUES ('base', 1.0::DOUBLE), ('tuned', 0.5::DOUBLE)) AS v(m, f)""",
 )
@@ -793,13 +806,16 @@ def q_trainer_states(spark, sf_dir):
 FROM pts GROUP BY ALL""",
 )
 def q_curve_compare(spark, sf_dir):
-    from sftlake.operators.curves import curve_compare, label_runs, resolve_labels
+    """Trainer-state documents under a path a run, read back by those paths with a label each."""
+    from sftlake.operators.curves import curve_compare, loss_curves
+    from sftlake.sources.scratch import fresh_dir
+    from sftlake.sources.trainer_log import read_trainer_documents, write_trainer_states
 
-    # Run directories are <root>/<run>/trainer_state; the label rule pads with that name.
-    paths = [f"runs/{r}/trainer_state.json" for r in RUNS]
-    mapping = dict(zip(RUNS, resolve_labels(paths, CURVE_LABELS)))
-    c = curve_compare(label_runs(log_points(spark, sf_dir), mapping))
-    return c.select("label", "series", "n", _r6("first_loss"), _r6("last_loss"))
+    root = fresh_dir(spark, "curves")
+    write_trainer_states(A.event_log_entries(spark, sf_dir, place="pos").drop("event_id"), root)
+    paths = [f"{root}/run={r}/part-*" for r in RUNS]  # the third label is its folder's name
+    c = curve_compare(loss_curves(spark, paths, CURVE_LABELS, reader=read_trainer_documents))
+    return c.select(F.regexp_replace("label", "^run=", "").alias("label"), "series", "n", _r6("first_loss"), _r6("last_loss"))
 
 
 @register(
@@ -1207,15 +1223,15 @@ pos AS (SELECT conv_id, unnest(t) AS token, unnest(range(len(t))) AS pos FROM (S
 doc_c AS (SELECT tok AS token, count(*)::BIGINT AS n FROM (SELECT unnest({O.toks('text')}) AS tok FROM documents) GROUP BY tok),
 dd AS (SELECT (sum(n) + count(*) + 1)::DOUBLE AS den FROM doc_c),
 held AS (SELECT * FROM pos p WHERE pos >= 1 AND EXISTS (SELECT 1 FROM spans s WHERE s.conv_id = p.conv_id AND s.s0 <= p.pos AND p.pos < s.s1)),
-loss AS (SELECT -ln(coalesce((n + 1)::DOUBLE / den, 1.0::DOUBLE / den)) AS l FROM held LEFT JOIN doc_c USING (token) CROSS JOIN dd)""",
+loss AS (SELECT {O.loss('coalesce((n + 1)::DOUBLE / den, 1.0::DOUBLE / den)')} AS l FROM held LEFT JOIN doc_c USING (token) CROSS JOIN dd)""",
 )
 
 
 @register(
     "masked_nll",
     O.with_(*_MASK_CTES)
-    + """SELECT (SELECT count(*) FROM rendered) AS num_texts, count(*) AS num_tokens, round(coalesce(sum(l), 0) / greatest(count(*), 1), 6) AS mean_nll,
-  round(exp(coalesce(sum(l), 0) / greatest(count(*), 1)), 2) AS perplexity FROM loss""",
+    + """SELECT (SELECT count(*) FROM rendered) AS num_texts, count(*) AS num_tokens, round(coalesce(sum(l), 0)::DOUBLE / greatest(count(*), 1), 6) AS mean_nll,
+  round(exp(coalesce(sum(l), 0)::DOUBLE / greatest(count(*), 1)), 6) AS perplexity FROM loss""",
 )
 def q_masked_nll(spark, sf_dir):
     """Loss of the assistant turns of all conversations under the token model of the documents."""
@@ -1226,7 +1242,7 @@ def q_masked_nll(spark, sf_dir):
     segments = A.conversation_segments(spark, sf_dir)
     model = fit_token_model(A.table(spark, sf_dir, "documents"), "text", None)
     out = masked_nll(segments, assistant_spans(segments), model)
-    return out.select("num_texts", "num_tokens", _r6("mean_nll"), _r_ppl("perplexity"))
+    return out.select("num_texts", "num_tokens", _r6("mean_nll"), _r6("perplexity"))
 
 
 BATCH_ROWS = 8

@@ -165,3 +165,21 @@ def test_relative_change_of_zero_base_is_null(spark):
     )
     r = relative_change(compare(m)).first()
     assert r.nll_pct is None and r.ppl_pct == 0.0
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    from sftlake.operators.score import exact_loss, score_token_counts
+
+    rows = [(f"t{k}", 1 + k * k % 97, (k + 1) / 7e5) for k in range(1000)]
+    df = spark.createDataFrame(rows, "token string, cnt long, p double")
+    sums = set()
+    for n, by in [(1, "token"), (7, "token"), (13, "cnt"), (5, "p")]:
+        part = df.repartition(n, by).sortWithinPartitions(by)
+        sums.add(part.agg(F.sum(exact_loss(F.col("p"), F.col("cnt"))).alias("s")).first().s)
+    assert len(sums) == 1
+    want = math.fsum(-math.log(p) * c for _, c, p in rows)
+    assert abs(float(sums.pop()) - want) < 1e-6
+    texts = spark.createDataFrame([(" ".join(f"t{k % 37}" for k in range(j, 3 * j + 2)),) for j in range(60)], "text string")
+    model = fit_token_model(texts, "text", None)
+    counts = [texts.repartition(n).select(F.explode(F.split("text", " ")).alias("token")).groupBy("token").agg(F.count("*").alias("cnt")) for n in (1, 3, 11)]
+    assert len({tuple(score_token_counts(c, 60, model).first()) for c in counts}) == 1

@@ -248,3 +248,26 @@ def test_near_overlap_names_every_copy(spark):
     pairs = near_overlap(df, F.col("t"))
     got = {tuple(r) for r in overlap_members(df, F.col("t"), pairs).collect()}
     assert got == {("test", 1, 1), ("test", 2, 1), ("test", 3, 1), ("train", 4, 4), ("train", 5, 4)}
+
+
+def test_near_overlap_links_of_every_row(spark):
+    from pyspark.sql import functions as F
+
+    from sftlake.operators.overlap import near_overlap, overlap_links
+
+    def words(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*base[:k], f"x{k % 7}", *base[k + 1 :]]) for k in range(60)]  # near copies of one text
+    texts += [" ".join(base), "", "a b", "A  b", " ".join(f"o{k}" for k in range(20)), " ".join(base[:30])]
+    rows = [(k, "test" if k % 3 == 0 else "train", t) for k, t in enumerate(texts + texts[::4])]
+    df = spark.createDataFrame(rows, "row_id long, split string, t string")
+    got = {tuple(r) for r in overlap_links(df, F.col("t"), near_overlap(df, F.col("t"))).collect()}
+    sets = [(k, s, words(t)) for k, s, t in rows]
+    want = set()
+    for k, s, a in sets:
+        links = sum(1 for _, o, b in sets if o != s and a and b and 100 * len(a & b) >= 75 * len(a | b))
+        want.add((s, k, min([j for j, o, b in sets if o == s and b == a and a] or [k]), links))
+    assert got == want and sum(n > 0 for *_, n in want) > 40
