@@ -18,7 +18,6 @@ named in ``keep`` are returned beside ``text``. One page is always whole in memo
 from __future__ import annotations
 
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,28 +26,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftlake.llm import textkit
-from sftlake.llm.blocks import Block, blocks
+from sftlake.llm.blocks import PATH_SLOTS, Block, blocks, slot
 from sftlake.llm.common import ship_package
 
-PATH_SLOTS, WORD_SLOTS, SIZES, EMBED, HIDDEN = 1024, 64, 6, 32, 24
+WORD_SLOTS, SIZES, EMBED, HIDDEN = 64, 6, 32, 24
 TRAIN_PAGES = 2000
 _BATCH_CELLS = 16_384
 
 
-_SECTIONING = {"t:article", "t:main", "t:aside", "t:nav", "t:header", "t:footer", "t:form", "t:section", "t:dialog"}
+@functools.lru_cache(20_000)
+def _slots(above: frozenset[int], near: str, leaf: str, parent: str) -> tuple[int, ...]:
+    return tuple(above | {slot(p) for p in ("leaf:" + leaf, "under:" + parent, f"near:{near}", f"near:{near} {leaf}")})
 
 
-@functools.lru_cache(20_000)
-def _slots(path: tuple[str, ...], leaf: str, parent: str) -> tuple[int, ...]:
-    near = next((p for p in reversed(path) if p in _SECTIONING), "")
-    return tuple({zlib.crc32(p.encode()) % PATH_SLOTS for p in (*path, "leaf:" + leaf, "under:" + parent, f"near:{near}", f"near:{near} {leaf}")})
+_NOWHERE: frozenset[int] = frozenset()
 
 
 def vectors(found: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(path slots, their block, dense part) of a run of blocks."""
     slots, owner = [], []
     for k, b in enumerate(found):
-        own = _slots(b.path, b.leaf, b.parent)
+        own = _slots(b.level.slots, b.level.near, b.leaf, b.parent) if b.level else _slots(_NOWHERE, "", "", "")
         slots += own
         owner += [k] * len(own)
     data, off = textkit.text_buffer(pa.array([b.text for b in found], pa.string()))

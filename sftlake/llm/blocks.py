@@ -1,10 +1,14 @@
 """HTML into its leaf blocks: the text of each block-level element with the path of elements
-and class words above it. Tolerates unclosed and cut-off markup."""
+and class words above it. Tolerates unclosed and cut-off markup. Time and memory grow with the
+page alone, however deep its elements are nested: blocks share the levels above them, and an
+element to be closed is found by its name, not by a search through all open ones."""
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+import zlib
 from dataclasses import dataclass, field
 
 _TAG = re.compile(
@@ -36,18 +40,62 @@ IMPLIED = {
 }
 
 
+#: Hashed places for the names of a path.
+PATH_SLOTS = 1024
+SECTIONING = {"article", "main", "aside", "nav", "header", "footer", "form", "section", "dialog"}
+
+
+@functools.lru_cache(20_000)
+def slot(name: str) -> int:
+    return zlib.crc32(name.encode()) % PATH_SLOTS
+
+
+@dataclass(eq=False, slots=True)
+class Level:
+    """An open element: its tag, "t:tag" and "c:class word" names, the level above, the slots of
+    all names from the root down (shared with the level above unless new), the nearest
+    sectioning element."""
+
+    tag: str
+    names: tuple[str, ...]
+    above: Level | None
+    slots: frozenset[int]
+    near: str
+
+
+def _level(tag: str, names: tuple[str, ...], above: Level | None) -> Level:
+    known = above.slots if above else frozenset()
+    new = {slot(n) for n in names} - known
+    return Level(tag, names, above, known | new if new else known, "t:" + tag if tag in SECTIONING else above.near if above else "")
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # "t:tag" and "c:class word" from the root down
-    leaf: str
-    parent: str
+    level: Level | None
     linked: int  # characters inside links
     size: int = field(init=False)
 
     def __post_init__(self):
         self.size = len(self.text)
 
+    @property
+    def leaf(self) -> str:
+        return self.level.tag if self.level else ""
+
+    @property
+    def parent(self) -> str:
+        return self.level.above.tag if self.level and self.level.above else ""
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        """All names from the root down."""
+        found, at = [], self.level
+        while at:
+            found.append(at.names)
+            at = at.above
+        return tuple(n for names in reversed(found) for n in names)
+
 
 def _names(attrs: str) -> tuple[str, ...]:
     found: list[str] = []
@@ -60,7 +108,8 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, those without text left out. White space inside a block is
     one space; ``br`` counts as white space."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Level] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of each name
     parts: list[str] = []
     linked = links = 0
     at = 0
@@ -70,8 +119,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                path = tuple(p for _, ps in stack for p in ps)
-                out.append(Block(text, path, stack[-1][0] if stack else "", stack[-2][0] if len(stack) > 1 else "", min(linked, len(text))))
+                out.append(Block(text, stack[-1] if stack else None, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -82,6 +130,13 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked += len(s)
 
+    def deepest(names) -> int:
+        return max((open_at[n][-1] for n in names if open_at.get(n)), default=-1)
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            open_at[stack.pop().tag].pop()
+
     while m := _TAG.search(page, at):
         add(page[at : m.start()])
         at = m.end()
@@ -94,10 +149,8 @@ def blocks(page: str) -> list[Block]:
                 links = 0
             elif name in BLOCKS:
                 end_block()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                if (k := deepest((name,))) >= 0:
+                    close(k)
         elif name in UNSEEN:
             if not m["attrs"].endswith("/"):
                 shut = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
@@ -112,14 +165,11 @@ def blocks(page: str) -> list[Block]:
             end_block()
             links = 0
             shuts, until = IMPLIED.get(name, ({"p"} if name not in ("button", "label", "option", "select") else set(), {"article", "aside", "div", "td", "section"}))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in until:
-                    break
-                if stack[k][0] in shuts:
-                    del stack[k:]
-                    break
+            if (k := deepest(shuts)) > deepest(until):
+                close(k)
             if name != "hr":
-                stack.append((name, ("t:" + name, *_names(m["attrs"]))))
+                open_at.setdefault(name, []).append(len(stack))
+                stack.append(_level(name, ("t:" + name, *_names(m["attrs"])), stack[-1] if stack else None))
     tail = page[at:]
     add(tail)
     end_block()

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from sftlake.llm import block_labeller, queries
+from sftlake.llm.block_labeller import vectors
 from sftlake.llm.blocks import blocks
 
 
@@ -85,3 +86,24 @@ def test_every_class_word_of_an_element_is_kept():
     many = " ".join(f"u{k}" for k in range(40))
     (block,) = blocks(f'<div class="{many} {many} comments" id="x">text</div>')
     assert "c:comments" in block.path and "c:x" in block.path and len(set(block.path)) == len(block.path)
+
+
+def test_deep_nesting_is_linear():
+    import time
+
+    deep = "<div class='a b c d e f g h'>x" * 40_000 + "</p>" * 40_000
+    began = time.process_time()
+    found = blocks(deep)
+    assert len(found) == 40_000 and found[-1].leaf == found[-1].parent == "div"
+    assert found[-1].level.slots is found[1].level.slots  # one set for all levels that name nothing new
+    vectors(found)
+    assert time.process_time() - began < 20
+    many = "".join(f"<section class='{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}'>y" for k in range(8_000))
+    assert max(len(b.level.slots) for b in blocks(many)) <= 1024
+    assert len(blocks("<ul><li>" + "<fieldset>" * 3_000 + "<ul>" + "<li>z</li>" * 20_000)) == 20_000
+
+
+def test_implied_ends_by_name():
+    page = "<ul><li>a<li>b<ul><li>c<li>d</ul><li>e</ul><p>f<p>g<div>h<p>i</div>j<table><tr><td>k<td>l<tr><td>m</table>n"
+    got = [(b.text, len([n for n in b.path if n.startswith("t:")])) for b in blocks(page)]
+    assert got == [("a", 2), ("b", 2), ("c", 4), ("d", 4), ("e", 2), ("f", 1), ("g", 1), ("h", 1), ("i", 2), ("j", 0), ("k", 3), ("l", 3), ("m", 4), ("n", 0)]
