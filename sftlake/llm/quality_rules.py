@@ -4,6 +4,7 @@ emitted as one ordered conditional expression.
 
 Null and empty texts have zero statistics. The whole text is always read. Rows stay as they
 are: no join and no shuffle on the scoring path, so nulls, ties and repeated rows pass through.
+Columns named as the base counts, rule, base_failed or kept are replaced, others stay.
 Learning reads about ``FIT_ROWS`` labelled rows; without labels of both kinds the list is empty
 and keeps every document."""
 

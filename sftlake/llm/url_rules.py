@@ -6,7 +6,8 @@ them, and only those run their regex.
 
 The rules form a bounded constant (``MAX_RULES``) with a slot per token hash, so a lookup
 takes constant time inside the row: no join, no shuffle, no row key. Null, empty and repeated
-urls and extra columns are kept as they are; an empty table gives an empty result."""
+urls and extra columns are kept as they are, except that columns named host, path, rule, pattern
+or verdict are replaced; an empty table gives an empty result. ``read_rules`` reads rule files."""
 
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ import re
 import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftlake.llm.common import letters_lower
@@ -57,6 +58,33 @@ def pattern_rule(name: str, regex: str, *literals: str | tuple[str, ...], verdic
     return Rule(name, regex, literals, verdict)
 
 
+RULE_SCHEMA = "verdict string, host string, path string, name string, regex string, literals array<array<string>>"
+
+
+def read_rules(spark: SparkSession, path: str | list[str]) -> list[Rule]:
+    """Rules from JSON lines, in the order of files (by name) and lines. A line is a site rule,
+    {"verdict", "host", "path"}, path "/" if missing, or a pattern, {"verdict", "name", "regex",
+    "literals"}, literals being a list of lists of tokens: of each inner list a match holds
+    one. Blank lines are skipped; a malformed line, a verdict other than allow and block, a
+    pattern without literals and more than ``MAX_RULES`` rules are errors. No file, no rules."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
+    rows = lines.select(place.alias("p"), F.from_json("value", RULE_SCHEMA, {"mode": "FAILFAST"}).alias("r")).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules in {path}")
+    return [_read_rule(r["r"]) for r in sorted(rows, key=lambda r: tuple(r["p"]))]
+
+
+def _read_rule(r) -> Rule:
+    if r["verdict"] not in ("allow", "block") or (r["host"] is None) == (r["regex"] is None):
+        raise ValueError(f"a rule has a verdict and either a host or a regex: {r.asDict()}")
+    if r["host"] is not None:
+        return site_rule(r["host"].lower(), r["path"] or "/", r["verdict"])
+    if not r["literals"] or not all(r["literals"]):
+        raise ValueError(f"rule {r['name']!r} has no literal token")
+    return pattern_rule(r["name"] or r["regex"], r["regex"], *[tuple(t.lower() for t in alt) for alt in r["literals"]], verdict=r["verdict"])
+
+
 def with_host_path(df: DataFrame, url: str = "url") -> DataFrame:
     """Adds ``host`` and ``path`` (empty for a null url or one without ``://``)."""
     u = F.coalesce(F.col(url), F.lit(""))

@@ -244,3 +244,59 @@ def test_every_match_of_a_pattern_is_fetched(spark):
     for r in url_rules.url_filter(df, url_rules.PATTERNS).collect():
         first = next((p.name for p in url_rules.PATTERNS if re.search(p.regex, r.host + r.path)), None)
         assert (r.pattern, r.verdict) == (first, "block" if first else "allow"), r.url
+
+
+def test_thousands_of_rules_from_files(spark, tmp_path):
+    """Rules read from files, against a plain loop over all rules, on the given urls and on urls
+    that the rules meet."""
+    import json
+
+    pages = [r.url for r in spark.read.parquet(f"{SF}/pages.parquet").select("url").collect()]
+    lines = [{"verdict": "block" if k % 3 else "allow", "host": f"site{k}.example.net", "path": f"/part{k % 11}/"} for k in range(2000)]
+    lines += [{"verdict": "block", "host": "example.org", "path": f"/en/{k}"} for k in range(0, 900, 7)]
+    lines += [{"verdict": "allow", "host": "Net"}]
+    lines += [{"verdict": "block", "name": f"p{k}", "regex": f"/(pill{k}|spin{k})/[0-9]+$", "literals": [[f"pill{k}", f"spin{k}"]]} for k in range(2000)]
+    lines += [{"verdict": "allow", "name": "good", "regex": "^good[.-]", "literals": [["good"]]}]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(x) for x in lines[:3000]) + "\n\n")
+    (tmp_path / "b.json").write_text("\n".join(json.dumps(x) for x in lines[3000:]))
+    rules = url_rules.read_rules(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")])
+    assert len(rules) == len(lines) and rules[-1].name == "good" and rules[0].name == "site0.example.net/part0/"
+    urls = pages + [None, "", *[f"https://w{k}.SITE{k}.example.net/part{(k + k % 2) % 11}/x" for k in range(0, 2000, 37)], "http://good.com/pill7/12"]
+    urls += [f"http://h{k}.com/a/{'spin' if k % 2 else 'pill'}{k}/{k}" for k in range(0, 2000, 41)] + ["http://h.com/pill5/x", "http://xsite1.example.net/part1/"]
+    df = spark.createDataFrame([(k, u, "mine") for k, u in enumerate(urls)], "page_id long, url string, rule string")
+    met = collections.Counter()
+    compiled = [(x, re.compile(x.regex)) for x in rules]
+    for r in url_rules.url_filter(df, rules).collect():
+        fits = [x for x, c in compiled if c.search(r.host + r.path)]
+        best = max((x for x in fits if x.site), key=lambda x: len(x.name), default=None)
+        first = next((x for x in fits if not x.site), None) if best is None else None
+        want = best or first
+        assert (r.rule, r.pattern, r.verdict) == (best and best.name, first and first.name, want.verdict if want else "allow"), r.url
+        met[(r.rule is not None, r.pattern is not None)] += 1
+    assert met[(True, False)] > 50 and met[(False, True)] > 40 and met[(False, False)] > 100
+    for bad in ({"verdict": "maybe", "host": "a"}, {"verdict": "block"}, {"verdict": "block", "regex": "x"}):
+        (tmp_path / "c.json").write_text(json.dumps(bad))
+        with pytest.raises(ValueError):
+            url_rules.read_rules(spark, str(tmp_path / "c.json"))
+
+
+def plain_features(t):
+    t = t or ""
+    n, chars, symbols, dups, repeats = plain_statistics(t)
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    w, c, m = max(n, 1), max(chars, 1), max(len(lines), 1)
+    upper, marks = len(re.findall("[A-Z]", t)), len(re.findall("[!?]", t))
+    return [float(n), chars / w, symbols / c, dups / m, repeats / w, len(set(WORD.findall(t))) / w, upper / c, marks / c, n / m]
+
+
+def test_kept_of_the_query_against_a_plain_decision_list(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    rules = quality_rules.fit(docs.select("doc_id", "text"), labels)
+    got = {r.doc_id: r for r in queries.op8_quality_rules(spark, SF).collect()}
+    assert rules
+    for d in docs.select("doc_id", "text").collect():
+        x, s = plain_features(d.text), plain_statistics(d.text)
+        fits = [all((x[c.feature] >= c.cut) == c.at_least for c in rule) for rule in rules]
+        failed = s[0] < 20 or 100 * s[4] > 30 * s[0]
+        rule = f"rule{fits.index(True) + 1}" if any(fits) else None
+        assert (got[d.doc_id].base_failed, got[d.doc_id].rule, got[d.doc_id].kept) == (failed, rule, not failed and rule is None), d.doc_id
