@@ -331,11 +331,12 @@ WHERE (r.split = 'test' AND r.id IN (SELECT test_id FROM n)) OR (r.split = 'trai
 )
 def q_split_overlap_near_members(spark, sf_dir):
     """Every test and train row of the classes that split_overlap_near pairs, with its class."""
-    from sftlake.operators.overlap import near_overlap, overlap_members
+    from sftlake.operators.overlap import near_overlap, overlap_members, shingle_rows
 
     _, _, _, split = prepared(spark, sf_dir)
     text = F.concat_ws("\n", "prompt", "response")
-    return overlap_members(split, text, near_overlap(split, text))
+    rows = shingle_rows(split, text)
+    return overlap_members(split, text, near_overlap(split, text, rows=rows), rows=rows)
 
 
 @register(
@@ -350,11 +351,12 @@ SELECT m.split, m.row_id, m.class_id, coalesce(k.links, 0)::BIGINT AS links FROM
 )
 def q_split_overlap_links(spark, sf_dir):
     """Every test and train row with its class and the number of linked rows of the other split."""
-    from sftlake.operators.overlap import near_overlap, overlap_links
+    from sftlake.operators.overlap import near_overlap, overlap_links, shingle_rows
 
     _, _, _, split = prepared(spark, sf_dir)
     text = F.concat_ws("\n", "prompt", "response")
-    return overlap_links(split, text, near_overlap(split, text))
+    rows = shingle_rows(split, text)
+    return overlap_links(split, text, near_overlap(split, text, rows=rows), rows=rows)
 
 
 @register(

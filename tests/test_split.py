@@ -271,3 +271,40 @@ def test_near_overlap_links_of_every_row(spark):
         links = sum(1 for _, o, b in sets if o != s and a and b and 100 * len(a & b) >= 75 * len(a | b))
         want.add((s, k, min([j for j, o, b in sets if o == s and b == a and a] or [k]), links))
     assert got == want and sum(n > 0 for *_, n in want) > 40
+
+
+def test_near_overlap_moves_shared_shingles_only(spark, monkeypatch):
+    """Train texts that share too little with the test split are gone before shingles are ranked,
+    and each text is hashed once for the pairs and the links."""
+    from pyspark.sql import functions as F
+
+    from sftlake.operators import overlap
+
+    base = [f"w{k}" for k in range(40)]
+    far = [" ".join([*base[:20], *(f"t{i}w{k}" for k in range(30))]) for i in range(30)]  # share 16 of 46 shingles
+    texts = [("test", " ".join(base)), ("train", " ".join([*base[:-1], "x"])), ("train", None), *(("train", t) for t in far)]
+    df = spark.createDataFrame([(None if k % 5 == 4 else k, s, t) for k, (s, t) in enumerate(texts)], "row_id long, split string, t string")
+    made, write = [], overlap.checkpointed
+    monkeypatch.setattr(overlap, "checkpointed", lambda d: made.append(write(d)) or made[-1])
+    rows = overlap.shingle_rows(df, F.col("t"))
+    pairs = overlap.near_overlap(df, F.col("t"), rows=rows)
+    ranked = [d.count() for d in made if "g" in d.columns]
+    assert [tuple(r) for r in pairs.collect()] == [(0, 1, 35 / 37)] and ranked == [515, 35, 35, 35]
+    got = overlap.overlap_links(df, F.col("t"), pairs, rows=rows).collect()
+    assert len(got) == len(texts) and sum(r.links for r in got) == 2
+    assert sum("s" in d.columns for d in made) == 2  # the rows, the classes
+
+
+def test_shingle_sets_against_plain_words():
+    import pyarrow as pa
+
+    from sftlake.functions.shingles import shingle_sets
+
+    texts = ["", None, "a", " a  b ", "a b c d e f a b c d e", "é 中文  x y z\x0b1\r2 3", "a b c d e", "e d c b a " * 3, "ab c d e f", "a bc d e f"]
+    names = {}
+    for s, t in zip(shingle_sets(pa.array(texts + texts, pa.string()).slice(3, 12), 5), (texts + texts)[3:15], strict=True):
+        w = (t or "").encode().split()
+        want = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+        assert len(want) == len(s) == len(set(s.tolist()))
+        names.setdefault(frozenset(want), set()).add(tuple(s.tolist()))
+    assert all(len(v) == 1 for v in names.values()) and len(set(map(tuple, names.values()))) == len(names)
