@@ -179,14 +179,14 @@ def q_head_sample_large(spark, sf_dir):
     + "SELECT row_id::BIGINT AS row_id, kind, input, target FROM d",
 )
 def q_raw_roundtrip(spark, sf_dir):
-    """Records written as seven JSONL files of a dataset, read back whole with dataset-order ids."""
+    """Records written as the JSONL files of a dataset in seven folders, read back whole with dataset-order ids."""
     from sftlake.sources.jsonl import read_raw_records
     from sftlake.sources.scratch import fresh_dir
 
     raw = A.documents_raw(spark, sf_dir).withColumn("part", (F.col("row_id") % 7).cast("int"))
     path = fresh_dir(spark, "raw")
-    # One task a file here, so that the files' order is known; the reader splits them as it likes.
-    ordered = raw.repartitionByRange(7, "part").sortWithinPartitions("part", "row_id").drop("row_id")
+    # Ranges of (part, row_id), so files by name are in that order; a folder has as many as it needs.
+    ordered = raw.repartitionByRange("part", "row_id").sortWithinPartitions("part", "row_id").drop("row_id")
     ordered.write.partitionBy("part").option("ignoreNullFields", "false").json(path)
     return read_raw_records(spark, path).select("row_id", "kind", "input", "target")
 

@@ -373,3 +373,31 @@ def test_superseded_tables_are_removed_and_needed_ones_stay(spark):
     with recorded() as none:
         pass
     assert none == []
+
+
+def test_raw_roundtrip_folders_are_written_by_many_tasks(spark, tmp_path):
+    """Seven folders must not mean seven tasks: their files follow the number of partitions."""
+    from pathlib import Path
+
+    from sftlake.plans.queries import q_raw_roundtrip
+    from sftlake.sources.scratch import session_root
+
+    docs = [(k * 3, f"first {k}" + ("\nrest\nof it" if k % 2 else ""), "en", "web" if k % 5 else None, 9) for k in range(700)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    root = Path(session_root(spark).removeprefix("file:"))
+    known = set(root.glob("raw-*"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(old, ("35", "false"), strict=True):
+            spark.conf.set(k, v)
+        got = [tuple(r) for r in q_raw_roundtrip(spark, str(tmp_path)).orderBy("row_id").collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    (made,) = set(root.glob("raw-*")) - known
+    assert len(list(made.glob("part=*"))) == 7 and len(list(made.glob("part=*/*.json"))) > 21
+    want = []
+    for k, text, lang, source, _ in sorted(docs, key=lambda d: (d[0] % 7, d[0])):
+        head, _, rest = text.partition("\n")
+        want.append((len(want), "/".join(x for x in (lang, source) if x), head, rest if "\n" in text else None))
+    assert got == want
