@@ -37,10 +37,19 @@ ROUNDS_A_TABLE = 8
 BROADCAST_PAIRS = 100_000
 
 
-def neighbours(tokens: Column) -> Column:
-    """The array of (u, v) of neighbouring tokens."""
-    n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    return F.transform(F.arrays_zip(F.slice(tokens, 1, n).alias("u"), F.slice(tokens, 2, n).alias("v")), lambda x: F.struct(x["u"].alias("u"), x["v"].alias("v")))
+def neighbours(tokens: DataFrame, *keep: str) -> DataFrame:
+    """keep, pos (from 0), u, v for the neighbouring tokens of each row (keep, t). ``t`` is a column
+    that was worked out before, so that a text is cut into tokens once."""
+    n = F.greatest(F.size("t") - 1, F.lit(0))
+    both = F.arrays_zip(F.slice("t", 1, n), F.slice("t", 2, n))
+    at = tokens.select(*keep, F.posexplode(both).alias("pos", "x"))
+    return at.selectExpr(*(f"`{c}`" for c in keep), "pos", "x.`0` as u", "x.`1` as v")
+
+
+def token_rows(texts: DataFrame, text_col: str, make, *keep: str) -> DataFrame:
+    """keep, t: what ``make`` makes of the tokens of a text."""
+    # An exploded array stays apart from what reads it; projections would be merged and worked out again.
+    return texts.select(*keep, F.explode(F.array(make(tokenize(text_col)))).alias("t"))
 
 
 @dataclass
@@ -58,13 +67,21 @@ class BigramModel:
 
     def price(self, pairs: DataFrame) -> DataFrame:
         """Adds p to rows (u, v, ...), each pair at most once or few times."""
-        known = pairs.join(self.pairs.withColumnsRenamed({"n": "__n"}), ["u", "v"], "left").join(self.contexts, "u", "left").join(self.continuation, "v", "left")
+        return self._priced(pairs.join(self.pairs.withColumnsRenamed({"n": "__n"}), ["u", "v"], "left"))
+
+    def met(self) -> DataFrame:
+        """u, v, n, p of every pair met in training, which is its own count."""
+        return self._priced(self.pairs.withColumn("__n", F.col("n")))
+
+    def _priced(self, counted: DataFrame) -> DataFrame:
+        # The tables of contexts and tokens have a row a distinct token: hashed, the pairs aren't sorted.
+        known = counted.join(self.contexts.hint("shuffle_hash"), "u", "left").join(self.continuation.hint("shuffle_hash"), "v", "left")
         p = probability(F.col("__n"), F.col("n_u"), F.col("t_u"), F.coalesce("c", F.lit(self.unseen)))
         return known.withColumn("p", p).drop("__n", "n_u", "t_u", "c")
 
     def table(self) -> DataFrame:
         """context, token, n, p of every pair met in training."""
-        return self.price(self.pairs).select(F.col("u").alias("context"), F.col("v").alias("token"), "n", "p")
+        return self.met().select(F.col("u").alias("context"), F.col("v").alias("token"), "n", "p")
 
 
 def probability(n: Column, n_u: Column, t_u: Column, c: Column) -> Column:
@@ -74,8 +91,8 @@ def probability(n: Column, n_u: Column, t_u: Column, c: Column) -> Column:
 
 def fit_bigram_model(texts: DataFrame, text_col: str = "text") -> BigramModel:
     """The model of the whole texts. A null text has no tokens."""
-    toks = F.concat(F.coalesce(tokenize(text_col), F.array().cast("array<string>")), F.array(F.lit(END)))
-    pairs = checkpointed(texts.select(F.inline(neighbours(toks))).groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")))
+    closed = token_rows(texts, text_col, lambda t: F.concat(F.coalesce(t, F.array().cast("array<string>")), F.array(F.lit(END))))
+    pairs = checkpointed(neighbours(closed).groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")))
     contexts = checkpointed(pairs.groupBy("u").agg(F.sum("n").alias("n_u"), F.count(F.lit(1)).alias("t_u")))
     before = checkpointed(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("k")))
     row = before.agg(F.sum("k").alias("pairs"), F.count(F.lit(1)).alias("v"), F.min(F.struct(-F.col("k"), "v")).alias("top")).first()
@@ -87,8 +104,8 @@ def fit_bigram_model(texts: DataFrame, text_col: str = "text") -> BigramModel:
 def position_nll(texts: DataFrame, model: BigramModel, id_col: str, text_col: str = "text", max_length: int | None = DEFAULT_MAX_LENGTH) -> DataFrame:
     """id_col, pos, nll of every position but the first of each text, up to ``max_length`` tokens.
     Texts of fewer than two tokens, and null ones, have none."""
-    toks = truncate(tokenize(text_col), max_length) if max_length else tokenize(text_col)
-    at = texts.select(F.col(id_col), F.posexplode(neighbours(toks)).alias("pos", "x")).select(id_col, (F.col("pos") + 1).cast("long").alias("pos"), "x.u", "x.v")
+    toks = token_rows(texts, text_col, lambda t: truncate(t, max_length) if max_length else t, id_col)
+    at = neighbours(toks, id_col).withColumn("pos", (F.col("pos") + 1).cast("long"))
     asked = checkpointed(at.groupBy("u", "v").agg(F.count(F.lit(1)).alias("asked")))
     priced = checkpointed(model.price(asked).select("u", "v", "asked", (-F.log("p")).alias("nll")))
     return fetch_prices(at, priced).select(id_col, "pos", "nll")
@@ -113,18 +130,24 @@ def best_successors(model: BigramModel) -> DataFrame:
     never followed u can beat the most continued one, so that one and the seen ones are all
     there is to compare."""
     top = model.continuation.where(F.col("v") == F.lit(model.top)).select(F.col("c").alias("top_c"))
-    seen = model.price(model.pairs).groupBy("u").agg(F.min(F.struct((-F.col("p")).alias("q"), F.col("v").alias("v"))).alias("best"))
+    seen = model.met().groupBy("u").agg(F.min(F.struct((-F.col("p")).alias("q"), F.col("v").alias("v"))).alias("best"))
     both = seen.join(model.contexts, "u").crossJoin(F.broadcast(top))  # one row
     other = F.struct((-(F.lit(DISCOUNT) * F.col("t_u") / F.col("n_u") * F.col("top_c"))).alias("q"), F.lit(model.top).alias("v"))
     return both.select("u", F.least("best", other)["v"].alias("next"))
 
 
+def last_token(text_col: str) -> Column:
+    """The last token of a text, null without any. A token ends at white space, so only what
+    stands after the last of it is cut into tokens."""
+    apart = F.translate(F.col(text_col), "\t\n\x0b\x0c\r", "     ")
+    return F.try_element_at(tokenize(F.substring_index(F.rtrim(apart), " ", -1)), F.lit(-1))
+
+
 def generate_greedy(prompts: DataFrame, model: BigramModel, id_col: str, prompt_col: str, max_new_tokens: int = 256) -> DataFrame:
     """id_col, output: up to ``max_new_tokens`` tokens after each prompt, without the prompt, ended
     by END, joined by spaces and stripped. A prompt without tokens, or a model of no
     texts, gives an empty output."""
-    toks = tokenize(prompt_col)
-    last = prompts.select(F.col(id_col), F.when(F.size(toks) > 0, F.element_at(toks, -1)).alias("start"))
+    last = prompts.select(F.col(id_col), last_token(prompt_col).alias("start"))
     if model.top is None:
         return last.select(id_col, F.lit("").alias("output"))
     best = checkpointed(best_successors(model))

@@ -185,3 +185,22 @@ def test_distinct_pairs_are_priced_once(spark):
     priced = frame(spark, [("a", "b", 1, 0.5)], "u string, v string, asked long, nll double")
     assert bigram.fetch_prices(at, priced).select("id", "pos", "nll").collect()[0].nll == 0.5
     assert model.pairs.groupBy("u", "v").count().where(F.col("count") > 1).isEmpty()
+
+
+def test_met_pairs_are_priced_from_their_own_count(spark, capsys):
+    """The table of met pairs needs the contexts and the tokens, not the pairs a second time, and
+    gives what pricing them as asked pairs gives."""
+    model = bigram.fit_bigram_model(frame(spark, [*TEXTS, (90, None), (91, ""), (91, "A a  a\tb")]))
+    model.met().explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Scan parquet") == 3 and "SortMergeJoin" not in plan
+    asked = model.price(model.pairs.select("u", "v")).select("u", "v", "p")
+    assert sorted(map(tuple, asked.collect())) == sorted(map(tuple, model.met().select("u", "v", "p").collect()))
+
+
+def test_last_token_is_that_of_the_whole_text(spark):
+    texts = ["", None, "  ", "a", "A b C ", "x\t\u4e2d\u6587\n", "\u4e2dab\x0b\r", "one two\u00a0THREE", "\u039f\u0394\u039f\u03a3 \u039f\u03a3.", "a\u2028b c\u4e2dd"]
+    df = frame(spark, list(enumerate(texts)))
+    whole = F.try_element_at(bigram.tokenize("text"), F.lit(-1))
+    rows = df.select("text", bigram.last_token("text").alias("got"), whole.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and rows[5].got == "\u6587"
