@@ -119,6 +119,27 @@ def test_components_and_leader_rounds(spark):
     assert grouping.linked_classes(members.limit(0), verify, lambda x, y: x == y).count() == 0
 
 
+def test_who_has_led_leaves_its_buckets(spark, monkeypatch):
+    """Of 70 members of a bucket, none linked, 4, 60 and 6 lead; each round reads those that are left."""
+    rows = []
+
+    def counted(df):
+        out = real(df)
+        rows.extend([out.count()] if {"ref", "open"} & set(out.columns) else [])
+        return out
+
+    real = grouping.checkpointed
+    monkeypatch.setattr(grouping, "checkpointed", counted)
+    members = spark.range(70).select(F.lit(1).cast("long").alias("k"), "id", F.col("id").alias("x"))
+    met = []
+    for flags in ([], [(F.col("id") < 40).alias("leads")]):
+        rows.clear()
+        met.clear()
+        grouping.linked_classes(members.select("*", *flags), lambda p: met.extend((r.a, r.b) for r in p.collect()) or p.limit(0), lambda x, y: F.lit(True))
+        assert sorted(met) == [(a, b) for a in range(70) for b in range(a + 1, 70) if not flags or a < 40]
+        assert rows == ([66, 30] if flags else [66, 6, 0]), rows
+
+
 def within(a, b, t):
     """Plain edit distance in a band, against t."""
     if abs(len(a) - len(b)) > t:
