@@ -32,8 +32,8 @@ a banded bit-parallel recurrence runs over the rest: one 64-bit word for a band
 2 x MAX_EDITS + 1 diagonals, one step a character; the distance is held against the pair's own
 threshold.
 
-The lines are written once. What moves through shuffles is hashes; lines themselves only for
-candidates and for one text of each repeated line, and each text once at the end. Hashes of repeated lines and cells are
+The hashes and places of lines are written once. What moves through shuffles is hashes; lines themselves only for
+candidates and for one text of each repeated line, and each text once at the end, when the tables behind it are removed. Hashes of repeated lines and cells are
 broadcast up to ``BROADCAST_KEYS`` of them (8 bytes each), and joined beyond.
 
 Null texts stay null and have no lines; null ids come first; rows alike in id and text count as one
@@ -50,12 +50,14 @@ from pyspark.sql import functions as F
 
 from sftlake.llm.common import checkpointed
 from sftlake.llm.grouping import linked_classes
+from sftlake.sources.scratch import recorded, remove_tables
 
 MAX_EDITS = 5
 CHARS_AN_EDIT = 16
 MIN_CHARS = 24
 BROADCAST_KEYS = 1_000_000  # hashes of 8 bytes that may be broadcast
 HOT_BUCKET = 256
+SMALL_BUCKET = 8  # lines of buckets up to this size meet few others: no parities of pairs for them
 FINE = 3
 _COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 .,-_/:|\u00e9\u00fc"
 
@@ -78,9 +80,19 @@ def _pair_parities(texts: DataFrame) -> DataFrame:
     return texts.select("id", _parities(F.col("line")).alias("c")).join(pairs, "id").select("id", F.struct("c", *(f"p{i}" for i in range(4))).alias("x"))
 
 
+def _bounds(texts: DataFrame, many: DataFrame) -> DataFrame:
+    """(id, x) as ``_pair_parities`` has them, the four words null for texts whose id is not in ``many``."""
+    with_pairs = _pair_parities(texts.join(many.hint("shuffle_merge"), "id", "left_semi"))
+    others = texts.join(many.hint("shuffle_merge"), "id", "left_anti")
+    none = (F.lit(None).cast("bigint").alias(f"p{i}") for i in range(4))
+    return with_pairs.unionByName(others.select("id", F.struct(_parities(F.col("line")).alias("c"), *none).alias("x")))
+
+
 def _may_be_alike(x: Column, y: Column, max_edits: int) -> Column:
+    """Whether the parities leave room for ``max_edits``; null words say nothing."""
     differ = lambda n: F.bit_count(x[n].bitwiseXOR(y[n]))
-    return (differ("c") <= 2 * max_edits) & (sum((differ(f"p{i}") for i in range(4)), F.lit(0)) <= 4 * max_edits)
+    pairs = sum((differ(f"p{i}") for i in range(4)), F.lit(0)) <= 4 * max_edits
+    return (differ("c") <= 2 * max_edits) & F.coalesce(pairs, F.lit(True))
 
 
 def _trimmed(c: Column) -> Column:
@@ -231,9 +243,9 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, no, line, h): every line that is not blank, with its hash. Written once, about
-    as large as the texts; what follows reads the columns it needs."""
-    return checkpointed(_lines(docs.select("doc_id", "text")))
+    """(doc_id, th, no, h): the place and hash of every line that is not blank, written. The lines
+    themselves, as large as the texts, are cut from those again where they are needed."""
+    return checkpointed(_lines(docs.select("doc_id", "text")).drop("line"))
 
 
 def _known(ids: DataFrame) -> DataFrame:
@@ -242,9 +254,9 @@ def _known(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_KEYS else ids.hint("shuffle_merge")
 
 
-def distinct_texts(lines: DataFrame, min_chars: int) -> DataFrame:
+def distinct_texts(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
     """(id, line): every distinct line of at least ``min_chars`` characters."""
-    texts = lines.select("h", "line").where(F.length("line") >= min_chars)
+    texts = _lines(docs.select("doc_id", "text")).select("h", "line").where(F.length("line") >= min_chars)
     twice = checkpointed(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     if twice.count() > BROADCAST_KEYS:
         return checkpointed(texts.groupBy("h").agg(F.min("line").alias("line")).withColumnRenamed("h", "id"))
@@ -257,7 +269,8 @@ def candidate_keys(texts: DataFrame, lines: int, max_edits: int, **scheme) -> Da
     keys = segment_keys(texts, max_edits, **scheme)
     bits = min(64, 7 + (max(lines, 1) * len(_slots(max_edits))).bit_length())
     cell = F.expr(f"shiftrightunsigned(k, {64 - bits})").alias("cell")
-    met = keys.groupBy(cell).agg(F.count("*").alias("n"), F.max("held").alias("held")).where("n > 1 and held").select("cell")
+    # Few cells are met twice by one task, so the rows are dealt without a first count.
+    met = keys.select(cell, "held").repartition("cell").groupBy("cell").agg(F.count("*").alias("n"), F.max("held").alias("held")).where("n > 1 and held").select("cell")
     members = checkpointed(keys.select("k", "id", "held", cell).join(_known(met), "cell", "left_semi").select("k", "id", "held"))
     return _shared_keys(members)
 
@@ -284,13 +297,15 @@ def deal_again(members: DataFrame, texts: DataFrame, max_edits: int) -> DataFram
     return members.join(hot, "k", "left_anti").unionByName(_shared_keys(checkpointed(dealt)))
 
 
-def near_classes(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_classes(docs: DataFrame, lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, comp) of the distinct lines (by hash) that have an alike line with another text."""
-    texts = distinct_texts(lines, max(min_chars, CHARS_AN_EDIT))
+    texts = distinct_texts(docs, lines, max(min_chars, CHARS_AN_EDIT))
     members = candidate_keys(texts, lines.count(), max_edits)
     texts = checkpointed(texts.join(_known(members.select("id").distinct()), "id", "left_semi"))
     members = deal_again(members, texts, max_edits).withColumnRenamed("held", "leads")
-    members = members.join(checkpointed(_pair_parities(texts)), "id")
+    many = members.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > SMALL_BUCKET).select("k")
+    many = checkpointed(members.join(checkpointed(many).hint("shuffle_merge"), "k", "left_semi").select("id").distinct())
+    members = members.join(checkpointed(_bounds(texts, many)), "id")
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = texts.select(F.col("id").alias("a"), F.col("line").alias("la"))
@@ -310,8 +325,7 @@ def near_classes(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
 def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines to remove from each document that has any."""
     lines = line_table(docs)
-    classes = near_classes(lines, max_edits, min_chars).withColumnRenamed("id", "h")
-    lines = lines.select("doc_id", "th", "no", "h")
+    classes = near_classes(docs, lines, max_edits, min_chars).withColumnRenamed("id", "h")
     place = F.struct("doc_id", "th", "no")
     first = lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     # A line met once and outside any class of near copies stays.
@@ -327,7 +341,9 @@ def duplicate_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns, with ``text`` cut, and n_lines, n_removed (long) added."""
     docs = docs.drop("n_lines", "n_removed")
-    gone = duplicate_lines(docs, max_edits, min_chars).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
+    with recorded() as paths:  # the texts move once what led to these numbers is gone
+        gone = checkpointed(duplicate_lines(docs, max_edits, min_chars).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone")))
+    remove_tables(docs.sparkSession, paths, gone)
     out = docs.withColumn("__h", F.xxhash64("text"))
     out = out.join(gone.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
     lines = F.split("text", "\n")

@@ -192,6 +192,18 @@ def brute(rows):
     return sorted(out, key=str)
 
 
+def test_parities_of_pairs_are_for_lines_of_large_buckets(spark, monkeypatch):
+    asked = []
+    real = line_dedup._pair_parities
+    monkeypatch.setattr(line_dedup, "_pair_parities", lambda texts: asked.append(texts.count()) or real(texts))
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(100)) for _ in range(20)]
+    texts += [x + "z" for x in texts[:6]] + [texts[7][:50] + "".join(rng.choice("abcdefgh ") for _ in range(50)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
+    assert got == set(range(20, 26)) and asked == [13]
+
+
 @pytest.mark.parametrize("few,hot", [(line_dedup.BROADCAST_KEYS, line_dedup.HOT_BUCKET), (0, 3)])
 def test_odd_rows_against_brute_force(spark, monkeypatch, few, hot):
     monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", few)
