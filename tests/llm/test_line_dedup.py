@@ -1,12 +1,15 @@
 import collections
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sftlake.llm import grouping, line_dedup, queries
+from sftlake.llm import grouping, jaccard_join, line_dedup, queries
+from sftlake.sources import scratch
 
 
 def edits(a, b):
@@ -140,6 +143,31 @@ def test_who_has_led_leaves_its_buckets(spark, monkeypatch):
         assert rows == ([66, 30] if flags else [66, 6, 0]), rows
 
 
+def tables(spark):
+    root = scratch.session_root(spark).removeprefix("file://")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_what_led_to_the_result_is_removed(spark):
+    """Tables that the result doesn't read go before the texts move; the shuffle files behind a table
+    go when it is written."""
+    docs = spark.createDataFrame([(k, f"A line of some words that comes in every text.\nand one of number {k}" * 2) for k in range(30)], "doc_id long, text string")
+    for work in (line_dedup.dedup_lines, jaccard_join.join_classes):
+        before = tables(spark)
+        out = work(docs)
+        assert len(tables(spark) - before) <= 2 and out.count() == 30
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before = files()
+    out = scratch.checkpointed(docs.repartition(7, "text"))
+    for _ in range(50):
+        if not (left := {f for f in files() - before if f.endswith(".data")}):
+            break
+        time.sleep(0.2)
+    assert not left and out.count() == 30
+    assert spark.conf.get(scratch._CLEANUP, "false") == "false"
+
+
 def within(a, b, t):
     """Plain edit distance in a band, against t."""
     if abs(len(a) - len(b)) > t:
