@@ -88,7 +88,8 @@ def recorded() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _RECORDS.remove(paths)
+        # By identity: a block around this one may have recorded the same paths.
+        _RECORDS[:] = [p for p in _RECORDS if p is not paths]
 
 
 def remove_tables(spark: SparkSession, paths: Iterable[str], needed_by: DataFrame) -> list[str]:

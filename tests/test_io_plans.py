@@ -375,6 +375,21 @@ def test_superseded_tables_are_removed_and_needed_ones_stay(spark):
     assert none == []
 
 
+def test_records_inside_one_another_end_by_themselves(spark):
+    """The outer block has recorded just what the inner one has when the inner one ends."""
+    from sftlake.sources.scratch import _RECORDS, checkpointed, recorded
+
+    before = len(_RECORDS)
+    with recorded() as outer:
+        with recorded() as inner:
+            checkpointed(spark.range(1))
+            assert inner == outer
+        checkpointed(spark.range(2))
+        with recorded() as empty:
+            pass
+    assert (len(inner), len(outer), len(empty)) == (1, 2, 0) and len(_RECORDS) == before
+
+
 def test_raw_roundtrip_folders_are_written_by_many_tasks(spark, tmp_path):
     """Seven folders must not mean seven tasks: their files follow the number of partitions."""
     from pathlib import Path
