@@ -2,19 +2,22 @@
 
 A JSON string holds no raw line end, so every line of a document can be looked at by itself: its
 brackets outside strings change the depth by a known amount. Running totals of these over the
-lines of a document (a block of the file at a time) say which line is at which depth, and so
-where the list opens, where its elements start and where it ends. No task holds a document.
+lines of a document (a chunk of a file's block at a time) say which line is at which depth, and so
+where the list opens, where its elements start and where it ends. No task holds a document or a
+block, and lines travel without their paths.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sftlake.operators.ranking import ordered_running_total
 from sftlake.sources.jsonl import LOG_ENTRY, STATE_SCHEMA
 from sftlake.sources.scratch import checkpointed
 
+#: A chunk has at most 2 to this power lines.
+CHUNK_BITS = 16
 _KEY = r'"log_history"\s*:\s*'
 
 
@@ -47,44 +50,54 @@ def read_trainer_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     bracket, as any indenting writer has it; another layout fails the read. Without the key, or
     with an empty or null list, there are no entries."""
     files = spark.read.option("recursiveFileLookup", "true").text(paths)
-    path = F.col("_metadata.file_path")
     lines = checkpointed(
         files.select(
-            F.regexp_replace(path, "/part-[^/]*$", "").alias("doc"),
-            F.struct(path.alias("f"), F.col("_metadata.file_block_start").alias("b")).alias("at"),
+            F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
             F.monotonically_increasing_id().alias("m"), "value", _change(F.col("value")).alias("change"),
         )
-    )
-    deep = ordered_running_total(lines, ["doc"], "at", ["m"], "after", "change").withColumn("before", F.col("after") - F.col("change"))
-    names = F.col("value").rlike(_KEY) & (F.col("before") < 2)
+    ).withColumns({"c": F.shiftright("m", CHUNK_BITS), "h": F.xxhash64("f", "b")})
+    # The chunks of a document in order: paths stay here, lines carry the document's hash and the chunk's number.
+    sums = lines.groupBy("c", "h", "f", "b").agg(F.sum("change").alias("s")).withColumn("doc", F.regexp_replace("f", "/part-[^/]*$", ""))
+    inorder = Window.partitionBy("doc").orderBy("f", "b", "c")
+    before = F.sum("s").over(inorder.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("s")
+    chunks = checkpointed(sums.select("c", "h", "doc", F.xxhash64("doc").alias("d"), F.row_number().over(inorder).alias("r"), before.alias("off")))
+    names = checkpointed(chunks.select("d", "doc").distinct())
+
+    within = Window.partitionBy("c", "h").orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    deep = lines.select("c", "h", "m", "value", "change").join(chunks.drop("doc"), ["c", "h"])
+    deep = deep.withColumn("after", F.col("off") + F.sum("change").over(within)).withColumn("before", F.col("after") - F.col("change"))
+    keys = F.col("value").rlike(_KEY) & (F.col("before") < 2)
     whole = (F.col("before") == 0) & (F.col("after") == 0) & (F.trim("value") != "")
     opens = (F.col("before") == 1) & F.col("value").rlike(rf"^\s*{_KEY}\[\s*$")
     none = F.col("value").rlike(rf"{_KEY}(\[\s*\]|null)")
-    part = F.when(whole, F.lit("whole")).when(opens, F.lit("open")).when(
-        names & ~none, F.raise_error(F.concat(F.lit("log_history opens within a line in "), F.col("doc")))
-    )
-    deep = checkpointed(deep.withColumns({"part": part.cast("string"), "p": F.struct("at", "m")}))
+    part = F.when(whole, F.lit("whole")).when(opens, F.lit("open")).when(keys & ~none, F.lit("odd"))
+    deep = checkpointed(deep.select("d", "r", "m", "value", "before", "after", part.alias("part"))).withColumn("p", F.struct("r", "m"))
+
+    def refuse(odd: DataFrame, what: str) -> None:
+        """Fails the read where ``odd`` has a line."""
+        odd.join(names, "d").select(F.raise_error(F.concat(F.lit(f"log_history {what} within a line in "), F.col("doc")))).collect()
 
+    refuse(deep.where("part = 'odd'").select("d"), "opens")
     # One row a document: where the list opens (of two lists the later one counts) and where it ends.
-    opened = deep.where(F.col("part") == "open").groupBy("doc").agg(F.max("p").alias("first"))
-    ends = deep.where(F.col("after") == 1).join(opened, "doc").where(F.col("p") > F.col("first"))
-    ends = ends.groupBy("doc", "first").agg(F.min("p").alias("last"), F.min_by("value", "p").alias("close"))
-    odd = F.raise_error(F.concat(F.lit("log_history ends within a line in "), F.col("doc"))).cast("boolean")
-    ends = checkpointed(ends.where(F.when(F.col("close").rlike(r"^\s*\]"), F.lit(True)).otherwise(odd)).drop("close"))
-    inside = deep.join(ends, "doc").where((F.col("p") > F.col("first")) & (F.col("p") < F.col("last")))
+    opened = deep.where(F.col("part") == "open").groupBy("d").agg(F.max("p").alias("first"))
+    ends = deep.where(F.col("after") == 1).join(opened, "d").where(F.col("p") > F.col("first"))
+    ends = checkpointed(ends.groupBy("d", "first").agg(F.min("p").alias("last"), F.min_by("value", "p").alias("close")))
+    refuse(ends.where(~F.col("close").rlike(r"^\s*\]")), "ends")
+    inside = deep.join(ends.drop("close"), "d").where((F.col("p") > F.col("first")) & (F.col("p") < F.col("last")))
 
     # A line at the list's own depth starts an element; lines up to the next such line belong to it.
     inside = inside.withColumn("starts", (F.col("before") == 2).cast("long"))
-    numbered = ordered_running_total(inside.select("doc", "at", "m", "value", "starts"), ["doc"], "at", ["m"], "n", "starts")
-    element = numbered.groupBy("doc", "n").agg(F.min(F.struct("at", "m")).alias("p"), F.array_sort(F.collect_list(F.struct("at", "m", "value"))).alias("l"))
+    numbered = ordered_running_total(inside.select("d", "r", "m", "value", "starts"), ["d"], "r", ["m"], "n", "starts")
+    element = numbered.groupBy("d", "n").agg(F.array_sort(F.collect_list(F.struct("r", "m", "value"))).alias("l"))
     text = F.regexp_replace(F.array_join(F.col("l")["value"], "\n"), r",\s*$", "")
     listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{LOG_ENTRY}>", {"mode": "FAILFAST"})
     # An element's lines may hold several objects, so places are counted over their numbers.
-    element = checkpointed(element.select("doc", "p.at", "p.m", listed.alias("es")).withColumn("size", F.size("es")))
-    counted = ordered_running_total(element, ["doc"], "at", ["m"], "upto", "size")
-    many = counted.select("doc", F.posexplode("es").alias("k", "entry"), (F.col("upto") - F.col("size")).alias("before"))
-    many = many.select(F.col("doc").alias("run_path"), (F.col("before") + F.col("k")).alias("pos"), "entry")
-
-    one = deep.where(F.col("part") == "whole").select("doc", F.from_json("value", STATE_SCHEMA, {"mode": "FAILFAST"}).alias("s"))
-    one = one.select(F.col("doc").alias("run_path"), F.posexplode(F.coalesce(F.col("s.log_history"), F.array())).alias("pos", "entry"))
-    return many.unionByName(one.withColumn("pos", F.col("pos").cast("long")))
+    element = checkpointed(element.select("d", F.col("l")[0]["r"].alias("r"), F.col("l")[0]["m"].alias("m"), listed.alias("es")).withColumn("size", F.size("es")))
+    counted = ordered_running_total(element, ["d"], "r", ["m"], "upto", "size")
+    many = counted.select("d", F.posexplode("es").alias("k", "entry"), (F.col("upto") - F.col("size")).alias("before"))
+    many = many.select("d", (F.col("before") + F.col("k")).alias("pos"), "entry")
+
+    one = deep.where(F.col("part") == "whole").select("d", F.from_json("value", STATE_SCHEMA, {"mode": "FAILFAST"}).alias("s"))
+    one = one.select("d", F.posexplode(F.coalesce(F.col("s.log_history"), F.array())).alias("pos", "entry"))
+    entries = many.unionByName(one.withColumn("pos", F.col("pos").cast("long")))
+    return entries.join(F.broadcast(names), "d").select(F.col("doc").alias("run_path"), "pos", "entry")

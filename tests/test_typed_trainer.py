@@ -121,3 +121,21 @@ def test_trainer_documents_written_in_parts(spark, tmp_out):
     got = read_trainer_documents(spark, [f"{tmp_out}/states"])
     got = {(r.run_path[-2:], r.pos): float(r.entry["loss"]) for r in got.collect()}
     assert got == {(r.run, r.pos): r.loss for r in df.collect()}
+
+
+def test_lines_of_a_block_are_not_sorted_as_one_group(spark, tmp_out, monkeypatch):
+    """A block of a file may be 128 MB of short lines; what is summed up in order is far smaller."""
+    n = 30_000
+    os.makedirs(f"{tmp_out}/run=a")
+    p = _lines(f"{tmp_out}/run=a/part-0", ["{", ' "log_history": [', *(f'  {{\n   "step": {i}\n  }}' + "," * (i < n - 1) for i in range(n)), " ]", "}"])
+    frame, groups = type(spark.range(1)), []
+
+    def join(self, other, on=None, *how, real=frame.join):
+        if "value" in self.columns and on in ("__g", ["c", "h"]):  # a running total's groups
+            groups.append(max(r["count"] for r in self.groupBy(on).count().collect()))
+        return real(self, other, on, *how)
+
+    monkeypatch.setattr(frame, "join", join)
+    rows = read_trainer_documents(spark, [p]).select("pos", F.col("entry")["step"].cast("long").alias("s")).collect()
+    assert sorted((r.pos, r.s) for r in rows) == [(i, i) for i in range(n)]
+    assert len(groups) == 2 and max(groups) <= 1 << 16 < 3 * n
