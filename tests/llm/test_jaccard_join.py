@@ -89,3 +89,20 @@ def test_queries_against_their_sql(spark):
         got = queries.QUERIES[name](spark, sf)
         assert sorted(got.columns) == sorted(want.columns)
         assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, want.fetchall())), name
+
+
+def test_shuffle_files_of_a_bitmap_go_when_it_is_built(spark):
+    import os
+    import time
+
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    before = files()
+    ids = spark.range(1000).repartition(5, "id").selectExpr("id % 90 as id").groupBy("id").count().select("id")
+    bits = jaccard_join._bitmap(ids)
+    assert np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == list(range(90))
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
